@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.scalars import batch_file_name
-from tidewater.session import cut_lineage
+from tidewater.session import cut_lineage, stage_table
 
 DEFAULT_ROWS_PER_CHUNK = 2_000_000
 
@@ -344,60 +344,64 @@ def assign_batches(
     run: str = "run",
     pos: str = "pos",
     rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+    stage: bool = True,
 ) -> DataFrame:
     """Label each row that fits (``tokens <= cap``) with its batch.
 
     Adds ``batch_no`` (1-based within the run), ``batch_idx`` (0-based
     position inside the batch) and ``total_batches`` (batches in the run).
     ``(run, pos)`` must identify a row; ``tokens`` must be >= 0.
+    ``stage=False`` skips the Parquet copy of the input (the input plan is
+    then evaluated twice: once for the labels, once for the join back).
     """
     if cap < 0:
         raise ValueError("cap must be >= 0")
     spark = df.sparkSession
     fits = df.filter(F.col(tokens) <= F.lit(cap))
+    if stage:
+        # one written copy feeds the row count, the narrow labelling input
+        # (column-pruned read) and the join back; the upstream plan runs once
+        fits = stage_table(fits, "batch-input")
     narrow = fits.select(F.col(run), F.col(pos), F.col(tokens).cast("long").alias(tokens))
     run_type = narrow.schema[run].dataType
     pos_type = narrow.schema[pos].dataType
     schema = _label_schema(run_type, pos_type)
 
-    narrow = narrow.persist()
-    try:
-        n = narrow.count()
-        if n <= rows_per_chunk:
-            parts = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-            keyed = (
-                narrow.repartition(parts, run)
-                .withColumn("__chunk", F.spark_partition_id().cast("long"))
-                .sortWithinPartitions(run, pos)
+    n = narrow.count()
+    if n <= rows_per_chunk:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+        keyed = (
+            narrow.repartition(parts, run)
+            .withColumn("__chunk", F.spark_partition_id().cast("long"))
+            .sortWithinPartitions(run, pos)
+        )
+        labels = keyed.mapInPandas(_make_labeller(cap, run, pos, tokens, {}, {}, {}), schema)
+    else:
+        k = max(1, math.ceil(n / rows_per_chunk))
+        ranged = (
+            narrow.repartitionByRange(k, F.col(run).asc_nulls_first(), F.col(pos).asc())
+            .sortWithinPartitions(run, pos)
+            .withColumn("__chunk", F.spark_partition_id().cast("long"))
+        )
+        # both passes must see identical chunks: materialise them once
+        ranged = cut_lineage(ranged)
+        rows = ranged.mapInPandas(_make_summariser(cap, run, pos, tokens), _summary_schema(run_type)).collect()
+        summaries = [
+            _Summary(
+                chunk=r["chunk"],
+                n_segments=r["n_segments"],
+                first_run=r["first_run"],
+                last_run=r["last_run"],
+                first_fresh=tuple(r["first_fresh"]),
+                last_fresh=tuple(r["last_fresh"]),
+                steps=(list(r["thr"]), list(r["depth"]), list(r["out_c"]), list(r["out_r"])),
             )
-            labels = keyed.mapInPandas(_make_labeller(cap, run, pos, tokens, {}, {}, {}), schema)
-        else:
-            k = max(1, math.ceil(n / rows_per_chunk))
-            ranged = (
-                narrow.repartitionByRange(k, F.col(run).asc_nulls_first(), F.col(pos).asc())
-                .sortWithinPartitions(run, pos)
-                .withColumn("__chunk", F.spark_partition_id().cast("long"))
-            )
-            ranged = cut_lineage(ranged)
-            rows = ranged.mapInPandas(_make_summariser(cap, run, pos, tokens), _summary_schema(run_type)).collect()
-            summaries = [
-                _Summary(
-                    chunk=r["chunk"],
-                    n_segments=r["n_segments"],
-                    first_run=r["first_run"],
-                    last_run=r["last_run"],
-                    first_fresh=tuple(r["first_fresh"]),
-                    last_fresh=tuple(r["last_fresh"]),
-                    steps=(list(r["thr"]), list(r["depth"]), list(r["out_c"]), list(r["out_r"])),
-                )
-                for r in rows
-            ]
-            incoming, first_total, last_total = _plan_chunks(summaries, cap)
-            labels = ranged.mapInPandas(
-                _make_labeller(cap, run, pos, tokens, incoming, first_total, last_total), schema
-            )
-    finally:
-        narrow.unpersist()
+            for r in rows
+        ]
+        incoming, first_total, last_total = _plan_chunks(summaries, cap)
+        labels = ranged.mapInPandas(
+            _make_labeller(cap, run, pos, tokens, incoming, first_total, last_total), schema
+        )
 
     cond = (F.col(run).eqNullSafe(F.col("__run"))) & (F.col(pos) == F.col("__pos"))
     return fits.join(labels, cond, "inner").drop("__run", "__pos")

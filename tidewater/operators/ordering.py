@@ -1,7 +1,7 @@
 """Total order of a run and a dense position column without a global window.
 
 ``row_number()`` over an unpartitioned window runs in one task.  Here the
-rows are range-sorted across all tasks, the sorted data is checkpointed to
+rows are range-sorted across all tasks, the sorted data is written once to
 the shared folder (so the partition contents are fixed), the per-partition
 row counts (one row per partition) give each partition's offset, and the
 offsets are broadcast back — their size is the partition count, not the
@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.session import cut_lineage
+from tidewater.session import stage_table
 
 
 def message_order(
@@ -48,16 +48,21 @@ def dense_position(
         .withColumn("__part", F.spark_partition_id())
         .withColumn("__mono", F.monotonically_increasing_id())
     )
-    sorted_df = cut_lineage(sorted_df)
+    # fix the partition contents once (columnar copy in the shared folder)
+    sorted_df = stage_table(sorted_df, "ordered")
     # row index inside its partition: the id minus the partition's first id
     local = F.col("__mono") - F.shiftleft(F.col("__part").cast("long"), 33)
-    counts = sorted_df.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).select(
-        "__part", "__off"
+    counts = sorted(
+        (r["__part"], r["__n"])
+        for r in sorted_df.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).collect()
     )
-    offsets = F.broadcast(cut_lineage(offsets))
-    out = sorted_df.join(offsets, on="__part", how="inner").withColumn(
+    offsets, total = [], 0
+    for part, n in counts:
+        offsets.append((part, total))
+        total += n
+    # one row per sort partition: bounded by the partition count, not the data
+    off_df = spark.createDataFrame(offsets, "__part int, __off long")
+    out = sorted_df.join(F.broadcast(off_df), on="__part", how="inner").withColumn(
         pos, (F.col("__off") + local + F.lit(start)).cast("long")
     )
     if partition is not None:

@@ -95,6 +95,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back.
+
+    Cuts the lineage like a checkpoint, but the copy is columnar: later
+    reads prune columns and push filters, and a lost executor never
+    recomputes the upstream shuffles.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side file checks."""
     if path.startswith("file:"):
@@ -129,6 +142,7 @@ __all__ = [
     "shared_dir",
     "scratch_path",
     "cut_lineage",
+    "stage_table",
     "local_path",
     "path_exists",
     "list_names",
