@@ -23,7 +23,7 @@ from tidewater.functions.scalars import (
 from tidewater.functions.tokens import CharTokenizer, LocalTokenizer
 from tidewater.operators.batching import assign_batches, batch_items, batch_stats, oversized_rows
 from tidewater.operators.channels import channel_directory
-from tidewater.operators.dedup import prebatch, text_counts
+from tidewater.operators.dedup import add_dup_count, prebatch, text_counts
 from tidewater.operators.filters import (
     is_valid_message,
     only_dated_messages,
@@ -57,6 +57,7 @@ PAGES = 5  # page cap in the parity pulls
 TOP = 25  # per-channel row cap
 RECORD = ["id", "channel_id", "channel_handle", "time", "text"]
 TARGET_SEGMENT = "BUILDING"
+CHUNK_ROWS = 100  # small chunks force the split-run path of the batcher
 MARK_SQL = "TIMESTAMP '2024-01-15 00:00:00'"
 END_SQL = "TIMESTAMP '2024-01-22 00:00:00'"
 
@@ -95,9 +96,13 @@ def _prebatched(spark, sf):
     return prebatch(_docs(spark, sf), text="text", order="pos", partition="run")
 
 
-def _batched(spark, sf):
-    counted = with_tokens(_prebatched(spark, sf), [*RECORD, "dup_count"], LocalTokenizer())
-    return assign_batches(counted, CAP, tokens="tokens", run="run", pos="pos")
+def _batched(spark, sf, rows_per_chunk=None, one_run=False):
+    pre = _prebatched(spark, sf)
+    if one_run:
+        pre = prebatch(_docs(spark, sf), text="text", order="pos", partition=None).withColumn("run", F.lit("all"))
+    counted = with_tokens(pre, [*RECORD, "dup_count"], LocalTokenizer())
+    kwargs = {} if rows_per_chunk is None else {"rows_per_chunk": rows_per_chunk}
+    return assign_batches(counted, CAP, tokens="tokens", run="run", pos="pos", **kwargs)
 
 
 # --- queries -------------------------------------------------------------------
@@ -257,6 +262,22 @@ def q_assign_batches(spark, sf):
     return _batched(spark, sf).select("run", "pos", "batch_no", "batch_idx", "total_batches")
 
 
+def q_assign_batches_chunked(spark, sf):
+    return _batched(spark, sf, rows_per_chunk=CHUNK_ROWS).select(
+        "run", "pos", "batch_no", "batch_idx", "total_batches"
+    )
+
+
+def q_batches_one_run(spark, sf):
+    return _batched(spark, sf, rows_per_chunk=CHUNK_ROWS, one_run=True).select(
+        "run", "pos", "batch_no", "batch_idx", "total_batches"
+    )
+
+
+def q_add_dup_count(spark, sf):
+    return add_dup_count(_docs(spark, sf)).select("id", "run", "dup_count")
+
+
 def q_batch_items(spark, sf):
     return batch_items(_batched(spark, sf)).select("run", "pos", "batch_no", "batch_idx", "file_name")
 
@@ -320,6 +341,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_counts": q_token_counts,
     "oversized_rows": q_oversized_rows,
     "assign_batches": q_assign_batches,
+    "assign_batches_chunked": q_assign_batches_chunked,
+    "batches_one_run": q_batches_one_run,
+    "add_dup_count": q_add_dup_count,
     "batch_items": q_batch_items,
     "batch_stats": q_batch_stats,
     "batch_documents": q_batch_documents,
@@ -380,6 +404,13 @@ labeled AS (
 
 _BATCHED = f"WITH RECURSIVE {_MSGS},{_PRE},{_TOK},{_WALK}"
 
+_PRE_ONE_RUN = """
+pre AS (
+  SELECT id, channel_id, channel_handle, time, text, pos, 'all' AS run, dup_count FROM (
+    SELECT *, row_number() OVER (PARTITION BY text ORDER BY pos) AS rn,
+           CAST(count(*) OVER (PARTITION BY text) AS BIGINT) AS dup_count
+    FROM msgs) WHERE rn = 1)"""
+
 _RAW = """
 raw AS (
   SELECT event_id AS id, user_id AS channel_id,
@@ -543,6 +574,11 @@ SELECT id,
 FROM msgs""",
     "oversized_rows": f"WITH {_MSGS},{_PRE},{_TOK}\nSELECT id, run, tokens FROM tok WHERE tokens > {CAP}",
     "assign_batches": f"{_BATCHED}\nSELECT run, pos, batch_no, batch_idx, total_batches FROM labeled",
+    "assign_batches_chunked": f"{_BATCHED}\nSELECT run, pos, batch_no, batch_idx, total_batches FROM labeled",
+    "batches_one_run": f"""WITH RECURSIVE {_MSGS},{_PRE_ONE_RUN},{_TOK},{_WALK}
+SELECT run, pos, batch_no, batch_idx, total_batches FROM labeled""",
+    "add_dup_count": f"""WITH {_MSGS}
+SELECT id, run, CAST(count(*) OVER (PARTITION BY run, text) AS BIGINT) AS dup_count FROM msgs""",
     "batch_items": f"""{_BATCHED}
 SELECT run, pos, batch_no, batch_idx, batch_no || 'of' || total_batches || '.json' AS file_name FROM labeled""",
     "batch_stats": f"""{_BATCHED}

@@ -10,6 +10,8 @@ from tidewater.functions.scalars import (
     json_record,
     json_record_length,
     json_scalar,
+    message_from_json,
+    message_to_json,
     parse_iso,
     parse_target_list,
     present_fields,
@@ -37,6 +39,8 @@ __all__ = [
     "json_record",
     "json_record_length",
     "json_scalar",
+    "message_from_json",
+    "message_to_json",
     "parse_iso",
     "parse_target_list",
     "present_fields",

@@ -113,6 +113,16 @@ def json_record_length(fields: Sequence[str], unit: str = "bytes") -> Column:
     return (base + extra).cast("long")
 
 
+def message_to_json(fields: Sequence[str]) -> Column:
+    """Row → compact JSON object text of ``fields`` (NULL fields left out)."""
+    return F.to_json(F.struct(*[F.col(f) for f in fields]))
+
+
+def message_from_json(text: Column | str, schema: T.StructType | str) -> Column:
+    """JSON object text → struct column; malformed text gives NULL."""
+    return F.from_json(_col(text), schema)
+
+
 def run_name(start: Column, end: Column) -> Column:
     """``{start}~{end}.json`` from two ISO strings."""
     return F.concat(start, F.lit("~"), end, F.lit(".json"))

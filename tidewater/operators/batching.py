@@ -337,6 +337,11 @@ def oversized_rows(df: DataFrame, cap: int, tokens: str = "tokens") -> DataFrame
     return df.filter(F.col(tokens) > F.lit(cap))
 
 
+def drop_oversized(df: DataFrame, cap: int, tokens: str = "tokens") -> tuple[DataFrame, DataFrame]:
+    """``(kept, oversized)``: rows that can be batched and rows set aside."""
+    return df.filter(F.col(tokens) <= F.lit(cap)), oversized_rows(df, cap, tokens)
+
+
 def assign_batches(
     df: DataFrame,
     cap: int,
@@ -449,6 +454,7 @@ def next_fit_reference(tokens: list[int], cap: int) -> list[int | None]:
 __all__ = [
     "assign_batches",
     "oversized_rows",
+    "drop_oversized",
     "batch_items",
     "batch_stats",
     "next_fit_reference",

@@ -32,6 +32,29 @@ def text_counts(
     return df.groupBy(*keys, text).agg(F.count(F.lit(1)).alias(count_col))
 
 
+def add_dup_count(
+    df: DataFrame,
+    text: str = "text",
+    partition: str | Sequence[str] | None = "run",
+    count_col: str = "dup_count",
+) -> DataFrame:
+    """Every row with the number of rows sharing its text (column replaced
+    if present).  Counts come from a partially aggregated digest count; the
+    join back is on ``(key, digest)``, where AQE splits a hot text."""
+    keys = _keys(partition)
+    base = df.drop(count_col) if count_col in df.columns else df
+    digest = F.sha2(F.col(text).cast("binary"), 256)
+    counts = (
+        base.select(*keys, digest.alias("__h"))
+        .groupBy(*keys, "__h")
+        .agg(F.count(F.lit(1)).alias(count_col))
+    )
+    tagged = base.withColumn("__h", digest)
+    cond = [tagged[k].eqNullSafe(counts[k]) for k in keys] + [tagged["__h"].eqNullSafe(counts["__h"])]
+    joined = tagged.join(counts, cond, "inner")
+    return joined.select(*[tagged[c] for c in base.columns], counts[count_col])
+
+
 def prebatch(
     df: DataFrame,
     text: str = "text",
@@ -78,4 +101,4 @@ def prebatch(
     return joined.select(*base.columns, count_col)
 
 
-__all__ = ["text_counts", "prebatch"]
+__all__ = ["text_counts", "add_dup_count", "prebatch"]

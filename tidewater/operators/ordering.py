@@ -86,4 +86,9 @@ def merge_sorted(
     return dense_position(df, message_order(time, channel_ord, id), pos, partition, start)
 
 
-__all__ = ["message_order", "dense_position", "merge_sorted"]
+def input_position(df: DataFrame, pos: str = "pos", run: str = "run", **order_cols) -> DataFrame:
+    """Position of each row inside its run in the merged order (0-based)."""
+    return merge_sorted(df, pos=pos, partition=run, **order_cols)
+
+
+__all__ = ["message_order", "dense_position", "merge_sorted", "input_position"]

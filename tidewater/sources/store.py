@@ -89,6 +89,12 @@ def read_runs(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.St
     return reader.load(path)
 
 
+def read_messages(spark: SparkSession, path: str, run: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Messages of every stored run, or of one run (partition-pruned)."""
+    df = read_runs(spark, path, fmt)
+    return df if run is None else df.filter(F.col(RUN) == F.lit(run))
+
+
 def list_runs(runs: DataFrame, run: str = RUN, hide: Sequence[str] = ()) -> DataFrame:
     """``(idx, run)`` in name order, 0-based; the few run names are ranked
     after a distinct, so the global window sees one row per run."""
@@ -206,6 +212,7 @@ __all__ = [
     "render_batches",
     "write_batches",
     "read_runs",
+    "read_messages",
     "list_runs",
     "read_run_by_index",
     "read_message_files",
