@@ -8,6 +8,14 @@ Public API (names follow the operator inventory):
 * composite plans — :mod:`tidewater.plans`; streaming — :mod:`tidewater.streaming`
 """
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Task functions (mapInPandas / pandas UDF bodies) are shipped to the Python
+# workers by value, so executors need no installed copy of this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 from tidewater.functions.scalars import (
     base_name,
     batch_file_name,

@@ -47,7 +47,7 @@ from pyspark.sql import types as T
 from tidewater.functions.scalars import batch_file_name
 from tidewater.session import cut_lineage, stage_table
 
-DEFAULT_ROWS_PER_CHUNK = 2_000_000
+DEFAULT_ROWS_PER_CHUNK = 500_000
 
 
 # ---------------------------------------------------------------- kernels
