@@ -21,6 +21,8 @@ from tidewater.functions.scalars import (
 )
 from tidewater.records import PY_WS
 
+# fixed values: mixed-language token-count fixture texts (goldens 33, 53, 54
+# for the first three; the fourth was rewritten, so its count is computed)
 TOKEN_TEXTS = [
     "안녕하세요. This is a mixed sentence with English and 한글.",
     "🚀 에어드랍 참여 가이드:\n1. 채널 가입\n2. 폼 작성\n3. 인증 완료\n\n#에어드랍 #토큰",

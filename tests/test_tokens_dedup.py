@@ -6,6 +6,7 @@ from tidewater.functions.tokens import CharTokenizer, LocalTokenizer, PandasToke
 from tidewater.operators.batching import assign_batches
 from tidewater.operators.dedup import prebatch, text_counts
 
+# fixed values: the ten-message batching fixture (channel, text, dup_count)
 SWEEP = [
     ("A", "hello", 1),
     ("A", "world", None),

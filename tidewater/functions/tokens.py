@@ -15,6 +15,8 @@ injected:
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -58,22 +60,44 @@ class CharTokenizer(Tokenizer):
         return F.floor(json_record_length(fields, "chars") / 4).cast("long")
 
 
+_CACHE_MODULE = "_tidewater_worker_cache"
+
+
+def _counter_for(key: int, factory: Callable[[], Callable[[str], int]]) -> Callable[[str], int]:
+    """One counter per Python worker process (models load once, not per task).
+
+    Task code arrives pickled by value, which gives every task fresh module
+    globals, so the cache lives in a process-wide entry of ``sys.modules``.
+    """
+    holder = sys.modules.get(_CACHE_MODULE)
+    if holder is None:
+        holder = types.ModuleType(_CACHE_MODULE)
+        holder.counters = {}
+        sys.modules[_CACHE_MODULE] = holder
+    counter = holder.counters.get(key)
+    if counter is None:
+        counter = factory()
+        holder.counters[key] = counter
+    return counter
+
+
 class PandasTokenizer(Tokenizer):
     """Any Python counter, run as an Arrow-batched iterator pandas UDF.
 
-    ``factory`` is called once per Python worker process to build the
-    counter (for example to load a tokenizer model); the counter maps one
-    string to an int.  NULL text counts as 0.
+    ``factory`` builds the counter (for example by loading a tokenizer
+    model); it runs once per Python worker process and the counter is
+    reused by every task that process serves.  The counter maps one string
+    to an int; NULL text counts as 0.
     """
 
     def __init__(self, factory: Callable[[], Callable[[str], int]]):
         self._factory = factory
-
+        key = id(self)
         factory_ref = factory
 
         @F.pandas_udf(T.LongType())
         def _count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            counter = factory_ref()
+            counter = _counter_for(key, factory_ref)
             for s in batches:
                 yield s.map(lambda t: 0 if t is None else int(counter(t))).astype("int64")
 
