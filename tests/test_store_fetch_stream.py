@@ -164,3 +164,21 @@ def test_streaming_runs(spark, tmp_dir):
     assert sorted((str(r["run"]), r["id"]) for r in out.collect()) == [("0", 1), ("0", 2), ("1", 4)]
     step()  # nothing new: no micro-batch, nothing rewritten
     assert spark.read.parquet(sink).count() == 3
+
+
+def test_fetch_strict_unknown(spark):
+    dialogs, raw = _landed(spark)
+    with pytest.raises(ValueError):
+        fetch(raw, dialogs, ["@one", "@nobody"], dt.datetime(2024, 3, 1), strict=True)
+    assert fetch(raw, dialogs, ["@one", "@nobody"], dt.datetime(2024, 3, 1)).count() > 0
+
+
+def test_per_batch_folders(spark, tmp_dir):
+    rows = [("r", i, f"m{i}", 10) for i in range(5)]
+    df = spark.createDataFrame(rows, "run string, pos long, text string, tokens long")
+    from tidewater.sources.store import write_batches
+
+    rendered = render_batches(assign_batches(df, 20), ["text"])
+    out = write_batches(rendered, os.path.join(tmp_dir, "b"), per_batch_folders=True)
+    names = sorted(os.listdir(os.path.join(out, "run=r")))
+    assert names == ["file_name=1of3.json", "file_name=2of3.json", "file_name=3of3.json"]

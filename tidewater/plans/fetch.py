@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.scalars import iso_time, strip_text
 from tidewater.operators.channels import channel_directory
-from tidewater.operators.filters import MAX_BROADCAST_TARGETS, _lit_ts, target_channels
+from tidewater.operators.filters import MAX_BROADCAST_TARGETS, _lit_ts, target_channels, unknown_targets
 from tidewater.operators.ordering import merge_sorted
 from tidewater.operators.paging import paged_pull
 from tidewater.records import DEFAULT_LOOKBACK_DAYS, MAX_PAGES, PAGE_SIZE
@@ -67,6 +67,7 @@ def fetch(
     early_stop: bool = False,
     date_source: str = "ntz",
     run: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Messages of the requested channels newer than ``start``, merged.
 
@@ -76,8 +77,16 @@ def fetch(
     Defaults are lossless (``max_pages=None``, ``early_stop=False``); pass
     ``max_pages=30, early_stop=True`` for the source's exact paging.
     Output: ``id, channel_id, channel_handle, time, text, pos[, run]``.
+    ``strict=True`` raises ``ValueError`` when a requested handle matches no
+    channel (the live source fails on unknown handles); by default they are
+    skipped and can be listed with ``unknown_targets``.
     """
     channels = channel_directory(dialogs)
+    if strict:
+        # bounded by the requested list, so it may come to the driver
+        missing = [r[0] for r in unknown_targets(channels, targets).collect()]
+        if missing:
+            raise ValueError(f"unknown channel handles: {missing}")
     wanted = target_channels(channels, targets).select(
         F.col("id").alias("channel_id"),
         F.col("handle").alias("channel_handle"),

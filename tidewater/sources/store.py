@@ -72,9 +72,19 @@ def render_batches(
     )
 
 
-def write_batches(rendered: DataFrame, path: str, run: str = RUN) -> str:
-    """Store rendered batches; each run's batches live under its own folder."""
-    return _write(rendered, path, "json", run)
+def write_batches(rendered: DataFrame, path: str, run: str = RUN, per_batch_folders: bool = False) -> str:
+    """Store rendered batches; each run's batches live under its own folder.
+
+    ``per_batch_folders=True`` adds one sub-folder per batch
+    (``run=…/file_name=1of3.json/``), the closest Hadoop layout to one file
+    per batch; use it only when a run has few batches, since it creates
+    one small folder per batch.
+    """
+    if not per_batch_folders:
+        return _write(rendered, path, "json", run)
+    writer = rendered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(run, "file_name").json(path)
+    return path
 
 
 # ------------------------------------------------------------------- reads
