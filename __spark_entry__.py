@@ -32,7 +32,7 @@ from tidewater.operators.filters import (
     unknown_targets,
 )
 from tidewater.operators.ordering import merge_sorted
-from tidewater.operators.paging import cap_per_channel, paged_pull
+from tidewater.operators.paging import cap_per_channel, paged_pull, pull_stats
 from tidewater.operators.stats import fetch_stats
 from tidewater.plans.curate import curate, with_tokens
 from tidewater.plans.fetch import fetch, to_messages
@@ -44,7 +44,7 @@ from tidewater.sources.adapters import (
     table,
 )
 from tidewater.sources.store import list_runs, read_run_by_index, render_batches
-from tidewater.streaming.incremental import streaming_curate
+from tidewater.streaming.incremental import streaming_curate, streaming_pull
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -204,6 +204,10 @@ def q_paged_pull_capped_lossless(spark, sf):
     return paged_pull(_raw(spark, sf), MARK, limit=PAGE, max_pages=PAGES, early_stop=False).select("id", "channel_id")
 
 
+def q_pull_stats(spark, sf):
+    return pull_stats(_raw(spark, sf), MARK, limit=PAGE, max_pages=PAGES)
+
+
 def q_merge_sorted(spark, sf):
     msgs = only_dated_messages(_raw(spark, sf)).select(
         "id", "channel_id", iso_time("date").alias("time"), F.col("channel_id").alias("channel_ord")
@@ -310,6 +314,13 @@ def q_curated_batches(spark, sf):
     return curate(_docs(spark, sf), CAP, RECORD, LocalTokenizer())
 
 
+def q_streaming_pull(spark, sf):
+    ch = target_channels(channel_directory(_dialogs(spark, sf)), _targets(spark, sf))
+    handles = ch.select(F.col("id").alias("channel_id"), F.col("handle").alias("channel_handle"), "channel_ord")
+    schema = table(spark, sf, "events").schema
+    return streaming_pull(spark, sf, schema, handles, glob="events.parquet", to_raw=raw_from_events)
+
+
 def q_streaming_curate(spark, sf):
     return streaming_curate(spark, sf, cap=CAP, fields=RECORD)
 
@@ -330,6 +341,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "paged_pull_uncapped": q_paged_pull_uncapped,
     "paged_pull_lossless": q_paged_pull_lossless,
     "paged_pull_capped_lossless": q_paged_pull_capped_lossless,
+    "pull_stats": q_pull_stats,
     "merge_sorted": q_merge_sorted,
     "fetch_run": q_fetch_run,
     "fetch_run_parity": q_fetch_run_parity,
@@ -352,6 +364,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_by_index": q_run_by_index,
     "curated_batches": q_curated_batches,
     "streaming_curate": q_streaming_curate,
+    "streaming_pull": q_streaming_pull,
 }
 
 
@@ -545,6 +558,19 @@ SELECT id, channel_id FROM (
 SELECT id, channel_id FROM (
   SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY id DESC) AS r FROM fresh)
 WHERE ok AND r <= {PAGES * PAGE}""",
+    "pull_stats": f"""WITH {_RAW},{_STOPS}
+SELECT channel_id, CAST(count(*) AS BIGINT) AS n_source, CAST(sum(CAST(ok AS BIGINT)) AS BIGINT) AS n_messages,
+       count(*) > {PAGES * PAGE} AS truncated
+FROM fresh GROUP BY channel_id""",
+    "streaming_pull": f"""WITH {_RAW},{_DIALOGS},{_TARGETED},
+m AS (
+  SELECT r.id, r.channel_id, w.channel_handle, {_ISO.format(c='r.date')} AS time,
+         trim(r.message, {PY_WS_SQL}) AS text, w.channel_ord
+  FROM raw r JOIN wanted w USING (channel_id)
+  WHERE r.kind = 'Message' AND r.date IS NOT NULL)
+SELECT id, channel_id, channel_handle, time, text,
+       CAST(row_number() OVER (ORDER BY time, channel_ord, id DESC) - 1 AS BIGINT) AS pos, '0' AS run
+FROM m""",
     "merge_sorted": f"""WITH {_RAW},
 m AS (SELECT id, channel_id, {_ISO.format(c='date')} AS time FROM raw
       WHERE kind = 'Message' AND date IS NOT NULL)

@@ -182,3 +182,26 @@ def test_per_batch_folders(spark, tmp_dir):
     out = write_batches(rendered, os.path.join(tmp_dir, "b"), per_batch_folders=True)
     names = sorted(os.listdir(os.path.join(out, "run=r")))
     assert names == ["file_name=1of3.json", "file_name=2of3.json", "file_name=3of3.json"]
+
+
+def test_batches_round_trip(spark, tmp_dir):
+    from tidewater.sources.store import read_batches, write_batches
+
+    rows = [("r", i, f"m{i}", 7, i % 3) for i in range(9)]
+    df = spark.createDataFrame(rows, "run string, pos long, text string, tokens long, dup_count long")
+    batched = assign_batches(df, 20)
+    path = write_batches(render_batches(batched, ["text", "dup_count"]), os.path.join(tmp_dir, "bb"))
+    back = read_batches(spark, path, "text string, dup_count long").collect()
+    got = sorted((r["batch_no"], r["batch_idx"], r["rec"]["text"], r["rec"]["dup_count"]) for r in back)
+    exp = sorted((r["batch_no"], r["batch_idx"], r["text"], r["dup_count"]) for r in batched.collect())
+    assert got == exp and len(got) == 9
+
+
+def test_pull_stats(spark):
+    from tidewater.operators.paging import pull_stats
+
+    t = dt.datetime(2024, 1, 5)
+    rows = [(i, 1, "Message", t, "m") for i in range(1, 8)] + [(8, 1, "Service", t, "s"), (9, 2, "Message", t, "m")]
+    df = spark.createDataFrame(rows, RAW_MESSAGE_SCHEMA)
+    got = {r["channel_id"]: (r["n_source"], r["n_messages"], r["truncated"]) for r in pull_stats(df, dt.datetime(2024, 1, 1), limit=3, max_pages=2).collect()}
+    assert got == {1: (8, 7, True), 2: (1, 1, False)}

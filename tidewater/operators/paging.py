@@ -113,4 +113,29 @@ def paged_pull(
     return head.select(*cols).unionByName(tail.select(*cols)).filter(ok)
 
 
-__all__ = ["cap_per_channel", "paged_pull"]
+def pull_stats(
+    raw: DataFrame,
+    last_fetch,
+    limit: int = PAGE_SIZE,
+    max_pages: int | None = MAX_PAGES,
+    channel: str = "channel_id",
+    id: str = "id",
+    kind: str = "kind",
+    date: str = "date",
+) -> DataFrame:
+    """Per channel: source rows above the stop row, real messages among
+    them, and whether a page cap leaves some of them unread (``truncated``).
+
+    Pure aggregates (partial aggregation, no window)."""
+    ok = (F.col(kind) == F.lit("Message")) & F.col(date).isNotNull()
+    fresh = _fresh(raw, last_fetch, channel, id, kind, date)
+    out = fresh.groupBy(channel).agg(
+        F.count(F.lit(1)).alias("n_source"),
+        F.sum(ok.cast("long")).alias("n_messages"),
+    )
+    cap = None if max_pages is None else max_pages * limit
+    flag = F.lit(False) if cap is None else F.col("n_source") > F.lit(cap)
+    return out.withColumn("truncated", flag)
+
+
+__all__ = ["cap_per_channel", "paged_pull", "pull_stats"]

@@ -87,6 +87,31 @@ def write_batches(rendered: DataFrame, path: str, run: str = RUN, per_batch_fold
     return path
 
 
+def read_batches(spark: SparkSession, path: str, record: T.StructType | str, run: str = RUN) -> DataFrame:
+    """Stored batch documents back to rows: ``run, file_name, batch_idx, rec``.
+
+    The document is an object keyed by position, so it is parsed as
+    ``MAP<STRING, STRUCT>`` (schema inference would make one column per key).
+    """
+    rec = T._parse_datatype_string(record) if isinstance(record, str) else record
+    docs = spark.read.schema(
+        T.StructType(
+            [
+                T.StructField("batch_no", T.LongType()),
+                T.StructField("total_batches", T.LongType()),
+                T.StructField("file_name", T.StringType()),
+                T.StructField("document", T.StringType()),
+                T.StructField(run, T.StringType()),
+            ]
+        )
+    ).json(path)
+    parsed = docs.select(
+        run, "batch_no", "file_name",
+        F.explode(F.from_json("document", T.MapType(T.StringType(), rec))).alias("__k", "rec"),
+    )
+    return parsed.select(run, "batch_no", "file_name", F.col("__k").cast("long").alias("batch_idx"), "rec")
+
+
 # ------------------------------------------------------------------- reads
 def read_runs(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """All stored runs (an absent store reads as an empty frame)."""
@@ -221,6 +246,7 @@ __all__ = [
     "write_json",
     "render_batches",
     "write_batches",
+    "read_batches",
     "read_runs",
     "read_messages",
     "list_runs",

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tidewater.functions.scalars import iso_time, strip_text
 from tidewater.functions.tokens import LocalTokenizer, Tokenizer
-from tidewater.operators.filters import only_dated_messages
+from tidewater.operators.filters import _bounded, only_dated_messages
 from tidewater.operators.ordering import merge_sorted
 from tidewater.plans.curate import curate
 from tidewater.session import scratch_path
@@ -78,8 +78,11 @@ def pull_batch(dialog_handles: DataFrame) -> BatchFn:
     requested channels (small, broadcast).
     """
 
+    # the requested channels: row count checked once before broadcasting
+    side = _bounded(dialog_handles)
+
     def process(batch: DataFrame, batch_id: int) -> DataFrame:
-        rows = only_dated_messages(batch).join(F.broadcast(dialog_handles), on="channel_id", how="inner")
+        rows = only_dated_messages(batch).join(side, on="channel_id", how="inner")
         msgs = rows.select(
             F.col("id").cast("long").alias("id"),
             F.col("channel_id").cast("long").alias("channel_id"),
@@ -124,4 +127,34 @@ def streaming_curate(spark: SparkSession, sf_dir: str, cap: int, fields: Sequenc
     return spark.read.parquet(sink)
 
 
-__all__ = ["run_incremental", "pull_batch", "curate_batch", "streaming_curate"]
+PULLED_SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("channel_id", T.LongType()),
+        T.StructField("channel_handle", T.StringType()),
+        T.StructField("time", T.StringType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("pos", T.LongType()),
+        T.StructField("run", T.StringType()),
+    ]
+)
+
+
+def streaming_pull(
+    spark: SparkSession,
+    source_dir: str,
+    schema: T.StructType,
+    dialog_handles: DataFrame,
+    glob: str | None = None,
+    to_raw: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Stream landed source files through the pull: one run per micro-batch."""
+    sink = scratch_path(spark, "pull-sink")
+    ckpt = scratch_path(spark, "pull-ckpt")
+    step = pull_batch(dialog_handles)
+    process = step if to_raw is None else (lambda batch, batch_id: step(to_raw(batch), batch_id))
+    run_incremental(spark, source_dir, schema, process, sink, ckpt, glob=glob, max_files_per_trigger=1)
+    return spark.read.schema(PULLED_SCHEMA).parquet(sink)
+
+
+__all__ = ["run_incremental", "pull_batch", "curate_batch", "streaming_curate", "streaming_pull", "PULLED_SCHEMA"]
