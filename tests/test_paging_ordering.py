@@ -100,3 +100,9 @@ def test_dense_position_per_partition(spark):
         mine = sorted((r for r in out if r["run"] == run), key=lambda r: r["pos"])
         assert [r["pos"] for r in mine] == list(range(len(mine)))
         assert [(r["k"], r["id"]) for r in mine] == sorted((r["k"], r["id"]) for r in mine)
+
+
+def test_dense_position_null_partition(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a")], "id long, run string")
+    out = sorted((r["run"] or "", r["id"], r["pos"]) for r in dense_position(df, ["id"], partition="run").collect())
+    assert out == [("", 1, 0), ("", 2, 1), ("a", 3, 0)]

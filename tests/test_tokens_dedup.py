@@ -125,3 +125,12 @@ def test_hash_equals_window_on_documents(spark):
     assert a == b and len(a) == 927
     counts = text_counts(msgs).agg(F.sum("dup_count")).first()[0]
     assert counts == 1000
+
+
+def test_prebatch_null_run_kept(spark):
+    df = spark.createDataFrame(
+        [("x", 0, None), ("x", 1, None), ("y", 2, None), ("x", 3, "r")], "text string, pos long, run string"
+    )
+    for method in ("hash", "window"):
+        got = sorted((r["run"] or "", r["pos"], r["dup_count"]) for r in prebatch(df, method=method).collect())
+        assert got == [("", 0, 2), ("", 2, 1), ("r", 3, 1)]

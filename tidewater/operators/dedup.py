@@ -97,8 +97,12 @@ def prebatch(
         .agg(F.count(F.lit(1)).alias(count_col), F.min(order).alias(order))
         .drop("__h")
     )
-    joined = base.join(firsts, on=[*keys, order], how="inner")
-    return joined.select(*base.columns, count_col)
+    # NULL keys are a group of their own (like the window form), so the
+    # join back is null-safe on the keys; ``order`` identifies the row.
+    firsts = firsts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(order).alias("__o"), count_col)
+    cond = [base[k].eqNullSafe(firsts[f"__k{i}"]) for i, k in enumerate(keys)] + [base[order] == firsts["__o"]]
+    joined = base.join(firsts, cond, how="inner")
+    return joined.select(*[base[c] for c in base.columns], firsts[count_col])
 
 
 __all__ = ["text_counts", "add_dup_count", "prebatch"]

@@ -66,10 +66,12 @@ def dense_position(
         pos, (F.col("__off") + local + F.lit(start)).cast("long")
     )
     if partition is not None:
-        firsts = out.groupBy(partition).agg(F.min(pos).alias("__first"))
-        out = out.join(firsts, on=partition, how="inner").withColumn(
-            pos, F.col(pos) - F.col("__first") + F.lit(start)
-        ).drop("__first")
+        firsts = out.groupBy(F.col(partition).alias("__key")).agg(F.min(pos).alias("__first"))
+        out = (
+            out.join(firsts, out[partition].eqNullSafe(firsts["__key"]), how="inner")
+            .withColumn(pos, F.col(pos) - F.col("__first") + F.lit(start))
+            .drop("__first", "__key")
+        )
     return out.drop("__part", "__mono", "__off")
 
 
