@@ -74,6 +74,7 @@ def prebatch(
     to ``(copies, first order)`` — only 32-byte digests and longs cross the
     shuffle and hot texts are combined map-side — then joins the survivors
     back on ``(key, order)``, a unique key, so the join cannot skew.
+    ``method="exact"`` aggregates on the text itself instead of its digest.
     ``method="window"`` is the textbook two-window form, kept for checking.
     ``(key, order)`` must identify a row.
     """
@@ -88,9 +89,11 @@ def prebatch(
             .filter(F.col("__rn") == 1)
             .drop("__rn")
         )
-    if method != "hash":
+    if method not in ("hash", "exact"):
         raise ValueError(f"unknown method {method!r}")
-    digest = F.sha2(F.col(text).cast("binary"), 256)
+    # "exact" groups on the text itself (no digest assumption; the shuffle
+    # then carries one copy of each distinct text per map task)
+    digest = F.sha2(F.col(text).cast("binary"), 256) if method == "hash" else F.col(text)
     firsts = (
         base.select(*keys, order, digest.alias("__h"))
         .groupBy(*keys, "__h")
