@@ -128,3 +128,36 @@ def test_exact_fit_three_batches(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "run string, pos long, tokens long")
     assert assign_batches(df, 10).count() == 0
+
+
+def test_invariants_on_documents(spark):
+    """Batches of the real documents: within budget, contiguous, greedy-maximal."""
+    from tidewater.functions.tokens import LocalTokenizer
+    from tidewater.operators.batching import oversized_rows
+    from tidewater.operators.dedup import prebatch
+    from tidewater.plans.curate import with_tokens
+    from tidewater.sources.adapters import messages_from_documents, table
+
+    cap = 8000
+    msgs = prebatch(messages_from_documents(table(spark, "/root/testdata/sf0.01", "documents")))
+    counted = with_tokens(msgs, ["id", "channel_id", "channel_handle", "time", "text", "dup_count"], LocalTokenizer())
+    for per_chunk in (1_000_000, 50):
+        batched = assign_batches(counted, cap, rows_per_chunk=per_chunk).collect()
+        assert len(batched) + oversized_rows(counted, cap).count() == counted.count()
+        by_run = {}
+        for r in batched:
+            by_run.setdefault(r["run"], []).append(r)
+        for rows in by_run.values():
+            rows.sort(key=lambda r: r["pos"])
+            nos = [r["batch_no"] for r in rows]
+            assert nos[0] == 1 and all(b - a in (0, 1) for a, b in zip(nos, nos[1:]))
+            assert all(r["total_batches"] == nos[-1] for r in rows)
+            totals = {}
+            for r in rows:
+                totals[r["batch_no"]] = totals.get(r["batch_no"], 0) + r["tokens"]
+            assert max(totals.values()) <= cap
+            firsts = {}
+            for r in rows:
+                firsts.setdefault(r["batch_no"], r["tokens"])
+            for b in range(1, nos[-1]):
+                assert totals[b] + firsts[b + 1] > cap  # next batch's first row did not fit
