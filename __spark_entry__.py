@@ -617,8 +617,9 @@ SELECT run, batch_no, batch_no || 'of' || max(total_batches) || '.json' AS file_
 FROM labeled GROUP BY run, batch_no""",
     "json_round_trip": "SELECT conv_id, turn, role, text FROM conversations",
     "run_listing": """
-SELECT CAST(row_number() OVER (ORDER BY lang) - 1 AS BIGINT) AS idx, lang AS run
-FROM (SELECT DISTINCT lang FROM documents)""",
+SELECT idx, run, idx || ': ' || run AS line FROM (
+  SELECT CAST(row_number() OVER (ORDER BY lang) - 1 AS BIGINT) AS idx, lang AS run
+  FROM (SELECT DISTINCT lang FROM documents))""",
     "run_by_index": """
 SELECT doc_id AS id, lang AS run, doc_id AS pos FROM documents
 WHERE lang = (SELECT min(lang) FROM documents)""",

@@ -48,7 +48,7 @@ def test_runs_store_and_index(spark, tmp_dir):
     write_messages(spark.createDataFrame([(3, 1, "@c", "t", "z", b)], schema), path)
     runs = read_runs(spark, path)
     assert sorted((r["run"], r["id"]) for r in runs.collect()) == [(a, 1), (b, 3)]
-    assert [tuple(r) for r in list_runs(runs).orderBy("idx").collect()] == [(0, a), (1, b)]
+    assert [tuple(r) for r in list_runs(runs).orderBy("idx").collect()] == [(0, a, f"0: {a}"), (1, b, f"1: {b}")]
     assert [r["id"] for r in read_run_by_index(runs, 1).collect()] == [3]
     with pytest.raises(IndexError):
         read_run_by_index(runs, 2)

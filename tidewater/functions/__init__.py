@@ -10,6 +10,7 @@ from tidewater.functions.scalars import (
     json_record,
     json_record_length,
     json_scalar,
+    listing_line,
     message_from_json,
     message_to_json,
     parse_iso,
@@ -39,6 +40,7 @@ __all__ = [
     "json_record",
     "json_record_length",
     "json_scalar",
+    "listing_line",
     "message_from_json",
     "message_to_json",
     "parse_iso",

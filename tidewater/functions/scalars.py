@@ -144,6 +144,11 @@ def batch_file_name(batch_no: Column | str, total_batches: Column | str) -> Colu
     return F.concat(_col(batch_no).cast("string"), F.lit("of"), _col(total_batches).cast("string"), F.lit(".json"))
 
 
+def listing_line(idx: Column | str, name: Column | str) -> Column:
+    """``{idx}: {name}`` — one line of a numbered run listing."""
+    return F.concat(_col(idx).cast("string"), F.lit(": "), _col(name))
+
+
 def parse_target_list(text: Column | str) -> Column:
     """Comma list → array of stripped, non-empty handles (order kept)."""
     parts = F.transform(F.split(_col(text), ","), lambda x: F.btrim(x, F.lit(PY_WS)))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions.scalars import base_name, batch_file_name, run_stem
+from tidewater.functions.scalars import base_name, batch_file_name, listing_line, run_stem
 from tidewater.records import MESSAGE_SCHEMA, WATERMARK_FIELD
 from tidewater.session import path_exists
 
@@ -131,13 +131,15 @@ def read_messages(spark: SparkSession, path: str, run: str | None = None, fmt: s
 
 
 def list_runs(runs: DataFrame, run: str = RUN, hide: Sequence[str] = ()) -> DataFrame:
-    """``(idx, run)`` in name order, 0-based; the few run names are ranked
-    after a distinct, so the global window sees one row per run."""
+    """``(idx, run, line)`` in name order, 0-based, with the printed form
+    ``"{idx}: {run}"``; the few run names are ranked after a distinct, so
+    the global window sees one row per run."""
     names = runs.select(run).distinct()
     if hide:
         names = names.filter(~F.col(run).isin(list(hide)))
     w = Window.orderBy(F.col(run).asc())
-    return names.withColumn("idx", (F.row_number().over(w) - 1).cast("long")).select("idx", run)
+    ranked = names.withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
+    return ranked.select("idx", run, listing_line("idx", run).alias("line"))
 
 
 def read_run_by_index(runs: DataFrame, idx: int, run: str = RUN) -> DataFrame:
