@@ -15,7 +15,8 @@ default mode no window is needed at all.  With a cap, ranks come from
 ``WindowGroupLimit`` so a hot channel ships at most that many rows per map
 task; the page rules then run on those few rows.  Parity mode without a
 cap finds the first short page with aggregates plus a top-``limit``
-window, again bounded per channel.
+window, again bounded per channel, over one staged copy of the increment
+(rows above the stop row) so the history is scanned only for the stop ids.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.filters import _lit_ts
 from tidewater.records import MAX_PAGES, PAGE_SIZE
+from tidewater.session import stage_table
 
 
 def cap_per_channel(
@@ -87,7 +89,9 @@ def paged_pull(
         return ranked.filter(keep).drop("__r", "__page", "__ok", "__kept", "__pstop")
 
     # parity mode, no page cap: everything above the first non-message row
-    # is kept, plus the rows that share its page.
+    # is kept, plus the rows that share its page.  The increment is read by
+    # four branches below; staging it once keeps the history scan at one.
+    fresh = stage_table(fresh, "pull-increment")
     bad = fresh.filter(~ok).groupBy(channel).agg(F.max(id).alias("__bad"))
     tagged = fresh.join(bad, on=channel, how="left")
     before = (
