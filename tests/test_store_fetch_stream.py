@@ -205,3 +205,35 @@ def test_pull_stats(spark):
     df = spark.createDataFrame(rows, RAW_MESSAGE_SCHEMA)
     got = {r["channel_id"]: (r["n_source"], r["n_messages"], r["truncated"]) for r in pull_stats(df, dt.datetime(2024, 1, 1), limit=3, max_pages=2).collect()}
     assert got == {1: (8, 7, True), 2: (1, 1, False)}
+
+
+def test_prebatch_and_json_sinks(spark, tmp_dir):
+    from tidewater.plans.curate import run_prebatch
+    from tidewater.sources.store import write_json
+
+    msgs = spark.createDataFrame(
+        [("a", "1", "same", 0, "r1"), ("b", "2", "same", 1, "r1"), ("c", "3", "x", 0, "r2")],
+        "channel string, time string, text string, pos long, run string",
+    )
+    out = run_prebatch(msgs, os.path.join(tmp_dir, "pre"))
+    back = sorted((r["run"], r["text"], r["dup_count"]) for r in spark.read.parquet(out).collect())
+    assert back == [("r1", "same", 2), ("r2", "x", 1)]
+    path = write_json(msgs.select("text"), os.path.join(tmp_dir, "js"))
+    lines = [json.loads(x) for f in os.listdir(path) if f.endswith(".json") for x in open(os.path.join(path, f), encoding="utf-8")]
+    assert sorted(d["text"] for d in lines) == ["same", "same", "x"]
+
+
+def test_malformed_json_doc_is_null(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "bad.json"), "w") as f:
+        f.write("{not json")
+    with open(os.path.join(tmp_dir, "good.json"), "w") as f:
+        f.write('{"last_fetch": "2024-01-01T00:00:00+00:00"}')
+    docs = {r["file_name"]: r["doc"] for r in read_json_docs(spark, tmp_dir, "last_fetch string").collect()}
+    assert docs["bad.json"] is None and docs["good.json"]["last_fetch"].startswith("2024-01-01")
+
+
+def test_default_start(spark):
+    from tidewater.functions.scalars import default_start
+
+    row = spark.sql("select timestamp_ntz'2024-03-08 12:00:00' as now").select(default_start(F.col("now"), 7)).first()
+    assert row[0] == dt.datetime(2024, 3, 1, 12, 0)

@@ -193,7 +193,10 @@ def read_json_docs(spark: SparkSession, path: str, schema: T.DataType) -> DataFr
     raw = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("file_name"), F.col("value")
     )
-    return raw.select("file_name", F.from_json("value", schema).alias("doc"))
+    # from_json fills a malformed document with NULL fields; a document that
+    # is not JSON at all reads as a NULL doc, like a failed load
+    valid = F.try_parse_json("value").isNotNull()
+    return raw.select("file_name", F.when(valid, F.from_json("value", schema)).alias("doc"))
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
