@@ -78,6 +78,12 @@ def test_iso_time(spark):
         ("2025-01-01 12:00", True),
         ("2025-01-01", True),
         ("2025-01-01T10:00:00Z", True),
+        ("2025-01-01T10:00Z", True),
+        ("2025-01-01T10:00:00+23:59", True),
+        ("2025-01-01T10:00:00+05:99", True),
+        ("2025-01-01T10:00:00+24:00", False),
+        ("0000-01-01", False),
+        ("2025-01-01T23:59:60", False),
         ("2025-13-01T10:00:00", False),
         ("2025-02-30", False),
         ("2025", False),

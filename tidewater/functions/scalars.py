@@ -51,16 +51,38 @@ def iso_time(ts: Column | str, source: str = "ntz") -> Column:
     return F.concat(body, F.lit("+00:00"))
 
 
+def _iso_parts(t: Column) -> tuple[Column, Column]:
+    """Local date-time part (offset removed) and a flag for a valid offset.
+
+    Python accepts offsets below 24 h and years from 1; Spark's parser
+    stops at ±18:00 and takes year 0, so those two rules are checked here
+    and only the local part goes through Spark's parser.  ``parse_iso``
+    still hands offsets beyond ±18:00 to Spark, which returns NULL.
+    """
+    local = F.regexp_replace(t, r"([+-]\d{2}:\d{2}|Z)$", "")
+    off_h = F.regexp_extract(t, r"[+-](\d{2}):\d{2}$", 1)
+    off_m = F.regexp_extract(t, r"[+-]\d{2}:(\d{2})$", 1)
+    # Python takes any two-digit minutes as long as the offset stays under 24 h
+    offset_ok = F.when(off_h == "", F.lit(True)).otherwise(
+        off_h.try_cast("int") * 60 + off_m.try_cast("int") < 24 * 60
+    )
+    return local, offset_ok & (F.substring(t, 1, 4) != "0000")
+
+
 def parse_iso(text: Column | str) -> Column:
-    """``datetime.fromisoformat`` for the extended ISO form; NULL when invalid."""
+    """``datetime.fromisoformat`` for the extended ISO form; NULL when invalid.
+
+    The offset is applied by Spark's parser (session zone when absent)."""
     t = _col(text)
-    return F.when(t.rlike(ISO_TIME_PATTERN), F.try_to_timestamp(t))
+    _, rules_ok = _iso_parts(t)
+    return F.when(t.rlike(ISO_TIME_PATTERN) & rules_ok, F.try_to_timestamp(t))
 
 
 def is_iso_time(text: Column | str) -> Column:
     """True when ``text`` is an extended ISO time Python would accept."""
     t = _col(text)
-    return F.coalesce(t.rlike(ISO_TIME_PATTERN) & F.try_to_timestamp(t).isNotNull(), F.lit(False))
+    local, rules_ok = _iso_parts(t)
+    return F.coalesce(t.rlike(ISO_TIME_PATTERN) & rules_ok & F.try_to_timestamp(local).isNotNull(), F.lit(False))
 
 
 def default_start(now: Column, days: int) -> Column:
