@@ -137,3 +137,30 @@ def test_parse_target_list(spark):
     expect = [c.strip() for c in raw.split(",") if c.strip()]
     df = spark.createDataFrame([(raw,)], "s string")
     assert df.select(parse_target_list("s")).first()[0] == expect
+
+
+def test_json_record_random_strings(spark):
+    import random
+
+    rnd = random.Random(13)
+    alphabet = [chr(c) for c in range(0, 0x80)] + ["é", "한", "🚀", " ", " ", " ", "﻿", "\u0085"]
+    rows = []
+    for i in range(400):
+        text = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40)))
+        rows.append((i, text if rnd.random() > 0.05 else None, rnd.choice([None, 0, -5, 2**40])))
+    df = spark.createDataFrame(rows, "id long, text string, n long")
+    fields = ["id", "text", "n"]
+    out = df.select("id", "text", "n", json_record(fields).alias("j"), json_record_length(fields, "bytes").alias("b"),
+                    json_record_length(fields, "chars").alias("c")).collect()
+    for r in out:
+        rec = {k: r[k] for k in fields if r[k] is not None}
+        expect = json.dumps(rec, ensure_ascii=False)
+        assert r["j"] == expect
+        assert r["b"] == len(expect.encode()) and r["c"] == len(expect)
+
+
+def test_json_record_escaped_backslash_u(spark):
+    texts = ["\\u001A literal", "\x1a ctrl", "\\\x1f mixed", "\\\\u001B"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in df.select(json_record(["text"])).collect()]
+    assert got == [json.dumps({"text": t}, ensure_ascii=False) for t in texts]

@@ -96,6 +96,17 @@ def json_scalar(value: Column | str) -> Column:
     return arr.substr(F.lit(2), F.length(arr) - F.lit(2))
 
 
+def _python_escapes(json_text: Column) -> Column:
+    r"""Spark writes ``\u001E``-style escapes in upper case, Python in lower
+    case; only control characters are escaped that way, so the hex digit
+    that can differ is the last one, after ``\u000`` or ``\u001``.  A
+    backslash run of even length is an escaped backslash, not an escape."""
+    out = json_text
+    for upper in "ABCDEF":
+        out = F.regexp_replace(out, r"(?<!\\)((?:\\\\)*\\u00[01])" + upper, "$1" + upper.lower())
+    return out
+
+
 def json_record(fields: Sequence[str]) -> Column:
     """``json.dumps(record, ensure_ascii=False)`` with Python's default separators.
 
@@ -110,7 +121,7 @@ def json_record(fields: Sequence[str]) -> Column:
         )
         for f in fields
     ]
-    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+    return _python_escapes(F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}")))
 
 
 def present_fields(fields: Sequence[str]) -> Column:
