@@ -32,7 +32,7 @@ from tidewater.operators.filters import (
     unknown_targets,
 )
 from tidewater.operators.ordering import merge_sorted
-from tidewater.operators.paging import cap_per_channel, paged_pull, pull_stats
+from tidewater.operators.paging import cap_per_channel, channel_stops, paged_pull, pull_stats
 from tidewater.operators.stats import fetch_stats
 from tidewater.plans.curate import curate, with_tokens
 from tidewater.plans.fetch import fetch, to_messages
@@ -51,6 +51,7 @@ FLAGSHIP_SF = "/root/testdata/sf0.001"
 # --- parameters shared by queries and oracles -------------------------------
 CAP = 8000  # token budget per batch
 MARK = _dt.datetime(2024, 1, 15)  # stored high-water mark (UTC)
+EARLIER_MARK = _dt.datetime(2024, 1, 10)  # the mark before it
 END = _dt.datetime(2024, 1, 22)  # window end
 PAGE = 7  # source page size
 PAGES = 5  # page cap in the parity pulls
@@ -208,6 +209,16 @@ def q_pull_stats(spark, sf):
     return pull_stats(_raw(spark, sf), MARK, limit=PAGE, max_pages=PAGES)
 
 
+def q_channel_stops(spark, sf):
+    return channel_stops(_raw(spark, sf), MARK)
+
+
+def q_channel_stops_incremental(spark, sf):
+    raw = _raw(spark, sf)
+    earlier = channel_stops(raw, EARLIER_MARK)
+    return channel_stops(raw, MARK, previous=earlier, previous_mark=EARLIER_MARK)
+
+
 def q_merge_sorted(spark, sf):
     msgs = only_dated_messages(_raw(spark, sf)).select(
         "id", "channel_id", iso_time("date").alias("time"), F.col("channel_id").alias("channel_ord")
@@ -342,6 +353,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "paged_pull_lossless": q_paged_pull_lossless,
     "paged_pull_capped_lossless": q_paged_pull_capped_lossless,
     "pull_stats": q_pull_stats,
+    "channel_stops": q_channel_stops,
+    "channel_stops_incremental": q_channel_stops_incremental,
     "merge_sorted": q_merge_sorted,
     "fetch_run": q_fetch_run,
     "fetch_run_parity": q_fetch_run_parity,
@@ -562,6 +575,12 @@ WHERE ok AND r <= {PAGES * PAGE}""",
 SELECT channel_id, CAST(count(*) AS BIGINT) AS n_source, CAST(sum(CAST(ok AS BIGINT)) AS BIGINT) AS n_messages,
        count(*) > {PAGES * PAGE} AS truncated
 FROM fresh GROUP BY channel_id""",
+    "channel_stops": f"""WITH {_RAW}
+SELECT channel_id, max(id) AS stop FROM raw
+WHERE kind = 'Message' AND date IS NOT NULL AND date <= {MARK_SQL} GROUP BY channel_id""",
+    "channel_stops_incremental": f"""WITH {_RAW}
+SELECT channel_id, max(id) AS stop FROM raw
+WHERE kind = 'Message' AND date IS NOT NULL AND date <= {MARK_SQL} GROUP BY channel_id""",
     "streaming_pull": f"""WITH {_RAW},{_DIALOGS},{_TARGETED},
 m AS (
   SELECT r.id, r.channel_id, w.channel_handle, {_ISO.format(c='r.date')} AS time,

@@ -237,3 +237,35 @@ def test_default_start(spark):
 
     row = spark.sql("select timestamp_ntz'2024-03-08 12:00:00' as now").select(default_start(F.col("now"), 7)).first()
     assert row[0] == dt.datetime(2024, 3, 1, 12, 0)
+
+
+def test_fetch_with_stop_state(spark, tmp_dir):
+    from tidewater.plans.fetch import fetch, fetch_state
+
+    dialogs, raw = _landed(spark)
+    raw.write.parquet(os.path.join(tmp_dir, "raw"))
+    raw = spark.read.parquet(os.path.join(tmp_dir, "raw"))
+    targets = ["@one", "@two", "@four"]
+    t1, t2, t3 = NOW, NOW + dt.timedelta(days=1), NOW + dt.timedelta(days=2, hours=5)
+    plain, stated = os.path.join(tmp_dir, "plain"), os.path.join(tmp_dir, "stated")
+    for now in (t1, t2, t3):
+        run_fetch(raw, dialogs, targets, plain, os.path.join(tmp_dir, "m1"), now)
+        run_fetch(raw, dialogs, targets, stated, os.path.join(tmp_dir, "m2"), now,
+                  state_path=os.path.join(tmp_dir, "state"))
+    a = sorted(tuple(r) for r in read_runs(spark, plain).collect())
+    b = sorted(tuple(r) for r in read_runs(spark, stated).collect())
+    assert a == b and len({r[-1] for r in a}) == 3
+    # the stored state as of t3 equals the stops computed from the whole history
+    from tidewater.sources.store import read_stops
+
+    stored, as_of = read_stops(spark, os.path.join(tmp_dir, "state"))
+    assert as_of == t3
+    full = fetch_state(raw, dialogs, targets, t3.replace(tzinfo=None))
+    assert sorted(tuple(r) for r in stored.collect()) == sorted(tuple(r) for r in full.collect())
+    # with a complete state the history scan is bounded by a pushed id filter
+    from tidewater.plans.fetch import _id_floor, _wanted
+
+    floor = _id_floor(_wanted(dialogs, targets), stored)
+    assert floor == min(r["stop"] for r in stored.collect())
+    plan = raw.filter(F.col("id") > floor)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(id," in plan

@@ -37,15 +37,51 @@ def cap_per_channel(
     return df.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= n).drop("__r")
 
 
-def _fresh(raw: DataFrame, last_fetch, channel: str, id: str, kind: str, date: str) -> DataFrame:
-    """Rows above the channel's stop row (first real message at/below the mark)."""
-    mark = _lit_ts(last_fetch)
+def channel_stops(
+    raw: DataFrame,
+    mark,
+    channel: str = "channel_id",
+    id: str = "id",
+    kind: str = "kind",
+    date: str = "date",
+    previous: DataFrame | None = None,
+    previous_mark=None,
+) -> DataFrame:
+    """``(channel, stop)``: id of the newest real message dated at or before
+    ``mark`` — the row where a newest-first pull of the channel stops.
+
+    With ``previous`` (the stops as of ``previous_mark``) only the rows
+    dated in ``(previous_mark, mark]`` are read — a pushed-down date range —
+    and merged by ``max``, which is exact because the maximum over all old
+    rows is the maximum of its two date ranges.
+    """
     ok = (F.col(kind) == F.lit("Message")) & F.col(date).isNotNull()
-    stops = (
-        raw.filter(ok & (F.col(date) <= mark))
-        .groupBy(channel)
-        .agg(F.max(id).alias("__stop"))
-    )
+    rows = raw.filter(ok & (F.col(date) <= _lit_ts(mark)))
+    if previous is not None:
+        rows = rows.filter(F.col(date) > _lit_ts(previous_mark))
+    stops = rows.groupBy(channel).agg(F.max(id).alias("stop"))
+    if previous is not None:
+        stops = (
+            stops.unionByName(previous.select(channel, "stop"))
+            .groupBy(channel)
+            .agg(F.max("stop").alias("stop"))
+        )
+    return stops
+
+
+def _fresh(
+    raw: DataFrame,
+    last_fetch,
+    channel: str,
+    id: str,
+    kind: str,
+    date: str,
+    stops: DataFrame | None = None,
+) -> DataFrame:
+    """Rows above the channel's stop row (first real message at/below the mark)."""
+    if stops is None:
+        stops = channel_stops(raw, last_fetch, channel, id, kind, date)
+    stops = stops.select(channel, F.col("stop").alias("__stop"))
     # One row per channel; AQE broadcasts it when its runtime size is
     # small and otherwise splits skewed partitions of the large side.
     joined = raw.join(stops, on=channel, how="left")
@@ -62,12 +98,16 @@ def paged_pull(
     id: str = "id",
     kind: str = "kind",
     date: str = "date",
+    stops: DataFrame | None = None,
 ) -> DataFrame:
-    """Real messages the paged pull returns, with every input column kept."""
+    """Real messages the paged pull returns, with every input column kept.
+
+    ``stops`` (from :func:`channel_stops`) skips recomputing the stop rows
+    from the whole history."""
     if limit <= 0:
         raise ValueError("limit must be positive")
     ok = (F.col(kind) == F.lit("Message")) & F.col(date).isNotNull()
-    fresh = _fresh(raw, last_fetch, channel, id, kind, date)
+    fresh = _fresh(raw, last_fetch, channel, id, kind, date, stops)
     if max_pages is None and not early_stop:
         return fresh.filter(ok)
 
@@ -142,4 +182,4 @@ def pull_stats(
     return out.withColumn("truncated", flag)
 
 
-__all__ = ["cap_per_channel", "paged_pull", "pull_stats"]
+__all__ = ["cap_per_channel", "channel_stops", "paged_pull", "pull_stats"]

@@ -13,9 +13,9 @@ from tidewater.functions.scalars import iso_time, strip_text
 from tidewater.operators.channels import channel_directory
 from tidewater.operators.filters import MAX_BROADCAST_TARGETS, _lit_ts, target_channels, unknown_targets
 from tidewater.operators.ordering import merge_sorted
-from tidewater.operators.paging import paged_pull
+from tidewater.operators.paging import channel_stops, paged_pull
 from tidewater.records import DEFAULT_LOOKBACK_DAYS, MAX_PAGES, PAGE_SIZE
-from tidewater.sources.store import read_watermark, write_messages, write_watermark
+from tidewater.sources.store import read_stops, read_watermark, write_messages, write_stops, write_watermark
 
 
 def resolve_window(
@@ -68,6 +68,7 @@ def fetch(
     date_source: str = "ntz",
     run: str | None = None,
     strict: bool = False,
+    stops: DataFrame | None = None,
 ) -> DataFrame:
     """Messages of the requested channels newer than ``start``, merged.
 
@@ -80,7 +81,31 @@ def fetch(
     ``strict=True`` raises ``ValueError`` when a requested handle matches no
     channel (the live source fails on unknown handles); by default they are
     skipped and can be listed with ``unknown_targets``.
+    ``stops`` (``channel_id, stop`` as of ``start``, see ``channel_stops``)
+    replaces the history scan that finds each channel's stop row.
     """
+    side = _wanted(dialogs, targets, strict)
+    src = raw
+    if stops is not None:
+        # every requested channel has a known stop id: rows at or below the
+        # smallest one can never be pulled, and the bound reaches the scan
+        bound = _id_floor(side, stops)
+        if bound is not None:
+            src = src.filter(F.col("id") > F.lit(bound))
+    if end is not None:
+        src = src.filter(F.col("date").isNull() | (F.col("date") <= _lit_ts(end)))
+    src = src.join(side, on="channel_id", how="inner")
+    pulled = paged_pull(src, start, limit=limit, max_pages=max_pages, early_stop=early_stop, stops=stops)
+    msgs = merge_sorted(to_messages(pulled, date_source)).drop("channel_ord")
+    if run is not None:
+        msgs = msgs.withColumn("run", F.lit(run))
+    return msgs
+
+
+def _wanted(dialogs: DataFrame, targets, strict: bool = False) -> DataFrame:
+    """Requested channels ``(channel_id, channel_handle, channel_ord)``,
+    broadcast-ready: a driver-side list is small by construction, a frame
+    is counted first."""
     channels = channel_directory(dialogs)
     if strict:
         # bounded by the requested list, so it may come to the driver
@@ -92,22 +117,50 @@ def fetch(
         F.col("handle").alias("channel_handle"),
         F.col("channel_ord"),
     )
-    # The requested channel list is small by construction (checked in
-    # target_channels), so it is broadcast and the raw scan is not shuffled.
     if isinstance(targets, DataFrame):
         n = wanted.count()
-        side = F.broadcast(wanted) if n <= MAX_BROADCAST_TARGETS else wanted
+        return F.broadcast(wanted) if n <= MAX_BROADCAST_TARGETS else wanted
+    return F.broadcast(wanted)
+
+
+def _id_floor(wanted: DataFrame, stops: DataFrame) -> int | None:
+    """Smallest stop id over the requested channels, or None when one of
+    them has no stop (then all its rows are candidates)."""
+    row = (
+        wanted.select("channel_id")
+        .join(stops.select("channel_id", "stop"), on="channel_id", how="left")
+        .agg(F.count(F.lit(1)).alias("n"), F.count("stop").alias("known"), F.min("stop").alias("floor"))
+        .first()
+    )
+    if row is None or row["n"] == 0 or row["known"] < row["n"]:
+        return None
+    return int(row["floor"])
+
+
+def fetch_state(
+    raw: DataFrame,
+    dialogs: DataFrame,
+    targets,
+    mark,
+    previous: DataFrame | None = None,
+    previous_mark=None,
+) -> DataFrame:
+    """Stop ids of the requested channels as of ``mark`` (NULL: no message
+    at or before it).  With the state as of ``previous_mark`` only the date
+    range between the two marks is scanned, plus the full history of any
+    requested channel the previous state does not cover."""
+    wanted_ids = _wanted(dialogs, targets).select("channel_id")
+    mine = raw.join(wanted_ids, on="channel_id", how="left_semi")
+    if previous is None:
+        stops = channel_stops(mine, mark)
     else:
-        side = F.broadcast(wanted)
-    src = raw
-    if end is not None:
-        src = src.filter(F.col("date").isNull() | (F.col("date") <= _lit_ts(end)))
-    src = src.join(side, on="channel_id", how="inner")
-    pulled = paged_pull(src, start, limit=limit, max_pages=max_pages, early_stop=early_stop)
-    msgs = merge_sorted(to_messages(pulled, date_source)).drop("channel_ord")
-    if run is not None:
-        msgs = msgs.withColumn("run", F.lit(run))
-    return msgs
+        known = previous.join(wanted_ids, on="channel_id", how="left_semi")
+        new_ids = wanted_ids.join(known, on="channel_id", how="left_anti")
+        stops = channel_stops(mine, mark, previous=known, previous_mark=previous_mark)
+        if new_ids.take(1):
+            fresh_history = channel_stops(mine.join(F.broadcast(new_ids), on="channel_id", how="left_semi"), mark)
+            stops = stops.unionByName(fresh_history).groupBy("channel_id").agg(F.max("stop").alias("stop"))
+    return wanted_ids.join(stops, on="channel_id", how="left").select("channel_id", "stop")
 
 
 def run_fetch(
@@ -118,6 +171,7 @@ def run_fetch(
     mark_path: str,
     now: _dt.datetime,
     lookback_days: int = DEFAULT_LOOKBACK_DAYS,
+    state_path: str | None = None,
     **pull_options,
 ) -> tuple[str, _dt.datetime]:
     """One polling step: read mark, pull, store the run, then advance the mark.
@@ -125,13 +179,27 @@ def run_fetch(
     The data is written before the mark, so a failure in between repeats
     the window on the next call instead of losing it (at least once; the
     run is rewritten in place by dynamic partition overwrite).
+
+    With ``state_path`` the per-channel stop ids are kept next to the mark
+    (as of the mark), so the next call reads only the rows dated after the
+    previous mark plus rows above the smallest stop id — a pushed-down
+    range instead of the whole history.  A state that does not belong to
+    the stored mark is ignored (recomputed from the history).
     """
     spark = raw.sparkSession
     mark = read_watermark(spark, mark_path)
     start, end = resolve_window(mark, now, lookback_days)
     name = run_value(start, end)
-    msgs = fetch(raw, dialogs, targets, _naive_utc(start), _naive_utc(end), run=name, **pull_options)
+    stops = None
+    if state_path is not None and mark is not None:
+        stored = read_stops(spark, state_path)
+        if stored is not None and stored[1] == start:
+            stops = fetch_state(raw, dialogs, targets, _naive_utc(start), stored[0], _naive_utc(start))
+    msgs = fetch(raw, dialogs, targets, _naive_utc(start), _naive_utc(end), run=name, stops=stops, **pull_options)
     write_messages(msgs, store_path)
+    if state_path is not None:
+        nxt = fetch_state(raw, dialogs, targets, _naive_utc(end), stops, _naive_utc(start) if stops is not None else None)
+        write_stops(spark, state_path, nxt, end)
     write_watermark(spark, mark_path, next_watermark(end))
     return name, end
 
@@ -149,6 +217,7 @@ __all__ = [
     "to_messages",
     "fetch",
     "run_fetch",
+    "fetch_state",
     "PAGE_SIZE",
     "MAX_PAGES",
 ]

@@ -244,8 +244,31 @@ def read_watermark(spark: SparkSession, path: str) -> _dt.datetime | None:
         return None
 
 
+def write_stops(spark: SparkSession, path: str, stops: DataFrame, as_of: _dt.datetime) -> str:
+    """Store per-channel stop ids with the mark they belong to."""
+    if as_of.tzinfo is None:
+        as_of = as_of.replace(tzinfo=_dt.timezone.utc)
+    stops.select("channel_id", "stop").withColumn("as_of", F.lit(as_of.isoformat())).write.mode(
+        "overwrite"
+    ).parquet(path)
+    return path
+
+
+def read_stops(spark: SparkSession, path: str) -> tuple[DataFrame, _dt.datetime] | None:
+    """``(stops, as_of)`` or None when no state is stored."""
+    if not path_exists(spark, path):
+        return None
+    df = spark.read.parquet(path)
+    row = df.select("as_of").take(1)
+    if not row:
+        return None
+    return df.select("channel_id", "stop"), _dt.datetime.fromisoformat(row[0]["as_of"])
+
+
 __all__ = [
     "RUN",
+    "write_stops",
+    "read_stops",
     "write_messages",
     "write_prebatch",
     "write_json",
