@@ -305,6 +305,18 @@ def q_batch_documents(spark, sf):
     return render_batches(_batched(spark, sf), ["id"]).select("run", "batch_no", "file_name", "document")
 
 
+def q_batch_documents_full(spark, sf):
+    docs = render_batches(_batched(spark, sf), [*RECORD, "dup_count"])
+    return docs.select(
+        "run",
+        "batch_no",
+        "file_name",
+        F.size(F.from_json("document", "map<string,string>")).cast("long").alias("n_items"),
+        F.char_length("document").cast("long").alias("doc_chars"),
+        F.octet_length("document").cast("long").alias("doc_bytes"),
+    )
+
+
 def q_json_round_trip(spark, sf):
     conv = table(spark, sf, "conversations")
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in conv.schema.fields])
@@ -372,6 +384,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_items": q_batch_items,
     "batch_stats": q_batch_stats,
     "batch_documents": q_batch_documents,
+    "batch_documents_full": q_batch_documents_full,
     "json_round_trip": q_json_round_trip,
     "run_listing": q_run_listing,
     "run_by_index": q_run_by_index,
@@ -634,6 +647,19 @@ FROM labeled GROUP BY run, batch_no""",
 SELECT run, batch_no, batch_no || 'of' || max(total_batches) || '.json' AS file_name,
        '{{' || string_agg('"' || batch_idx || '":{{"id":' || id || '}}', ',' ORDER BY batch_idx) || '}}' AS document
 FROM labeled GROUP BY run, batch_no""",
+    "batch_documents_full": f"""{_BATCHED},
+docs AS (
+  SELECT l.run, l.batch_no, max(l.total_batches) AS total_batches,
+         '{{' || string_agg('"' || l.batch_idx || '":' ||
+             to_json({{'id': p.id, 'channel_id': p.channel_id, 'channel_handle': p.channel_handle,
+                       'time': p.time, 'text': p.text, 'dup_count': p.dup_count}}), ',' ORDER BY l.batch_idx) || '}}' AS document,
+         count(*) AS n_items
+  FROM labeled l JOIN pre p ON p.run = l.run AND p.pos = l.pos
+  GROUP BY l.run, l.batch_no)
+SELECT run, batch_no, batch_no || 'of' || total_batches || '.json' AS file_name,
+       CAST(n_items AS BIGINT) AS n_items, CAST(length(document) AS BIGINT) AS doc_chars,
+       CAST(strlen(document) AS BIGINT) AS doc_bytes
+FROM docs""",
     "json_round_trip": "SELECT conv_id, turn, role, text FROM conversations",
     "run_listing": """
 SELECT idx, run, idx || ': ' || run AS line FROM (
