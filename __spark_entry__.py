@@ -28,14 +28,13 @@ from tidewater.operators.filters import (
     is_valid_message,
     only_dated_messages,
     since,
-    target_channels,
     unknown_targets,
 )
 from tidewater.operators.ordering import merge_sorted
 from tidewater.operators.paging import cap_per_channel, channel_stops, paged_pull, pull_stats
 from tidewater.operators.stats import fetch_stats
 from tidewater.plans.curate import curate, with_tokens
-from tidewater.plans.fetch import fetch, to_messages
+from tidewater.plans.fetch import fetch, requested_channels, to_messages
 from tidewater.records import PY_WS
 from tidewater.sources.adapters import (
     dialogs_from_customers,
@@ -169,8 +168,7 @@ def q_incremental_bounded(spark, sf):
 
 
 def q_target_messages(spark, sf):
-    ch = target_channels(channel_directory(_dialogs(spark, sf)), _targets(spark, sf))
-    side = F.broadcast(ch.select(F.col("id").alias("channel_id"), F.col("handle").alias("channel_handle"), "channel_ord"))
+    side = requested_channels(_dialogs(spark, sf), _targets(spark, sf))  # size-checked broadcast
     raw = only_dated_messages(_raw(spark, sf)).join(side, on="channel_id", how="inner")
     return to_messages(raw).drop("channel_ord")
 
@@ -338,8 +336,7 @@ def q_curated_batches(spark, sf):
 
 
 def q_streaming_pull(spark, sf):
-    ch = target_channels(channel_directory(_dialogs(spark, sf)), _targets(spark, sf))
-    handles = ch.select(F.col("id").alias("channel_id"), F.col("handle").alias("channel_handle"), "channel_ord")
+    handles = requested_channels(_dialogs(spark, sf), _targets(spark, sf))
     schema = table(spark, sf, "events").schema
     return streaming_pull(spark, sf, schema, handles, glob="events.parquet", to_raw=raw_from_events)
 

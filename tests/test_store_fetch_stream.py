@@ -263,9 +263,9 @@ def test_fetch_with_stop_state(spark, tmp_dir):
     full = fetch_state(raw, dialogs, targets, t3.replace(tzinfo=None))
     assert sorted(tuple(r) for r in stored.collect()) == sorted(tuple(r) for r in full.collect())
     # with a complete state the history scan is bounded by a pushed id filter
-    from tidewater.plans.fetch import _id_floor, _wanted
+    from tidewater.plans.fetch import _id_floor, requested_channels
 
-    floor = _id_floor(_wanted(dialogs, targets), stored)
+    floor = _id_floor(requested_channels(dialogs, targets), stored)
     assert floor == min(r["stop"] for r in stored.collect())
     plan = raw.filter(F.col("id") > floor)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(id," in plan

@@ -84,7 +84,7 @@ def fetch(
     ``stops`` (``channel_id, stop`` as of ``start``, see ``channel_stops``)
     replaces the history scan that finds each channel's stop row.
     """
-    side = _wanted(dialogs, targets, strict)
+    side = requested_channels(dialogs, targets, strict)
     src = raw
     if stops is not None:
         # every requested channel has a known stop id: rows at or below the
@@ -102,7 +102,7 @@ def fetch(
     return msgs
 
 
-def _wanted(dialogs: DataFrame, targets, strict: bool = False) -> DataFrame:
+def requested_channels(dialogs: DataFrame, targets, strict: bool = False) -> DataFrame:
     """Requested channels ``(channel_id, channel_handle, channel_ord)``,
     broadcast-ready: a driver-side list is small by construction, a frame
     is counted first."""
@@ -149,7 +149,7 @@ def fetch_state(
     at or before it).  With the state as of ``previous_mark`` only the date
     range between the two marks is scanned, plus the full history of any
     requested channel the previous state does not cover."""
-    wanted_ids = _wanted(dialogs, targets).select("channel_id")
+    wanted_ids = requested_channels(dialogs, targets).select("channel_id")
     mine = raw.join(wanted_ids, on="channel_id", how="left_semi")
     if previous is None:
         stops = channel_stops(mine, mark)
@@ -218,6 +218,7 @@ __all__ = [
     "fetch",
     "run_fetch",
     "fetch_state",
+    "requested_channels",
     "PAGE_SIZE",
     "MAX_PAGES",
 ]
