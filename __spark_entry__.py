@@ -96,11 +96,15 @@ def _prebatched(spark, sf):
     return prebatch(_docs(spark, sf), text="text", order="pos", partition="run")
 
 
-def _batched(spark, sf, rows_per_chunk=None, one_run=False):
+def _batched(spark, sf, rows_per_chunk=None, one_run=False, keep=None):
+    """Batched survivors; ``keep`` narrows the columns carried through the
+    batcher (token counts always see the whole record)."""
     pre = _prebatched(spark, sf)
     if one_run:
         pre = prebatch(_docs(spark, sf), text="text", order="pos", partition=None).withColumn("run", F.lit("all"))
     counted = with_tokens(pre, [*RECORD, "dup_count"], LocalTokenizer())
+    if keep is not None:
+        counted = counted.select("run", "pos", "tokens", *keep)
     kwargs = {} if rows_per_chunk is None else {"rows_per_chunk": rows_per_chunk}
     return assign_batches(counted, CAP, tokens="tokens", run="run", pos="pos", **kwargs)
 
@@ -272,17 +276,17 @@ def q_oversized_rows(spark, sf):
 
 
 def q_assign_batches(spark, sf):
-    return _batched(spark, sf).select("run", "pos", "batch_no", "batch_idx", "total_batches")
+    return _batched(spark, sf, keep=[]).select("run", "pos", "batch_no", "batch_idx", "total_batches")
 
 
 def q_assign_batches_chunked(spark, sf):
-    return _batched(spark, sf, rows_per_chunk=CHUNK_ROWS).select(
+    return _batched(spark, sf, rows_per_chunk=CHUNK_ROWS, keep=[]).select(
         "run", "pos", "batch_no", "batch_idx", "total_batches"
     )
 
 
 def q_batches_one_run(spark, sf):
-    return _batched(spark, sf, rows_per_chunk=CHUNK_ROWS, one_run=True).select(
+    return _batched(spark, sf, rows_per_chunk=CHUNK_ROWS, one_run=True, keep=[]).select(
         "run", "pos", "batch_no", "batch_idx", "total_batches"
     )
 
@@ -292,15 +296,15 @@ def q_add_dup_count(spark, sf):
 
 
 def q_batch_items(spark, sf):
-    return batch_items(_batched(spark, sf)).select("run", "pos", "batch_no", "batch_idx", "file_name")
+    return batch_items(_batched(spark, sf, keep=[])).select("run", "pos", "batch_no", "batch_idx", "file_name")
 
 
 def q_batch_stats(spark, sf):
-    return batch_stats(_batched(spark, sf)).select("run", "batch_no", "n_rows", "batch_tokens", "file_name")
+    return batch_stats(_batched(spark, sf, keep=[])).select("run", "batch_no", "n_rows", "batch_tokens", "file_name")
 
 
 def q_batch_documents(spark, sf):
-    return render_batches(_batched(spark, sf), ["id"]).select("run", "batch_no", "file_name", "document")
+    return render_batches(_batched(spark, sf, keep=["id"]), ["id"]).select("run", "batch_no", "file_name", "document")
 
 
 def q_batch_documents_full(spark, sf):

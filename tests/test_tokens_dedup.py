@@ -135,3 +135,19 @@ def test_prebatch_null_run_kept(spark):
     for method in ("hash", "window"):
         got = sorted((r["run"] or "", r["pos"], r["dup_count"]) for r in prebatch(df, method=method).collect())
         assert got == [("", 0, 2), ("", 2, 1), ("r", 3, 1)]
+
+
+def test_text_free_curation_equals_text_path(spark):
+    """The length-only curation equals counting tokens on the record texts."""
+    from tidewater.plans.curate import curate
+    from tidewater.sources.adapters import messages_from_documents, table
+
+    msgs = messages_from_documents(table(spark, "/root/testdata/sf0.01", "documents"))
+    fields = ["id", "channel_id", "channel_handle", "time", "text"]
+    for length_tok, text_tok in [
+        (LocalTokenizer(), PandasTokenizer(lambda: (lambda s: len(s.encode("utf-8")) // 2))),
+        (CharTokenizer(), PandasTokenizer(lambda: (lambda s: len(s) // 4))),
+    ]:
+        a = {tuple(r) for r in curate(msgs, 3000, fields, length_tok).collect()}
+        b = {tuple(r) for r in curate(msgs, 3000, fields, text_tok).collect()}
+        assert a == b and len(a) > 100

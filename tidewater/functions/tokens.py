@@ -38,9 +38,23 @@ class Tokenizer:
         return self.count(json_record(fields))
 
 
-class LocalTokenizer(Tokenizer):
+class LengthTokenizer(Tokenizer):
+    """Tokens = length of the text in ``unit`` // ``per_token``."""
+
+    unit = "bytes"
+    per_token = 1
+
+    def count_length(self, length: Column) -> Column:
+        """Tokens of a text whose length (in ``unit``) is ``length``."""
+        return F.floor(length / self.per_token).cast("long")
+
+
+class LocalTokenizer(LengthTokenizer):
     """UTF-8 byte length // 2."""
 
+    unit = "bytes"
+    per_token = 2
+
     def count(self, text: Column | str) -> Column:
         c = F.col(text) if isinstance(text, str) else text
         return F.floor(F.octet_length(c) / 2).cast("long")
@@ -49,9 +63,12 @@ class LocalTokenizer(Tokenizer):
         return F.floor(json_record_length(fields, "bytes") / 2).cast("long")
 
 
-class CharTokenizer(Tokenizer):
+class CharTokenizer(LengthTokenizer):
     """Code-point length // 4 (the stand-in used by the batching tests)."""
 
+    unit = "chars"
+    per_token = 4
+
     def count(self, text: Column | str) -> Column:
         c = F.col(text) if isinstance(text, str) else text
         return F.floor(F.char_length(c) / 4).cast("long")
