@@ -33,7 +33,7 @@ from tidewater.operators.filters import (
 from tidewater.operators.ordering import merge_sorted
 from tidewater.operators.paging import cap_per_channel, channel_stops, paged_pull, pull_stats
 from tidewater.operators.stats import fetch_stats
-from tidewater.plans.curate import curate, with_tokens
+from tidewater.plans.curate import curate, survivor_tokens, with_tokens
 from tidewater.plans.fetch import fetch, requested_channels, to_messages
 from tidewater.records import PY_WS
 from tidewater.sources.adapters import (
@@ -97,14 +97,16 @@ def _prebatched(spark, sf):
 
 
 def _batched(spark, sf, rows_per_chunk=None, one_run=False, keep=None):
-    """Batched survivors; ``keep`` narrows the columns carried through the
-    batcher (token counts always see the whole record)."""
-    pre = _prebatched(spark, sf)
+    """Batched survivors.  ``keep`` (narrow columns of the first copy) takes
+    the text-free path; ``keep=None`` carries the whole record through."""
+    docs = _docs(spark, sf)
     if one_run:
-        pre = prebatch(_docs(spark, sf), text="text", order="pos", partition=None).withColumn("run", F.lit("all"))
-    counted = with_tokens(pre, [*RECORD, "dup_count"], LocalTokenizer())
+        docs = docs.withColumn("run", F.lit("all"))
     if keep is not None:
-        counted = counted.select("run", "pos", "tokens", *keep)
+        counted = survivor_tokens(docs, RECORD, LocalTokenizer(), carry=keep)
+    else:
+        pre = prebatch(docs, text="text", order="pos", partition="run")
+        counted = with_tokens(pre, [*RECORD, "dup_count"], LocalTokenizer())
     kwargs = {} if rows_per_chunk is None else {"rows_per_chunk": rows_per_chunk}
     return assign_batches(counted, CAP, tokens="tokens", run="run", pos="pos", **kwargs)
 
@@ -271,7 +273,7 @@ def q_token_counts(spark, sf):
 
 
 def q_oversized_rows(spark, sf):
-    counted = with_tokens(_prebatched(spark, sf), [*RECORD, "dup_count"], LocalTokenizer())
+    counted = survivor_tokens(_docs(spark, sf), RECORD, LocalTokenizer(), carry=["id"])
     return oversized_rows(counted, CAP).select("id", "run", "tokens")
 
 

@@ -87,52 +87,56 @@ def batch_documents(batched: DataFrame, fields: Sequence[str], run: str = "run")
     return render_batches(batched, fields, run)
 
 
-def _length_curate(
+def survivor_tokens(
     messages: DataFrame,
-    cap: int,
     fields: Sequence[str],
-    tokenizer: LengthTokenizer,
-    run: str,
-    pos: str,
-    text: str,
-    rows_per_chunk: int,
+    tokenizer: Tokenizer | None = None,
+    run: str = "run",
+    pos: str = "pos",
+    text: str = "text",
+    carry: Sequence[str] = (),
     count_col: str = "dup_count",
 ) -> DataFrame:
-    """Dedup + token counts without moving any text.
-
-    A length tokenizer needs only the length of the survivor's JSON record,
-    and that is fixed by its compact ``to_json`` length, its number of
-    present fields and the digits of its copy count.  Each row is reduced
-    to ``(run, pos, sha256(text), length, fields)`` in the scan; the dedup
-    aggregate keeps the first copy's length with ``min_by``; the record
-    length with ``dup_count`` appended is then a formula.  The texts are
-    read once and never shuffled, staged or joined back.
+    """First copy of every text per run: ``run, pos, dup_count, tokens``
+    (+ ``carry`` columns of that copy); tokens of its record ``fields`` +
+    ``dup_count``.
+
+    With a length tokenizer no text moves: a survivor's token count depends
+    only on its compact ``to_json`` length, its number of present fields and
+    the digits of its copy count.  The scan reduces each row to
+    ``(run, pos, sha256(text), length, fields)``, the dedup aggregate keeps
+    the first copy's values with ``min_by`` and the record length with the
+    count appended is a formula.  Other tokenizers count the survivors'
+    record texts after a regular dedup.
     """
+    tok = tokenizer or LocalTokenizer()
+    if not isinstance(tok, LengthTokenizer):
+        pre = prebatch_runs(messages, text=text, pos=pos, run=run)
+        counted = with_tokens(pre, [*fields, count_col], tok)
+        return counted.select(run, pos, count_col, "tokens", *carry)
     compact = F.to_json(F.struct(*[F.col(f) for f in fields]))
-    length = F.octet_length(compact) if tokenizer.unit == "bytes" else F.char_length(compact)
+    length = F.octet_length(compact) if tok.unit == "bytes" else F.char_length(compact)
     rows = messages.select(
         F.col(run),
         F.col(pos),
         F.sha2(F.col(text).cast("binary"), 256).alias("__h"),
         length.cast("long").alias("__len"),
         present_fields(fields).alias("__n"),
+        *[F.col(c) for c in carry],
     )
     firsts = rows.groupBy(run, "__h").agg(
         F.count(F.lit(1)).alias(count_col),
         F.min(pos).alias(pos),
         F.min_by("__len", pos).alias("__len"),
         F.min_by("__n", pos).alias("__n"),
+        *[F.min_by(c, pos).alias(c) for c in carry],
     )
     key = len(json.dumps(count_col)) + 1  # "dup_count":
     digits = F.length(F.col(count_col).cast("string"))
     comma = F.when(F.col("__n") > 0, 1).otherwise(0)
     # compact record with the count appended, then Python's separator spaces
     spaced = F.col("__len") + key + digits + comma + 2 * (F.col("__n") + 1) - 1
-    counted = firsts.select(run, pos, count_col, tokenizer.count_length(spaced).alias("tokens"))
-    batched = batch_items(
-        assign_batches(counted, cap, tokens="tokens", run=run, pos=pos, rows_per_chunk=rows_per_chunk), run
-    )
-    return batched
+    return firsts.select(run, pos, count_col, tok.count_length(spaced).alias("tokens"), *carry)
 
 
 def curate(
@@ -147,20 +151,13 @@ def curate(
 ) -> DataFrame:
     """Dedup then batch: per-batch rows, tokens, copies and file names.
 
-    Length tokenizers take the text-free path (:func:`_length_curate`);
+    Length tokenizers take the text-free path of :func:`survivor_tokens`;
     any other tokenizer counts the survivors' record texts.
     """
-    tok = tokenizer or LocalTokenizer()
-    if isinstance(tok, LengthTokenizer):
-        batched = _length_curate(messages, cap, fields, tok, run, pos, text, rows_per_chunk)
-    else:
-        pre = prebatch_runs(messages, text=text, pos=pos, run=run)
-        # the texts are needed only to count tokens: batching and the stats
-        # run on (run, pos, tokens, dup_count)
-        counted = with_tokens(pre, [*fields, "dup_count"], tok).select(run, pos, "tokens", "dup_count")
-        batched = batch_items(
-            assign_batches(counted, cap, tokens="tokens", run=run, pos=pos, rows_per_chunk=rows_per_chunk), run
-        )
+    counted = survivor_tokens(messages, fields, tokenizer, run, pos, text)
+    batched = batch_items(
+        assign_batches(counted, cap, tokens="tokens", run=run, pos=pos, rows_per_chunk=rows_per_chunk), run
+    )
     return batched.groupBy(run, "batch_no", "total_batches", "file_name").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("tokens").cast("long").alias("batch_tokens"),
@@ -172,6 +169,7 @@ __all__ = [
     "prebatch_runs",
     "run_prebatch",
     "with_tokens",
+    "survivor_tokens",
     "batch_runs",
     "run_batch",
     "batch_documents",
