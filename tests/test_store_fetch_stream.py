@@ -269,3 +269,13 @@ def test_fetch_with_stop_state(spark, tmp_dir):
     assert floor == min(r["stop"] for r in stored.collect())
     plan = raw.filter(F.col("id") > floor)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(id," in plan
+
+
+def test_cleanup_scratch(spark):
+    from tidewater.session import cleanup_scratch, path_exists, stage_table
+
+    staged = stage_table(spark.range(10), "probe")
+    assert staged.count() == 10
+    path = staged.inputFiles()[0].rsplit("/", 1)[0]
+    assert cleanup_scratch(spark) >= 1
+    assert not path_exists(spark, path)

@@ -79,10 +79,30 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared folder."""
+    """A fresh, unique path below the shared folder (tracked for cleanup)."""
     base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def cleanup_scratch(spark: SparkSession) -> int:
+    """Delete the staged copies this driver created; call it once the
+    results that read them have been written.  Returns the paths removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _SCRATCH:
+        jpath = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = jpath.getFileSystem(conf)
+        if fs.exists(jpath):
+            fs.delete(jpath, True)
+            removed += 1
+    return removed
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -141,6 +161,7 @@ __all__ = [
     "use_utc",
     "shared_dir",
     "scratch_path",
+    "cleanup_scratch",
     "cut_lineage",
     "stage_table",
     "local_path",
