@@ -1,12 +1,10 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidewater.operators.batching import (
     _chain_depth,
     _label_segment,
-    _plan_chunks,
     _prefix,
     _step_function,
     assign_batches,

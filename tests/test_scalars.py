@@ -3,7 +3,6 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidewater.functions.scalars import (
     base_name,

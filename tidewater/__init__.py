@@ -35,7 +35,7 @@ from tidewater.functions.scalars import (
     token_count_chars,
     token_count_local,
 )
-from tidewater.functions.tokens import CharTokenizer, LocalTokenizer, PandasTokenizer, Tokenizer
+from tidewater.functions.tokens import CharTokenizer, LengthTokenizer, LocalTokenizer, PandasTokenizer, Tokenizer
 from tidewater.operators.batching import (
     assign_batches,
     batch_items,
@@ -55,29 +55,48 @@ from tidewater.operators.filters import (
     validate_messages,
 )
 from tidewater.operators.ordering import dense_position, input_position, merge_sorted
-from tidewater.operators.paging import cap_per_channel, paged_pull
+from tidewater.operators.paging import cap_per_channel, channel_stops, paged_pull, pull_stats
 from tidewater.operators.stats import fetch_stats
-from tidewater.plans.curate import batch_runs, curate, prebatch_runs, run_batch, run_prebatch, with_tokens
-from tidewater.plans.fetch import fetch, next_watermark, resolve_window, run_fetch, to_messages
-from tidewater.session import cut_lineage, get_session, shared_dir, stage_table
+from tidewater.plans.curate import (
+    batch_runs,
+    curate,
+    prebatch_runs,
+    run_batch,
+    run_prebatch,
+    survivor_tokens,
+    with_tokens,
+)
+from tidewater.plans.fetch import (
+    fetch,
+    fetch_state,
+    next_watermark,
+    requested_channels,
+    resolve_window,
+    run_fetch,
+    to_messages,
+)
+from tidewater.session import cleanup_scratch, cut_lineage, get_session, shared_dir, stage_table
 from tidewater.sources.adapters import read_dialogs, read_raw_messages
 from tidewater.sources.store import (
     list_runs,
     load_prompt,
+    read_batches,
     read_json_docs,
     read_message_files,
     read_messages,
     read_prompts,
     read_run_by_index,
+    read_stops,
     read_watermark,
     render_batches,
     write_batches,
     write_json,
     write_messages,
     write_prebatch,
+    write_stops,
     write_watermark,
 )
-from tidewater.streaming.incremental import run_incremental
+from tidewater.streaming.incremental import run_incremental, streaming_curate, streaming_pull
 
 # the polling pull and its streaming form
 incremental_pull = run_fetch
