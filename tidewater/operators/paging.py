@@ -10,10 +10,12 @@ older unread rows are lost; the default mode keeps them.
 
 Scale: the stop id is a per-channel ``max`` (partial aggregation, a hot
 channel costs one row per map task).  Without a page cap and in the
-default mode no window is needed at all.  With a cap, ranks come from
-``row_number() <= max_pages * limit``, which Spark runs as a map-side
-``WindowGroupLimit`` so a hot channel ships at most that many rows per map
-task; the page rules then run on those few rows.  Parity mode without a
+default mode no window is needed at all.  With a cap, ranks come from a
+two-level narrow top-N (``row_number() <= max_pages * limit`` per
+``(channel, salt)`` and then per channel, each a map-side
+``WindowGroupLimit``) over ``(channel, id, ok)`` only; the page rules run
+on those few rows and the pulled rows are recovered by a semi-join on the
+unique ``(channel, id)``.  Parity mode without a
 cap finds the first short page with aggregates plus a top-``limit``
 window, again bounded per channel, over one staged copy of the increment
 (rows above the stop row) so the history is scanned only for the stop ids.
@@ -29,12 +31,41 @@ from tidewater.records import MAX_PAGES, PAGE_SIZE
 from tidewater.session import stage_table
 
 
+# Salt buckets of the first top-N level: a hot channel's candidates are
+# spread over this many tasks before the per-channel merge.
+TOP_SALTS = 64
+
+
+def top_ids(
+    df: DataFrame,
+    n: int,
+    channel: str = "channel_id",
+    id: str = "id",
+    extra: tuple[str, ...] = (),
+) -> DataFrame:
+    """``(channel, id, __r, *extra)`` of the newest ``n`` ids per channel.
+
+    Two narrow top-N levels: per ``(channel, salt)`` and then per channel.
+    Both run as map-side ``WindowGroupLimit``, so a channel holding a third
+    of all rows sends at most ``n`` ids per task to each level and the
+    final merge sees at most ``n * TOP_SALTS`` ids — no text moves.
+    """
+    narrow = df.select(channel, id, *extra).withColumn("__salt", F.pmod(F.xxhash64(id), F.lit(TOP_SALTS)))
+    w1 = Window.partitionBy(channel, "__salt").orderBy(F.col(id).desc())
+    level1 = narrow.withColumn("__r1", F.row_number().over(w1)).filter(F.col("__r1") <= n).drop("__r1", "__salt")
+    w2 = Window.partitionBy(channel).orderBy(F.col(id).desc())
+    return level1.withColumn("__r", F.row_number().over(w2)).filter(F.col("__r") <= n)
+
+
 def cap_per_channel(
     df: DataFrame, n: int, channel: str = "channel_id", id: str = "id"
 ) -> DataFrame:
-    """Newest ``n`` rows (by id) of every channel (top-N, map-side limited)."""
-    w = Window.partitionBy(channel).orderBy(F.col(id).desc())
-    return df.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= n).drop("__r")
+    """Newest ``n`` rows (by id) of every channel.
+
+    Ranks on ``(channel, id)`` only (:func:`top_ids`), then keeps the rows
+    by a semi-join on that unique key — hot channels cannot skew it."""
+    keep = top_ids(df, n, channel, id).select(channel, id)
+    return df.join(keep, on=[channel, id], how="left_semi")
 
 
 def channel_stops(
@@ -113,20 +144,21 @@ def paged_pull(
 
     if max_pages is not None:
         n = max_pages * limit
-        w = Window.partitionBy(channel).orderBy(F.col(id).desc())
-        ranked = fresh.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= n)
-        if not early_stop:
-            return ranked.filter(ok).drop("__r")
-        page = F.floor((F.col("__r") - 1) / limit)
-        ranked = ranked.withColumn("__page", page).withColumn("__ok", ok.cast("int"))
-        per_page = Window.partitionBy(channel, "__page")
-        per_channel = Window.partitionBy(channel)
-        ranked = ranked.withColumn("__kept", F.sum("__ok").over(per_page))
-        ranked = ranked.withColumn(
-            "__pstop", F.min(F.when(F.col("__kept") < limit, F.col("__page"))).over(per_channel)
-        )
-        keep = (F.col("__ok") == 1) & (F.col("__pstop").isNull() | (F.col("__page") <= F.col("__pstop")))
-        return ranked.filter(keep).drop("__r", "__page", "__ok", "__kept", "__pstop")
+        # rank narrow (channel, id, ok) rows only; at most n per channel remain
+        ranked = top_ids(fresh.withColumn("__ok", ok.cast("int")), n, channel, id, extra=("__ok",))
+        if early_stop:
+            page = F.floor((F.col("__r") - 1) / limit)
+            ranked = ranked.withColumn("__page", page)
+            per_page = Window.partitionBy(channel, "__page")
+            per_channel = Window.partitionBy(channel)
+            ranked = ranked.withColumn("__kept", F.sum("__ok").over(per_page))
+            ranked = ranked.withColumn(
+                "__pstop", F.min(F.when(F.col("__kept") < limit, F.col("__page"))).over(per_channel)
+            )
+            ranked = ranked.filter(F.col("__pstop").isNull() | (F.col("__page") <= F.col("__pstop")))
+        keep = ranked.filter(F.col("__ok") == 1).select(channel, id)
+        # (channel, id) is unique: the semi-join spreads a hot channel evenly
+        return fresh.join(keep, on=[channel, id], how="left_semi")
 
     # parity mode, no page cap: everything above the first non-message row
     # is kept, plus the rows that share its page.  The increment is read by
@@ -182,4 +214,4 @@ def pull_stats(
     return out.withColumn("truncated", flag)
 
 
-__all__ = ["cap_per_channel", "channel_stops", "paged_pull", "pull_stats"]
+__all__ = ["TOP_SALTS", "top_ids", "cap_per_channel", "channel_stops", "paged_pull", "pull_stats"]
