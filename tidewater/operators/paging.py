@@ -161,11 +161,13 @@ def paged_pull(
         return fresh.join(keep, on=[channel, id], how="left_semi")
 
     # parity mode, no page cap: everything above the first non-message row
-    # is kept, plus the rows that share its page.  The increment is read by
-    # four branches below; staging it once keeps the history scan at one.
+    # is kept, plus the rows that share its page.  The increment is staged
+    # once (the history is scanned only for the stop ids) and the page rules
+    # run on its narrow (channel, id, ok) projection.
     fresh = stage_table(fresh, "pull-increment")
-    bad = fresh.filter(~ok).groupBy(channel).agg(F.max(id).alias("__bad"))
-    tagged = fresh.join(bad, on=channel, how="left")
+    keys = fresh.select(channel, id, ok.cast("int").alias("__ok"))
+    bad = keys.filter(F.col("__ok") == 0).groupBy(channel).agg(F.max(id).alias("__bad"))
+    tagged = keys.join(bad, on=channel, how="left")
     before = (
         tagged.filter(F.col("__bad").isNotNull() & (F.col(id) > F.col("__bad")))
         .groupBy(channel)
@@ -174,19 +176,23 @@ def paged_pull(
     tagged = tagged.join(before, on=channel, how="left").withColumn(
         "__before", F.coalesce(F.col("__before"), F.lit(0))
     )
-    # rows left on the bad row's page after it
-    rest = (F.lit(limit) - (F.col("__before") + 1) % limit) % limit
     head = tagged.filter(F.col("__bad").isNull() | (F.col(id) > F.col("__bad")))
-    w = Window.partitionBy(channel).orderBy(F.col(id).desc())
-    tail = (
-        tagged.filter(F.col("__bad").isNotNull() & (F.col(id) < F.col("__bad")))
-        .withColumn("__r", F.row_number().over(w))
-        .filter(F.col("__r") <= limit - 1)
-        .filter(F.col("__r") <= rest)
-        .drop("__r")
+    # rows left on the bad row's page after it: at most limit - 1 per channel
+    rest = (F.lit(limit) - (F.col("__before") + 1) % limit) % limit
+    tail = top_ids(
+        tagged.filter(F.col("__bad").isNotNull() & (F.col(id) < F.col("__bad"))),
+        limit - 1,
+        channel,
+        id,
+        extra=("__ok", "__before"),
+    ).filter(F.col("__r") <= rest)
+    keep = (
+        head.select(channel, id, "__ok")
+        .unionByName(tail.select(channel, id, "__ok"))
+        .filter(F.col("__ok") == 1)
+        .select(channel, id)
     )
-    cols = raw.columns
-    return head.select(*cols).unionByName(tail.select(*cols)).filter(ok)
+    return fresh.join(keep, on=[channel, id], how="left_semi")
 
 
 def pull_stats(
