@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from tidewater.functions.scalars import (
     is_iso_time,
     iso_time,
+    message_from_json,
+    message_to_json,
     parse_target_list,
     strip_text,
 )
@@ -324,8 +326,8 @@ def q_batch_documents_full(spark, sf):
 def q_json_round_trip(spark, sf):
     conv = table(spark, sf, "conversations")
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in conv.schema.fields])
-    encoded = conv.select(F.to_json(F.struct(*conv.columns)).alias("j"))
-    decoded = encoded.select(F.from_json("j", schema).alias("m"))
+    encoded = conv.select(message_to_json(conv.columns).alias("j"))
+    decoded = encoded.select(message_from_json("j", schema).alias("m"))
     return decoded.select(*[F.col("m")[c].alias(c) for c in conv.columns])
 
 
