@@ -159,3 +159,10 @@ def test_invariants_on_documents(spark):
                 firsts.setdefault(r["batch_no"], r["tokens"])
             for b in range(1, nos[-1]):
                 assert totals[b] + firsts[b + 1] > cap  # next batch's first row did not fit
+
+
+def test_null_run_chunked(spark):
+    rows = [(None, p, (p * 7) % 11) for p in range(120)] + [("b", p, (p * 5) % 9) for p in range(80)]
+    for per_chunk in (1_000_000, 13):
+        got = _spark_labels(spark, rows, 15, per_chunk)
+        assert got == _expected(rows, 15)
