@@ -168,11 +168,13 @@ def q_parse_iso(spark, sf):
 
 
 def q_incremental_since(spark, sf):
-    return since(_raw(spark, sf), MARK, ts="date").select("id", "channel_id", "date")
+    return since(_raw(spark, sf), MARK, ts="date").select("id", "channel_id", iso_time("date").alias("time"))
 
 
 def q_incremental_bounded(spark, sf):
-    return since(_raw(spark, sf), MARK, ts="date", end=END).select("id", "channel_id", "date")
+    return since(_raw(spark, sf), MARK, ts="date", end=END).select(
+        "id", "channel_id", iso_time("date").alias("time")
+    )
 
 
 def q_target_messages(spark, sf):
@@ -567,9 +569,9 @@ SELECT id, time, {_ISO_OK} AS is_valid FROM varied""",
     "parse_iso": f"""WITH {_MSGS},{_VARIED}
 SELECT id, {_ISO_OK} AS parses FROM varied""",
     "incremental_since": f"""WITH {_RAW}
-SELECT id, channel_id, date FROM raw WHERE date > {MARK_SQL}""",
+SELECT id, channel_id, {_ISO.format(c='date')} AS time FROM raw WHERE date > {MARK_SQL}""",
     "incremental_bounded": f"""WITH {_RAW}
-SELECT id, channel_id, date FROM raw WHERE date > {MARK_SQL} AND date <= {END_SQL}""",
+SELECT id, channel_id, {_ISO.format(c='date')} AS time FROM raw WHERE date > {MARK_SQL} AND date <= {END_SQL}""",
     "target_messages": f"""WITH {_RAW},{_DIALOGS},{_TARGETED}
 SELECT r.id, r.channel_id, w.channel_handle, {_ISO.format(c='r.date')} AS time,
        trim(r.message, {PY_WS_SQL}) AS text
