@@ -15,6 +15,7 @@ from tidewater.operators.filters import MAX_BROADCAST_TARGETS, _lit_ts, target_c
 from tidewater.operators.ordering import merge_sorted
 from tidewater.operators.paging import channel_stops, paged_pull
 from tidewater.records import DEFAULT_LOOKBACK_DAYS, MAX_PAGES, PAGE_SIZE
+from tidewater.session import stage_table
 from tidewater.sources.store import read_stops, read_watermark, write_messages, write_stops, write_watermark
 
 
@@ -191,14 +192,19 @@ def run_fetch(
     start, end = resolve_window(mark, now, lookback_days)
     name = run_value(start, end)
     stops = None
-    if state_path is not None and mark is not None:
-        stored = read_stops(spark, state_path)
+    if state_path is not None:
+        stored = read_stops(spark, state_path) if mark is not None else None
         if stored is not None and stored[1] == start:
             stops = fetch_state(raw, dialogs, targets, _naive_utc(start), stored[0], _naive_utc(start))
+        else:
+            # no usable state: one history scan, reused for the next state
+            stops = fetch_state(raw, dialogs, targets, _naive_utc(start))
+        # one row per requested channel; staged so both uses read it once
+        stops = stage_table(stops, "stops")
     msgs = fetch(raw, dialogs, targets, _naive_utc(start), _naive_utc(end), run=name, stops=stops, **pull_options)
     write_messages(msgs, store_path)
     if state_path is not None:
-        nxt = fetch_state(raw, dialogs, targets, _naive_utc(end), stops, _naive_utc(start) if stops is not None else None)
+        nxt = fetch_state(raw, dialogs, targets, _naive_utc(end), stops, _naive_utc(start))
         write_stops(spark, state_path, nxt, end)
     write_watermark(spark, mark_path, next_watermark(end))
     return name, end
