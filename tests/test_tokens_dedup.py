@@ -151,3 +151,17 @@ def test_text_free_curation_equals_text_path(spark):
         a = {tuple(r) for r in curate(msgs, 3000, fields, length_tok).collect()}
         b = {tuple(r) for r in curate(msgs, 3000, fields, text_tok).collect()}
         assert a == b and len(a) > 100
+
+
+def test_add_dup_count_hot_split(spark):
+    from tidewater.operators.dedup import add_dup_count
+
+    rows = [("hot", i, "r") for i in range(300)] + [(f"t{i % 40}", 300 + i, "r") for i in range(200)]
+    rows += [(None, 900 + i, "r") for i in range(3)] + [("hot", 1000, None)]
+    df = spark.createDataFrame(rows, "text string, pos long, run string")
+    for share in (0.001, 0.5, 1.0):
+        got = {r["pos"]: r["dup_count"] for r in add_dup_count(df, hot_share=share).collect()}
+        assert len(got) == len(rows)
+        assert got[0] == 300 and got[300] == 5 and got[900] == 3 and got[1000] == 1
+    none = {r["pos"]: r["dup_count"] for r in add_dup_count(df, partition=None).collect()}
+    assert none[0] == 301 and none[1000] == 301

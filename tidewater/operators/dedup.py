@@ -37,22 +37,52 @@ def add_dup_count(
     text: str = "text",
     partition: str | Sequence[str] | None = "run",
     count_col: str = "dup_count",
+    hot_share: float = 0.001,
 ) -> DataFrame:
     """Every row with the number of rows sharing its text (column replaced
-    if present).  Counts come from a partially aggregated digest count; the
-    join back is on ``(key, digest)``, where AQE splits a hot text."""
+    if present).
+
+    Counts come from a partially aggregated digest count.  Attaching them
+    back is a join on ``(key, digest)``, where one text may hold a third of
+    all rows; such hot texts are split off: a text with more than
+    ``hot_share`` of all rows is hot, so there are at most ``1 / hot_share``
+    of them (a proven bound) and they are broadcast, while their rows skip
+    the shuffle.  The remaining rows join the remaining counts by a regular
+    shuffle join that no longer has a hot key.
+    """
     keys = _keys(partition)
     base = df.drop(count_col) if count_col in df.columns else df
     digest = F.sha2(F.col(text).cast("binary"), 256)
+    tagged = base.withColumn("__h", digest)
     counts = (
-        base.select(*keys, digest.alias("__h"))
+        tagged.select(*keys, "__h")
         .groupBy(*keys, "__h")
         .agg(F.count(F.lit(1)).alias(count_col))
     )
-    tagged = base.withColumn("__h", digest)
-    cond = [tagged[k].eqNullSafe(counts[k]) for k in keys] + [tagged["__h"].eqNullSafe(counts["__h"])]
-    joined = tagged.join(counts, cond, "inner")
-    return joined.select(*[tagged[c] for c in base.columns], counts[count_col])
+    total = tagged.count()
+    threshold = max(1, int(total * hot_share))
+    hot = counts.filter(F.col(count_col) > threshold)
+    cold = counts.filter(F.col(count_col) <= threshold)
+
+    def attach(rows: DataFrame, table: DataFrame) -> DataFrame:
+        # fresh column names on the count side keep the self-join unambiguous
+        t = table.select(
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+            F.col("__h").alias("__kh"),
+            F.col(count_col).alias("__cnt"),
+        )
+        cond = [rows[k].eqNullSafe(t[f"__k{i}"]) for i, k in enumerate(keys)] + [rows["__h"].eqNullSafe(t["__kh"])]
+        joined = rows.join(t, cond, "inner")
+        return joined.select(*[rows[c] for c in base.columns], F.col("__cnt").alias(count_col))
+
+    # split rows by hot/cold (map-side, against the small broadcast key set)
+    hk = F.broadcast(
+        hot.select(*[F.col(k).alias(f"__s{i}") for i, k in enumerate(keys)], F.col("__h").alias("__sh"))
+    )
+    split = [tagged[k].eqNullSafe(hk[f"__s{i}"]) for i, k in enumerate(keys)] + [tagged["__h"].eqNullSafe(hk["__sh"])]
+    hot_rows = tagged.join(hk, split, "left_semi")
+    cold_rows = tagged.join(hk, split, "left_anti")
+    return attach(hot_rows, F.broadcast(hot)).unionByName(attach(cold_rows, cold))
 
 
 def prebatch(
