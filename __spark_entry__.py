@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.scalars import (
+    base_name,
+    default_start,
     is_iso_time,
     iso_time,
     message_from_json,
     message_to_json,
     parse_target_list,
+    run_name,
+    run_stem,
     strip_text,
 )
 from tidewater.functions.tokens import CharTokenizer, LocalTokenizer
@@ -158,6 +162,15 @@ def _varied_times(spark, sf):
     return m.withColumn("time", t)
 
 
+def q_run_names(spark, sf):
+    """Each event's default window (ts - 7 days, ts] as a run file name."""
+    ev = table(spark, sf, "events")
+    start = iso_time(default_start(F.col("ts"), 7))
+    name = run_name(start, iso_time("ts"))
+    path = F.concat(F.lit("/store/fetches/"), name)
+    return ev.select("event_id", base_name(path).alias("file_name"), run_stem(path).alias("run"))
+
+
 def q_validate_messages(spark, sf):
     return _varied_times(spark, sf).select("id", "time", is_valid_message().alias("is_valid"))
 
@@ -360,6 +373,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_target_list": q_parse_target_list,
     "strip_text": q_strip_text,
     "iso_time": q_iso_time,
+    "run_names": q_run_names,
     "validate_messages": q_validate_messages,
     "parse_iso": q_parse_iso,
     "incremental_since": q_incremental_since,
@@ -564,6 +578,11 @@ FROM (SELECT doc_id, text,
              trim(chr(9) || chr(160) || ' ' || text || chr(12288) || chr(10) || chr(8233), {PY_WS_SQL}) AS s
       FROM documents)""",
     "iso_time": f"SELECT event_id, {_ISO.format(c='ts')} AS time FROM events",
+    "run_names": f"""
+SELECT event_id, name AS file_name, regexp_replace(name, '[.]json$', '') AS run FROM (
+  SELECT event_id,
+         {_ISO.format(c="(ts - INTERVAL 7 DAY)")} || '~' || {_ISO.format(c='ts')} || '.json' AS name
+  FROM events)""",
     "validate_messages": f"""WITH {_MSGS},{_VARIED}
 SELECT id, time, {_ISO_OK} AS is_valid FROM varied""",
     "parse_iso": f"""WITH {_MSGS},{_VARIED}
