@@ -166,3 +166,10 @@ def test_null_run_chunked(spark):
     for per_chunk in (1_000_000, 13):
         got = _spark_labels(spark, rows, 15, per_chunk)
         assert got == _expected(rows, 15)
+
+
+def test_negative_tokens_rejected():
+    import numpy as np
+
+    with pytest.raises(ValueError):
+        _label_segment(np.array([3, -1, 2]), 5, (0, 0, 0))

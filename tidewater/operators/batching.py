@@ -53,6 +53,9 @@ DEFAULT_ROWS_PER_CHUNK = 500_000
 # ---------------------------------------------------------------- kernels
 def _prefix(tok: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inclusive prefix, exclusive prefix, and next batch start for each row."""
+    if len(tok) and tok.min() < 0:
+        # prefix sums must not decrease, or the searchsorted steps are wrong
+        raise ValueError("token counts must be >= 0")
     inc = np.cumsum(tok, dtype=np.int64)
     exc = inc - tok
     nxt = np.searchsorted(inc, exc + cap, side="right")
