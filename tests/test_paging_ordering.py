@@ -69,7 +69,9 @@ def test_paged_pull_matches_page_loop(spark):
     by_ch = {}
     for r in rows:
         by_ch.setdefault(r[1], []).append((r[0], r[2], r[3]))
-    for limit, max_pages, early in [(3, None, False), (3, None, True), (4, 2, True), (5, 3, False), (100, 30, True)]:
+    configs = [(3, None, False), (3, None, True), (4, 2, True), (5, 3, False), (100, 30, True),
+               (1, None, True), (1, 4, True), (2, None, True), (2, 3, False)]
+    for limit, max_pages, early in configs:
         got = sorted(r["id"] for r in paged_pull(df, MARK, limit=limit, max_pages=max_pages, early_stop=early).collect())
         exp = sorted(x for ch in by_ch.values() for x in _page_loop(ch, MARK, limit, max_pages, early))
         assert got == exp, (limit, max_pages, early)
@@ -106,3 +108,18 @@ def test_dense_position_null_partition(spark):
     df = spark.createDataFrame([(1, None), (2, None), (3, "a")], "id long, run string")
     out = sorted((r["run"] or "", r["id"], r["pos"]) for r in dense_position(df, ["id"], partition="run").collect())
     assert out == [("", 1, 0), ("", 2, 1), ("a", 3, 0)]
+
+
+def test_dense_position_random_partitions(spark):
+    rnd = random.Random(21)
+    rows = [(i, rnd.choice(["a", "b", "c", None]), rnd.randint(0, 30)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, run string, k long").repartition(5)
+    out = dense_position(df, ["k", "id"], partition="run").collect()
+    by_run = {}
+    for r in out:
+        by_run.setdefault(r["run"], []).append(r)
+    for run, items in by_run.items():
+        items.sort(key=lambda r: r["pos"])
+        assert [r["pos"] for r in items] == list(range(len(items)))
+        assert [(r["k"], r["id"]) for r in items] == sorted((r["k"], r["id"]) for r in items)
+    assert sum(len(v) for v in by_run.values()) == 300
