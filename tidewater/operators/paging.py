@@ -108,13 +108,18 @@ def _fresh(
     kind: str,
     date: str,
     stops: DataFrame | None = None,
+    bounded_channels: bool = False,
 ) -> DataFrame:
     """Rows above the channel's stop row (first real message at/below the mark)."""
     if stops is None:
         stops = channel_stops(raw, last_fetch, channel, id, kind, date)
     stops = stops.select(channel, F.col("stop").alias("__stop"))
-    # One row per channel; AQE broadcasts it when its runtime size is
-    # small and otherwise splits skewed partitions of the large side.
+    # One row per channel.  When the caller has bounded the channels (a
+    # checked list of requested channels) it is broadcast outright;
+    # otherwise AQE broadcasts it when its runtime size is small and
+    # splits skewed partitions of the large side.
+    if bounded_channels:
+        stops = F.broadcast(stops)
     joined = raw.join(stops, on=channel, how="left")
     return joined.filter(F.col("__stop").isNull() | (F.col(id) > F.col("__stop"))).drop("__stop")
 
@@ -130,15 +135,18 @@ def paged_pull(
     kind: str = "kind",
     date: str = "date",
     stops: DataFrame | None = None,
+    bounded_channels: bool = False,
 ) -> DataFrame:
     """Real messages the paged pull returns, with every input column kept.
 
     ``stops`` (from :func:`channel_stops`) skips recomputing the stop rows
-    from the whole history."""
+    from the whole history.  ``bounded_channels=True`` states that ``raw``
+    holds only a size-checked set of channels, so per-channel tables may be
+    broadcast."""
     if limit <= 0:
         raise ValueError("limit must be positive")
     ok = (F.col(kind) == F.lit("Message")) & F.col(date).isNotNull()
-    fresh = _fresh(raw, last_fetch, channel, id, kind, date, stops)
+    fresh = _fresh(raw, last_fetch, channel, id, kind, date, stops, bounded_channels)
     if max_pages is None and not early_stop:
         return fresh.filter(ok)
 

@@ -85,7 +85,7 @@ def fetch(
     ``stops`` (``channel_id, stop`` as of ``start``, see ``channel_stops``)
     replaces the history scan that finds each channel's stop row.
     """
-    side = requested_channels(dialogs, targets, strict)
+    side, bounded = _requested(dialogs, targets, strict)
     src = raw
     if stops is not None:
         # every requested channel has a known stop id: rows at or below the
@@ -96,7 +96,10 @@ def fetch(
     if end is not None:
         src = src.filter(F.col("date").isNull() | (F.col("date") <= _lit_ts(end)))
     src = src.join(side, on="channel_id", how="inner")
-    pulled = paged_pull(src, start, limit=limit, max_pages=max_pages, early_stop=early_stop, stops=stops)
+    # src holds only the requested channels, whose number was checked above
+    pulled = paged_pull(
+        src, start, limit=limit, max_pages=max_pages, early_stop=early_stop, stops=stops, bounded_channels=bounded
+    )
     msgs = merge_sorted(to_messages(pulled, date_source)).drop("channel_ord")
     if run is not None:
         msgs = msgs.withColumn("run", F.lit(run))
@@ -107,6 +110,11 @@ def requested_channels(dialogs: DataFrame, targets, strict: bool = False) -> Dat
     """Requested channels ``(channel_id, channel_handle, channel_ord)``,
     broadcast-ready: a driver-side list is small by construction, a frame
     is counted first."""
+    return _requested(dialogs, targets, strict)[0]
+
+
+def _requested(dialogs: DataFrame, targets, strict: bool = False) -> tuple[DataFrame, bool]:
+    """``requested_channels`` plus whether their number is proven small."""
     channels = channel_directory(dialogs)
     if strict:
         # bounded by the requested list, so it may come to the driver
@@ -120,8 +128,9 @@ def requested_channels(dialogs: DataFrame, targets, strict: bool = False) -> Dat
     )
     if isinstance(targets, DataFrame):
         n = wanted.count()
-        return F.broadcast(wanted) if n <= MAX_BROADCAST_TARGETS else wanted
-    return F.broadcast(wanted)
+        small = n <= MAX_BROADCAST_TARGETS
+        return (F.broadcast(wanted) if small else wanted), small
+    return F.broadcast(wanted), True
 
 
 def _id_floor(wanted: DataFrame, stops: DataFrame) -> int | None:
