@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.session import stage_table
+
 
 def _keys(partition: str | Sequence[str] | None) -> list[str]:
     if partition is None:
@@ -32,6 +34,9 @@ def text_counts(
     return df.groupBy(*keys, text).agg(F.count(F.lit(1)).alias(count_col))
 
 
+HOT_SALTS = 64
+
+
 def add_dup_count(
     df: DataFrame,
     text: str = "text",
@@ -42,47 +47,49 @@ def add_dup_count(
     """Every row with the number of rows sharing its text (column replaced
     if present).
 
-    Counts come from a partially aggregated digest count.  Attaching them
-    back is a join on ``(key, digest)``, where one text may hold a third of
-    all rows; such hot texts are split off: a text with more than
-    ``hot_share`` of all rows is hot, so there are at most ``1 / hot_share``
-    of them (a proven bound) and they are broadcast, while their rows skip
-    the shuffle.  The remaining rows join the remaining counts by a regular
-    shuffle join that no longer has a hot key.
+    Counts come from a partially aggregated digest count, staged once.
+    Attaching them back is a join on ``(key, digest)``, where one text may
+    hold a third of all rows, so hot texts are salted: a text with more
+    than ``hot_share`` of all rows is hot (at most ``1 / hot_share`` of
+    them, a proven bound, flagged map-side by a broadcast); its rows are
+    spread over ``HOT_SALTS`` salt values and its count row is replicated
+    once per salt.  The single shuffle join on ``(key, digest, salt)`` is
+    then free of hot keys, and the wide rows are read once.
     """
     keys = _keys(partition)
     base = df.drop(count_col) if count_col in df.columns else df
     digest = F.sha2(F.col(text).cast("binary"), 256)
-    tagged = base.withColumn("__h", digest)
-    counts = (
-        tagged.select(*keys, "__h")
-        .groupBy(*keys, "__h")
-        .agg(F.count(F.lit(1)).alias(count_col))
+    counts = stage_table(
+        base.select(*keys, digest.alias("__h")).groupBy(*keys, "__h").agg(F.count(F.lit(1)).alias("__cnt")),
+        "text-counts",
     )
-    total = tagged.count()
+    total = counts.agg(F.sum("__cnt")).first()[0] or 0
     threshold = max(1, int(total * hot_share))
-    hot = counts.filter(F.col(count_col) > threshold)
-    cold = counts.filter(F.col(count_col) <= threshold)
-
-    def attach(rows: DataFrame, table: DataFrame) -> DataFrame:
-        # fresh column names on the count side keep the self-join unambiguous
-        t = table.select(
-            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-            F.col("__h").alias("__kh"),
-            F.col(count_col).alias("__cnt"),
-        )
-        cond = [rows[k].eqNullSafe(t[f"__k{i}"]) for i, k in enumerate(keys)] + [rows["__h"].eqNullSafe(t["__kh"])]
-        joined = rows.join(t, cond, "inner")
-        return joined.select(*[rows[c] for c in base.columns], F.col("__cnt").alias(count_col))
-
-    # split rows by hot/cold (map-side, against the small broadcast key set)
-    hk = F.broadcast(
-        hot.select(*[F.col(k).alias(f"__s{i}") for i, k in enumerate(keys)], F.col("__h").alias("__sh"))
+    hot = counts.filter(F.col("__cnt") > threshold).select(
+        *[F.col(k).alias(f"__s{i}") for i, k in enumerate(keys)], F.col("__h").alias("__sh"), F.lit(True).alias("__hot")
+    )
+    tagged = base.withColumn("__h", digest).withColumn("__row", F.monotonically_increasing_id())
+    flag = [tagged[k].eqNullSafe(hot[f"__s{i}"]) for i, k in enumerate(keys)] + [tagged["__h"].eqNullSafe(hot["__sh"])]
+    flagged = tagged.join(F.broadcast(hot), flag, "left")
+    salted = flagged.withColumn(
+        "__salt",
+        F.when(F.col("__hot"), F.pmod(F.xxhash64("__row"), F.lit(HOT_SALTS))).otherwise(F.lit(0)),
+    )
+    replicas = F.when(
+        F.col("__cnt") > threshold, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))
+    ).otherwise(F.array(F.lit(0)))
+    side = counts.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        F.col("__h").alias("__kh"),
+        F.col("__cnt"),
+        F.explode(replicas).alias("__ksalt"),
+    )
+    cond = (
+        [salted[k].eqNullSafe(side[f"__k{i}"]) for i, k in enumerate(keys)]
+        + [salted["__h"].eqNullSafe(side["__kh"]), salted["__salt"] == side["__ksalt"]]
     )
-    split = [tagged[k].eqNullSafe(hk[f"__s{i}"]) for i, k in enumerate(keys)] + [tagged["__h"].eqNullSafe(hk["__sh"])]
-    hot_rows = tagged.join(hk, split, "left_semi")
-    cold_rows = tagged.join(hk, split, "left_anti")
-    return attach(hot_rows, F.broadcast(hot)).unionByName(attach(cold_rows, cold))
+    joined = salted.join(side, cond, "inner")
+    return joined.select(*[salted[c] for c in base.columns], F.col("__cnt").alias(count_col))
 
 
 def prebatch(
@@ -138,4 +145,4 @@ def prebatch(
     return joined.select(*[base[c] for c in base.columns], firsts[count_col])
 
 
-__all__ = ["text_counts", "add_dup_count", "prebatch"]
+__all__ = ["text_counts", "add_dup_count", "prebatch", "HOT_SALTS"]
