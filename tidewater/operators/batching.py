@@ -169,8 +169,26 @@ def _read_chunks(batches: Iterator[pd.DataFrame], run: str, pos: str):
         return
     pdf = pd.concat(frames, ignore_index=True)
     for chunk, part in pdf.groupby("__chunk", sort=True):
-        part = part.sort_values([run, pos], kind="stable", na_position="first")
-        yield int(chunk), part.reset_index(drop=True)
+        part = part.reset_index(drop=True)
+        if not _in_run_order(part[run], part[pos]):
+            part = part.sort_values([run, pos], kind="stable", na_position="first").reset_index(drop=True)
+        yield int(chunk), part
+
+
+def _in_run_order(runs: pd.Series, positions: pd.Series) -> bool:
+    """True when each run's rows are contiguous and ascending in ``pos``.
+
+    Spark hands the rows over sorted by (run, pos); this O(n) check lets
+    the chunk skip a second sort in pandas and keeps the order as Spark
+    sorted it (runs in Spark's order)."""
+    if len(runs) < 2:
+        return True
+    codes, _ = pd.factorize(runs, use_na_sentinel=False)
+    if (np.diff(codes) < 0).any():
+        return False
+    same = codes[1:] == codes[:-1]
+    step = np.diff(positions.to_numpy())
+    return bool((step[same] > 0).all())
 
 
 @dataclass
