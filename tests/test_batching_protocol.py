@@ -96,3 +96,18 @@ def test_periodic_tokens(tok, per_batch, cuts):
     cap = tok * per_batch
     rows = [("hot", p, tok) for p in range(203)]
     assert _run_protocol(rows, cap, cuts) == _expected(rows, cap)
+
+
+def test_labeller_sorts_unordered_chunks():
+    from tidewater.operators.batching import _in_run_order
+
+    rows = [("a", p, (p * 7) % 5) for p in range(20)] + [("b", p, (p * 3) % 4) for p in range(15)]
+    ordered = pd.DataFrame({"run": [r[0] for r in rows], "pos": [r[1] for r in rows],
+                            "tokens": [r[2] for r in rows], "__chunk": 0})
+    assert _in_run_order(ordered["run"], ordered["pos"])
+    shuffled = ordered.sample(frac=1.0, random_state=3).reset_index(drop=True)
+    assert not _in_run_order(shuffled["run"], shuffled["pos"])
+    label = _make_labeller(6, "run", "pos", "tokens", {}, {}, {})
+    a = pd.concat(list(label(iter([ordered])))).sort_values(["__run", "__pos"]).reset_index(drop=True)
+    b = pd.concat(list(label(iter([shuffled])))).sort_values(["__run", "__pos"]).reset_index(drop=True)
+    assert a.equals(b)
