@@ -279,3 +279,19 @@ def test_cleanup_scratch(spark):
     path = staged.inputFiles()[0].rsplit("/", 1)[0]
     assert cleanup_scratch(spark) >= 1
     assert not path_exists(spark, path)
+
+
+def test_fetch_without_broadcast_fallback(spark, monkeypatch):
+    import tidewater.operators.filters as filters_mod
+    import tidewater.plans.fetch as fetch_mod
+
+    dialogs, raw = _landed(spark)
+    targets = spark.createDataFrame([("@one", 0), ("@four", 1)], "handle string, channel_ord long")
+    start = dt.datetime(2024, 3, 2)
+    with_bc = sorted(tuple(r) for r in fetch(raw, dialogs, targets, start).collect())
+    monkeypatch.setattr(filters_mod, "MAX_BROADCAST_TARGETS", 0)
+    monkeypatch.setattr(fetch_mod, "MAX_BROADCAST_TARGETS", 0)
+    side, bounded = fetch_mod._requested(dialogs, targets)
+    assert bounded is False
+    without = sorted(tuple(r) for r in fetch(raw, dialogs, targets, start).collect())
+    assert with_bc == without and len(with_bc) > 0
