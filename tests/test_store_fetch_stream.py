@@ -295,3 +295,24 @@ def test_fetch_without_broadcast_fallback(spark, monkeypatch):
     assert bounded is False
     without = sorted(tuple(r) for r in fetch(raw, dialogs, targets, start).collect())
     assert with_bc == without and len(with_bc) > 0
+
+
+def test_shared_dir_requires_setting_on_cluster():
+    from tidewater.session import shared_dir
+
+    class _Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Session:
+        sparkContext = _Ctx()
+        conf = _Conf()
+
+    with pytest.raises(RuntimeError):
+        shared_dir(_Session())
