@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.llm.common import map_texts
 from tidewater.llm.vocab import Vocabulary
@@ -169,7 +170,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length") ->
     order = sorted(steps)
     plan = spark.sparkContext.broadcast(np.array(order, dtype=np.int64).reshape(-1, 6))  # bounded by capacity
     wide = max([1, *counts.values()]) + 1
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     names = schema.names
 
     def place(batches):
