@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.bpe import bpe_decode, bpe_encode
 from tidewater.llm.common import documents
+from tidewater.llm.fertility import quality_rules
 from tidewater.llm.packing import pack, token_pieces
+from tidewater.llm.quality import quality_scores
+from tidewater.llm.secrets import find_secrets
+from tidewater.llm.toxicity import toxicity_scores
 from tidewater.llm.vocab import Vocabulary
 
 #: Tokens of a packed sequence.
@@ -33,8 +37,27 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(documents(spark, sf_dir), vocab, SEQUENCE_TOKENS), SEQUENCE_TOKENS)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(documents(spark, sf_dir), keep=["doc_id"]).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_novel"
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(spark, documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe_round_trip, op4_best_fit_packing)}
+    made = (op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op8_secret_scan, op9_toxicity, op10_quality_rules)
+    return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
