@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.bpe import bpe_decode, bpe_encode
 from tidewater.llm.common import documents
 from tidewater.llm.fertility import quality_rules
+from tidewater.llm.ngram_join import jaccard_components
 from tidewater.llm.packing import pack, token_pieces
 from tidewater.llm.quality import quality_scores
 from tidewater.llm.secrets import find_secrets
@@ -41,6 +42,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(documents(spark, sf_dir), keep=["doc_id"]).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_novel"
@@ -56,7 +61,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op8_secret_scan, op9_toxicity, op10_quality_rules)
+    made = (op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op6_ngram_jaccard, op8_secret_scan, op9_toxicity, op10_quality_rules)
     return {f.__name__: f for f in made}
 
 
