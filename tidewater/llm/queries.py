@@ -16,21 +16,22 @@ from tidewater.llm.packing import pack, token_pieces
 from tidewater.llm.quality import quality_scores
 from tidewater.llm.secrets import find_secrets
 from tidewater.llm.toxicity import toxicity_scores
+from tidewater.llm.vector_join import embedding_components
 from tidewater.llm.vocab import Vocabulary
 
 #: Tokens of a packed sequence.
 SEQUENCE_TOKENS = 1024
 
 
+def op1_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = Vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    done = bpe_decode(bpe_encode(documents(spark, sf_dir), vocab, keep=["doc_id"]), vocab)
-    return done.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    ids = bpe_encode(documents(spark, sf_dir), vocab, keep=["doc_id"]).withColumn("n_tokens", F.size("ids").cast("long"))
+    done = bpe_decode(ids, vocab, keep=["doc_id", "n_tokens"], with_text=True)
+    return done.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +62,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op6_ngram_jaccard, op8_secret_scan, op9_toxicity, op10_quality_rules)
+    made = (op1_embedding_near_dups, op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op6_ngram_jaccard, op8_secret_scan, op9_toxicity, op10_quality_rules)
     return {f.__name__: f for f in made}
 
 
