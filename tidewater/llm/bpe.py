@@ -20,13 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewater.llm.common import map_texts
+from tidewater.llm.common import ROWS_PER_STEP, map_texts
 from tidewater.llm.vocab import Vocabulary
 from tidewater.session import stage_table
 
 #: Characters of a chunk, and how far it reads into the next one.
-CHUNK, OVERLAP = 16_384, 1_024
+CHUNK, OVERLAP = 65_536, 1_024
 #: A pre-token that ends this close to the end of what its chunk reads may not be whole.
 MARGIN = 8
 
@@ -98,7 +99,7 @@ def _chunked(long: DataFrame, text_col: str, vocab: Vocabulary, chunk: int, over
         pieces.join(stitch.select("key", "chunk", "end"), ["key", "chunk"])
         .join(start, ["key", "chunk"], "left")
         .join(whole, "key", "left_anti")
-        .select("key", "chunk", "window", F.array_join("cuts", " ").alias("cuts"), F.coalesce("begin", F.lit(0)).alias("begin"),
+        .select("key", "chunk", "window", "cuts", F.coalesce("begin", F.lit(0)).alias("begin"),
                 F.coalesce(F.col("end") + chunk, F.lit(-1)).alias("end"))
     )
 
@@ -106,7 +107,7 @@ def _chunked(long: DataFrame, text_col: str, vocab: Vocabulary, chunk: int, over
         encoder = vocab.encoder()
         for batch in batches:
             for key, k, window, cuts, begin, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                at = np.array(cuts.split(" "), dtype=np.int64) if cuts else np.zeros(0, np.int64)
+                at = np.array(cuts, dtype=np.int64)
                 at = at[(at >= begin) & (at <= (end if end >= 0 else len(window)))].tolist()
                 got = encoder.encode_pieces([window[a:b] for a, b in zip(at, at[1:])])
                 yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([k], pa.int32()), _lists([got])], names=["key", "chunk", "ids"])
@@ -114,6 +115,8 @@ def _chunked(long: DataFrame, text_col: str, vocab: Vocabulary, chunk: int, over
     some = parts.mapInArrow(encode, "key string, chunk int, ids array<int>").groupBy("key").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"])).alias("ids")
     )
+    if whole.isEmpty():
+        return some
     rest = long.select(F.sha2(F.col(text_col), 256).alias("key"), F.col(text_col).alias("_t_")).join(whole, "key", "left_semi").dropDuplicates(["key"])
     return some.unionByName(_direct(rest, "_t_", vocab, ["key"]).select("key", "ids"))
 
@@ -121,7 +124,7 @@ def _chunked(long: DataFrame, text_col: str, vocab: Vocabulary, chunk: int, over
 def _direct(docs: DataFrame, text_col: str, vocab: Vocabulary, keep: list[str]) -> DataFrame:
     def make():
         encoder = vocab.encoder()
-        return lambda texts: [_lists([encoder.encode_pieces(encoder.split(t or "")) for t in texts])]
+        return lambda texts: [_lists([encoder.encode_text(t or "") for t in texts])]
 
     return map_texts(docs, make, {"ids": "array<int>"}, keep, text_col)
 
@@ -140,18 +143,29 @@ def bpe_encode(
     return short.unionByName(spread)
 
 
-def bpe_decode(encoded: DataFrame, vocab: Vocabulary, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (default: all) and ``decoded``, the raw bytes of the ids (null ids: none)."""
-    keep = [c for c in encoded.columns if c != "decoded"] if keep is None else keep
-    schema = encoded.select(*keep).schema.add("decoded", "binary")
+def bpe_decode(encoded: DataFrame, vocab: Vocabulary, ids_col: str = "ids", keep: list[str] | None = None, with_text: bool = False) -> DataFrame:
+    """The columns ``keep`` (default: all but the results) and ``decoded``, the raw bytes of the
+    ids (null ids: none); ``with_text`` adds ``ids_text``, the ids in decimals with one space between."""
+    out = ["decoded", "ids_text"] if with_text else ["decoded"]
+    keep = [c for c in encoded.columns if c not in out] if keep is None else keep
+    schema = T.StructType([*encoded.select(*keep).schema.fields, T.StructField("decoded", T.BinaryType())])
+    if with_text:
+        schema = T.StructType([*schema.fields, T.StructField("ids_text", T.StringType())])
 
     def run(batches):
         encoder = vocab.encoder()
+        decimals = [str(i) for i in range(len(encoder.table))]
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                raw = [encoder.decode(ids or []) for ids in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(raw, pa.binary())], names=[*keep, "decoded"])
+            for at in range(0, batch.num_rows, ROWS_PER_STEP):
+                part = batch.slice(at, ROWS_PER_STEP)
+                lists = part.column(0).fill_null([])
+                ends = np.cumsum([0, *lists.value_lengths().to_pylist()]).tolist()
+                ids = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+                rows = [ids[s:e] for s, e in zip(ends, ends[1:])]
+                made = [pa.array([encoder.decode(r) for r in rows], pa.binary())]
+                if with_text:
+                    made.append(pa.array([" ".join(map(decimals.__getitem__, r)) for r in rows], pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *made], names=[*keep, *out])
 
     return encoded.select(F.col(ids_col).alias("_ids_"), *keep).mapInArrow(run, schema)
 
