@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.bpe import bpe_decode, bpe_encode
 from tidewater.llm.common import documents
 from tidewater.llm.fertility import quality_rules
+from tidewater.llm.line_dedup import MIN_WORDS, drop_repeated_lines
 from tidewater.llm.ngram_join import jaccard_components
 from tidewater.llm.packing import pack, token_pieces
 from tidewater.llm.quality import quality_scores
@@ -47,6 +48,11 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(documents(spark, sf_dir), keep=["doc_id"]).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_novel"
@@ -62,9 +68,34 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_embedding_near_dups, op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op6_ngram_jaccard, op8_secret_scan, op9_toxicity, op10_quality_rules)
+    made = (op1_embedding_near_dups, op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op6_ngram_jaccard, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_quality_rules)
     return {f.__name__: f for f in made}
 
 
+#: The windows of line dedup by their lines themselves, without fingerprints or hashes.
+_LINE_DEDUP = f"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line
+  FROM documents WHERE length(text) > 0),
+lines AS (
+  SELECT doc_id, line, s, w, sum(w) OVER (PARTITION BY doc_id ORDER BY line) - w AS ahead_of
+  FROM (SELECT *, len(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+')) AS w FROM split) WHERE w > 0),
+windows AS (
+  SELECT doc_id, line AS first, max(line) OVER ahead AS last, max(ahead_of + w) OVER ahead - ahead_of AS words, list(s) OVER ahead AS in_all
+  FROM lines
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY ahead_of RANGE BETWEEN CURRENT ROW AND {MIN_WORDS - 1} FOLLOWING)),
+ranked AS (
+  SELECT doc_id, first, last, row_number() OVER (PARTITION BY in_all ORDER BY doc_id, first) AS nth
+  FROM windows WHERE words >= {MIN_WORDS}),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS line FROM ranked WHERE nth > 1),
+kept AS (
+  SELECT split.doc_id, count(*) AS n_lines, count(gone.line) AS n_removed,
+         coalesce(string_agg(s, chr(10) ORDER BY split.line) FILTER (gone.line IS NULL), '') AS text
+  FROM split LEFT JOIN gone ON gone.doc_id = split.doc_id AND gone.line = split.line GROUP BY split.doc_id)
+SELECT d.doc_id, CAST(coalesce(k.n_lines, CASE WHEN d.text IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS n_lines,
+       CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, d.text)) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_line_dedup": _LINE_DEDUP}
