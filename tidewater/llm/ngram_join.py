@@ -23,7 +23,7 @@ are still in different components: a group whose rows were joined has none.
 from __future__ import annotations
 
 import hashlib
-import re
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,6 @@ COUNTERS = 1 << 20
 #: The table travels in so many rows a task.
 COUNTER_BLOCKS = 64
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-#: A size class: sizes within one power of this ratio (above 1 / 0.9, so a partner is in the next class at most).
-_STEP = 1.12
 #: Hubs of a block and size class in the first pass; a row is compared with two of them.
 HUBS = 3
 #: Bits of the table that marks the sets to fetch; fixed size (512 kB).
@@ -115,7 +113,7 @@ def _name(grams: np.ndarray) -> bytes:
 def jaccard_rows(
     docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
-    """(keep..., n_shingles, row, prefix): each document's set size, the name of its set
+    """(keep..., _n_shingles, _row, _prefix): each document's set size, the name of its set
     (null without words) and the columns that a partner can't miss altogether."""
     grams = docs.select(F.col(text_col).cast("string"))
     rare_ = docs.sparkSession.sparkContext.broadcast(  # COUNTERS numbers
@@ -137,14 +135,14 @@ def jaccard_rows(
 
         return f
 
-    return map_texts(docs, make, {"n_shingles": "long", "row": "binary", "prefix": "array<long>"}, [id_col] if keep is None else keep, text_col)
+    return map_texts(docs, make, {"_n_shingles": "long", "_row": "binary", "_prefix": "array<long>"}, [id_col] if keep is None else keep, text_col)
 
 
 def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 90, text_col: str = "text") -> DataFrame:
     """Components ``(node, root)`` over the names of sets: those with a link to another set.
     ``rows`` is what ``jaccard_rows`` gave for ``docs``, kept in a table."""
     docs = docs.select(F.col(text_col).cast("string").alias("_t"))
-    sets = rows.where("row is not null").groupBy("row").agg(F.first("n_shingles").alias("size"), F.first("prefix").alias("prefix"))
+    sets = rows.where("_row is not null").groupBy(F.col("_row").alias("row")).agg(F.first("_n_shingles").alias("size"), F.first("_prefix").alias("prefix"))
     # a smaller partner is met in its own first columns already: n - 2t / (1 + t) n + 1 of them
     index = F.col("size") - F.ceil(F.col("size") * (2 * percent) / (100 + percent)) + 1
     cells = sets.select("row", "size", index.alias("index"), F.posexplode("prefix").alias("at", "gram"))
@@ -153,8 +151,9 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
     shared = cells.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
     cells = stage_table(cells.join(shared, "gram"), "jaccard-cells")
 
-    # first pass: each row with hubs of its own and the next lower size class
-    sized = cells.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(_STEP))))
+    # first pass: each row with hubs of its own and the next lower size class; classes are wider
+    # than what may lie between the sizes of partners
+    sized = cells.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / math.log(1.01 * 100 / percent)))
     seeds = [F.min(F.struct(F.xxhash64("row", F.lit(k)).alias("h"), "row", "size")).alias(f"hub{k}") for k in range(HUBS)]
     hubs = sized.groupBy("gram", "class").agg(*seeds)
     hubs = hubs.select("gram", "class", F.explode(F.array_distinct(F.array(
@@ -253,26 +252,35 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
     )
 
 
-def jaccard_components(
-    docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None
-) -> DataFrame:
-    """One row per document: ``keep`` (default: the id), ``n_shingles`` and ``component_id``,
+def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: the id, ``n_shingles`` and ``component_id``,
     the smallest id reachable by links of ``percent`` or more (itself included).
 
     Documents without words (null or empty text) link with nothing and are their own
     component.  Rows with a null id take part, but name a component only if all its ids are null.
     """
-    keep = [id_col] if keep is None else keep
-    members = stage_table(jaccard_rows(docs, n, percent, id_col, text_col, list(dict.fromkeys([*keep, id_col]))), "jaccard-rows")
-    roots = jaccard_links(docs, members, n, percent, text_col).select(F.col("node").alias("row"), "root")
-    least = members.where("row is not null").groupBy("row").agg(F.min(id_col).alias("_least"))
-    named = least.join(roots, "row", "left").select("row", F.coalesce("root", "row").alias("_root"), "_least")
-    named = stage_table(named, "jaccard-named")
+    members = stage_table(jaccard_rows(docs, n, percent, id_col, text_col, [id_col]), "jaccard-rows")
+    roots = jaccard_links(docs, members, n, percent, text_col).select(F.col("node").alias("_row"), F.col("root").alias("_root"))
+    least = members.where("_row is not null").groupBy("_row").agg(F.min(id_col).alias("_least"))
+    named = stage_table(least.join(roots, "_row", "left").withColumn("_root", F.coalesce("_root", "_row")), "jaccard-named")
     smallest = named.groupBy("_root").agg(F.min("_least").alias("_smallest"))
-    lookup = named.join(smallest, "_root").select("row", F.col("_smallest"))
-    return members.join(lookup, "row", "left").select(
-        *keep, "n_shingles", F.when(F.col("row").isNull(), F.col(id_col)).otherwise(F.col("_smallest")).alias("component_id")
+    lookup = named.join(smallest, "_root").select("_row", "_smallest")
+    return members.join(lookup, "_row", "left").select(
+        id_col, F.col("_n_shingles").alias("n_shingles"), F.when(F.col("_row").isNull(), F.col(id_col)).otherwise(F.col("_smallest")).alias("component_id")
     )
 
 
-__all__ = ["gram_hashes", "jaccard_components", "jaccard_links", "jaccard_rows"]
+def drop_near_copies(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component: the one with the smallest id (null ids last; of rows
+    that share it, any one).  Documents without words stay."""
+    rows = docs.withColumn("_rid", F.monotonically_increasing_id())
+    members = stage_table(jaccard_rows(rows, n, percent, id_col, text_col, rows.columns), "jaccard-rows")
+    roots = jaccard_links(members, members, n, percent, text_col).select(F.col("node").alias("_row"), "root")
+    lead = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_rid").alias("rid"))
+    best = members.where("_row is not null").groupBy("_row").agg(F.min(lead).alias("lead")).join(roots, "_row", "left")
+    best = best.groupBy(F.coalesce("root", "_row")).agg(F.min("lead").alias("lead")).select(F.col("lead.rid").alias("_rid"))
+    stay = members.where("_row is not null").join(best, "_rid", "left_semi").unionByName(members.where("_row is null"))
+    return stay.select(docs.columns)
+
+
+__all__ = ["drop_near_copies", "gram_hashes", "jaccard_components", "jaccard_links", "jaccard_rows"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.bpe import bpe_decode, bpe_encode
 from tidewater.llm.common import documents
 from tidewater.llm.fertility import quality_rules
-from tidewater.llm.line_dedup import MIN_WORDS, drop_repeated_lines
+from tidewater.llm.line_dedup import MIN_WORDS, line_report
 from tidewater.llm.ngram_join import jaccard_components
 from tidewater.llm.packing import pack, token_pieces
 from tidewater.llm.quality import quality_scores
@@ -49,8 +49,7 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
-    return done.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    return line_report(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -207,21 +207,10 @@ def learn_lexicon(sample: DataFrame, terms: int = LEXICON_TERMS) -> dict[str, fl
     return {r.term: r.odds for r in rows}
 
 
-def toxicity_scores(
-    docs: DataFrame,
-    labels: DataFrame,
-    label: str = "toxic",
-    parts: int = 3,
-    held_out: int = 1,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    keep: list[str] | None = None,
-    threshold: float = 0.7,
-    sample_rows: int = SAMPLE_ROWS,
+def _scored(
+    docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, id_col: str, text_col: str, threshold: float, sample_rows: int, keep: list[str]
 ) -> DataFrame:
-    """The columns ``keep`` (default: the id), ``held_out``, ``score``, ``predicted`` and
-    ``n_hits``; ``keep`` may hold the text."""
-    keep = [id_col] if keep is None else keep
+    """``keep`` and, under names that no table has, ``_toxic_score`` and ``_toxic_predicted``."""
     spark = docs.sparkSession
     sample, counts = labelled_sample(docs, labels, label, parts, held_out, id_col, text_col, sample_rows)
     sample = stage_table(sample, "toxicity-sample")  # 2 * sample_rows texts at most
@@ -244,9 +233,42 @@ def toxicity_scores(
 
         return f
 
-    names = list(dict.fromkeys([*keep, id_col]))
-    made = map_texts(docs, score, {"score_": "double", "predicted_": "int"}, names, text_col)
-    return made.select(*keep, (fold(id_col, parts) == held_out).alias("held_out"), F.col("score_").alias("score"), F.col("predicted_").alias("predicted"))
+    return map_texts(docs, score, {"_toxic_score": "double", "_toxic_predicted": "int"}, keep, text_col)
+
+
+def toxicity_scores(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    parts: int = 3,
+    held_out: int = 1,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = 0.7,
+    sample_rows: int = SAMPLE_ROWS,
+) -> DataFrame:
+    """Per document: the id, ``held_out``, ``score`` and ``predicted`` (``score`` at ``threshold`` or more).
+    Without labels of both classes every score is the same."""
+    made = _scored(docs, labels, label, parts, held_out, id_col, text_col, threshold, sample_rows, [id_col])
+    return made.select(
+        id_col, (fold(id_col, parts) == held_out).alias("held_out"), F.col("_toxic_score").alias("score"), F.col("_toxic_predicted").alias("predicted")
+    )
+
+
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    parts: int = 3,
+    held_out: int = 1,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = 0.7,
+    sample_rows: int = SAMPLE_ROWS,
+) -> DataFrame:
+    """``docs`` without the documents whose score reaches ``threshold``."""
+    made = _scored(docs, labels, label, parts, held_out, id_col, text_col, threshold, sample_rows, docs.columns)
+    return made.where("_toxic_predicted = 0").select(docs.columns)
 
 
-__all__ = ["LEXICON_TERMS", "Lexicon", "is_quoted", "learn_lexicon", "toxicity_scores"]
+__all__ = ["LEXICON_TERMS", "Lexicon", "is_quoted", "learn_lexicon", "toxicity_scores", "drop_toxic"]
