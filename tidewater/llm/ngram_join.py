@@ -31,12 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import components, map_texts
+from tidewater.llm.tables import fixed_table, is_marked, marks
 from tidewater.session import stage_table
 
 #: Counters of the table by which columns are ordered: rarer ones first (4 bytes each).
 COUNTERS = 1 << 20
-#: The table travels in so many rows a task.
-COUNTER_BLOCKS = 64
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Hubs of a block and size class in the first pass; a row is compared with two of them.
 HUBS = 3
@@ -67,41 +66,6 @@ def least_overlap(size: np.ndarray, percent: int) -> np.ndarray:
     return -(-size * percent // 100)
 
 
-def _fixed_table(df: DataFrame, size: int, places, kind: str = "<u4") -> np.ndarray:
-    """Counts of a fixed size: ``places(batch)`` yields arrays of indices to count.
-
-    Every task counts its own rows, blocks of counters are added up in a second
-    stage, and ``size`` numbers reach the driver.
-    """
-    width, most = size // COUNTER_BLOCKS, np.iinfo(kind).max
-
-    def count(batches):
-        total = np.zeros(size, np.uint32)
-        for batch in batches:
-            for at in places(batch):
-                np.add.at(total, at, 1)
-        blocks = total.reshape(COUNTER_BLOCKS, width)
-        for b in np.nonzero(blocks.any(axis=1))[0]:
-            raw = np.minimum(blocks[b], most).astype(kind).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([int(b)], pa.int32()), pa.array([raw], pa.binary())], names=["block", "counts"])
-
-    def add(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[b] = total.get(b, 0) + np.frombuffer(raw, kind).astype(np.int64)
-        for b, v in total.items():
-            raw = np.minimum(v, most).astype(kind).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([raw], pa.binary())], names=["block", "counts"])
-
-    row = "block int, counts binary"
-    made = df.mapInArrow(count, row).repartition(COUNTER_BLOCKS, "block").mapInArrow(add, row)
-    out = np.zeros(size, kind)
-    for r in made.toLocalIterator():  # COUNTER_BLOCKS rows
-        out[r.block * width : (r.block + 1) * width] = np.frombuffer(r.counts, kind)
-    return out
-
-
 def _counter(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(44)).astype(np.int64)
 
@@ -117,7 +81,7 @@ def jaccard_rows(
     (null without words) and the columns that a partner can't miss altogether."""
     grams = docs.select(F.col(text_col).cast("string"))
     rare_ = docs.sparkSession.sparkContext.broadcast(  # COUNTERS numbers
-        _fixed_table(grams, COUNTERS, lambda batch: (_counter(gram_hashes(t, n)) for t in batch.column(0).to_pylist()))
+        fixed_table(grams, COUNTERS, lambda batch: (_counter(gram_hashes(t, n)) for t in batch.column(0).to_pylist()))
     )
 
     def make():
@@ -197,40 +161,13 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
     wanted = pairs.select("row").union(pairs.select(F.col("other").alias("row"))).distinct()
 
     def sets():
-        def f(texts):
-            rows, name, raw = [], [], []
-            seen = set()
-            for i, t in enumerate(texts):
-                s = gram_hashes(t, n)
-                key = _name(s)
-                if key not in seen:
-                    seen.add(key)
-                    rows.append(i)
-                    name.append(key)
-                    raw.append(s.tobytes())
-            return [rows, name, raw]
-
-        return f
-
-    mark = lambda name: int.from_bytes(name[:8], "little") % MARKS
-    marks = docs.sparkSession.sparkContext.broadcast(  # MARKS bits
-        np.packbits(_fixed_table(wanted, MARKS, lambda batch: [np.array([mark(r) for r in batch.column(0).to_pylist()], np.int64)], "u1") > 0)
-    )
-
-    def sets():
-        some = marks.value
+        bits = bits_.value
 
         def f(texts):
-            rows, name, raw = [], [], []
-            for i, t in enumerate(texts):
-                s = gram_hashes(t, n)
-                key = _name(s)
-                at = mark(key)
-                if some[at >> 3] >> (7 - (at & 7)) & 1:
-                    rows.append(i)
-                    name.append(key)
-                    raw.append(s.tobytes())
-            return [rows, name, raw]
+            found = [gram_hashes(t, n) for t in texts]
+            names = [_name(s) for s in found]
+            some = np.nonzero(is_marked(bits, place(names)))[0].tolist() if names else []
+            return [some, [names[i] for i in some], [found[i].tobytes() for i in some]]
 
         return f
 

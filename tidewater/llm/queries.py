@@ -16,6 +16,7 @@ from tidewater.llm.ngram_join import jaccard_components
 from tidewater.llm.packing import pack, token_pieces
 from tidewater.llm.quality import quality_scores
 from tidewater.llm.secrets import find_secrets
+from tidewater.llm.suffix_dedup import cut_repeats
 from tidewater.llm.toxicity import toxicity_scores
 from tidewater.llm.vector_join import embedding_components
 from tidewater.llm.vocab import Vocabulary
@@ -28,6 +29,10 @@ def op1_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = Vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     ids = bpe_encode(documents(spark, sf_dir), vocab, keep=["doc_id"]).withColumn("n_tokens", F.size("ids").cast("long"))
@@ -67,7 +72,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_embedding_near_dups, op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op6_ngram_jaccard, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_quality_rules)
+    made = (op1_embedding_near_dups, op2_suffix_dedup, op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op6_ngram_jaccard, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_quality_rules)
     return {f.__name__: f for f in made}
 
 
