@@ -36,6 +36,8 @@ from tidewater.session import stage_table
 
 #: Counters of the table by which columns are ordered: rarer ones first (4 bytes each).
 COUNTERS = 1 << 20
+#: Bits of the table that marks columns with two rows or more; fixed size (2 MB).
+COLUMN_MARKS = 1 << 24
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Hubs of a block and size class in the first pass; a row is compared with two of them.
 HUBS = 3
@@ -107,13 +109,30 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
     ``rows`` is what ``jaccard_rows`` gave for ``docs``, kept in a table."""
     docs = docs.select(F.col(text_col).cast("string").alias("_t"))
     sets = rows.where("_row is not null").groupBy(F.col("_row").alias("row")).agg(F.first("_n_shingles").alias("size"), F.first("_prefix").alias("prefix"))
-    # a smaller partner is met in its own first columns already: n - 2t / (1 + t) n + 1 of them
-    index = F.col("size") - F.ceil(F.col("size") * (2 * percent) / (100 + percent)) + 1
-    cells = sets.select("row", "size", index.alias("index"), F.posexplode("prefix").alias("at", "gram"))
-    cells = cells.select("gram", "row", "size", (F.col("at") < F.col("index")).alias("first"))
-    # a column with one row has no product
-    shared = cells.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
-    cells = stage_table(cells.join(shared, "gram"), "jaccard-cells")
+    sets = stage_table(sets, "jaccard-rows-once")
+    # a column with one row has no product; what the table marks besides does no harm
+    shared = sets.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(shared, COLUMN_MARKS, lambda batch: [batch.column(0).to_numpy() & (COLUMN_MARKS - 1)]))
+
+    def filter_cells(batches):
+        bits = bits_.value
+        for batch in batches:
+            sizes = batch.column(1).to_numpy()
+            lists = batch.column(2)
+            grams = lists.flatten().to_numpy()
+            wide = lists.value_lengths().to_numpy()
+            owner = np.repeat(np.arange(len(wide)), wide)
+            at = np.arange(len(grams)) - np.repeat(np.cumsum(wide) - wide, wide)
+            # a smaller partner is met in its own first columns already: n - 2t / (1 + t) n + 1 of them
+            first = at <= (sizes - -(-sizes * 2 * percent // (100 + percent)))[owner]
+            some = is_marked(bits, grams & (COLUMN_MARKS - 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams[some]), batch.column(0).take(pa.array(owner[some])), pa.array(sizes[owner[some]]), pa.array(first[some])],
+                names=["gram", "row", "size", "first"],
+            )
+
+    cells = sets.select("row", "size", "prefix").mapInArrow(filter_cells, "gram long, row binary, size long, first boolean")
+    cells = stage_table(cells, "jaccard-cells")
 
     # first pass: each row with hubs of its own and the next lower size class; classes are wider
     # than what may lie between the sizes of partners
@@ -160,6 +179,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
     pairs = stage_table(pairs, "jaccard-pairs")
     wanted = pairs.select("row").union(pairs.select(F.col("other").alias("row"))).distinct()
 
+    place = lambda names: np.array([int.from_bytes(x[:8], "little") % MARKS for x in names], np.int64)
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(wanted, MARKS, lambda batch: [place(batch.column(0).to_pylist())]))  # MARKS bits
+
     def sets():
         bits = bits_.value
 
@@ -172,7 +194,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
         return f
 
     full = map_texts(docs, sets, {"row": "binary", "grams": "binary"}, [], "_t", explode=True)
-    full = stage_table(full.join(wanted, "row", "left_semi").dropDuplicates(["row"]), "jaccard-sets")
+    full = stage_table(full.dropDuplicates(["row"]), "jaccard-sets")  # the few that are marked by chance find no pair
     met = pairs.join(full, "row").join(full.select(F.col("row").alias("other"), F.col("grams").alias("other_grams")), "other")
 
     def overlap(batches):
