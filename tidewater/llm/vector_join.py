@@ -5,16 +5,15 @@ distance of ``2 - 2t`` or less.  A fixed random rotation spreads the variance
 evenly, and the rotated dimensions are split into low-dimensional blocks.  If
 two vectors are within the budget, then in one block at least they are within
 the block's share of it (shares are proportional to the blocks' dimensions).
-So each block is range-joined on its own: its first dimensions are cut into
-cells, a vector is at home in one cell and a guest in the neighbour cells that
-lie within the block's budget, and the members of a cell are compared.
-
-A pair is counted once: in the first block whose budget it meets, and in the
-cell where the vector of smaller key is at home.  What a block proposes is
-verified by the cosine in double precision.  Equal vectors are one member with
-a count.  A full cell is cut into tiles, and each pair of tiles is a task of
-its own, so a group of near copies is spread.  A task returns, per vector, how
-many it is linked with and one member of its group there: never the pairs.
+So each block is range-joined on its own: both sides are sorted by the block's
+first coordinate, only the band within the block's radius is compared, and what
+stays within the block's share is a candidate.  The union of the candidates of
+all blocks is verified by the cosine in double precision.
+
+Equal vectors are one member with a count.  Members are dealt to tiles by a
+hash, and each pair of tiles is a task of bounded size, so a group of near
+copies is spread like everything else.  A task returns, per vector, how many it
+is linked with and one member of its group there: never the pairs.
 """
 
 from __future__ import annotations
@@ -30,10 +29,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import components
 from tidewater.session import stage_table
 
-#: Dimensions of a block; rows of a tile, about; rows that a cell should hold at most (more: one more cut dimension).
-BLOCK_DIMS, TILE_ROWS, CELL_ROWS = 8, 1_024, 1_500
-#: A cell is so many budgets wide.
-CELL_WIDTHS = 3.0
+#: Dimensions of a block; members of a tile, about; rows that are compared with a band at a time.
+BLOCK_DIMS, TILE_ROWS, STRIP = 8, 2_048, 256
 #: Slack of the filters, far above rounding errors; the verification has none.
 SLACK = 1e-9
 
@@ -57,45 +54,26 @@ def _shape(vector, budget: float):
     return blocks, np.array([budget * (e - s) / dims for s, e in blocks]), rotation(dims)
 
 
-def _cells(x: np.ndarray, radius: float, cut: int) -> tuple[list[int], list[int], list[bool]]:
-    """Rows, cells and whether at home: a row's own cell and those within ``radius`` of it,
-    by the first ``cut`` dimensions of a block."""
-    side = CELL_WIDTHS * radius
-    home = np.floor(x[:, :cut] / side).astype(np.int64)
-    left = x[:, :cut] - home * side
-    rows, cells, at_home = np.arange(len(x)), np.zeros(len(x), np.int64), np.ones(len(x), bool)
-    room = np.full(len(x), radius * radius + SLACK)
-    for k in range(cut):
-        low = left[rows, k] ** 2
-        high = (side - left[rows, k]) ** 2
-        parts = []
-        for move, cost in ((0, np.zeros(len(rows))), (-1, low), (1, high)):
-            ok = cost <= room
-            code = (cells[ok] * 131 + home[rows[ok], k] + move + 64)
-            parts.append((rows[ok], code, at_home[ok] & (move == 0), room[ok] - cost[ok]))
-        rows, cells, at_home, room = (np.concatenate(p) for p in zip(*parts, strict=True))
-    return rows, cells, at_home
-
-
-def _link_tile(a, b, same: bool, blocks, block: int, share: np.ndarray, cosine: float):
-    """Links between two tiles of a cell: index arrays into a and b."""
-    lo, hi = blocks[block]
-    xa, xb = a["rot"][:, lo:hi], b["rot"][:, lo:hi]
-    gap = (xa**2).sum(1)[:, None] + (xb**2).sum(1)[None, :] - 2 * xa @ xb.T
-    i, j = np.nonzero(gap <= share[block] + SLACK)
-    ka, kb = a["key"][i], b["key"][j]
-    home = np.where(ka < kb, a["home"][i], b["home"][j])
-    keep = home & ((ka < kb) if same else (ka != kb))
-    i, j = i[keep], j[keep]
-    if not len(i):
-        return i, j
-    first = np.ones(len(i), bool)
-    for k in range(block):
-        s, e = blocks[k]
-        first &= ((a["rot"][i, s:e] - b["rot"][j, s:e]) ** 2).sum(1) > share[k] + SLACK
-    i, j = i[first], j[first]
-    exact = np.einsum("ij,ij->i", a["unit"][i], b["unit"][j]) >= cosine
-    return i[exact], j[exact]
+def _candidates(a: np.ndarray, b: np.ndarray, blocks, share: np.ndarray) -> np.ndarray:
+    """Codes i * len(b) + j of the pairs that meet one block's share at least."""
+    found = []
+    for (lo, hi), most in zip(blocks, share, strict=True):
+        oa, ob = np.argsort(a[:, lo]), np.argsort(b[:, lo])
+        xa, xb = a[oa, lo:hi], b[ob, lo:hi]
+        na, nb = (xa**2).sum(1), (xb**2).sum(1)
+        radius = math.sqrt(most + SLACK)
+        for at in range(0, len(xa), STRIP):
+            part = xa[at : at + STRIP]
+            s = np.searchsorted(xb[:, 0], part[0, 0] - radius)
+            e = np.searchsorted(xb[:, 0], part[-1, 0] + radius, side="right")
+            if s == e:
+                continue
+            gap = part @ xb[s:e].T
+            gap *= -2
+            gap += nb[None, s:e]
+            i, j = np.nonzero(gap <= (most + SLACK - na[at : at + STRIP])[:, None])
+            found.append(oa[i + at] * len(b) + ob[j + s])
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
 def _group(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -130,13 +108,13 @@ def _unit(vectors: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def embedding_links(
-    vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding"
+    vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", tile_rows: int = TILE_ROWS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, counts, roots): each row's id and member ``key`` (null if it links with
     nothing), per key the number of links to other keys' rows, and components over keys.
     Vectors of different lengths never link."""
     spark = vectors.sparkSession
-    shown = vectors.schema[id_col].dataType.simpleString()
+    shown, kind = (vectors.schema[c].dataType.simpleString() for c in (id_col, vector_col))
 
     def read(batches):
         for batch in batches:
@@ -144,78 +122,50 @@ def embedding_links(
                 part = batch.slice(at, 2048)
                 ok, units = _unit(part.column(1).to_pylist())
                 units = iter(units)
-                unit = [next(units).tolist() if o else None for o in ok]
-                key = [hashlib.blake2b(np.array(u).tobytes(), digest_size=16).hexdigest() if u else None for u in unit]
+                made = [next(units) if o else None for o in ok]
+                key = [None if u is None else hashlib.blake2b((u + 0.0).tobytes(), digest_size=16).hexdigest() for u in made]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(key, pa.string()), pa.array([len(u) if u else 0 for u in unit], pa.int32()), pa.array(unit, pa.list_(pa.float64()))],
-                    names=["id", "key", "dims", "unit"],
+                    [part.column(0), pa.array(key, pa.string()), pa.array([0 if u is None else len(u) for u in made], pa.int32()), part.column(1)],
+                    names=["id", "key", "dims", "vector"],
                 )
 
-    table = stage_table(
-        vectors.select(F.col(id_col).alias("id"), F.col(vector_col)).mapInArrow(read, f"id {shown}, key string, dims int, unit array<double>"), "vector-rows"
-    )
+    table = vectors.select(F.col(id_col).alias("id"), F.col(vector_col)).mapInArrow(read, f"id {shown}, key string, dims int, vector {kind}")
+    table = stage_table(table, "vector-rows")
     rows = table.select("id", "key")
-    members = table.where("key is not null").groupBy("key").agg(F.first("dims").alias("dims"), F.first("unit").alias("unit"), F.count("*").alias("copies"))
+    members = table.where("key is not null").groupBy("key").agg(F.first("dims").alias("dims"), F.first("vector").alias("vector"), F.count("*").alias("copies"))
     members = stage_table(members, "vector-members")
-    sizes = {r.dims: r["count"] for r in members.groupBy("dims").count().collect()}  # one row per vector length
+    sizes = members.groupBy("dims").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("tiles"))
+    dealt = members.join(sizes, "dims").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = dealt.select("dims", F.least("tile", "other").alias("p"), F.greatest("tile", "other").alias("q"), "tile", "key", "vector", "copies")
     budget = 2 - 2 * cosine
-    found = None
-    for dims, n in sizes.items():
+
+    def link(group: pa.Table) -> pa.Table:
+        dims, p, q = (group.column(c)[0].as_py() for c in ("dims", "p", "q"))
         blocks = _blocks(dims)
-        share = budget * min(e - s for s, e in blocks) / dims
-        # cells per cut dimension: about 0.7 / side; cut until a cell holds CELL_ROWS, or the block has no more
-        side = CELL_WIDTHS * math.sqrt(share)
-        split = max(1.5, 2.5 / (math.sqrt(dims) * side))
-        cut = min(min(e - s for s, e in blocks), max(1, math.ceil(math.log(max(n / CELL_ROWS, 1.01)) / math.log(split))))
-
-        def deal(batches, dims=dims, cut=cut):
-            blocks, share, turn = _shape(range(dims), budget)
-            for batch in batches:
-                for at in range(0, batch.num_rows, 512):
-                    part = batch.slice(at, 512)
-                    unit = np.array(part.column(1).to_pylist(), dtype=np.float64)
-                    rot = unit @ turn
-                    for b, (s, e) in enumerate(blocks):
-                        r, cell, home = _cells(rot[:, s:e], math.sqrt(float(share[b])), cut)
-                        t = part.take(pa.array(r, pa.int64()))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(r), b, np.int32)), pa.array(cell), pa.array(home), t.column(0), t.column(1), t.column(2)],
-                            names=["block", "cell", "home", "key", "unit", "copies"],
-                        )
-
-        dealt = members.where(F.col("dims") == dims).select("key", "unit", "copies").mapInArrow(
-            deal, "block int, cell long, home boolean, key string, unit array<double>, copies long"
+        share = np.array([budget * (e - s) / dims for s, e in blocks])
+        key, copies = group.column("key").to_pylist(), group.column("copies").to_numpy()
+        unit = np.array(_unit(group.column("vector").to_pylist())[1])
+        turned = unit @ rotation(dims)
+        tile = group.column("tile").to_numpy()
+        left, right = np.nonzero(tile == p)[0], np.nonzero(tile == q)[0]
+        pairs = _candidates(turned[left], turned[right], blocks, share)
+        i, j = left[pairs // max(len(right), 1)], right[pairs % max(len(right), 1)]
+        if p == q:
+            i, j = i[i < j], j[i < j]
+        linked = [np.einsum("ij,ij->i", unit[i[at : at + 65_536]], unit[j[at : at + 65_536]]) >= cosine for at in range(0, len(i), 65_536)]
+        linked = np.concatenate(linked) if linked else np.zeros(0, bool)
+        i, j = i[linked], j[linked]
+        links = np.zeros(len(key), np.int64)
+        np.add.at(links, i, copies[j])
+        np.add.at(links, j, copies[i])
+        some = np.nonzero(links)[0]
+        root = _group(len(key), i, j)[some]
+        return pa.table(
+            {"key": pa.array([key[x] for x in some], pa.string()), "links": pa.array(links[some]), "root": pa.array([key[x] for x in root], pa.string())}
         )
-        dealt = stage_table(dealt, "vector-cells")
-        cells = dealt.groupBy("block", "cell").agg(F.count("*").alias("n")).withColumn("tiles", F.ceil(F.col("n") / TILE_ROWS).cast("int"))
-        spread = dealt.join(cells.where("n > 1").select("block", "cell", "tiles"), ["block", "cell"])
-        spread = spread.withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
-        spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        spread = spread.select("block", "cell", F.least("tile", "other").alias("p"), F.greatest("tile", "other").alias("q"), "tile", "home", "key", "unit", "copies")
-
-        def link(group: pa.Table) -> pa.Table:
-            blocks, share, turn = _shape(group.column("unit")[0].as_py(), budget)
-            block, p, q = (group.column(c)[0].as_py() for c in ("block", "p", "q"))
-            key, copies = np.array(group.column("key").to_pylist(), dtype=str), group.column("copies").to_numpy()
-            tile, home = group.column("tile").to_numpy(), np.array(group.column("home").to_pylist(), bool)
-            unit = np.array(group.column("unit").to_pylist(), dtype=np.float64)
-            rot = unit @ turn
-            side = lambda at: {"key": key[at], "home": home[at], "unit": unit[at], "rot": rot[at]}
-            left = np.nonzero(tile == p)[0]
-            right = left if p == q else np.nonzero(tile == q)[0]
-            i, j = _link_tile(side(left), side(right), p == q, blocks, block, share, cosine)
-            i, j = left[i], right[j]
-            links = np.zeros(len(key), np.int64)
-            np.add.at(links, i, copies[j])
-            np.add.at(links, j, copies[i])
-            some = np.nonzero(links)[0]
-            root = _group(len(key), i, j)
-            return pa.table({"key": pa.array(key[some].tolist(), pa.string()), "links": pa.array(links[some]), "root": pa.array(key[root[some]].tolist(), pa.string())})
-
-        made = spread.groupBy("block", "cell", "p", "q").applyInArrow(link, "key string, links long, root string")
-        found = made if found is None else found.unionByName(made)
-    if found is None:
-        found = spark.createDataFrame([], "key string, links long, root string")
+
+    found = dealt.groupBy("dims", "p", "q").applyInArrow(link, "key string, links long, root string")
     found = stage_table(found, "vector-links")
     counts = found.groupBy("key").agg(F.sum("links").alias("links"))
     return rows, counts, components(found.select(F.col("key").alias("a"), F.col("root").alias("b")).distinct(), "vector")
