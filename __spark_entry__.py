@@ -22,12 +22,13 @@ from tidewater.functions.scalars import (
     iso_time,
     message_from_json,
     message_to_json,
+    parse_iso,
     parse_target_list,
     run_name,
     run_stem,
     strip_text,
 )
-from tidewater.functions.tokens import CharTokenizer, LocalTokenizer
+from tidewater.functions.tokens import CharTokenizer, LocalTokenizer, PandasTokenizer
 from tidewater.operators.batching import assign_batches, batch_items, batch_stats, oversized_rows
 from tidewater.operators.channels import channel_directory
 from tidewater.operators.dedup import add_dup_count, prebatch, text_counts
@@ -40,8 +41,15 @@ from tidewater.operators.filters import (
 from tidewater.operators.ordering import merge_sorted
 from tidewater.operators.paging import cap_per_channel, channel_stops, paged_pull, pull_stats
 from tidewater.operators.stats import fetch_stats
-from tidewater.plans.curate import curate, survivor_tokens, with_tokens
-from tidewater.plans.fetch import fetch, requested_channels, to_messages
+from tidewater.plans.curate import curate, run_prebatch, survivor_tokens, with_tokens
+from tidewater.plans.fetch import (
+    fetch,
+    next_watermark,
+    requested_channels,
+    resolve_window,
+    run_fetch,
+    to_messages,
+)
 from tidewater.records import PY_WS
 from tidewater.sources.adapters import (
     dialogs_from_customers,
@@ -49,7 +57,20 @@ from tidewater.sources.adapters import (
     raw_from_events,
     table,
 )
-from tidewater.sources.store import list_runs, read_run_by_index, render_batches
+from tidewater.session import scratch_path
+from tidewater.sources.store import (
+    list_store_runs,
+    read_json_docs,
+    read_messages,
+    read_prompts,
+    read_runs,
+    read_store_run,
+    read_watermark,
+    render_batches,
+    write_json,
+    write_messages,
+    write_watermark,
+)
 from tidewater.streaming.incremental import streaming_curate, streaming_pull
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
@@ -64,6 +85,8 @@ PAGES = 5  # page cap in the parity pulls
 TOP = 25  # per-channel row cap
 RECORD = ["id", "channel_id", "channel_handle", "time", "text"]
 TARGET_SEGMENT = "BUILDING"
+HIDDEN_RUNS = ["es"]
+LATE_TYPE = "purchase"  # events of this type land after the first poll
 CHUNK_ROWS = 100  # small chunks force the split-run path of the batcher
 MARK_SQL = "TIMESTAMP '2024-01-15 00:00:00'"
 END_SQL = "TIMESTAMP '2024-01-22 00:00:00'"
@@ -178,7 +201,7 @@ def q_validate_messages(spark, sf):
 
 def q_parse_iso(spark, sf):
     m = _varied_times(spark, sf)
-    return m.select("id", is_iso_time("time").alias("parses"))
+    return m.select("id", is_iso_time("time").alias("parses"), iso_time(parse_iso("time"), source="ltz").alias("instant"))
 
 
 def q_incremental_since(spark, sf):
@@ -238,7 +261,7 @@ def q_channel_stops(spark, sf):
 def q_channel_stops_incremental(spark, sf):
     raw = _raw(spark, sf)
     earlier = channel_stops(raw, EARLIER_MARK)
-    return channel_stops(raw, MARK, previous=earlier, previous_mark=EARLIER_MARK)
+    return channel_stops(raw, MARK, previous=earlier)
 
 
 def q_merge_sorted(spark, sf):
@@ -268,7 +291,7 @@ def q_text_counts(spark, sf):
 
 
 def q_prebatch(spark, sf):
-    return prebatch(_docs(spark, sf), text="text", order="pos", partition="run", method="window")
+    return prebatch(_docs(spark, sf))
 
 
 def q_prebatch_hashed(spark, sf):
@@ -334,8 +357,7 @@ def q_batch_documents_full(spark, sf):
         "batch_no",
         "file_name",
         F.size(F.from_json("document", "map<string,string>")).cast("long").alias("n_items"),
-        F.char_length("document").cast("long").alias("doc_chars"),
-        F.octet_length("document").cast("long").alias("doc_bytes"),
+        F.md5("document").alias("doc_md5"),
     )
 
 
@@ -347,12 +369,95 @@ def q_json_round_trip(spark, sf):
     return decoded.select(*[F.col("m")[c].alias(c) for c in conv.columns])
 
 
+def _stored_runs(spark, sf):
+    """A store that holds the documents' messages, one run per language."""
+    return write_messages(_docs(spark, sf), scratch_path(spark, "runs"))
+
+
 def q_run_listing(spark, sf):
-    return list_runs(_docs(spark, sf))
+    return list_store_runs(spark, _stored_runs(spark, sf))
+
+
+def q_hidden_runs(spark, sf):
+    return list_store_runs(spark, _stored_runs(spark, sf), hide=HIDDEN_RUNS)
 
 
 def q_run_by_index(spark, sf):
-    return read_run_by_index(_docs(spark, sf), 0).select("id", "run", "pos")
+    return read_store_run(spark, _stored_runs(spark, sf), 0).select("id", "run", "pos")
+
+
+def q_store_round_trip(spark, sf):
+    """Runs written twice and read back whole; the second write replaces the first."""
+    path = _stored_runs(spark, sf)
+    write_messages(_docs(spark, sf), path)
+    return read_messages(spark, path).select("id", "channel_id", "channel_handle", "time", F.md5("text").alias("text_md5"), "pos", "run")
+
+
+def q_prebatch_store(spark, sf):
+    path = run_prebatch(_docs(spark, sf), scratch_path(spark, "prebatch"))
+    return read_runs(spark, path).select("id", "run", "pos", "dup_count")
+
+
+def q_json_sink(spark, sf):
+    conv = table(spark, sf, "conversations")
+    path = write_json(conv, scratch_path(spark, "json"))
+    return spark.read.schema(conv.schema).json(path)
+
+
+def q_json_docs(spark, sf):
+    """One JSON document per language, written as text files and read back as documents."""
+    docs = table(spark, sf, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+    path = scratch_path(spark, "json-docs")
+    docs.select(F.col("lang").alias("part"), F.to_json(F.struct("lang", "n", "chars")).alias("value")).write.partitionBy("part").text(path)
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("n", T.LongType()), T.StructField("chars", T.LongType())])
+    return read_json_docs(spark, path, schema).select("doc.lang", "doc.n", "doc.chars")
+
+
+def q_prompt_files(spark, sf):
+    """The longest text of each source as a prompt file, read back byte for byte."""
+    path = scratch_path(spark, "prompts")
+    longest = table(spark, sf, "documents").groupBy("source").agg(F.max_by("text", F.struct("n_chars", "doc_id")).alias("value"))
+    longest.select("source", "value").write.partitionBy("source").option("lineSep", "\n").text(path)
+    return read_prompts(spark, path).select(F.md5("text").alias("text_md5"), F.octet_length("text").cast("long").alias("n_bytes"))
+
+
+def q_mark_window(spark, sf):
+    """The window of a poll at the newest event, from a stored mark that was replaced once."""
+    first, last = table(spark, sf, "events").agg(F.min("ts"), F.max("ts")).first()
+    path = scratch_path(spark, "mark")
+    utc = lambda t: t.replace(tzinfo=_dt.timezone.utc)
+    write_watermark(spark, path, utc(last))
+    write_watermark(spark, path, utc(first))
+    start, end = resolve_window(read_watermark(spark, path), utc(last))
+    return spark.createDataFrame(
+        [(start.isoformat(), end.isoformat(), next_watermark(end).isoformat())], "window_start string, window_end string, next_mark string"
+    )
+
+
+def _late_poll(spark, sf, state):
+    """The second of two polls; rows of one type land only after the first, however old they are."""
+    raw, base = _raw(spark, sf), scratch_path(spark, "late-poll")
+    late = table(spark, sf, "events").filter(F.col("event_type") == LATE_TYPE).select(F.col("event_id").alias("id"))
+    state_path = f"{base}/state" if state else None
+    utc = lambda t: t.replace(tzinfo=_dt.timezone.utc)
+    for landed, now in ((raw.join(late, on="id", how="left_anti"), MARK), (raw, END)):
+        run, _ = run_fetch(
+            landed, _dialogs(spark, sf), _targets(spark, sf), f"{base}/runs", f"{base}/mark", utc(now), state_path=state_path
+        )
+    return read_messages(spark, f"{base}/runs", run=run).select("id", "channel_id", "channel_handle", "time", "text", "pos")
+
+
+def q_late_rows(spark, sf):
+    return _late_poll(spark, sf, state=False)
+
+
+def q_late_rows_with_state(spark, sf):
+    return _late_poll(spark, sf, state=True)
+
+
+def q_model_tokens(spark, sf):
+    """Token counts by a Python counter (words) on the record's text."""
+    return _docs(spark, sf).select("id", PandasTokenizer(lambda: lambda text: len(text.split(" "))).count("text").alias("tokens"))
 
 
 def q_curated_batches(spark, sf):
@@ -410,6 +515,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_round_trip": q_json_round_trip,
     "run_listing": q_run_listing,
     "run_by_index": q_run_by_index,
+    "hidden_runs": q_hidden_runs,
+    "store_round_trip": q_store_round_trip,
+    "prebatch_store": q_prebatch_store,
+    "json_sink": q_json_sink,
+    "json_docs": q_json_docs,
+    "prompt_files": q_prompt_files,
+    "mark_window": q_mark_window,
+    "late_rows": q_late_rows,
+    "late_rows_with_state": q_late_rows_with_state,
+    "model_tokens": q_model_tokens,
     "curated_batches": q_curated_batches,
     "streaming_curate": q_streaming_curate,
     "streaming_pull": q_streaming_pull,
@@ -605,7 +720,9 @@ SELECT event_id, name AS file_name, regexp_replace(name, '[.]json$', '') AS run
     "validate_messages": f"""WITH {_MSGS},{_VARIED}
 SELECT id, time, {_ISO_OK} AS is_valid FROM varied""",
     "parse_iso": f"""WITH {_MSGS},{_VARIED}
-SELECT id, {_ISO_OK} AS parses FROM varied""",
+SELECT id, {_ISO_OK} AS parses,
+       CASE WHEN {_ISO_OK} THEN {_ISO.format(c="TRY_CAST(regexp_replace(time, '(Z|[+]00:00)$', '') AS TIMESTAMP)")} END AS instant
+FROM varied""",
     "incremental_since": f"""WITH {_RAW}
 SELECT id, channel_id, {_ISO.format(c='date')} AS time FROM raw WHERE date > {MARK_SQL}""",
     "incremental_bounded": f"""WITH {_RAW}
@@ -702,8 +819,7 @@ docs AS (
   FROM labeled l JOIN pre p ON p.run = l.run AND p.pos = l.pos
   GROUP BY l.run, l.batch_no)
 SELECT run, batch_no, batch_no || 'of' || total_batches || '.json' AS file_name,
-       CAST(n_items AS BIGINT) AS n_items, CAST(length(document) AS BIGINT) AS doc_chars,
-       CAST(strlen(document) AS BIGINT) AS doc_bytes
+       CAST(n_items AS BIGINT) AS n_items, md5(document) AS doc_md5
 FROM docs""",
     "json_round_trip": "SELECT conv_id, turn, role, text FROM conversations",
     "run_listing": """
@@ -713,6 +829,26 @@ SELECT idx, run, idx || ': ' || run AS line FROM (
     "run_by_index": """
 SELECT doc_id AS id, lang AS run, doc_id AS pos FROM documents
 WHERE lang = (SELECT min(lang) FROM documents)""",
+    "hidden_runs": f"""
+SELECT idx, run, idx || ': ' || run AS line FROM (
+  SELECT CAST(row_number() OVER (ORDER BY lang) - 1 AS BIGINT) AS idx, lang AS run
+  FROM (SELECT DISTINCT lang FROM documents WHERE lang NOT IN ({', '.join(_sql_str(r) for r in HIDDEN_RUNS)})))""",
+    "store_round_trip": f"""WITH {_MSGS}
+SELECT id, channel_id, channel_handle, time, md5(text) AS text_md5, pos, run FROM msgs""",
+    "prebatch_store": f"WITH {_MSGS},{_PRE}\nSELECT id, run, pos, dup_count FROM pre",
+    "json_sink": "SELECT conv_id, turn, role, text FROM conversations",
+    "json_docs": """
+SELECT lang, CAST(count(*) AS BIGINT) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY lang""",
+    "prompt_files": """
+SELECT md5(t) AS text_md5, CAST(strlen(t) AS BIGINT) AS n_bytes
+FROM (SELECT arg_max(text, (n_chars, doc_id)) || chr(10) AS t FROM documents GROUP BY source)""",
+    "mark_window": """
+SELECT s AS window_start, e AS window_end, e AS next_mark FROM (
+  SELECT strftime(min(ts), '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(min(ts)) % 1000000 = 0 THEN '' ELSE strftime(min(ts), '.%f') END || '+00:00' AS s,
+         strftime(max(ts), '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond(max(ts)) % 1000000 = 0 THEN '' ELSE strftime(max(ts), '.%f') END || '+00:00' AS e
+  FROM events)""",
+    "model_tokens": f"""WITH {_MSGS}
+SELECT id, CAST(len(string_split(text, ' ')) AS BIGINT) AS tokens FROM msgs""",
     "curated_batches": f"""{_BATCHED}
 SELECT run, batch_no, max(total_batches) AS total_batches,
        batch_no || 'of' || max(total_batches) || '.json' AS file_name,
@@ -728,6 +864,10 @@ FROM labeled GROUP BY run, batch_no""",
 }
 
 
+for _name in ("late_rows", "late_rows_with_state"):
+    _ORACLES[_name] = _ORACLES["fetch_run"]
+
+
 def oracle_sql() -> dict[str, str]:
     return (
         dict(_ORACLES)

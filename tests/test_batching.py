@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from next_fit import next_fit_reference
 
 from tidewater.operators.batching import (
     _chain_depth,
@@ -9,7 +10,6 @@ from tidewater.operators.batching import (
     _step_function,
     assign_batches,
     batch_stats,
-    next_fit_reference,
 )
 
 
@@ -173,3 +173,23 @@ def test_negative_tokens_rejected():
 
     with pytest.raises(ValueError):
         _label_segment(np.array([3, -1, 2]), 5, (0, 0, 0))
+
+
+def test_unknown_tokens_are_reported_and_bad_positions_raise(spark):
+    from tidewater.operators.batching import oversized_rows
+
+    kind = "run string, pos long, tokens long"
+    df = spark.createDataFrame([("a", 0, 3), ("a", 1, None), ("a", 2, 99), ("b", 0, 2)], kind)
+    kept, aside = assign_batches(df, 10), oversized_rows(df, 10)
+    assert kept.count() + aside.count() == df.count() and aside.count() == 2
+    with pytest.raises(ValueError, match="no 'pos'"):
+        assign_batches(spark.createDataFrame([("a", None, 1), ("a", 1, 1)], kind), 10)
+    for chunk in (1, 100):
+        with pytest.raises(Exception, match="repeated"):
+            assign_batches(spark.createDataFrame([("a", 1, 1), ("a", 1, 1), ("a", 2, 1)], kind), 10, rows_per_chunk=chunk).collect()
+
+
+@pytest.mark.parametrize("tok", [1, 16, 50])
+def test_uniform_counts_over_many_chunks(spark, tok):
+    rows = [("hot", p, tok) for p in range(3_000)] + [("cold", p, tok) for p in range(70)]
+    assert _spark_labels(spark, rows, 8_000, 140) == _expected(rows, 8_000)

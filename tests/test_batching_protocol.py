@@ -4,12 +4,13 @@ import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from next_fit import next_fit_reference
+
 from tidewater.operators.batching import (
+    _make_chunk_labeller,
     _make_labeller,
+    _make_planner,
     _make_summariser,
-    _plan_chunks,
-    _Summary,
-    next_fit_reference,
 )
 
 
@@ -30,28 +31,14 @@ def _run_protocol(rows, cap, cuts):
             )
         )
     summarise = _make_summariser(cap, "run", "pos", "tokens")
-    summaries = []
-    for frame in chunks:
-        for out in summarise(iter([frame])):
-            for r in out.to_dict("records"):
-                summaries.append(
-                    _Summary(
-                        chunk=r["chunk"],
-                        n_segments=r["n_segments"],
-                        first_run=r["first_run"],
-                        last_run=r["last_run"],
-                        first_fresh=tuple(r["first_fresh"]),
-                        last_fresh=tuple(r["last_fresh"]),
-                        steps=(list(r["thr"]), list(r["depth"]), list(r["out_c"]), list(r["out_r"])),
-                    )
-                )
-    incoming, first_total, last_total = _plan_chunks(summaries, cap)
-    label = _make_labeller(cap, "run", "pos", "tokens", incoming, first_total, last_total)
+    summaries = pd.concat([out for frame in chunks for out in summarise(iter([frame]))], ignore_index=True)
+    pieces = [summaries.iloc[:3], summaries.iloc[3:]]  # as it may arrive in batches
+    plan = pd.concat(list(_make_planner(cap)(iter(pieces))), ignore_index=True)
+    label = _make_chunk_labeller(cap, "run", "pos", "tokens")
     got = {}
-    for frame in chunks:
-        for out in label(iter([frame])):
-            for r in out.itertuples(index=False):
-                got[(r[0], r[1])] = (r[2], r[3], r[4])
+    for k, frame in enumerate(chunks):
+        for r in label(frame, plan[plan["__chunk"] == k]).itertuples(index=False):
+            got[(r[0], r[1])] = (r[2], r[3], r[4])
     return got
 
 
@@ -107,7 +94,7 @@ def test_labeller_sorts_unordered_chunks():
     assert _in_run_order(ordered["run"], ordered["pos"])
     shuffled = ordered.sample(frac=1.0, random_state=3).reset_index(drop=True)
     assert not _in_run_order(shuffled["run"], shuffled["pos"])
-    label = _make_labeller(6, "run", "pos", "tokens", {}, {}, {})
+    label = _make_labeller(6, "run", "pos", "tokens")
     a = pd.concat(list(label(iter([ordered])))).sort_values(["__run", "__pos"]).reset_index(drop=True)
     b = pd.concat(list(label(iter([shuffled])))).sort_values(["__run", "__pos"]).reset_index(drop=True)
     assert a.equals(b)

@@ -13,6 +13,7 @@ from tidewater.sources.store import (
     load_prompt,
     read_json_docs,
     read_message_files,
+    read_messages,
     read_prompts,
     read_run_by_index,
     read_runs,
@@ -28,13 +29,19 @@ NOW = dt.datetime(2024, 3, 8, 12, 0, tzinfo=dt.timezone.utc)
 
 
 def test_prompt_round_trip(spark, tmp_dir):
-    text = "prompt example\nexample prompt\nprompt example\n"
-    with open(os.path.join(tmp_dir, "first_filter.md"), "w", encoding="utf-8") as f:
-        f.write(text)
-    assert load_prompt(spark, tmp_dir, "first_filter.md") == text
-    assert [tuple(r) for r in read_prompts(spark, tmp_dir).collect()] == [("first_filter.md", text)]
+    texts = {"sum up + rank 50%.txt": "Sum up.\r\nThen rank:\n{rows}", "kürzen.md": "Kürze.\n", "empty file": ""}
+    for name, text in texts.items():
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(text.encode())
+    # Spark's readers pass over files without a byte
+    assert {r.prompt_name: r.text for r in read_prompts(spark, tmp_dir).collect()} == {n: t for n, t in texts.items() if t}
+    for name, text in texts.items():
+        assert load_prompt(spark, tmp_dir, name) == text
+    with open(os.path.join(tmp_dir, "latin"), "wb") as f:
+        f.write("Größe".encode("latin-1"))
+    assert load_prompt(spark, tmp_dir, "latin", encoding="ISO-8859-1") == "Größe"
     with pytest.raises(FileNotFoundError):
-        load_prompt(spark, tmp_dir, "not_exist.md")
+        load_prompt(spark, tmp_dir, "nothing here")
 
 
 def test_runs_store_and_index(spark, tmp_dir):
@@ -290,7 +297,6 @@ def test_fetch_without_broadcast_fallback(spark, monkeypatch):
     start = dt.datetime(2024, 3, 2)
     with_bc = sorted(tuple(r) for r in fetch(raw, dialogs, targets, start).collect())
     monkeypatch.setattr(filters_mod, "MAX_BROADCAST_TARGETS", 0)
-    monkeypatch.setattr(fetch_mod, "MAX_BROADCAST_TARGETS", 0)
     side, bounded = fetch_mod._requested(dialogs, targets)
     assert bounded is False
     without = sorted(tuple(r) for r in fetch(raw, dialogs, targets, start).collect())
@@ -316,3 +322,82 @@ def test_shared_dir_requires_setting_on_cluster():
 
     with pytest.raises(RuntimeError):
         shared_dir(_Session())
+
+
+def test_empty_runs_are_listed_and_replaced(spark, tmp_dir):
+    from tidewater.sources.store import list_store_runs, read_store_run
+
+    store = os.path.join(tmp_dir, "runs")
+    message = "id long, channel_id long, channel_handle string, time string, text string, pos long, run string"
+    some = [(1, 7, "@a", "2024-01-01T00:00:00+00:00", "x", 0, "a~b:c")]
+    write_messages(spark.createDataFrame([], message), store, run="a~b:c")
+    assert [tuple(r) for r in list_store_runs(spark, store).collect()] == [(0, "a~b:c", "0: a~b:c")]
+    assert read_messages(spark, store).count() == 0 and read_store_run(spark, store, 0).count() == 0
+    write_messages(spark.createDataFrame(some, message), store, run="a~b:c")
+    write_messages(spark.createDataFrame([(*some[0][:-1], "z")], message), store, run="z")
+    assert read_store_run(spark, store, 0).count() == 1
+    write_messages(spark.createDataFrame([], message), store, run="a~b:c")
+    assert [r["run"] for r in read_messages(spark, store).collect()] == ["z"]
+    assert list_store_runs(spark, store).count() == 2 and list_store_runs(spark, store, hide=["z"]).count() == 1
+    with pytest.raises(IndexError):
+        read_store_run(spark, store, 2)
+
+
+def test_unfinished_mark_is_passed_over(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "mark")
+    write_watermark(spark, path, NOW)
+    os.makedirs(os.path.join(path, "mark-000000000009", "_temporary"))  # a write that did not end
+    assert read_watermark(spark, path) == NOW
+    later = NOW + dt.timedelta(days=1)
+    write_watermark(spark, path, later)
+    assert read_watermark(spark, path) == later
+    assert len([n for n in os.listdir(path) if n.startswith("mark-")]) == 1
+
+
+def test_late_rows_give_the_same_run_with_and_without_state(spark, tmp_dir):
+    day = lambda d: dt.datetime(2024, 1, d)
+    dialogs = spark.createDataFrame([(1, "Channel", "One", "one")], "id long, kind string, title string, username string")
+    kind = "id long, channel_id long, kind string, date timestamp_ntz, message string"
+    first = [(i, 1, "Message", day(i), f"m{i}") for i in (1, 2, 3)]
+    late = [(4, 1, "Message", day(5), "late"), (5, 1, "Message", day(12), "new")]
+    runs = []
+    for state in (None, os.path.join(tmp_dir, "state")):
+        base = os.path.join(tmp_dir, str(len(runs)))
+        for rows, now in ((first, day(11)), (first + late, day(20))):
+            run, _ = run_fetch(
+                spark.createDataFrame(rows, kind), dialogs, ["@one"], f"{base}/runs", f"{base}/mark",
+                now.replace(tzinfo=dt.timezone.utc), lookback_days=30, state_path=state,
+            )
+        runs.append([r["id"] for r in read_messages(spark, f"{base}/runs", run=run).collect()])
+    assert runs == [[5], [5]]
+
+
+def test_scratch_belongs_to_its_scope(spark):
+    from tidewater.session import path_exists, scratch_path, scratch_scope, stage_table
+
+    outside = scratch_path(spark, "mine")
+    spark.range(3).write.parquet(outside)
+    with scratch_scope(spark):
+        stage_table(spark.range(2), "inner")
+        inside = scratch_path(spark, "kept")
+        spark.range(1).write.parquet(inside)
+    assert path_exists(spark, outside) and not path_exists(spark, inside)
+
+
+def test_many_tokenizers_do_not_share_a_counter(spark):
+    import gc
+
+    from tidewater.functions.tokens import PandasTokenizer
+
+    for k in range(6):
+        tokenizer = PandasTokenizer(lambda k=k: lambda text: len(text) + k)
+        assert spark.createDataFrame([("abc",)], "t string").select(tokenizer.count("t")).first()[0] == 3 + k
+        del tokenizer
+        gc.collect()
+
+
+def test_json_that_is_none_reads_as_null(spark):
+    from tidewater.functions.scalars import message_from_json
+
+    rows = spark.createDataFrame([('{"a": 1}',), ("no json",), (None,)], "j string").select(message_from_json("j", "a long").alias("m")).collect()
+    assert [None if r.m is None else r.m.a for r in rows] == [1, None, None]

@@ -152,8 +152,8 @@ def message_to_json(fields: Sequence[str]) -> Column:
 
 
 def message_from_json(text: Column | str, schema: T.StructType | str) -> Column:
-    """JSON object text → struct column; malformed text gives NULL."""
-    return F.from_json(_col(text), schema)
+    """JSON object text → struct column; text that is no JSON gives NULL."""
+    return F.when(F.try_parse_json(_col(text)).isNotNull(), F.from_json(_col(text), schema))
 
 
 def run_name(start: Column, end: Column) -> Column:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -80,7 +81,7 @@ class CharTokenizer(LengthTokenizer):
 _CACHE_MODULE = "_tidewater_worker_cache"
 
 
-def _counter_for(key: int, factory: Callable[[], Callable[[str], int]]) -> Callable[[str], int]:
+def _counter_for(key: str, factory: Callable[[], Callable[[str], int]]) -> Callable[[str], int]:
     """One counter per Python worker process (models load once, not per task).
 
     Task code arrives pickled by value, which gives every task fresh module
@@ -109,7 +110,8 @@ class PandasTokenizer(Tokenizer):
 
     def __init__(self, factory: Callable[[], Callable[[str], int]]):
         self._factory = factory
-        key = id(self)
+        # ids of objects are reused after collection; a worker outlives them
+        key = uuid.uuid4().hex
         factory_ref = factory
 
         @F.pandas_udf(T.LongType())

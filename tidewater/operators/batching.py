@@ -24,19 +24,19 @@ The running sum resets, so no window frame expresses it.  Only the narrow
   chain of ``next`` pointers is fixed.  Pass 1 summarises, per chunk, the
   outcome for every possible ``c`` as a small step function (pointer
   doubling gives batch counts along every chain; chains from different
-  start rows merge quickly, so the function has few steps).  The driver
-  walks the chunks in order — O(#chunks), no row data — and pass 2 labels
-  each chunk from its exact incoming state.  Both passes read one
-  checkpoint in the shared folder, so they see identical chunks and a lost
-  executor recomputes nothing upstream.
+  start rows often merge; where they don't, as with equal counts, the
+  function has up to ``rows_per_chunk / (rows per batch)`` steps).  The
+  summaries are written to the shared folder, one task walks them in chunk
+  order and holds one at a time, and pass 2 labels each chunk from its exact
+  incoming state, which it gets as a row.  Nothing of this reaches the driver.
+  Both passes read one checkpoint in the shared folder, so they see identical
+  chunks and a lost executor recomputes nothing upstream.
 """
 
 from __future__ import annotations
 
-import bisect
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -172,6 +172,8 @@ def _read_chunks(batches: Iterator[pd.DataFrame], run: str, pos: str):
         part = part.reset_index(drop=True)
         if not _in_run_order(part[run], part[pos]):
             part = part.sort_values([run, pos], kind="stable", na_position="first").reset_index(drop=True)
+            if part.duplicated([run, pos]).any():
+                raise ValueError(f"({run}, {pos}) is repeated; it must identify a row")
         yield int(chunk), part
 
 
@@ -191,56 +193,48 @@ def _in_run_order(runs: pd.Series, positions: pd.Series) -> bool:
     return bool((step[same] > 0).all())
 
 
-@dataclass
-class _Summary:
-    chunk: int
-    n_segments: int
-    first_run: object
-    last_run: object
-    first_fresh: tuple[int, int, int]
-    last_fresh: tuple[int, int, int]
-    steps: tuple[list[int], list[int], list[int], list[int]]
-
-
 def _same_run(a, b) -> bool:
     if a is None or (isinstance(a, float) and math.isnan(a)):
         return b is None or (isinstance(b, float) and math.isnan(b))
     return a == b
 
 
-def _plan_chunks(summaries: list[_Summary], cap: int):
-    """Walk chunks in order; exact incoming state and run totals per chunk."""
-    incoming: dict[int, tuple[int, int, int]] = {}
-    first_total: dict[int, int] = {}
-    last_total: dict[int, int] = {}
-    pending: list[tuple[dict, int]] = []
+def _plan_chunks(summaries: Iterator, cap: int) -> Iterator[tuple[int, tuple[int, int, int], int | None, int | None]]:
+    """Walk chunk summaries in order; yields ``(chunk, incoming state, total of its
+    first run, total of its last run)``, totals as far as a run crosses chunks.
+
+    One summary at a time is held, and a few numbers per chunk of the run that is open."""
+    waiting: list[list] = []  # chunks whose totals are not known yet: [chunk, state, first, last]
     carry_run = None
     carry_state: tuple[int, int, int] | None = None
 
     def finish(state):
-        for target, chunk in pending:
-            target[chunk] = state[0]
-        pending.clear()
+        for row in waiting:
+            if row[2] is None:
+                row[2] = state[0]
+            else:
+                row[3] = state[0]
+        yield from (tuple(row) for row in waiting)
+        waiting.clear()
 
-    for s in sorted(summaries, key=lambda x: x.chunk):
+    for s in summaries:
         continues = carry_state is not None and _same_run(s.first_run, carry_run)
         if continues:
-            incoming[s.chunk] = carry_state
-            state = _step(s.steps, carry_state, s.first_fresh, cap)
+            incoming, state = carry_state, _step((s.thr, s.depth, s.out_c, s.out_r), carry_state, tuple(s.first_fresh), cap)
         else:
             if carry_state is not None:
-                finish(carry_state)
-            state = s.first_fresh
-        pending.append((first_total, s.chunk))
+                yield from finish(carry_state)
+            incoming, state = (0, 0, 0), tuple(s.first_fresh)
         if s.n_segments == 1:
+            waiting.append([s.chunk, incoming, None, None])
             carry_run, carry_state = s.first_run, state
         else:
-            finish(state)
-            carry_run, carry_state = s.last_run, s.last_fresh
-            pending.append((last_total, s.chunk))
+            # the first run of this chunk ends in it; its last one goes on
+            yield from finish(state)
+            waiting.append([s.chunk, incoming, state[0], None])
+            carry_run, carry_state = s.last_run, tuple(s.last_fresh)
     if carry_state is not None:
-        finish(carry_state)
-    return incoming, first_total, last_total
+        yield from finish(carry_state)
 
 
 def _step(steps, state, fresh, cap):
@@ -248,10 +242,10 @@ def _step(steps, state, fresh, cap):
     if b == 0:
         return fresh
     thr, depth, out_c, out_r = steps
-    k = bisect.bisect_right(thr, cap - c) - 1
+    k = int(np.searchsorted(thr, cap - c, side="right")) - 1
     if depth[k] == 0:
-        return (b, c + out_c[k], r + out_r[k])
-    return (b + depth[k], out_c[k], out_r[k])
+        return (b, c + int(out_c[k]), r + int(out_r[k]))
+    return (b + int(depth[k]), int(out_c[k]), int(out_r[k]))
 
 
 # --------------------------------------------------------------- operator
@@ -267,34 +261,64 @@ def _label_schema(run_type: T.DataType, pos_type: T.DataType) -> T.StructType:
     )
 
 
-def _make_labeller(cap, run, pos, tok, incoming, first_total, last_total):
+def _label_chunk(part: pd.DataFrame, cap, run, pos, tok, state=(0, 0, 0), first_total=None, last_total=None) -> pd.DataFrame:
+    """Labels of one chunk's rows, given what it gets from the chunks before and after."""
+    segs = _segments(part[run])
+    toks = part[tok].to_numpy(dtype=np.int64)
+    out_batch, out_idx, out_total = (np.empty(len(part), dtype=np.int64) for _ in range(3))
+    for si, (a, e) in enumerate(segs):
+        batch, idx, out = _label_segment(toks[a:e], cap, state if si == 0 else (0, 0, 0))
+        total = out[0]
+        if si == 0 and first_total is not None:
+            total = first_total
+        elif si == len(segs) - 1 and last_total is not None:
+            total = last_total
+        out_batch[a:e] = batch
+        out_idx[a:e] = idx
+        out_total[a:e] = total
+    return pd.DataFrame(
+        {"__run": part[run], "__pos": part[pos], "batch_no": out_batch, "batch_idx": out_idx, "total_batches": out_total}
+    )
+
+
+def _make_labeller(cap, run, pos, tok):
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk, part in _read_chunks(batches, run, pos):
-            segs = _segments(part[run])
-            toks = part[tok].to_numpy(dtype=np.int64)
-            out_batch = np.empty(len(part), dtype=np.int64)
-            out_idx = np.empty(len(part), dtype=np.int64)
-            out_total = np.empty(len(part), dtype=np.int64)
-            for si, (a, e) in enumerate(segs):
-                state = incoming.get(chunk, (0, 0, 0)) if si == 0 else (0, 0, 0)
-                batch, idx, out = _label_segment(toks[a:e], cap, state)
-                total = out[0]
-                if si == 0 and chunk in first_total:
-                    total = first_total[chunk]
-                elif si == len(segs) - 1 and chunk in last_total:
-                    total = last_total[chunk]
-                out_batch[a:e] = batch
-                out_idx[a:e] = idx
-                out_total[a:e] = total
-            yield pd.DataFrame(
-                {
-                    "__run": part[run],
-                    "__pos": part[pos],
-                    "batch_no": out_batch,
-                    "batch_idx": out_idx,
-                    "total_batches": out_total,
-                }
-            )
+        for _, part in _read_chunks(batches, run, pos):
+            yield _label_chunk(part, cap, run, pos, tok)
+
+    return label
+
+
+_PLAN_SCHEMA = "__chunk long, b long, c long, r long, first_total long, last_total long"
+
+
+def _make_planner(cap):
+    """All summaries in chunk order → each chunk's incoming state and totals."""
+
+    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["__chunk", "b", "c", "r", "first_total", "last_total"]
+        rows = []
+        for chunk, state, first, last in _plan_chunks((s for b in batches for s in b.itertuples(index=False)), cap):
+            rows.append((chunk, *state, first, last))
+            if len(rows) == 10_000:
+                yield pd.DataFrame(rows, columns=names).astype("Int64")
+                rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=names).astype("Int64")
+
+    return plan
+
+
+def _make_chunk_labeller(cap, run, pos, tok):
+    def label(part: pd.DataFrame, plan: pd.DataFrame) -> pd.DataFrame:
+        number = lambda x: None if pd.isna(x) else int(x)
+        if part.empty:
+            return pd.DataFrame(columns=["__run", "__pos", "batch_no", "batch_idx", "total_batches"])
+        row = plan.iloc[0]
+        (_, part), = _read_chunks(iter([part]), run, pos)
+        return _label_chunk(
+            part, cap, run, pos, tok, (int(row["b"]), int(row["c"]), int(row["r"])), number(row["first_total"]), number(row["last_total"])
+        )
 
     return label
 
@@ -354,8 +378,8 @@ def _make_summariser(cap, run, pos, tok):
 
 
 def oversized_rows(df: DataFrame, cap: int, tokens: str = "tokens") -> DataFrame:
-    """Rows whose own token count exceeds ``cap`` (never batched)."""
-    return df.filter(F.col(tokens) > F.lit(cap))
+    """Rows that are never batched: their own token count exceeds ``cap`` or is unknown (NULL)."""
+    return df.filter(F.col(tokens).isNull() | (F.col(tokens) > F.lit(cap)))
 
 
 def drop_oversized(df: DataFrame, cap: int, tokens: str = "tokens") -> tuple[DataFrame, DataFrame]:
@@ -376,7 +400,10 @@ def assign_batches(
 
     Adds ``batch_no`` (1-based within the run), ``batch_idx`` (0-based
     position inside the batch) and ``total_batches`` (batches in the run).
-    ``(run, pos)`` must identify a row; ``tokens`` must be >= 0.
+    ``(run, pos)`` must identify a row: a NULL ``pos`` or a repeated pair raises
+    ``ValueError`` (inside a task, where Spark reports it as the job's failure).
+    ``tokens`` must be >= 0; rows with NULL tokens are not batched but
+    reported by :func:`oversized_rows`.
     ``stage=False`` skips the Parquet copy of the input (the input plan is
     then evaluated twice: once for the labels, once for the join back).
     """
@@ -393,7 +420,9 @@ def assign_batches(
     pos_type = narrow.schema[pos].dataType
     schema = _label_schema(run_type, pos_type)
 
-    n = narrow.count()
+    n, known = narrow.agg(F.count(F.lit(1)), F.count(pos)).first()
+    if known < n:
+        raise ValueError(f"{n - known} rows have no {pos!r}; it must identify a row of its run")
     if n <= rows_per_chunk:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
         keyed = (
@@ -401,7 +430,7 @@ def assign_batches(
             .withColumn("__chunk", F.spark_partition_id().cast("long"))
             .sortWithinPartitions(run, pos)
         )
-        labels = keyed.mapInPandas(_make_labeller(cap, run, pos, tokens, {}, {}, {}), schema)
+        labels = keyed.mapInPandas(_make_labeller(cap, run, pos, tokens), schema)
     else:
         k = max(1, math.ceil(n / rows_per_chunk))
         ranged = (
@@ -411,22 +440,14 @@ def assign_batches(
         )
         # both passes must see identical chunks: materialise them once
         ranged = cut_lineage(ranged)
-        rows = ranged.mapInPandas(_make_summariser(cap, run, pos, tokens), _summary_schema(run_type)).collect()
-        summaries = [
-            _Summary(
-                chunk=r["chunk"],
-                n_segments=r["n_segments"],
-                first_run=r["first_run"],
-                last_run=r["last_run"],
-                first_fresh=tuple(r["first_fresh"]),
-                last_fresh=tuple(r["last_fresh"]),
-                steps=(list(r["thr"]), list(r["depth"]), list(r["out_c"]), list(r["out_r"])),
-            )
-            for r in rows
-        ]
-        incoming, first_total, last_total = _plan_chunks(summaries, cap)
-        labels = ranged.mapInPandas(
-            _make_labeller(cap, run, pos, tokens, incoming, first_total, last_total), schema
+        # Summaries go to shared storage and are walked in order by one task that
+        # holds one of them at a time; each chunk then meets its state as a row.
+        summaries = stage_table(
+            ranged.mapInPandas(_make_summariser(cap, run, pos, tokens), _summary_schema(run_type)), "batch-summaries"
+        )
+        walked = summaries.repartition(1).sortWithinPartitions("chunk").mapInPandas(_make_planner(cap), _PLAN_SCHEMA)
+        labels = ranged.groupBy("__chunk").cogroup(walked.groupBy("__chunk")).applyInPandas(
+            _make_chunk_labeller(cap, run, pos, tokens), schema
         )
 
     cond = (F.col(run).eqNullSafe(F.col("__run"))) & (F.col(pos) == F.col("__pos"))
@@ -446,38 +467,11 @@ def batch_stats(batched: DataFrame, tokens: str = "tokens", run: str = "run") ->
     ).withColumn("file_name", batch_file_name("batch_no", "total_batches"))
 
 
-def next_fit_reference(tokens: list[int], cap: int) -> list[int | None]:
-    """Plain sequential fold (one run): batch number per row, None if oversized.
-
-    Used by tests as the brute-force check of :func:`assign_batches`.
-    """
-    out: list[int | None] = []
-    batch = 0
-    fill = 0
-    open_rows = 0
-    for t in tokens:
-        if t > cap:
-            out.append(None)
-            continue
-        if open_rows and fill + t > cap:
-            batch += 1
-            fill = t
-            open_rows = 1
-        else:
-            if not open_rows:
-                batch += 1
-            fill += t
-            open_rows += 1
-        out.append(batch)
-    return out
-
-
 __all__ = [
     "assign_batches",
     "oversized_rows",
     "drop_oversized",
     "batch_items",
     "batch_stats",
-    "next_fit_reference",
     "DEFAULT_ROWS_PER_CHUNK",
 ]

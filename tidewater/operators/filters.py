@@ -7,12 +7,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.functions.scalars import is_iso_time
 
 # Broadcast a target list only when it is a driver-side list or a frame
-# whose row count has been checked against this bound.
+# whose rows and bytes have been checked against these bounds.
 MAX_BROADCAST_TARGETS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def _lit_ts(value) -> Column:
@@ -58,11 +60,17 @@ def targets_frame(spark, handles: Sequence[str], handle: str = "handle") -> Data
     return spark.createDataFrame(rows, f"{handle} string, channel_ord long")
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether a frame's rows and bytes are within the bounds of a broadcast."""
+    width = sum(
+        (F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8) for f in df.schema.fields), F.lit(16)
+    )
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
+    return row["n"] <= MAX_BROADCAST_TARGETS and row["size"] <= MAX_BROADCAST_BYTES
+
+
 def _bounded(targets: DataFrame) -> DataFrame:
-    n = targets.count()
-    if n <= MAX_BROADCAST_TARGETS:
-        return F.broadcast(targets)
-    return targets
+    return F.broadcast(targets) if is_small(targets) else targets
 
 
 def target_channels(

@@ -34,6 +34,8 @@ from tidewater.session import stage_table
 # Salt buckets of the first top-N level: a hot channel's candidates are
 # spread over this many tasks before the per-channel merge.
 TOP_SALTS = 64
+# Salt buckets of a join of rows with per-channel values.
+JOIN_SALTS = 16
 
 
 def top_ids(
@@ -76,20 +78,23 @@ def channel_stops(
     kind: str = "kind",
     date: str = "date",
     previous: DataFrame | None = None,
-    previous_mark=None,
+    bounded_channels: bool = False,
 ) -> DataFrame:
     """``(channel, stop)``: id of the newest real message dated at or before
     ``mark`` — the row where a newest-first pull of the channel stops.
 
-    With ``previous`` (the stops as of ``previous_mark``) only the rows
-    dated in ``(previous_mark, mark]`` are read — a pushed-down date range —
-    and merged by ``max``, which is exact because the maximum over all old
-    rows is the maximum of its two date ranges.
+    ``previous`` (stops as of an earlier mark) saves the history: a channel's
+    new stop is its old one or a row with a larger id dated at or before
+    ``mark``, however late that row landed.  Rows are taken by id, not by the
+    dates between the two marks, so late rows give the same stop as a full
+    scan.  A channel whose old stop is NULL or absent is read in full.
     """
     ok = (F.col(kind) == F.lit("Message")) & F.col(date).isNotNull()
     rows = raw.filter(ok & (F.col(date) <= _lit_ts(mark)))
     if previous is not None:
-        rows = rows.filter(F.col(date) > _lit_ts(previous_mark))
+        old = previous.select(channel, F.col("stop").alias("__old"))
+        rows = _with_channel(rows, old, channel, id, bounded_channels)
+        rows = rows.filter(F.col("__old").isNull() | (F.col(id) > F.col("__old")))
     stops = rows.groupBy(channel).agg(F.max(id).alias("stop"))
     if previous is not None:
         stops = (
@@ -100,6 +105,19 @@ def channel_stops(
     return stops
 
 
+def _with_channel(rows: DataFrame, per_channel: DataFrame, channel: str, id: str, bounded: bool) -> DataFrame:
+    """Left join of rows with one row per channel.
+
+    A size-checked set of channels is broadcast.  Otherwise the few
+    per-channel rows are repeated once per salt, so the rows of a hot channel
+    are spread over ``JOIN_SALTS`` tasks."""
+    if bounded:
+        return rows.join(F.broadcast(per_channel), on=channel, how="left")
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(id), F.lit(JOIN_SALTS)).cast("int"))
+    side = per_channel.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
+    return salted.join(side, on=[channel, "__salt"], how="left").drop("__salt")
+
+
 def _fresh(
     raw: DataFrame,
     last_fetch,
@@ -114,13 +132,7 @@ def _fresh(
     if stops is None:
         stops = channel_stops(raw, last_fetch, channel, id, kind, date)
     stops = stops.select(channel, F.col("stop").alias("__stop"))
-    # One row per channel.  When the caller has bounded the channels (a
-    # checked list of requested channels) it is broadcast outright;
-    # otherwise AQE broadcasts it when its runtime size is small and
-    # splits skewed partitions of the large side.
-    if bounded_channels:
-        stops = F.broadcast(stops)
-    joined = raw.join(stops, on=channel, how="left")
+    joined = _with_channel(raw, stops, channel, id, bounded_channels)
     return joined.filter(F.col("__stop").isNull() | (F.col(id) > F.col("__stop"))).drop("__stop")
 
 
@@ -146,9 +158,15 @@ def paged_pull(
     if limit <= 0:
         raise ValueError("limit must be positive")
     ok = (F.col(kind) == F.lit("Message")) & F.col(date).isNotNull()
-    fresh = _fresh(raw, last_fetch, channel, id, kind, date, stops, bounded_channels)
+    if stops is None:
+        stops = channel_stops(raw, last_fetch, channel, id, kind, date)
+    # A real message above the stop row is newer than the mark (the stop row is
+    # the largest id that isn't), so whole rows are read above that date only.
+    newer = raw.filter(ok & (F.col(date) > _lit_ts(last_fetch)))
     if max_pages is None and not early_stop:
-        return fresh.filter(ok)
+        return _fresh(newer, last_fetch, channel, id, kind, date, stops, bounded_channels)
+    # the page rules also count service and undated rows: narrow columns of all of them
+    fresh = _fresh(raw.select(channel, id, kind, date), last_fetch, channel, id, kind, date, stops, bounded_channels)
 
     if max_pages is not None:
         n = max_pages * limit
@@ -166,22 +184,21 @@ def paged_pull(
             ranked = ranked.filter(F.col("__pstop").isNull() | (F.col("__page") <= F.col("__pstop")))
         keep = ranked.filter(F.col("__ok") == 1).select(channel, id)
         # (channel, id) is unique: the semi-join spreads a hot channel evenly
-        return fresh.join(keep, on=[channel, id], how="left_semi")
+        return newer.join(keep, on=[channel, id], how="left_semi")
 
     # parity mode, no page cap: everything above the first non-message row
     # is kept, plus the rows that share its page.  The increment is staged
     # once (the history is scanned only for the stop ids) and the page rules
     # run on its narrow (channel, id, ok) projection.
-    fresh = stage_table(fresh, "pull-increment")
-    keys = fresh.select(channel, id, ok.cast("int").alias("__ok"))
+    keys = stage_table(fresh.select(channel, id, ok.cast("int").alias("__ok")), "pull-increment")
     bad = keys.filter(F.col("__ok") == 0).groupBy(channel).agg(F.max(id).alias("__bad"))
-    tagged = keys.join(bad, on=channel, how="left")
+    tagged = _with_channel(keys, bad, channel, id, bounded_channels)
     before = (
         tagged.filter(F.col("__bad").isNotNull() & (F.col(id) > F.col("__bad")))
         .groupBy(channel)
         .agg(F.count(F.lit(1)).alias("__before"))
     )
-    tagged = tagged.join(before, on=channel, how="left").withColumn(
+    tagged = _with_channel(tagged, before, channel, id, bounded_channels).withColumn(
         "__before", F.coalesce(F.col("__before"), F.lit(0))
     )
     head = tagged.filter(F.col("__bad").isNull() | (F.col(id) > F.col("__bad")))
@@ -200,7 +217,7 @@ def paged_pull(
         .filter(F.col("__ok") == 1)
         .select(channel, id)
     )
-    return fresh.join(keep, on=[channel, id], how="left_semi")
+    return newer.join(keep, on=[channel, id], how="left_semi")
 
 
 def pull_stats(

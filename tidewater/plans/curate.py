@@ -17,6 +17,7 @@ from tidewater.operators.batching import (
     oversized_rows,
 )
 from tidewater.operators.dedup import prebatch
+from tidewater.session import stage_table
 from tidewater.sources.store import render_batches, write_batches, write_prebatch
 
 
@@ -62,8 +63,9 @@ def batch_runs(
     Returns ``(batched, oversized)``; ``batched`` carries ``batch_no``,
     ``batch_idx``, ``total_batches`` and ``file_name``.
     """
-    counted = with_tokens(prebatched, fields, tokenizer, tokens)
-    batched = assign_batches(counted, cap, tokens=tokens, run=run, pos=pos, rows_per_chunk=rows_per_chunk)
+    # counted once: a model tokenizer must not see every text twice
+    counted = stage_table(with_tokens(prebatched, fields, tokenizer, tokens), "counted")
+    batched = assign_batches(counted, cap, tokens=tokens, run=run, pos=pos, rows_per_chunk=rows_per_chunk, stage=False)
     return batch_items(batched, run), oversized_rows(counted, cap, tokens)
 
 

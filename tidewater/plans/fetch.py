@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.scalars import iso_time, strip_text
 from tidewater.operators.channels import channel_directory
-from tidewater.operators.filters import MAX_BROADCAST_TARGETS, _lit_ts, target_channels, unknown_targets
+from tidewater.operators.filters import _lit_ts, is_small, target_channels, unknown_targets
 from tidewater.operators.ordering import merge_sorted
 from tidewater.operators.paging import channel_stops, paged_pull
 from tidewater.records import DEFAULT_LOOKBACK_DAYS, MAX_PAGES, PAGE_SIZE
-from tidewater.session import stage_table
+from tidewater.session import scratch_scope, stage_table
 from tidewater.sources.store import read_stops, read_watermark, write_messages, write_stops, write_watermark
 
 
+# Unknown handles that an error message names.
+SHOWN_HANDLES = 20
+
+
 def resolve_window(
     mark: _dt.datetime | None,
     now: _dt.datetime,
@@ -117,18 +121,18 @@ def _requested(dialogs: DataFrame, targets, strict: bool = False) -> tuple[DataF
     """``requested_channels`` plus whether their number is proven small."""
     channels = channel_directory(dialogs)
     if strict:
-        # bounded by the requested list, so it may come to the driver
-        missing = [r[0] for r in unknown_targets(channels, targets).collect()]
-        if missing:
-            raise ValueError(f"unknown channel handles: {missing}")
+        unknown = unknown_targets(channels, targets)
+        some = [r[0] for r in unknown.take(SHOWN_HANDLES)]
+        if some:
+            raise ValueError(f"{unknown.count()} unknown channel handles, among them: {some}")
     wanted = target_channels(channels, targets).select(
         F.col("id").alias("channel_id"),
         F.col("handle").alias("channel_handle"),
         F.col("channel_ord"),
     )
     if isinstance(targets, DataFrame):
-        n = wanted.count()
-        small = n <= MAX_BROADCAST_TARGETS
+        wanted = stage_table(wanted, "requested")
+        small = is_small(wanted)
         return (F.broadcast(wanted) if small else wanted), small
     return F.broadcast(wanted), True
 
@@ -153,23 +157,23 @@ def fetch_state(
     targets,
     mark,
     previous: DataFrame | None = None,
-    previous_mark=None,
 ) -> DataFrame:
     """Stop ids of the requested channels as of ``mark`` (NULL: no message
-    at or before it).  With the state as of ``previous_mark`` only the date
-    range between the two marks is scanned, plus the full history of any
-    requested channel the previous state does not cover."""
-    wanted_ids = requested_channels(dialogs, targets).select("channel_id")
+    at or before it).  With an earlier state only the rows above the stops it
+    holds are read (late ones included, so the result is that of a full scan),
+    plus the full history of any requested channel it does not cover."""
+    wanted, bounded = _requested(dialogs, targets)
+    wanted_ids = wanted.select("channel_id")
     mine = raw.join(wanted_ids, on="channel_id", how="left_semi")
     if previous is None:
         stops = channel_stops(mine, mark)
     else:
-        known = previous.join(wanted_ids, on="channel_id", how="left_semi")
-        new_ids = wanted_ids.join(known, on="channel_id", how="left_anti")
-        stops = channel_stops(mine, mark, previous=known, previous_mark=previous_mark)
-        if new_ids.take(1):
-            fresh_history = channel_stops(mine.join(F.broadcast(new_ids), on="channel_id", how="left_semi"), mark)
-            stops = stops.unionByName(fresh_history).groupBy("channel_id").agg(F.max("stop").alias("stop"))
+        # a channel without a stored stop is read in full by channel_stops
+        known = previous.join(wanted_ids, on="channel_id", how="left_semi").select("channel_id", "stop")
+        floor = _id_floor(wanted, known)
+        if floor is not None:
+            mine = mine.filter(F.col("id") > F.lit(floor))
+        stops = channel_stops(mine, mark, previous=known, bounded_channels=bounded)
     return wanted_ids.join(stops, on="channel_id", how="left").select("channel_id", "stop")
 
 
@@ -187,35 +191,34 @@ def run_fetch(
     """One polling step: read mark, pull, store the run, then advance the mark.
 
     The data is written before the mark, so a failure in between repeats
-    the window on the next call instead of losing it (at least once; the
-    run is rewritten in place by dynamic partition overwrite).
+    the window on the next call instead of losing it: at least once.  A call
+    with the same ``now`` rewrites the same run; one with a later ``now``
+    stores a run with a longer window beside it.  A window without messages
+    is a run of zero rows.
 
     With ``state_path`` the per-channel stop ids are kept next to the mark
-    (as of the mark), so the next call reads only the rows dated after the
-    previous mark plus rows above the smallest stop id — a pushed-down
-    range instead of the whole history.  A state that does not belong to
-    the stored mark is ignored (recomputed from the history).
+    (as of the mark), so the next call reads only the rows above the smallest
+    stop id — a pushed-down range instead of the whole history.  The state
+    never changes which rows are pulled.  A state that does not belong to the
+    stored mark is ignored (recomputed from the history).  Intermediate
+    copies are deleted when the run is stored.
     """
     spark = raw.sparkSession
     mark = read_watermark(spark, mark_path)
     start, end = resolve_window(mark, now, lookback_days)
     name = run_value(start, end)
-    stops = None
-    if state_path is not None:
-        stored = read_stops(spark, state_path) if mark is not None else None
-        if stored is not None and stored[1] == start:
-            stops = fetch_state(raw, dialogs, targets, _naive_utc(start), stored[0], _naive_utc(start))
-        else:
-            # no usable state: one history scan, reused for the next state
-            stops = fetch_state(raw, dialogs, targets, _naive_utc(start))
-        # one row per requested channel; staged so both uses read it once
-        stops = stage_table(stops, "stops")
-    msgs = fetch(raw, dialogs, targets, _naive_utc(start), _naive_utc(end), run=name, stops=stops, **pull_options)
-    write_messages(msgs, store_path)
-    if state_path is not None:
-        nxt = fetch_state(raw, dialogs, targets, _naive_utc(end), stops, _naive_utc(start))
-        write_stops(spark, state_path, nxt, end)
-    write_watermark(spark, mark_path, next_watermark(end))
+    with scratch_scope(spark):
+        stops = None
+        if state_path is not None:
+            stored = read_stops(spark, state_path) if mark is not None else None
+            known = stored[0] if stored is not None and stored[1] == start else None
+            # one row per requested channel; staged so both uses read it once
+            stops = stage_table(fetch_state(raw, dialogs, targets, _naive_utc(start), known), "stops")
+        msgs = fetch(raw, dialogs, targets, _naive_utc(start), _naive_utc(end), run=name, stops=stops, **pull_options)
+        write_messages(msgs, store_path, run=name)
+        if state_path is not None:
+            write_stops(spark, state_path, fetch_state(raw, dialogs, targets, _naive_utc(end), stops), end)
+        write_watermark(spark, mark_path, next_watermark(end))
     return name, end
 
 

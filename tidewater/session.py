@@ -7,7 +7,9 @@ command line; on a cluster the platform's session is used as is.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,25 +81,46 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+# Paths by owner: the first list is the driver's, each open scope of a thread adds its own.
 _SCRATCH: list[str] = []
+_SCOPES = threading.local()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder (tracked for cleanup)."""
     base = shared_dir(spark).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
-    _SCRATCH.append(path)
+    scopes = getattr(_SCOPES, "open", None)
+    (scopes[-1] if scopes else _SCRATCH).append(path)
     return path
 
 
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Staged copies made inside belong to this block and are deleted at its end.
+
+    For steps that write their result: nothing lazy may leave the block."""
+    if not hasattr(_SCOPES, "open"):
+        _SCOPES.open = []
+    _SCOPES.open.append([])
+    try:
+        yield
+    finally:
+        _delete(spark, _SCOPES.open.pop())
+
+
 def cleanup_scratch(spark: SparkSession) -> int:
-    """Delete the staged copies this driver created; call it once the
-    results that read them have been written.  Returns the paths removed."""
+    """Delete the staged copies this driver created outside scopes; call it once
+    the results that read them have been written.  Returns the paths removed."""
+    return _delete(spark, _SCRATCH)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
-    while _SCRATCH:
-        jpath = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    while paths:
+        jpath = jvm.org.apache.hadoop.fs.Path(paths.pop())
         fs = jpath.getFileSystem(conf)
         if fs.exists(jpath):
             fs.delete(jpath, True)
@@ -145,6 +168,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder or file through Hadoop's file system; False if there was none."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True))
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly under ``path`` (any Hadoop scheme)."""
     jvm = spark.sparkContext._jvm
@@ -161,10 +190,12 @@ __all__ = [
     "use_utc",
     "shared_dir",
     "scratch_path",
+    "scratch_scope",
     "cleanup_scratch",
     "cut_lineage",
     "stage_table",
     "local_path",
     "path_exists",
+    "delete_path",
     "list_names",
 ]

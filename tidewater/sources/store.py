@@ -4,7 +4,9 @@ A run is one pull window.  Its name ``{start}~{end}`` is a partition
 *value* (Spark escapes the ``:`` of ISO times in folder names and restores
 it on read); it is never put into a file name, which Hadoop paths cannot
 hold.  Writes use dynamic partition overwrite, so rewriting one run leaves
-the others untouched and a replayed write is idempotent.
+the others untouched.  A write that names its run also stores a run without
+rows: whatever the run held before goes, it is listed, and it reads as zero
+rows.
 
 Foreign JSON-array files (one indented array per run, as a single-node
 tool writes them) can be ingested with :func:`read_message_files`.
@@ -15,34 +17,60 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions.scalars import base_name, batch_file_name, listing_line, run_stem
+from tidewater.functions.scalars import batch_file_name, listing_line, run_stem
 from tidewater.records import MESSAGE_SCHEMA, WATERMARK_FIELD
-from tidewater.session import path_exists
+from tidewater.session import delete_path, list_names, path_exists
 
 RUN = "run"
 
 
 # ------------------------------------------------------------------ writes
-def _write(df: DataFrame, path: str, fmt: str, partition: str | None = RUN) -> str:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _write(df: DataFrame, path: str, fmt: str, partition: str | None = RUN, name: str | None = None) -> str:
+    if partition is not None:
+        # rows of a partition come together (large ones in several tasks), so
+        # there are few files per run and not one per task and run
+        df = df.hint("rebalance", partition)
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write if name is not None else df.write
+    writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition is not None:
         writer = writer.partitionBy(partition)
     writer.format(fmt).save(path)
+    if name is not None and not seen.get.get("n"):
+        # dynamic overwrite leaves a partition alone that gets no rows
+        empty = df.sparkSession.createDataFrame([], T.StructType([f for f in df.schema.fields if f.name != partition]))
+        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).save(f"{path}/{partition}={_escaped(df.sparkSession, name)}")
     return path
 
 
-def write_messages(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Store one or more runs of messages (rewrites only the runs present)."""
-    return _write(df, path, fmt)
+def _escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def _unescaped(spark: SparkSession, folder: str) -> str:
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(folder)
+
+
+def _decoded(path: Column | str) -> Column:
+    """A name from ``_metadata`` (an encoded URI) as it is in the file system."""
+    return F.url_decode(F.replace(F.col(path) if isinstance(path, str) else path, F.lit("+"), F.lit("%2B")))
+
 
+def write_messages(df: DataFrame, path: str, fmt: str = "parquet", run: str | None = None) -> str:
+    """Store one or more runs of messages (rewrites only the runs present).
 
-def write_prebatch(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    ``run`` names the one run that ``df`` holds; it is stored even without rows."""
+    return _write(df, path, fmt, name=run)
+
+
+def write_prebatch(df: DataFrame, path: str, fmt: str = "parquet", run: str | None = None) -> str:
     """Store deduplicated rows under the same run value as their input."""
-    return _write(df, path, fmt)
+    return _write(df, path, fmt, name=run)
 
 
 def write_json(df: DataFrame, path: str, partition: str | None = None) -> str:
@@ -130,6 +158,26 @@ def read_messages(spark: SparkSession, path: str, run: str | None = None, fmt: s
     return df if run is None else df.filter(F.col(RUN) == F.lit(run))
 
 
+def list_store_runs(spark: SparkSession, path: str, hide: Sequence[str] = (), run: str = RUN) -> DataFrame:
+    """``(idx, run, line)`` of a store's runs in name order, from its folders: no file is read."""
+    names = sorted(_run_names(spark, path, run) - set(hide), key=lambda n: n.encode())
+    rows = [(i, n, f"{i}: {n}") for i, n in enumerate(names)]
+    return spark.createDataFrame(rows, f"idx long, {run} string, line string")
+
+
+def _run_names(spark: SparkSession, path: str, run: str) -> set[str]:
+    prefix = f"{run}="
+    return {_unescaped(spark, n[len(prefix):]) for n in list_names(spark, path) if n.startswith(prefix)}
+
+
+def read_store_run(spark: SparkSession, path: str, idx: int, fmt: str = "parquet", run: str = RUN) -> DataFrame:
+    """Rows of the ``idx``-th run of a store in name order (0 = oldest); IndexError if none."""
+    names = sorted(_run_names(spark, path, run), key=lambda n: n.encode())
+    if not 0 <= idx < len(names):
+        raise IndexError("Invalid run index")
+    return read_runs(spark, path, fmt).filter(F.col(run) == F.lit(names[idx]))
+
+
 def list_runs(runs: DataFrame, run: str = RUN, hide: Sequence[str] = ()) -> DataFrame:
     """``(idx, run, line)`` in name order, 0-based, with the printed form
     ``"{idx}: {run}"``; the few run names are ranked after a distinct, so
@@ -176,7 +224,7 @@ def read_message_files(
     raw = (
         spark.read.option("pathGlobFilter", pattern)
         .text(path, wholetext=True)
-        .select(F.col("value"), F.col("_metadata.file_name").alias("__file"))
+        .select(F.col("value"), _decoded("_metadata.file_name").alias("__file"))
     )
     parsed = raw.select(
         run_stem("__file").alias(RUN),
@@ -191,7 +239,7 @@ def read_json_docs(spark: SparkSession, path: str, schema: T.DataType) -> DataFr
     if not path_exists(spark, path):
         return spark.createDataFrame([], T.StructType([T.StructField("file_name", T.StringType()), T.StructField("doc", schema)]))
     raw = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("value")
+        _decoded("_metadata.file_name").alias("file_name"), F.col("value")
     )
     # from_json fills a malformed document with NULL fields; a document that
     # is not JSON at all reads as a NULL doc, like a failed load
@@ -199,39 +247,65 @@ def read_json_docs(spark: SparkSession, path: str, schema: T.DataType) -> DataFr
     return raw.select("file_name", F.when(valid, F.from_json("value", schema)).alias("doc"))
 
 
-def read_prompts(spark: SparkSession, path: str) -> DataFrame:
-    """Prompt files as ``(prompt_name, text)``, text kept byte for byte."""
+def read_prompts(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """Prompt files as ``(prompt_name, text)``; line ends are kept as they are.
+    A file without a byte has no row; :func:`load_prompt` reads it as empty."""
     schema = T.StructType([T.StructField("prompt_name", T.StringType()), T.StructField("text", T.StringType())])
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.text(path, wholetext=True).select(
-        base_name(F.col("_metadata.file_path")).alias("prompt_name"), F.col("value").alias("text")
+    return _text_files(spark, path).select(
+        _decoded("_metadata.file_name").alias("prompt_name"), F.decode("content", encoding).alias("text")
     )
 
 
-def load_prompt(spark: SparkSession, path: str, name: str) -> str:
+def _text_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+
+
+def load_prompt(spark: SparkSession, path: str, name: str, encoding: str = "UTF-8") -> str:
     """One prompt's text; FileNotFoundError when there is no such file."""
     full = f"{path.rstrip('/')}/{name}"
     if not path_exists(spark, full):
         raise FileNotFoundError(f"Prompt file not found: {full}")
-    row = spark.read.text(full, wholetext=True).take(1)
-    return row[0]["value"] if row else ""
+    # a file's name may hold what a path reads as a pattern, so it is picked among the folder's names
+    found = read_prompts(spark, path, encoding).filter(F.col("prompt_name") == F.lit(name)).select("text").take(1)
+    return found[0]["text"] if found else ""
 
 
 # --------------------------------------------------------------- watermark
 def write_watermark(spark: SparkSession, path: str, last_fetch: _dt.datetime) -> str:
-    """Store the mark as one ISO string row (written after the run's data)."""
+    """Store the mark as one ISO string row (written after the run's data).
+
+    Each mark is a new folder; older ones go once it is complete, so there is
+    a readable mark at every moment."""
     if last_fetch.tzinfo is None:
         last_fetch = last_fetch.replace(tzinfo=_dt.timezone.utc)
+    old = _versions(spark, path)
     df = spark.createDataFrame([(last_fetch.isoformat(),)], f"{WATERMARK_FIELD} string")
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.coalesce(1).write.mode("overwrite").json(f"{path}/{_VERSION}{max([0, *old]) + 1:012d}")
+    for v in old:
+        delete_path(spark, f"{path}/{_VERSION}{v:012d}")
     return path
 
 
+_VERSION = "mark-"
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the stored marks, newest first."""
+    tails = [n[len(_VERSION):] for n in list_names(spark, path) if n.startswith(_VERSION)]
+    return sorted((int(t) for t in tails if t.isdigit()), reverse=True)
+
+
 def read_watermark(spark: SparkSession, path: str) -> _dt.datetime | None:
-    """Stored mark, or None when absent, empty or unparsable."""
+    """Stored mark, or None when absent, empty or unparsable (an unfinished newer one is passed over)."""
     if not path_exists(spark, path):
         return None
+    folders = [f"{path}/{_VERSION}{v:012d}" for v in _versions(spark, path)] or [path]
+    return next((m for m in (_read_mark(spark, f) for f in folders) if m is not None), None)
+
+
+def _read_mark(spark: SparkSession, path: str) -> _dt.datetime | None:
     try:
         rows = spark.read.schema(f"{WATERMARK_FIELD} string").json(path).take(1)
     except Exception:  # unreadable store behaves like no mark
@@ -278,6 +352,8 @@ __all__ = [
     "read_runs",
     "read_messages",
     "list_runs",
+    "list_store_runs",
+    "read_store_run",
     "read_run_by_index",
     "read_message_files",
     "read_json_docs",

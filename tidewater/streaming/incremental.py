@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions.scalars import iso_time, strip_text
 from tidewater.functions.tokens import LocalTokenizer, Tokenizer
 from tidewater.operators.filters import _bounded, only_dated_messages
 from tidewater.operators.ordering import merge_sorted
 from tidewater.plans.curate import curate
-from tidewater.session import scratch_path
+from tidewater.plans.fetch import to_messages
+from tidewater.session import scratch_path, scratch_scope
 from tidewater.sources.adapters import messages_from_documents
 
 BatchFn = Callable[[DataFrame, int], DataFrame]
@@ -52,14 +52,15 @@ def run_incremental(
     stream = reader.load(source_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        out = process(batch, batch_id)
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .format(sink_format)
-            .save(sink_path)
-        )
+        with scratch_scope(spark):  # what the micro-batch staged goes once it is stored
+            out = process(batch, batch_id)
+            (
+                out.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(partition)
+                .format(sink_format)
+                .save(sink_path)
+            )
 
     query = (
         stream.writeStream.foreachBatch(sink)
@@ -83,24 +84,24 @@ def pull_batch(dialog_handles: DataFrame) -> BatchFn:
 
     def process(batch: DataFrame, batch_id: int) -> DataFrame:
         rows = only_dated_messages(batch).join(side, on="channel_id", how="inner")
-        msgs = rows.select(
-            F.col("id").cast("long").alias("id"),
-            F.col("channel_id").cast("long").alias("channel_id"),
-            "channel_handle",
-            iso_time("date").alias("time"),
-            strip_text("message").alias("text"),
-            "channel_ord",
-        )
-        return merge_sorted(msgs).drop("channel_ord").withColumn("run", F.lit(str(batch_id)))
+        return merge_sorted(to_messages(rows)).drop("channel_ord").withColumn("run", F.lit(str(batch_id)))
 
     return process
 
 
-def curate_batch(cap: int, fields: Sequence[str], tokenizer: Tokenizer | None = None) -> BatchFn:
-    """Micro-batch of documents → per-batch stats of its runs (``run`` = epoch/lang)."""
+def curate_batch(
+    cap: int,
+    fields: Sequence[str],
+    tokenizer: Tokenizer | None = None,
+    to_messages: Callable[[DataFrame], DataFrame] | None = None,
+) -> BatchFn:
+    """Micro-batch of messages → per-batch stats of its runs (``run`` = epoch/run).
+
+    ``to_messages`` maps the landed rows to messages with ``run`` and ``pos``
+    (default: they are messages already)."""
 
     def process(batch: DataFrame, batch_id: int) -> DataFrame:
-        msgs = messages_from_documents(batch)
+        msgs = batch if to_messages is None else to_messages(batch)
         stats = curate(msgs, cap, list(fields), tokenizer or LocalTokenizer())
         return stats.withColumn("epoch", F.lit(batch_id).cast("long")).withColumn(
             "run", F.concat(F.lit(f"{batch_id}/"), F.col("run"))
@@ -118,15 +119,25 @@ def streaming_curate(spark: SparkSession, sf_dir: str, cap: int, fields: Sequenc
         spark,
         sf_dir,
         schema,
-        curate_batch(cap, fields),
+        curate_batch(cap, fields, to_messages=messages_from_documents),
         sink,
         ckpt,
         glob="documents.parquet",
         max_files_per_trigger=1,
     )
-    return spark.read.parquet(sink)
+    return spark.read.schema(CURATED_SCHEMA).parquet(sink)
 
 
+_LONGS = ("n_rows", "batch_tokens", "n_copies", "epoch")
+CURATED_SCHEMA = T.StructType(
+    [
+        T.StructField("batch_no", T.LongType()),
+        T.StructField("total_batches", T.LongType()),
+        T.StructField("file_name", T.StringType()),
+        *[T.StructField(name, T.LongType()) for name in _LONGS],
+        T.StructField("run", T.StringType()),
+    ]
+)
 PULLED_SCHEMA = T.StructType(
     [
         T.StructField("id", T.LongType()),
