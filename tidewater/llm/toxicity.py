@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,9 @@ from tidewater.llm.common import map_texts
 from tidewater.llm.learning import SAMPLE_ROWS, fit, fold, labelled_sample
 from tidewater.session import stage_table
 
-#: Terms of a lexicon, at most; least likelihood ratio and toxic share of a term.
-LEXICON_TERMS, LEAST_RATIO, LEAST_SHARE = 4_000, 16.0, 0.75
+#: Terms of a lexicon, at most; least toxic share of a term.  Its likelihood ratio has to beat
+#: what chance gives among all that are tried (2 ln n) by a margin.
+LEXICON_TERMS, LEAST_SHARE, RATIO_MARGIN = 4_000, 0.9, 4.0
 #: Letters of an opening that may be a term ("abcd*"); least letters for a misspelling.
 OPENINGS, LEAST_FUZZY = (4, 5), 5
 #: Characters on either side that tell quotation from abuse.
@@ -170,17 +172,28 @@ def features(lexicon: Lexicon, texts: list[str | None]) -> np.ndarray:
 
 
 def learn_lexicon(sample: DataFrame, terms: int = LEXICON_TERMS) -> dict[str, float]:
-    """Terms and their log odds, from a sample with ``text`` and ``label``."""
+    """Terms and their log odds, from a sample with ``text`` and ``label``.
+
+    A term counts once for each pair of words that it stands between, so that copies of
+    one text don't make a term of every word in it.
+    """
 
     def tokens():
         def f(texts):
-            rows, found = [], []
+            rows, found, where = [], [], []
             for i, text in enumerate(texts):
-                words = set(WORD.findall((text or "").lower()))
-                made = {w for w in words if 3 <= len(w) <= 40} | {w[:k] + "*" for w in words for k in OPENINGS if len(w) > k}
+                words = WORD.findall((text or "").lower())
+                made: dict[str, int] = {}
+                for k, w in enumerate(words):
+                    if w in made:
+                        continue
+                    around = zlib.crc32(" ".join(words[max(0, k - 1) : k] + words[k + 1 : k + 2]).encode())
+                    for term in [w] * (3 <= len(w) <= 40) + [w[:n] + "*" for n in OPENINGS if len(w) > n]:
+                        made.setdefault(term, around)
                 rows += [i] * len(made)
                 found += made
-            return [rows, found]
+                where += made.values()
+            return [rows, found, where]
 
         return f
 
@@ -193,13 +206,19 @@ def learn_lexicon(sample: DataFrame, terms: int = LEXICON_TERMS) -> dict[str, fl
     expected = (t + c) * share
     ratio = 2 * (t * F.log(t / expected) + F.when(c > 0, c * F.log(c / ((t + c) - expected))).otherwise(0.0))
     odds = F.log((t + 0.5) / (bad + 1)) - F.log((c + 0.5) / (good + 1))
-    rows = (
-        map_texts(sample, tokens, {"term": "string"}, ["label"], explode=True)
+    tried = stage_table(
+        map_texts(sample, tokens, {"term": "string", "around": "long"}, ["label"], explode=True)
+        .distinct()
         .groupBy("term")
         .agg(F.sum("label").cast("double").alias("t"), F.sum(1 - F.col("label")).cast("double").alias("c"))
-        .where((t >= 3) & ((t / bad) / (t / bad + c / good) >= LEAST_SHARE))
+        .where(t >= 3),
+        "toxicity-terms",
+    )
+    least = 2 * math.log(max(tried.count(), 2)) + RATIO_MARGIN
+    rows = (
+        tried.where((t / bad) / (t / bad + c / good) >= LEAST_SHARE)
         .select("term", odds.alias("odds"), ratio.alias("ratio"))
-        .where((F.col("ratio") >= LEAST_RATIO) & (F.col("odds") > 0))
+        .where((F.col("ratio") >= least) & (F.col("odds") > 0))
         .orderBy(F.desc("ratio"), "term")
         .limit(terms)
         .collect()  # LEXICON_TERMS at most
