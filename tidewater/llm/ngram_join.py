@@ -39,8 +39,9 @@ COUNTERS = 1 << 20
 #: Bits of the table that marks columns with two rows or more; fixed size (2 MB).
 COLUMN_MARKS = 1 << 24
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-#: Hubs of a block and size class in the first pass; a row is compared with two of them.
-HUBS = 3
+#: Hubs of a block and size class in the first pass, by how much of them others share, in steps of
+#: so many thousandths (the last: by a hash alone); a row is compared with two of them.
+HUB_SHARES = (1, 50, 2_000)
 #: Bits of the table that marks the sets to fetch; fixed size (512 kB).
 MARKS = 1 << 22
 
@@ -122,28 +123,32 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
             grams = lists.flatten().to_numpy()
             wide = lists.value_lengths().to_numpy()
             owner = np.repeat(np.arange(len(wide)), wide)
-            at = np.arange(len(grams)) - np.repeat(np.cumsum(wide) - wide, wide)
-            # a smaller partner is met in its own first columns already: n - 2t / (1 + t) n + 1 of them
-            first = at <= (sizes - -(-sizes * 2 * percent // (100 + percent)))[owner]
             some = is_marked(bits, grams & (COLUMN_MARKS - 1))
+            # the part of a row's columns that other rows have: all of them for a text that its copies were made from
+            share = 1000 * np.bincount(owner[some], minlength=len(wide)) // np.maximum(wide, 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[some]), batch.column(0).take(pa.array(owner[some])), pa.array(sizes[owner[some]]), pa.array(first[some])],
-                names=["gram", "row", "size", "first"],
+                [pa.array(grams[some]), batch.column(0).take(pa.array(owner[some])), pa.array(sizes[owner[some]]), pa.array(share[owner[some]])],
+                names=["gram", "row", "size", "share"],
             )
 
-    cells = sets.select("row", "size", "prefix").mapInArrow(filter_cells, "gram long, row binary, size long, first boolean")
+    cells = sets.select("row", "size", "prefix").mapInArrow(filter_cells, "gram long, row binary, size long, share long")
     cells = stage_table(cells, "jaccard-cells")
 
     # first pass: each row with hubs of its own and the next lower size class; classes are wider
     # than what may lie between the sizes of partners
     sized = cells.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / math.log(1.01 * 100 / percent)))
-    seeds = [F.min(F.struct(F.xxhash64("row", F.lit(k)).alias("h"), "row", "size")).alias(f"hub{k}") for k in range(HUBS)]
+    seeds = [
+        F.max(F.struct(F.floor(F.col("share") / coarse).alias("s"), F.xxhash64("row", F.lit(k)).alias("h"), "row", "size")).alias(f"hub{k}")
+        for k, coarse in enumerate(HUB_SHARES)
+    ]
     hubs = sized.groupBy("gram", "class").agg(*seeds)
     hubs = hubs.select("gram", "class", F.explode(F.array_distinct(F.array(
-        *[F.struct(F.col(f"hub{k}.row").alias("other"), F.col(f"hub{k}.size").alias("other_size")) for k in range(HUBS)]))).alias("hub"))
+        *[F.struct(F.col(f"hub{k}.row").alias("other"), F.col(f"hub{k}.size").alias("other_size")) for k in range(len(HUB_SHARES))]))).alias("hub"))
     reach = sized.select("gram", "row", "size", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"))
     near = reach.join(hubs.select("gram", "class", "hub.*"), ["gram", "class"]).where("row <> other")
-    near = near.where(_sizes_meet(percent)).groupBy("row", "other").agg(F.count("*").alias("common"))
+    near = _products(near, percent)
+    # a hub is one in most of the blocks that it shares with a row, not in all
+    near = near.where(2 * F.col("common") >= F.col("least"))
     best = near.groupBy("row").agg(F.max(F.struct("common", "other")).alias("a"), F.min(F.struct((-F.col("common")).alias("common"), F.col("other"))).alias("b"))
     best = best.select("row", F.explode(F.array_distinct(F.array("a.other", "b.other"))).alias("other"))
     stars = _verified(docs, best, n, percent)
@@ -154,16 +159,20 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
     cells = cells.join(label, "row", "left").withColumn("root", F.coalesce("root", "row"))
     mixed = cells.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
     cells = stage_table(cells.join(mixed, "gram"), "jaccard-mixed")
-    other = cells.where("first").select("gram", F.col("row").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
+    other = cells.select("gram", F.col("row").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
     larger = (F.col("size") > F.col("other_size")) | ((F.col("size") == F.col("other_size")) & (F.col("row") > F.col("other")))
-    cross = cells.join(other, "gram").where((F.col("root") != F.col("other_root")) & larger & _sizes_meet(percent))
-    cross = cross.select("row", "other").distinct()
-    more = _verified(docs, cross, n, percent)
+    cross = cells.join(other, "gram").where((F.col("root") != F.col("other_root")) & larger)
+    more = _verified(docs, _products(cross, percent).where("common >= least").select("row", "other"), n, percent)
     return components(_edges(stars).unionByName(_edges(more)), "jaccard-all")
 
 
-def _sizes_meet(percent: int):
-    return F.least("size", "other_size") * 100 >= F.greatest("size", "other_size") * percent
+def _products(met: DataFrame, percent: int) -> DataFrame:
+    """Overlaps in the kept columns per pair, summed over the blocks, and the least that a link
+    needs: what both have in common beyond the kept columns is fewer than t times the larger size."""
+    a, b = F.col("size"), F.col("other_size")
+    least = F.ceil((a + b) * percent / (100 + percent)) - F.ceil(F.greatest(a, b) * percent / 100) + 1
+    near = met.where(F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+    return near.groupBy("row", "other", least.alias("least")).agg(F.count("*").alias("common"))
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
