@@ -58,8 +58,8 @@ def _make(novelty: float, least: int, context: int):
         return (len(packer.compress(text[start:end].encode())) - empty) / (end - start)
 
     def mixed(value: str) -> bool:
-        """Has both letters and digits: no plain word and no number."""
-        return any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+        """Has a part with both letters and digits: is no number and not made of words."""
+        return any(any(c.isdigit() for c in p) and any(c.isalpha() for c in p) for p in re.split("[-_/+=]", value))
 
     def spans(text: str) -> list[tuple[int, int, int]]:
         """(start, kind, end), sorted."""
