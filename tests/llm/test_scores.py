@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewater.llm import toxicity
-from tidewater.llm.fertility import base_counts, quality_rules, script_of, split_words
+from tidewater.llm.fertility import BANDS, base_counts, quality_rules, script_of, split_words
 from tidewater.llm.learning import fold
 from tidewater.llm.quality import quality_scores
 from tidewater.llm.secrets import find_secrets, redact_secrets
@@ -86,8 +86,10 @@ def test_quality_rules(spark):
         want = brute_rules(text or "")
         assert (rows[i].n_words, rows[i].word_chars, rows[i].n_symbols, rows[i].n_dup_lines, rows[i].n_repeat_words) == want
         assert rows[i].base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
-    assert [rows[i].kept for i in range(len(texts))] == [True, False, False, False, False, False, True]
-    assert rows[5].byte_share > 0.1 and not rows[5].base_failed
+    assert [rows[i].kept for i in range(len(texts))] == [True, False, False, False, False, True, True]
+    assert rows[5].byte_share > 0.5 and rows[5].script == "OTHER"
+    strict = quality_rules(spark, docs, path, bands=BANDS | {"OTHER": (0.25, 9.0, 0.5, 1.5)}).collect()
+    assert {r.doc_id for r in strict if not r.kept} == {1, 2, 3, 4, 5}
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = [i for w in texts[0].split() for i in model.encode(w)]
     share = [n / len(ids) for n in Counter(ids).values()]
