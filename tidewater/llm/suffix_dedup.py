@@ -117,22 +117,28 @@ def suffix_ranks(s: np.ndarray, depth: int) -> np.ndarray:
     different, name = np.unique(triple * k + t[sample + 2], return_inverse=True)
     name = name + 1
     if len(different) < len(sample) and depth > 3:
-        ranks = suffix_ranks(np.concatenate([name[: len(p1)], [0], name[len(p1) :]]), -(-depth // 3) + 1) + 1
-        name = np.concatenate([ranks[: len(p1)], ranks[len(p1) + 1 :]])
-        name = np.unique(name, return_inverse=True)[1] + 1
+        name = suffix_ranks(np.concatenate([name[: len(p1)], [0], name[len(p1) :]]), -(-depth // 3) + 1) + 1
+        name = np.concatenate([name[: len(p1)], name[len(p1) + 1 :]])
     rank = np.zeros(n + 3, np.int64)
     rank[sample] = name
     m = int(name.max(initial=0)) + 2
     # the others by a symbol and the rank behind it; both kinds are compared where cover meets cover
-    one = lambda x: t[x] * m + rank[x + 1]
-    pair = np.unique(t[:-1] * k + t[1:], return_inverse=True)[1]
-    two = lambda x: pair[x] * m + rank[x + 2]
-    a0, b0, a1, b2 = one(p0), two(p0), one(p1), two(p2)
-    sorted_a0, sorted_name = np.sort(a0), np.sort(name)
+    pair = t[:-1] * k + t[1:]
+    if k * k * m >= 1 << 63:
+        pair = np.unique(pair, return_inverse=True)[1]
+    a0, b0 = t[p0] * m + rank[p0 + 1], pair[p0] * m + rank[p0 + 2]
+    a1, b2 = t[p1] * m + rank[p1 + 1], pair[p2] * m + rank[p2 + 2]
+    smaller = np.concatenate([[0], np.cumsum(np.bincount(name))])
     out = np.zeros(n, np.int64)
-    out[p0] = np.searchsorted(sorted_a0, a0) + np.searchsorted(np.sort(a1), a0) + np.searchsorted(np.sort(b2), b0)
-    out[p1] = np.searchsorted(sorted_name, rank[p1]) + np.searchsorted(sorted_a0, a1)
-    out[p2] = np.searchsorted(sorted_name, rank[p2]) + np.searchsorted(np.sort(b0), b2)
+    out[sample] = smaller[name]
+    # sorted against sorted, so each search goes through memory in order
+    for x, y, left, right in ((a0, a1, p0, p1), (b0, b2, p0, p2)):
+        ox, oy = np.argsort(x), np.argsort(y)
+        x, y = x[ox], y[oy]
+        out[left[ox]] += np.searchsorted(y, x)
+        out[right[oy]] += np.searchsorted(x, y)
+        if left is p0 and right is p1:
+            out[left[ox]] += np.searchsorted(x, x)
     return out
 
 
