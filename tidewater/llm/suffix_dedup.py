@@ -21,6 +21,7 @@ A null text counts as empty.  Results are judged on the input.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import map_texts
 from tidewater.llm.tables import is_marked, marks
-from tidewater.session import stage_table
+from tidewater.session import scratch_path, stage_table
 
 #: Bytes of a repeated string, and of the strings that fingerprints are hashes of.
 LENGTH, GRAM = 200, 64
@@ -37,6 +38,8 @@ LENGTH, GRAM = 200, 64
 MARKS = 1 << 24
 #: Different contexts of a fingerprint that are sorted in one task, at most.
 MANY = 400
+#: Bits of the table that marks fingerprints with more (128 kB).
+LARGE_MARKS = 1 << 20
 #: Bytes of contexts that are sorted at a time, about.
 BATCH_BYTES = 1_500_000
 #: Grams that are looked at in one go.
@@ -249,19 +252,36 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 
     one = map_texts(texts, around(True), {"h": "long", "name": "binary", "shift": "int", "context": "binary"}, [], "_t", explode=True)
     contexts = one.groupBy("h", "name").agg(F.count("*").alias("copies"), F.first("shift").alias("shift"), F.first("context").alias("context"))
-    contexts = stage_table(contexts, "suffix-contexts")
-    groups = contexts.groupBy("h").agg(F.count("*").alias("kinds"))
+    # like contexts lie side by side here, so a stronger codec pays
+    path = scratch_path(spark, "suffix-contexts")
+    contexts.write.option("compression", "zstd").parquet(path)
+    contexts = spark.read.parquet(path)
+    large = contexts.groupBy("h").agg(F.count("*").alias("kinds")).where(F.col("kinds") > MANY).select("h")
+    large_ = spark.sparkContext.broadcast(marks(large, LARGE_MARKS, lambda batch: [batch.column(0).to_numpy() & (LARGE_MARKS - 1)]))  # LARGE_MARKS bits
     whole = contexts.where("copies > 1").select("h", "name", F.array(F.lit(0), F.greatest(F.octet_length("context") - length + 1, F.lit(0))).alias("runs"))
-    open_ = contexts.join(groups.where("kinds > 1"), "h")
+
+    def route(to_large: bool):
+        def run(batches):
+            for batch in batches:
+                is_large = is_marked(large_.value, batch.column(0).to_numpy() & (LARGE_MARKS - 1))
+                yield batch.filter(pa.array(is_large if to_large else ~is_large))
+
+        return run
+
+    columns = contexts.select("h", "name", "shift", "context", "copies")
 
     def order(batches):
         held: list[tuple] = []
         bytes_ = 0
 
         def flush():
-            group = np.unique([r[0] for r in held], return_inverse=True)[1]
-            starts = repeated_starts([r[3] for r in held], group, np.array([r[2] for r in held], np.int64), length)
-            kept = [(r[0], r[1], _runs(s)) for r, s in zip(held, starts, strict=True) if len(s) and r[4] == 1]
+            many = Counter(r[0] for r in held)
+            some = [r for r in held if many[r[0]] > 1]  # a context alone with its fingerprint repeats nothing
+            kept = []
+            if some:
+                group = np.unique([r[0] for r in some], return_inverse=True)[1]
+                starts = repeated_starts([r[3] for r in some], group, np.array([r[2] for r in some], np.int64), length)
+                kept = [(r[0], r[1], _runs(s)) for r, s in zip(some, starts, strict=True) if len(s) and r[4] == 1]
             return pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.binary()), pa.array([k[2] for k in kept], pa.list_(pa.int32()))],
                 names=["h", "name", "runs"],
@@ -277,10 +297,10 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         if held:
             yield flush()
 
-    some = open_.where(F.col("kinds") <= MANY).select("h", "name", "shift", "context", "copies")
+    some = columns.mapInArrow(route(False), columns.schema)
     found = some.repartition("h").sortWithinPartitions("h").mapInArrow(order, "h long, name binary, runs array<int>")
-    # too many contexts for one task: each string by its own content
-    many = open_.where(F.col("kinds") > MANY).where(F.octet_length("context") >= length)
+    # too many contexts for one task (and a few that are marked with these): each string by its own content
+    many = columns.mapInArrow(route(True), columns.schema).where(F.octet_length("context") >= length)
     strings = many.select("h", "name", "copies", "shift", "context", F.explode(F.sequence(F.lit(0), F.octet_length("context") - length)).alias("start"))
     strings = strings.select(
         "h", "name", "copies", "start", F.unhex(F.md5(F.substring("context", F.col("start") + 1, F.lit(length)))).alias("string"), (F.col("shift") + F.col("start")).alias("place")
