@@ -30,9 +30,11 @@ from tidewater.llm.common import components
 from tidewater.session import stage_table
 
 #: Dimensions of a block; members of a tile, about; rows that are compared with a band at a time.
-BLOCK_DIMS, TILE_ROWS, STRIP = 8, 2_048, 256
-#: Slack of the filters, far above rounding errors; the verification has none.
-SLACK = 1e-9
+BLOCK_DIMS, TILE_ROWS, STRIP = 16, 2_048, 256
+#: Tasks that pairs of tiles are dealt to, at most.
+MOST_TASKS = 20_000
+#: Slack of the filters, far above the errors of single precision; the verification has none.
+SLACK = 1e-4
 
 
 def rotation(dims: int, seed: int = 20_240_229) -> np.ndarray:
@@ -60,7 +62,10 @@ def _candidates(a: np.ndarray, b: np.ndarray, blocks, share: np.ndarray) -> np.n
     for (lo, hi), most in zip(blocks, share, strict=True):
         oa, ob = np.argsort(a[:, lo]), np.argsort(b[:, lo])
         xa, xb = a[oa, lo:hi], b[ob, lo:hi]
-        na, nb = (xa**2).sum(1), (xb**2).sum(1)
+        limit = (most + SLACK - (xa**2).sum(1)).astype(np.float32)
+        # |y|^2 - 2xy in one product
+        xa1 = np.concatenate([-2 * xa, np.ones((len(xa), 1))], axis=1).astype(np.float32)
+        xb1 = np.concatenate([xb, (xb**2).sum(1, keepdims=True)], axis=1).astype(np.float32)
         radius = math.sqrt(most + SLACK)
         for at in range(0, len(xa), STRIP):
             part = xa[at : at + STRIP]
@@ -68,10 +73,8 @@ def _candidates(a: np.ndarray, b: np.ndarray, blocks, share: np.ndarray) -> np.n
             e = np.searchsorted(xb[:, 0], part[-1, 0] + radius, side="right")
             if s == e:
                 continue
-            gap = part @ xb[s:e].T
-            gap *= -2
-            gap += nb[None, s:e]
-            i, j = np.nonzero(gap <= (most + SLACK - na[at : at + STRIP])[:, None])
+            close = xa1[at : at + STRIP] @ xb1[s:e].T <= limit[at : at + STRIP, None]
+            i, j = np.divmod(np.flatnonzero(close), e - s)
             found.append(oa[i + at] * len(b) + ob[j + s])
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
@@ -165,7 +168,9 @@ def embedding_links(
             {"key": pa.array([key[x] for x in some], pa.string()), "links": pa.array(links[some]), "root": pa.array([key[x] for x in root], pa.string())}
         )
 
-    found = dealt.groupBy("dims", "p", "q").applyInArrow(link, "key string, links long, root string")
+    pairs = sizes.agg(F.sum(F.col("tiles").cast("long") * (F.col("tiles") + 1) / 2)).first()[0]
+    tasks = int(min(max(pairs or 1, 1), MOST_TASKS))  # small in bytes, not in work: not for Spark to put together
+    found = dealt.repartition(tasks, "dims", "p", "q").groupBy("dims", "p", "q").applyInArrow(link, "key string, links long, root string")
     found = stage_table(found, "vector-links")
     counts = found.groupBy("key").agg(F.sum("links").alias("links"))
     return rows, counts, components(found.select(F.col("key").alias("a"), F.col("root").alias("b")).distinct(), "vector")
