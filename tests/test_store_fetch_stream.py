@@ -9,6 +9,7 @@ from tidewater.operators.batching import assign_batches
 from tidewater.plans.curate import batch_runs, run_batch
 from tidewater.plans.fetch import fetch, resolve_window, run_fetch, run_value
 from tidewater.sources.store import (
+    list_batches,
     list_runs,
     load_prompt,
     read_json_docs,
@@ -108,6 +109,9 @@ def test_render_and_write_batches(spark, tmp_dir):
     names = sorted(r["file_name"] for r in batched.select("file_name").distinct().collect())
     assert names == ["1of3.json", "2of3.json", "3of3.json"]
     out, _ = run_batch(pre, 32, ["channel", "time", "text"], os.path.join(tmp_dir, "batches"), CharTokenizer())
+    listed = [tuple(r) for r in list_batches(spark, out).collect()]
+    assert listed == sorted(listed) and [n for _, n, _ in listed] == list(range(1, len(listed) + 1))
+    assert [f for _, _, f in listed] == [f"{n}of{len(listed)}.json" for _, n, _ in listed]
     stored = spark.read.json(out).collect()
     assert len(stored) == 3 and {r["run"] for r in stored} == {"2025-05-19_1330~2025-05-26_1323"}
 

@@ -140,6 +140,16 @@ def read_batches(spark: SparkSession, path: str, record: T.StructType | str, run
     return parsed.select(run, "batch_no", "file_name", F.col("__k").cast("long").alias("batch_idx"), "rec")
 
 
+def list_batches(spark: SparkSession, path: str, run: str = RUN) -> DataFrame:
+    """``(run, batch_no, file_name)`` of the stored batches in order; the documents are not read into it."""
+    schema = T.StructType(
+        [T.StructField("batch_no", T.LongType()), T.StructField("file_name", T.StringType()), T.StructField(run, T.StringType())]
+    )
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema).select(run, "batch_no", "file_name")
+    return spark.read.schema(schema).json(path).select(run, "batch_no", "file_name").orderBy(run, "batch_no")
+
+
 # ------------------------------------------------------------------- reads
 def read_runs(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """All stored runs (an absent store reads as an empty frame)."""
@@ -348,6 +358,7 @@ __all__ = [
     "write_json",
     "render_batches",
     "write_batches",
+    "list_batches",
     "read_batches",
     "read_runs",
     "read_messages",
