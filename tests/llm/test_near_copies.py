@@ -202,6 +202,39 @@ def test_line_dedup_matches_brute_force(spark):
     assert stay == set(range(len(texts))) - {5}
 
 
+def brute_runs(texts, least=50):
+    """Lines that go, per document: every line of a run of enough words, of any length, that stood before."""
+    seen, gone = set(), []
+    for t in texts:
+        out = set()
+        lines = [(i, s, len(s.encode().split())) for i, s in enumerate((t or "").split("\n"))]
+        lines = [x for x in lines if x[2]]
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if sum(x[2] for x in lines[a:b]) >= least:
+                    key = tuple(x[1] for x in lines[a:b])
+                    if key in seen:
+                        out |= {x[0] for x in lines[a:b]}
+                    seen.add(key)
+        gone.append(out)
+    return gone
+
+
+def test_line_dedup_takes_whole_runs(spark):
+    rng = np.random.default_rng(7)
+    pool = [prose(20 + i, int(n)) for i, n in enumerate([60, 5, 1, 49, 30, 12, 50, 20, 3, 45])]
+    texts = ["\n".join([pool[0], pool[1]]), "\n".join([pool[0], pool[1]]), "\n".join([pool[2], pool[0], "", pool[1], "tail"])]
+    texts += ["\n".join(pool[k] for k in rng.integers(0, len(pool), rng.integers(1, 9))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gone = brute_runs(texts)
+    assert gone[1] == {0, 1} and gone[2] == {1, 3}
+    got = {r.doc_id: r for r in line_report(docs, whole_runs=True).collect()}
+    for i, (t, g) in enumerate(zip(texts, gone, strict=True)):
+        assert [s for s in got[i].kept.split("\n") if s] == [s for k, s in enumerate(t.split("\n")) if s and k not in g], i
+    stay = {r.doc_id: r.text for r in drop_repeated_lines(docs).collect()}
+    assert 1 not in stay and stay[2] == "\n".join([pool[2], "tail"])  # a line without a word goes with the window around it
+
+
 def test_line_dedup_takes_odd_tables(spark):
     docs = odd_documents(spark)
     rows = line_report(docs).collect()
