@@ -108,6 +108,22 @@ def test_packed_pieces_are_whole(spark, library):
     assert pack(token_pieces(no_documents(spark), vocab(spark, "byte_bpe_50k.json"))).count() == 0
 
 
+def test_added_tokens_in_a_text_keep_their_ids(spark):
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"{prose(1, 40)}{end}{prose(2, 40)} {end}", "<|endoftext| >", f"  {end}\n\n{end}'s", "no such token", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    v = vocab(spark, "byte_bpe_50k.json")
+    rows = {r.doc_id: r for r in token_pieces(docs, v, with_ids=True).collect()}
+    done = {r.doc_id: r for r in bpe_decode(bpe_encode(docs, v, chunk=64, overlap=24), v).collect()}
+    for i, text in enumerate(texts):
+        ids = whole.encode(text, add_special_tokens=False).ids
+        assert rows[i].ids == [*ids, 2] and done[i].ids == ids, text
+        assert rows[i].ids_crc32 == zlib.crc32(np.array([*ids, 2], "<u4").tobytes())
+        assert bytes(done[i].decoded) == text.encode()
+    assert rows[0].ids == [64, 220, 50256, 275, 2]
+
+
 def test_pack_reports_what_has_no_place(spark):
     pieces = spark.createDataFrame([(1, 5), (2, None), (3, 0), (4, 11), (5, 5)], "id long, length long")
     rows = {r.id: r for r in pack(pieces, 10).collect()}

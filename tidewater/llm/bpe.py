@@ -72,7 +72,7 @@ def _chunked(long: DataFrame, text_col: str, vocab: Vocabulary, chunk: int, over
             heads, tails, cuts = [], [], []
             for window in found:
                 at = _cuts(encoder.split(window))
-                sure = at[at <= len(window) - MARGIN]
+                sure = at[at <= len(window) - MARGIN - encoder.longest_added]
                 heads.append(sure[sure < overlap].tolist())
                 tails.append((sure[sure >= chunk] - chunk).tolist())
                 cuts.append(at.tolist())

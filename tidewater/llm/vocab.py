@@ -43,6 +43,14 @@ def parse_json(content: bytes) -> dict[bytes, int]:
     return {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
 
 
+def added_tokens(content: bytes) -> dict[str, int]:
+    """Added tokens of a ``tokenizers`` JSON file, which the library finds in the text before it splits it."""
+    added = json.loads(content).get("added_tokens", [])
+    if any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word")):
+        raise ValueError("added tokens that take in white space or whole words only are not supported")
+    return {t["content"]: t["id"] for t in added}
+
+
 class Vocabulary:
     """Handle that tasks use to get at the encoder; cheap to ship."""
 
@@ -54,7 +62,11 @@ class Vocabulary:
         self.content = spark.sparkContext.broadcast(content)
 
     def encoder(self) -> "Encoder":
-        return per_process(self.key, lambda: Encoder((parse_json if self.is_json else parse_tiktoken)(self.content.value), self.pattern))
+        def build():
+            content = self.content.value
+            return Encoder(parse_json(content), self.pattern, added_tokens(content)) if self.is_json else Encoder(parse_tiktoken(content), self.pattern)
+
+        return per_process(self.key, build)
 
 
 class _Pieces(dict):
@@ -72,21 +84,40 @@ class _Pieces(dict):
 
 
 class Encoder:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, added: dict[str, int] | None = None):
         import regex
         import tiktoken
 
         core = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.ordinary = core.encode_ordinary
         self.pieces = _Pieces(core.encode_single_piece)
-        #: Pre-tokens of a text, in order; they join to the text.
-        self.split = regex.compile(pattern).findall
-        self.table = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
+        self.pre_tokens = regex.compile(pattern).findall
+        self.added = added or {}
+        self.longest_added = max(map(len, self.added), default=0)
+        #: Cuts a text at its added tokens, of which the longest counts; they stand at the odd places.
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
+        self.pieces.update((t, array("I", [i]).tobytes()) for t, i in self.added.items())
+        known = ranks | {t.encode(): i for t, i in self.added.items()}
+        self.table = [b""] * (max(known.values()) + 1)
+        for token, rank in known.items():
             self.table[rank] = token
 
+    def parts(self, text: str) -> list[str]:
+        """Stretches of ordinary text and, at the odd places, the added tokens between them."""
+        return self.cut(text) if self.cut else [text]
+
+    def split(self, text: str) -> list[str]:
+        """Pre-tokens and added tokens of a text, in order; they join to the text."""
+        parts = self.parts(text)
+        if len(parts) == 1:
+            return self.pre_tokens(text)
+        return [p for k, part in enumerate(parts) for p in ([part] if k % 2 else self.pre_tokens(part))]
+
     def encode_text(self, text: str) -> bytes:
-        return array("I", self.ordinary(text)).tobytes()
+        ids = []
+        for k, part in enumerate(self.parts(text)):
+            ids += [self.added[part]] if k % 2 else self.ordinary(part)
+        return array("I", ids).tobytes()
 
     def encode_pieces(self, pieces: list[str]) -> bytes:
         return b"".join(map(self.pieces.__getitem__, pieces))
