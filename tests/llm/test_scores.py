@@ -1,6 +1,7 @@
 """Secret scan, quality rules, the two classifiers and the pipeline."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -100,6 +101,30 @@ def test_quality_rules(spark):
     assert (script_of("abc"), script_of("слово и дело"), script_of("日本語")) == ("LATIN", "CYRILLIC", "CJK")
 
 
+def noise(letters, seed, n):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(n))
+
+
+def test_quality_bands_of_the_corpus_reject_noise(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    good = [prose(i, 70 + 5 * (i % 80)) for i in range(600)]
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    bad = [noise(letters, i, n) for i, n in enumerate((90, 250, 450)) for letters in (lower, "bcdfghjklmnpqrstvwxz", lower + lower.upper())]
+    # a script of its own stays under the fixed bands, and copies of one text set none
+    other = [" ".join(f"{i}{chr(0x13000 + i)}" for i in range(120))]
+    texts = good + bad + other + [good[5]] * 900
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    wide = {r.doc_id: r.kept for r in quality_rules(spark, docs, path, bands=BANDS).collect()}
+    rows = {r.doc_id: r for r in quality_rules(spark, docs, path).collect()}
+    n = len(good)
+    assert len(rows) == len(texts) and all(wide[i] for i in range(n))
+    assert all(wide[n + k] for k in (0, 3, 6))  # lower-case letters: the fixed bands alone let them pass
+    assert not any(rows[n + k].kept for k in range(len(bad)))
+    assert sum(rows[i].kept for i in range(n)) >= 0.98 * n
+    assert rows[n + len(bad)].kept
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -2,9 +2,14 @@
 
 Fertility is how a public vocabulary splits the words of a text: characters per
 token, the share of byte-fallback tokens (letters that the vocabulary lacks),
-and the entropy of the tokens.  Each main script has its own band; a document
-outside its band is rejected.  Bands are parameters with wide margins: text
-that a vocabulary was made for gives 3 to 5 characters a token, invented or
+and the entropy of the tokens.  A document outside its band is rejected.
+
+Bands come from the corpus: quartiles of the three measures over all documents
+that pass the base rules (each set of results once, so that copies don't set a
+band), by script and by size, as entropy grows with the number of tokens; what
+lies FENCE interquartile ranges outside is rejected.  Fixed bands by script,
+with wide margins, hold as well, and alone where a script has too few documents:
+text that a vocabulary was made for gives 3 to 5 characters a token, invented or
 rare-language text 1.5 to 3, noise and symbol soup less or far more.
 
 A null text has no words and fails the base rules (fewer than 50 words).
@@ -19,13 +24,19 @@ from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.llm.common import map_texts, per_process
+from tidewater.session import stage_table
 
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 #: Words whose tokens a worker remembers.
 CACHE_WORDS = 150_000
+#: Interquartile ranges from a quartile to the band's end; documents of a script and size that make a band.
+FENCE, LEAST_DOCS = 2.0, 100
+#: What lies no further from a quartile than this is never outside (characters per token by share of the quartile, byte share, bits).
+LEAST_PER, LEAST_SHARE, LEAST_BITS = 0.1, 0.05, 0.25
 #: Per script: least and most characters per token, most share of byte-fallback tokens, least entropy (bits a token).
 BANDS = {
     "LATIN": (1.35, 9.0, 0.10, 2.0),
@@ -124,12 +135,45 @@ def fertility(words: list[str], pieces: Pieces) -> tuple[float, float, float]:
     return sum(map(len, words)) / len(ids), float(pieces.is_byte[ids].mean()), float(-(counts * np.log2(counts)).sum())
 
 
+def corpus_bands(measured: DataFrame) -> list[tuple[str, int, float, float, float, float, float]]:
+    """Script, size and the band (least and most characters per token, most byte share, least and most entropy)
+    of all that occur in the results of documents; the driver gets a row for each script and power of two."""
+    found = (
+        measured.where("not base_failed")
+        .select("script", "_size", F.round("chars_per_token", 3).alias("per"), F.round("byte_share", 3).alias("share"), F.round("token_entropy", 3).alias("bits"), "n_words", "word_chars")
+        .distinct()
+        .groupBy("script", "_size")
+        .agg(F.count("*").alias("n"), *[F.percentile(c, [0.25, 0.75]).alias(c) for c in ("per", "share", "bits")])
+        .collect()
+    )
+
+    def fence(quartiles, least):
+        low, high = quartiles
+        room = max(FENCE * (high - low), least)
+        return low - room, high + room
+
+    made = []
+    for r in found:
+        ready = sorted((x for x in found if x.script == r.script and x.n >= LEAST_DOCS), key=lambda x: x["_size"])
+        if not ready:
+            continue
+        # entropy grows with the size: a smaller size bounds it from below, a larger one from above
+        below = [x for x in ready if x["_size"] <= r["_size"]]
+        above = [x for x in ready if x["_size"] >= r["_size"]]
+        near = min(ready, key=lambda x: abs(x["_size"] - r["_size"]))
+        per = fence(near.per, LEAST_PER * near.per[0])
+        bits = fence(below[-1].bits, LEAST_BITS)[0] if below else 0.0, fence(above[0].bits, LEAST_BITS)[1] if above else math.inf
+        made.append((r.script, r["_size"], *per, fence(near.share, LEAST_SHARE)[1], *bits))
+    return made
+
+
 def quality_rules(
     spark: SparkSession, docs: DataFrame, model_path: str, text_col: str = "text", keep: list[str] | None = None, bands: dict | None = None
 ) -> DataFrame:
     """The columns ``keep`` (default: all but the text and the results) and the rules' results:
-    base counts, ``base_failed``, ``script``, the three measures and ``kept``."""
-    bands = BANDS if bands is None else bands
+    base counts, ``base_failed``, ``script``, the three measures and ``kept``.
+    With ``bands`` these hold alone, and no others are drawn from the corpus."""
+    from_corpus, bands = bands is None, BANDS if bands is None else bands
     with open(model_path, "rb") as f:
         content = f.read()
     proto = spark.sparkContext.broadcast(content)  # the model file, under 1 MB
@@ -137,6 +181,7 @@ def quality_rules(
     out = {
         "n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long",
         "base_failed": "boolean", "kept": "boolean", "script": "string", "chars_per_token": "double", "byte_share": "double", "token_entropy": "double",
+        "_size": "int",
     }
     keep = [c for c in docs.columns if c != text_col and c not in out] if keep is None else keep
 
@@ -152,11 +197,22 @@ def quality_rules(
             low, high, most, least = bands[script]
             # short texts can't reach a high entropy
             kept = not failed and low <= per <= high and share <= most and bits >= min(least, math.log2(max(n, 2)) - 1)
-            return n, *base, failed, kept, script, per, share, bits
+            size = round(base[0] / per).bit_length() - 1 if per else -1  # tokens, as a power of two
+            return n, *base, failed, kept, script, per, share, bits, size
 
         return lambda texts: [list(c) for c in zip(*(rules(t or "") for t in texts))] if texts else [[]] * len(out)
 
-    return map_texts(docs, make, out, keep, text_col)
+    measured = map_texts(docs, make, out, keep, text_col)
+    if not from_corpus:
+        return measured.drop("_size")
+    measured = stage_table(measured, "quality-measures")
+    names = ("_low", "_high", "_most", "_least_bits", "_most_bits")
+    table = spark.createDataFrame(corpus_bands(measured), "_script string, _of int, " + ", ".join(f"{n} double" for n in names))
+    inside = F.col("chars_per_token").between(F.col("_low"), F.col("_high")) & (F.col("byte_share") <= F.col("_most"))
+    inside &= F.col("token_entropy").between(F.col("_least_bits"), F.col("_most_bits"))
+    met = measured.join(F.broadcast(table), (F.col("script") == F.col("_script")) & (F.col("_size") == F.col("_of")), "left")
+    made = met.withColumn("kept", F.col("kept") & F.coalesce(inside, F.lit(True)))
+    return made.select(*keep, *[c for c in out if c != "_size"])
 
 
-__all__ = ["BANDS", "Pieces", "fertility", "quality_rules", "base_counts", "split_words", "script_of"]
+__all__ = ["BANDS", "corpus_bands", "Pieces", "fertility", "quality_rules", "base_counts", "split_words", "script_of"]
