@@ -1,18 +1,29 @@
 """Secret scans: fixed patterns, and novelty measured by a primed compressor.
 
 Base spans come from three patterns.  The method adds spans of kind ``novel``:
-strings of key-like characters in a sensitive context (a word such as ``key``
-or ``bearer`` shortly before) whose marginal compressed size stays high when
-zstandard is primed with the code and prose around them and with a dictionary
-of common identifiers.  Names, paths and words repeat what the primer holds and
-cost few bytes; random strings cost nearly all of their entropy.
+strings of key-like characters with a sensitive word (such as ``key`` or
+``bearer``, or its plural) in the window around them, or in themselves, whose
+marginal compressed size stays high when zstandard is primed with the code and
+prose around them and with a dictionary of common identifiers.  Names, paths and
+words repeat what the primer holds and cost few bytes; random strings cost
+nearly all of their entropy.
+
+A compressor can't tell a long word that the primer lacks from random letters,
+so a second measure has to agree: bits a character under letter pairs of the
+dictionary, where digits cost what digits hold and a change between small
+letters, capitals and digits costs extra.  It is left out for a string right
+after a sensitive word that mixes letters and digits.  Numbers, which are mostly
+ids, times and cards, count from LEAST_DIGITS on.
 
 Offsets are code points, end exclusive.  A null text counts as empty.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,16 +47,61 @@ IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ https://www. http:// .com .org .json .yaml .html "
     "function return import class const static string integer boolean true false null none undefined default"
 )
+#: Common words and parts of words, from whose letter pairs the second measure is made.
+WORDS = (
+    "the and ing tion ation ment ness able ible ally ance ence ious less ful over under inter super trans anti auto micro multi "
+    "that with have this from they would there their what about which when make like time just know people into year your good some could "
+    "them other than then look only come over think also back after work first well even want because any these give day most "
+    "container service manager controller handler factory provider response request message header content length version update create "
+    "delete select insert database table column index number value result error exception test assert equal window button image file path name "
+    "les des une est que pour dans qui sur pas plus avec sont mais comme tout elle nous vous leur cette être avoir faire "
+    "der die und den von das mit sich des auf für ist nicht ein eine als auch werden aus hat dass sie nach bei wird einer schaft heit keit ung lich "
+    "los las por con una para como más pero sus este entre cuando todo esta ser son dos también fue había era muy años hasta desde ción mente dad"
+)
+#: Bits a character from which a string of words, or one that only stands near a sensitive word, is novel; digits that a number needs.
+LETTER_BITS, LEAST_DIGITS = 4.9, 24
 #: Characters of context on either side; least length of a candidate; bytes a character from which it is novel.
 CONTEXT, LEAST_CANDIDATE, NOVELTY = 256, 16, 0.72
 
 
+def _letter_pairs() -> dict[str, float]:
+    """Bits of each letter after each other one, or after none."""
+    pairs, firsts = Counter(), Counter()
+    for word in re.findall("[a-z]+", f"{IDENTIFIERS} {WORDS}".lower().replace("abcdefghijklmnopqrstuvwxyz", "")):
+        for p in zip(" " + word, word):
+            pairs["".join(p)] += 1
+            firsts[p[0]] += 1
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return {x + y: -math.log2((pairs[x + y] + 0.25) / (firsts[x] + 0.25 * len(letters))) for x in " " + letters for y in letters}
+
+
+def letter_bits(value: str, pairs: dict[str, float]) -> float:
+    """Bits a character of a string by letter pairs, digits and changes of kind; separators cost nothing but count."""
+    bits, before, kind = 0.0, " ", ""
+    for c in value:
+        now = "0" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else ""
+        if now == "0":
+            bits += math.log2(10)
+        elif now:
+            # a word may start with a capital, after a small letter too
+            start = kind == "a" and now == "A"
+            bits += pairs[(" " if start or kind == "0" else before) + c.lower()]
+        if kind and now and kind != now and (kind, now) != ("A", "a"):
+            bits += 2.0
+        before, kind = (c.lower() if now in ("a", "A") and now else " "), now
+    return bits / len(value)
+
+
 def _make(novelty: float, least: int, context: int):
     assign = re.compile(ASSIGN, re.I | re.A)
     access, hexes = re.compile(ACCESS), re.compile(HEX)
-    # a sensitive word, then at most a few separators, then the candidate
-    sensitive = re.compile(r"(?:" + "|".join(SENSITIVE) + r")[^A-Za-z0-9\n]{1,8}(?:is\x20|of\x20)?", re.I | re.A)
-    candidate = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % least)
+    words = "|".join(SENSITIVE)
+    # a sensitive word, its plural or its longer forms, not the opening of another word
+    sensitive = re.compile(rf"(?:(?i:{words})(?i:s|orization|entication)?)(?:(?![A-Za-z])|(?<=[a-z])(?=[A-Z]))", re.A)
+    # right before a candidate: at most a few separators after the word
+    right_before = re.compile(rf"(?:{words})[^A-Za-z0-9\n]{{1,8}}(?:is\x20|of\x20)?", re.I | re.A)
+    candidate = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % least)
+    pairs = _letter_pairs()
 
     def marginal(text: str, start: int, end: int) -> float:
         """Compressed bytes that the candidate adds, per character."""
@@ -59,7 +115,16 @@ def _make(novelty: float, least: int, context: int):
 
     def mixed(value: str) -> bool:
         """Has a part with both letters and digits: is no number and not made of words."""
-        return any(any(c.isdigit() for c in p) and any(c.isalpha() for c in p) for p in re.split("[-_/+=]", value))
+        return any(any(c.isdigit() for c in p) and any(c.isalpha() for c in p) for p in re.split("[-_/+=.]", value))
+
+    def novel(text: str, start: int, end: int, near: bool) -> bool:
+        value = text[start:end]
+        if not any(c.isalpha() for c in value):
+            if sum(c.isdigit() for c in value) < LEAST_DIGITS:
+                return False
+        elif not (near and mixed(value)) and letter_bits(value.rstrip("="), pairs) < LETTER_BITS:
+            return False
+        return marginal(text, start, end) >= novelty
 
     def spans(text: str) -> list[tuple[int, int, int]]:
         """(start, kind, end), sorted."""
@@ -67,16 +132,27 @@ def _make(novelty: float, least: int, context: int):
         found += [(m.start(), 1, m.end()) for m in access.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
         found += [(m.start(), 2, m.end()) for m in hexes.finditer(text)]
         found.sort()
-        new, at = [], 0
-        for m in sensitive.finditer(text):
-            c = candidate.match(text, m.end())
-            if not c or c.start() < at or not mixed(c[0]):
-                continue
-            at = c.end()
-            if any(s < c.end() and c.start() < e for s, _, e in found):
-                continue
-            if marginal(text, c.start(), c.end()) >= novelty:
-                new.append((c.start(), 3, c.end()))
+        new, runs = [], list(candidate.finditer(text))
+        if not runs:
+            return found
+        places = [(m.start(), m.end()) for m in sensitive.finditer(text)]
+        near = {m.end() for m in right_before.finditer(text)}
+        starts = [p[0] for p in places]
+        after = sorted(near)
+        for m in runs:
+            end = m.end() - (len(m[0]) - len(m[0].rstrip(".-")))
+            first = m.start() + (len(m[0]) - len(m[0].lstrip(".=-")))
+            # the run, and what follows a sensitive word or an equals sign inside it
+            inside = {*after[bisect_left(after, first + 1) : bisect_left(after, end)], *(first + e.end() for e in re.finditer("=+", text[first:end]))}
+            for start in sorted({first, *inside}):
+                if end - start < least or any(s < end and start < e for s, _, e in found):
+                    continue
+                k = bisect_left(starts, start - context)
+                if start not in near and not (k < len(places) and places[k][1] <= end + context):
+                    continue
+                if novel(text, start, end, start in near):
+                    new.append((start, 3, end))
+                    break
         return sorted(found + new)
 
     return spans
