@@ -20,6 +20,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def free_name(name: str, taken) -> str:
+    """``name``, with underscores added until no column of ``taken`` has it (letter case doesn't tell columns apart)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def per_process(key: str, build: Callable):
     """A value built once in each Python worker process and reused by later tasks.
 
@@ -84,7 +92,7 @@ def map_texts(
                 made = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*held, *made], names=names)
 
-    return docs.select(F.col(text_col).cast("string").alias("_text_"), *[F.col(c) for c in keep]).mapInArrow(run, schema)
+    return docs.select(F.col(text_col).cast("string").alias(free_name("_text_", keep)), *[F.col(c) for c in keep]).mapInArrow(run, schema)
 
 
 def components(nodes_edges: DataFrame, name: str = "components", max_rounds: int = 100) -> DataFrame:
@@ -130,4 +138,4 @@ def components(nodes_edges: DataFrame, name: str = "components", max_rounds: int
     return label.select(F.col("node.id").alias("node"), F.col("root.id").alias("root"))
 
 
-__all__ = ["ROWS_PER_STEP", "documents", "per_process", "arrow_type", "map_texts", "components"]
+__all__ = ["ROWS_PER_STEP", "documents", "free_name", "per_process", "arrow_type", "map_texts", "components"]

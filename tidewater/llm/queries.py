@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.bpe import bpe_decode, bpe_encode
 from tidewater.llm.common import documents
+from tidewater.llm.conversation_repair import Repair
 from tidewater.llm.fertility import quality_rules
 from tidewater.llm.line_dedup import MIN_WORDS, line_report
 from tidewater.llm.ngram_join import jaccard_components
 from tidewater.llm.packing import pack, token_pieces
+from tidewater.llm.periodic_runs import periodic_runs
+from tidewater.llm.personal_data import find_personal_data
 from tidewater.llm.quality import quality_scores
 from tidewater.llm.secrets import find_secrets
 from tidewater.llm.suffix_dedup import cut_repeats
@@ -71,8 +74,53 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(spark, documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(documents(spark, sf_dir), keep=["doc_id"]).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_added"
+    )
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of one text in ten all words from a place on repeat a stretch, as the contract of op12 says."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    d = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).alias("g"))
+    d = d.withColumn("n", F.size("words")).withColumn("a", (F.col("g") % F.when(F.col("n") > 0, F.col("n"))).cast("int"))
+    d = d.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    made = F.expr(
+        "array_join(concat(slice(words, 1, a), slice(flatten(array_repeat(slice(words, a + 1, p), CAST(ceil((n - a) / p) AS INT))), 1, n - a)), ' ')"
+    )
+    return d.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(with_periods(documents(spark, sf_dir)), keep=["doc_id"]).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", F.sha2("runs", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")
+    )
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text and copies of conversations with the faults that the contract of op13 names; nulls are spaces."""
+    said = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    h = F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn"))) % 20
+    text = F.when(h == 1, "").when(h == 2, F.translate(said("text"), ".!?", "")).otherwise(said("text"))
+    return conversations.where(h != 0).select(
+        "conv_id", "turn", F.when(h == 4, "user").otherwise(said("role")).alias("role"), text.alias("text"), F.when(h == 3, 2).otherwise(1).alias("copies")
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    done = Repair(damaged(conversations), copies_col="copies").digests("done_id")
+    ids = conversations.select("conv_id").distinct()
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return ids.join(done, F.col("conv_id").eqNullSafe(F.col("done_id")), "left").select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_embedding_near_dups, op2_suffix_dedup, op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op6_ngram_jaccard, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_quality_rules)
+    made = (op1_embedding_near_dups, op2_suffix_dedup, op3_bpe_round_trip, op4_best_fit_packing, op5_quality_classifier, op6_ngram_jaccard, op7_line_dedup, op8_secret_scan, op9_toxicity, op10_quality_rules, op11_personal_data, op12_periodic_runs, op13_conversation_repair)
     return {f.__name__: f for f in made}
 
 
