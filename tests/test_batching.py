@@ -10,6 +10,7 @@ from tidewater.operators.batching import (
     _step_function,
     assign_batches,
     batch_stats,
+    chunk_count,
 )
 
 
@@ -193,3 +194,23 @@ def test_unknown_tokens_are_reported_and_bad_positions_raise(spark):
 def test_uniform_counts_over_many_chunks(spark, tok):
     rows = [("hot", p, tok) for p in range(3_000)] + [("cold", p, tok) for p in range(70)]
     assert _spark_labels(spark, rows, 8_000, 140) == _expected(rows, 8_000)
+
+
+@pytest.mark.parametrize("fan_in", [2, 5, 64])
+def test_summaries_are_composed_in_a_tree(spark, fan_in):
+    # 60 chunks: up to six levels; one run over most of them, then many small ones
+    rnd = random.Random(9)
+    rows = [("a", p, rnd.randint(0, 12)) for p in range(400)] + [("hot", p, rnd.choice([0, 1, 9, 20])) for p in range(4_000)]
+    rows += [(f"r{p % 90:02d}", p, rnd.randint(0, 20)) for p in range(1_500)]
+    df = spark.createDataFrame(rows, "run string, pos long, tokens long")
+    out = assign_batches(df, 20, rows_per_chunk=97, fan_in=fan_in)
+    got = {(r["run"], r["pos"]): (r["batch_no"], r["batch_idx"], r["total_batches"]) for r in out.collect()}
+    assert got == _expected(rows, 20)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_chunks_grow_with_the_table():
+    assert chunk_count(9_000, 100) == 90
+    assert chunk_count(10**8, 100) == 10**4 and chunk_count(10**10, 100) == 10**5
+    assert chunk_count(10**9) == 2_000 and chunk_count(0) == 1

@@ -8,13 +8,28 @@ from next_fit import next_fit_reference
 
 from tidewater.operators.batching import (
     _make_chunk_labeller,
+    _make_composer,
+    _make_expander,
     _make_labeller,
-    _make_planner,
+    _make_root,
     _make_summariser,
 )
 
 
-def _run_protocol(rows, cap, cuts):
+def _plan(summaries, cap, fan_in):
+    """The tree of summaries, level by level, without Spark."""
+    levels = [summaries]
+    while len(levels[-1]) > fan_in:
+        groups = levels[-1].groupby(levels[-1]["chunk"] // fan_in)
+        levels.append(pd.concat([_make_composer(cap, fan_in)(g) for _, g in groups], ignore_index=True))
+    plan = _make_root(cap)(levels.pop())
+    while levels:
+        below = levels.pop()
+        plan = pd.concat([_make_expander(cap)(g, plan[plan["__chunk"] == k]) for k, g in below.groupby(below["chunk"] // fan_in)], ignore_index=True)
+    return plan
+
+
+def _run_protocol(rows, cap, cuts, fan_in=64):
     """rows: sorted (run, pos, tokens); cuts: chunk boundaries (row indices)."""
     bounds = [0, *sorted(set(c for c in cuts if 0 < c < len(rows))), len(rows)]
     chunks = []
@@ -32,8 +47,7 @@ def _run_protocol(rows, cap, cuts):
         )
     summarise = _make_summariser(cap, "run", "pos", "tokens")
     summaries = pd.concat([out for frame in chunks for out in summarise(iter([frame]))], ignore_index=True)
-    pieces = [summaries.iloc[:3], summaries.iloc[3:]]  # as it may arrive in batches
-    plan = pd.concat(list(_make_planner(cap)(iter(pieces))), ignore_index=True)
+    plan = _plan(summaries.sample(frac=1.0, random_state=1), cap, fan_in)  # rows of a group come in any order
     label = _make_chunk_labeller(cap, "run", "pos", "tokens")
     got = {}
     for k, frame in enumerate(chunks):
@@ -71,10 +85,10 @@ def cases(draw):
 
 
 @settings(max_examples=400, deadline=None)
-@given(cases())
-def test_protocol_equals_fold(case):
+@given(cases(), st.sampled_from([2, 3, 64]))
+def test_protocol_equals_fold(case, fan_in):
     rows, cap, cuts = case
-    assert _run_protocol(rows, cap, cuts) == _expected(rows, cap)
+    assert _run_protocol(rows, cap, cuts, fan_in) == _expected(rows, cap)
 
 
 @settings(max_examples=100, deadline=None)
@@ -82,7 +96,7 @@ def test_protocol_equals_fold(case):
 def test_periodic_tokens(tok, per_batch, cuts):
     cap = tok * per_batch
     rows = [("hot", p, tok) for p in range(203)]
-    assert _run_protocol(rows, cap, cuts) == _expected(rows, cap)
+    assert _run_protocol(rows, cap, cuts) == _run_protocol(rows, cap, cuts, 2) == _expected(rows, cap)
 
 
 def test_labeller_sorts_unordered_chunks():

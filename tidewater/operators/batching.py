@@ -25,10 +25,13 @@ The running sum resets, so no window frame expresses it.  Only the narrow
   outcome for every possible ``c`` as a small step function (pointer
   doubling gives batch counts along every chain; chains from different
   start rows often merge; where they don't, as with equal counts, the
-  function has up to ``rows_per_chunk / (rows per batch)`` steps).  The
-  summaries are written to the shared folder, one task walks them in chunk
-  order and holds one at a time, and pass 2 labels each chunk from its exact
-  incoming state, which it gets as a row.  Nothing of this reaches the driver.
+  function has up to one step a row of the first batch).  Step functions
+  compose, so the summaries are composed in a tree: a task joins ``FAN_IN``
+  neighbours to one summary, level by level, until one group is left.  Back
+  down the tree every group hands each member its incoming state and the
+  number of batches of the run that it ends in, and pass 2 labels each chunk
+  from what it got.  No task sees more than ``FAN_IN`` summaries, none reaches
+  the driver, and chunks grow with the table, so their number grows with its root.
   Both passes read one checkpoint in the shared folder, so they see identical
   chunks and a lost executor recomputes nothing upstream.
 """
@@ -48,6 +51,8 @@ from tidewater.functions.scalars import batch_file_name
 from tidewater.session import cut_lineage, stage_table
 
 DEFAULT_ROWS_PER_CHUNK = 500_000
+# Neighbouring summaries that one task composes to the next level's summary.
+FAN_IN = 64
 
 
 # ---------------------------------------------------------------- kernels
@@ -199,42 +204,90 @@ def _same_run(a, b) -> bool:
     return a == b
 
 
-def _plan_chunks(summaries: Iterator, cap: int) -> Iterator[tuple[int, tuple[int, int, int], int | None, int | None]]:
-    """Walk chunk summaries in order; yields ``(chunk, incoming state, total of its
-    first run, total of its last run)``, totals as far as a run crosses chunks.
+class _Summary:
+    """What a stretch of neighbouring chunks does to the state of the run that enters it.
 
-    One summary at a time is held, and a few numbers per chunk of the run that is open."""
-    waiting: list[list] = []  # chunks whose totals are not known yet: [chunk, state, first, last]
-    carry_run = None
-    carry_state: tuple[int, int, int] | None = None
+    ``single``: it holds rows of one run only.  ``steps`` and ``first_fresh`` are the
+    outcome of its first run's rows for an open batch that comes in, and for none;
+    ``last_fresh`` is the state in which its last run leaves it (of ``first_fresh`` if single)."""
 
-    def finish(state):
-        for row in waiting:
-            if row[2] is None:
-                row[2] = state[0]
-            else:
-                row[3] = state[0]
-        yield from (tuple(row) for row in waiting)
-        waiting.clear()
-
-    for s in summaries:
-        continues = carry_state is not None and _same_run(s.first_run, carry_run)
-        if continues:
-            incoming, state = carry_state, _step((s.thr, s.depth, s.out_c, s.out_r), carry_state, tuple(s.first_fresh), cap)
-        else:
-            if carry_state is not None:
-                yield from finish(carry_state)
-            incoming, state = (0, 0, 0), tuple(s.first_fresh)
-        if s.n_segments == 1:
-            waiting.append([s.chunk, incoming, None, None])
-            carry_run, carry_state = s.first_run, state
+    def __init__(self, chunk, single, first_run, last_run, first_fresh, last_fresh, steps):
+        self.chunk, self.single, self.first_run, self.last_run = int(chunk), bool(single), first_run, last_run
+        self.first_fresh, self.last_fresh = (tuple(int(x) for x in f) for f in (first_fresh, last_fresh))
+        self.steps = steps
+
+    @classmethod
+    def read(cls, frame: pd.DataFrame) -> list[_Summary]:
+        """The summaries of a frame in chunk order."""
+        rows = frame.sort_values("chunk").itertuples(index=False)
+        return [
+            cls(r.chunk, r.single, r.first_run, r.last_run, r.first_fresh, r.last_fresh, tuple(np.asarray(x, np.int64) for x in (r.thr, r.depth, r.out_c, r.out_r)))
+            for r in rows
+        ]
+
+    def row(self) -> dict:
+        thr, depth, out_c, out_r = (list(x) for x in self.steps)
+        return {
+            "chunk": self.chunk, "single": self.single, "first_run": self.first_run, "last_run": self.last_run, "first_fresh": list(self.first_fresh),
+            "last_fresh": list(self.last_fresh), "thr": thr, "depth": depth, "out_c": out_c, "out_r": out_r,
+        }
+
+
+def _then(first, second, cap: int):
+    """The step function of two stretches of one run, one after the other."""
+    thr, depth, out_c, out_r = (np.asarray(x, np.int64) for x in first)
+    thr2, depth2, c2, r2 = (np.asarray(x, np.int64) for x in second)
+    opens = depth > 0
+    # where the first stretch opens a batch, it leaves one fill, whatever came in
+    k = np.searchsorted(thr2, cap - out_c[opens], side="right") - 1
+    more = depth2[k] > 0
+    parts = [(thr[opens], depth[opens] + depth2[k], np.where(more, c2[k], out_c[opens] + c2[k]), np.where(more, r2[k], out_r[opens] + r2[k]))]
+    for t, total, rows in zip(thr[~opens], out_c[~opens], out_r[~opens], strict=True):
+        # it opens none: the second one sees the room less the first one's tokens
+        j = max(0, int(np.searchsorted(thr2, t - total, side="right")) - 1)
+        more = depth2[j:] > 0
+        parts.append((np.maximum(thr2[j:] + total, t), depth2[j:], np.where(more, c2[j:], total + c2[j:]), np.where(more, r2[j:], rows + r2[j:])))
+    made = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    new = np.ones(len(made[0]), bool)
+    new[1:] = (np.diff(made[1]) != 0) | (np.diff(made[2]) != 0) | (np.diff(made[3]) != 0)
+    return tuple(x[new] for x in made)
+
+
+def _walk(members: list[_Summary], state, total: int | None, cap: int):
+    """Forward and back over neighbours: each member's incoming state, and the total
+    batches of the run that it starts in and of the one that it ends in.
+
+    ``state`` comes in to the first member, ``total`` is that of the last member's last run (None: it ends there)."""
+    ins, firsts, outs, continues = [], [], [], []
+    run = None
+    for k, m in enumerate(members):
+        goes_on = k > 0 and _same_run(m.first_run, run)
+        ins.append(state if k == 0 or goes_on else (0, 0, 0))
+        continues.append(goes_on)
+        firsts.append(_step(m.steps, ins[-1], m.first_fresh, cap))
+        state = firsts[-1] if m.single else m.last_fresh
+        outs.append(state)
+        run = m.last_run
+    totals = [0] * len(members)
+    for k in range(len(members) - 1, -1, -1):
+        if k == len(members) - 1:
+            totals[k] = outs[k][0] if total is None else total
+        elif continues[k + 1]:
+            totals[k] = totals[k + 1] if members[k + 1].single else firsts[k + 1][0]
         else:
-            # the first run of this chunk ends in it; its last one goes on
-            yield from finish(state)
-            waiting.append([s.chunk, incoming, state[0], None])
-            carry_run, carry_state = s.last_run, tuple(s.last_fresh)
-    if carry_state is not None:
-        yield from finish(carry_state)
+            totals[k] = outs[k][0]
+    return ins, [t if m.single else f[0] for m, f, t in zip(members, firsts, totals, strict=True)], totals, outs
+
+
+def _compose(members: list[_Summary], chunk: int, cap: int) -> _Summary:
+    """One summary of neighbouring members."""
+    head = members[0]
+    steps, fresh, single, at = head.steps, head.first_fresh, head.single, 1
+    while single and at < len(members) and _same_run(members[at].first_run, head.first_run):
+        fresh = _step(members[at].steps, fresh, members[at].first_fresh, cap)
+        steps, single, at = _then(steps, members[at].steps, cap), members[at].single, at + 1
+    last = _walk(members, (0, 0, 0), None, cap)[3][-1]
+    return _Summary(chunk, single and at == len(members), head.first_run, members[-1].last_run, fresh, last, steps)
 
 
 def _step(steps, state, fresh, cap):
@@ -292,32 +345,60 @@ def _make_labeller(cap, run, pos, tok):
 _PLAN_SCHEMA = "__chunk long, b long, c long, r long, first_total long, last_total long"
 
 
-def _make_planner(cap):
-    """All summaries in chunk order → each chunk's incoming state and totals."""
+def _plan_frame(members: list[_Summary], state, total: int | None, cap: int) -> pd.DataFrame:
+    ins, firsts, lasts, _ = _walk(members, state, total, cap)
+    rows = [(m.chunk, *s, f, t) for m, s, f, t in zip(members, ins, firsts, lasts, strict=True)]
+    return pd.DataFrame(rows, columns=["__chunk", "b", "c", "r", "first_total", "last_total"]).astype("int64")
 
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["__chunk", "b", "c", "r", "first_total", "last_total"]
-        rows = []
-        for chunk, state, first, last in _plan_chunks((s for b in batches for s in b.itertuples(index=False)), cap):
-            rows.append((chunk, *state, first, last))
-            if len(rows) == 10_000:
-                yield pd.DataFrame(rows, columns=names).astype("Int64")
-                rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=names).astype("Int64")
 
+def _make_composer(cap, fan_in):
+    """Summaries of one group to the group's summary."""
+
+    def compose(frame: pd.DataFrame) -> pd.DataFrame:
+        members = _Summary.read(frame)
+        return pd.DataFrame([_compose(members, members[0].chunk // fan_in, cap).row()])
+
+    return compose
+
+
+def _make_root(cap):
+    """The last group: nothing comes in, and its last run ends in it."""
+    return lambda frame: _plan_frame(_Summary.read(frame), (0, 0, 0), None, cap)
+
+
+def _make_expander(cap):
+    """What a group got from above, handed on to its members."""
+
+    def expand(frame: pd.DataFrame, plan: pd.DataFrame) -> pd.DataFrame:
+        got = plan.iloc[0]
+        return _plan_frame(_Summary.read(frame), (int(got["b"]), int(got["c"]), int(got["r"])), int(got["last_total"]), cap)
+
+    return expand
+
+
+def _plan_tree(summaries: DataFrame, chunks: int, cap: int, fan_in: int) -> DataFrame:
+    """Summaries of ``chunks`` chunks to each chunk's incoming state and totals, by composing neighbours level by level."""
+    levels = [summaries]
+    group = F.floor(F.col("chunk") / fan_in).cast("long").alias("__group")
+    while chunks > fan_in:
+        above = levels[-1].groupBy(group).applyInPandas(_make_composer(cap, fan_in), summaries.schema)
+        levels.append(stage_table(above, "batch-summaries"))
+        chunks = -(-chunks // fan_in)
+    plan = levels.pop().groupBy(F.lit("root")).applyInPandas(_make_root(cap), _PLAN_SCHEMA)
+    while levels:
+        below = levels.pop().groupBy(group)
+        plan = below.cogroup(stage_table(plan, "batch-plan").groupBy(F.col("__chunk").alias("__group"))).applyInPandas(_make_expander(cap), _PLAN_SCHEMA)
     return plan
 
 
 def _make_chunk_labeller(cap, run, pos, tok):
     def label(part: pd.DataFrame, plan: pd.DataFrame) -> pd.DataFrame:
-        number = lambda x: None if pd.isna(x) else int(x)
         if part.empty:
             return pd.DataFrame(columns=["__run", "__pos", "batch_no", "batch_idx", "total_batches"])
         row = plan.iloc[0]
         (_, part), = _read_chunks(iter([part]), run, pos)
         return _label_chunk(
-            part, cap, run, pos, tok, (int(row["b"]), int(row["c"]), int(row["r"])), number(row["first_total"]), number(row["last_total"])
+            part, cap, run, pos, tok, (int(row["b"]), int(row["c"]), int(row["r"])), int(row["first_total"]), int(row["last_total"])
         )
 
     return label
@@ -328,7 +409,7 @@ def _summary_schema(run_type: T.DataType) -> T.StructType:
     return T.StructType(
         [
             T.StructField("chunk", T.LongType()),
-            T.StructField("n_segments", T.LongType()),
+            T.StructField("single", T.BooleanType()),
             T.StructField("first_run", run_type),
             T.StructField("last_run", run_type),
             T.StructField("first_fresh", longs),
@@ -350,27 +431,14 @@ def _make_summariser(cap, run, pos, tok):
             a, e = segs[0]
             first = toks[a:e]
             _, _, first_fresh = _label_segment(first, cap, (0, 0, 0))
-            steps = _step_function(first, cap) if chunk > 0 else ([], [], [], [])
+            steps = _step_function(first, cap)
             if len(segs) > 1:
                 la, le = segs[-1]
                 _, _, last_fresh = _label_segment(toks[la:le], cap, (0, 0, 0))
             else:
                 last_fresh = first_fresh
             runs = part[run]
-            rows.append(
-                {
-                    "chunk": chunk,
-                    "n_segments": len(segs),
-                    "first_run": runs.iloc[a],
-                    "last_run": runs.iloc[segs[-1][0]],
-                    "first_fresh": list(first_fresh),
-                    "last_fresh": list(last_fresh),
-                    "thr": steps[0],
-                    "depth": steps[1],
-                    "out_c": steps[2],
-                    "out_r": steps[3],
-                }
-            )
+            rows.append(_Summary(chunk, len(segs) == 1, runs.iloc[a], runs.iloc[segs[-1][0]], first_fresh, last_fresh, steps).row())
         if rows:
             yield pd.DataFrame(rows)
 
@@ -387,6 +455,12 @@ def drop_oversized(df: DataFrame, cap: int, tokens: str = "tokens") -> tuple[Dat
     return df.filter(F.col(tokens) <= F.lit(cap)), oversized_rows(df, cap, tokens)
 
 
+def chunk_count(rows: int, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> int:
+    """Chunks of a table: of ``rows_per_chunk`` rows, or of the root of its rows once that is more,
+    so a table of 100 times the rows has at most 10 times the chunks from there on."""
+    return max(1, math.ceil(rows / max(rows_per_chunk, math.isqrt(rows))))
+
+
 def assign_batches(
     df: DataFrame,
     cap: int,
@@ -395,6 +469,7 @@ def assign_batches(
     pos: str = "pos",
     rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
     stage: bool = True,
+    fan_in: int = FAN_IN,
 ) -> DataFrame:
     """Label each row that fits (``tokens <= cap``) with its batch.
 
@@ -404,11 +479,16 @@ def assign_batches(
     ``ValueError`` (inside a task, where Spark reports it as the job's failure).
     ``tokens`` must be >= 0; rows with NULL tokens are not batched but
     reported by :func:`oversized_rows`.
+    Inputs of more than ``rows_per_chunk`` rows are cut into chunks of that many,
+    or of the root of the number of rows if that is more; ``fan_in`` (2 or more)
+    neighbouring summaries meet in a task.
     ``stage=False`` skips the Parquet copy of the input (the input plan is
     then evaluated twice: once for the labels, once for the join back).
     """
     if cap < 0:
         raise ValueError("cap must be >= 0")
+    if fan_in < 2:
+        raise ValueError("fan_in must be >= 2")
     spark = df.sparkSession
     fits = df.filter(F.col(tokens) <= F.lit(cap))
     if stage:
@@ -432,7 +512,7 @@ def assign_batches(
         )
         labels = keyed.mapInPandas(_make_labeller(cap, run, pos, tokens), schema)
     else:
-        k = max(1, math.ceil(n / rows_per_chunk))
+        k = chunk_count(n, rows_per_chunk)
         ranged = (
             narrow.repartitionByRange(k, F.col(run).asc_nulls_first(), F.col(pos).asc())
             .sortWithinPartitions(run, pos)
@@ -440,12 +520,10 @@ def assign_batches(
         )
         # both passes must see identical chunks: materialise them once
         ranged = cut_lineage(ranged)
-        # Summaries go to shared storage and are walked in order by one task that
-        # holds one of them at a time; each chunk then meets its state as a row.
         summaries = stage_table(
             ranged.mapInPandas(_make_summariser(cap, run, pos, tokens), _summary_schema(run_type)), "batch-summaries"
         )
-        walked = summaries.repartition(1).sortWithinPartitions("chunk").mapInPandas(_make_planner(cap), _PLAN_SCHEMA)
+        walked = _plan_tree(summaries, k, cap, fan_in)
         labels = ranged.groupBy("__chunk").cogroup(walked.groupBy("__chunk")).applyInPandas(
             _make_chunk_labeller(cap, run, pos, tokens), schema
         )
@@ -469,6 +547,7 @@ def batch_stats(batched: DataFrame, tokens: str = "tokens", run: str = "run") ->
 
 __all__ = [
     "assign_batches",
+    "chunk_count",
     "oversized_rows",
     "drop_oversized",
     "batch_items",
