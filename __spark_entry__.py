@@ -11,7 +11,7 @@ import datetime as _dt
 import importlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,8 @@ from tidewater.operators.filters import (
     since,
     unknown_targets,
 )
-from tidewater.operators.ordering import merge_sorted
+from tidewater.operators.joins import join_by_key
+from tidewater.operators.ordering import input_position, merge_sorted
 from tidewater.operators.paging import cap_per_channel, channel_stops, paged_pull, pull_stats
 from tidewater.operators.stats import fetch_stats
 from tidewater.plans.curate import curate, run_prebatch, survivor_tokens, with_tokens
@@ -60,13 +61,16 @@ from tidewater.sources.adapters import (
 from tidewater.session import scratch_path
 from tidewater.sources.store import (
     list_store_runs,
+    read_batches,
     read_json_docs,
+    read_message_files,
     read_messages,
     read_prompts,
     read_runs,
     read_store_run,
     read_watermark,
     render_batches,
+    store_batches,
     write_json,
     write_messages,
     write_watermark,
@@ -88,6 +92,8 @@ TARGET_SEGMENT = "BUILDING"
 HIDDEN_RUNS = ["es"]
 LATE_TYPE = "purchase"  # events of this type land after the first poll
 CHUNK_ROWS = 100  # small chunks force the split-run path of the batcher
+PIECE_ROWS = 16  # rows of a stored batch line
+LANDED_FILES = 6  # files of the streamed landing folder
 MARK_SQL = "TIMESTAMP '2024-01-15 00:00:00'"
 END_SQL = "TIMESTAMP '2024-01-22 00:00:00'"
 
@@ -470,6 +476,48 @@ def q_streaming_pull(spark, sf):
     return streaming_pull(spark, sf, schema, handles, glob="events.parquet", to_raw=raw_from_events)
 
 
+def q_target_messages_by_key(spark, sf):
+    """The pull of one segment's channels by the join for target sets that are too large to broadcast."""
+    wanted = requested_channels(_dialogs(spark, sf), _targets(spark, sf))
+    joined = join_by_key(only_dated_messages(_raw(spark, sf)), wanted, "channel_id", "id")
+    return to_messages(joined).drop("channel_ord")
+
+
+def q_run_positions(spark, sf):
+    """Position of every message in its run's merged order."""
+    msgs = _docs(spark, sf).drop("pos").withColumn("channel_ord", F.col("channel_id"))
+    return input_position(msgs).select("id", "run", "pos")
+
+
+def q_stored_batches(spark, sf):
+    """The batches of all runs, written row by row in lines of at most PIECE_ROWS rows, and read back."""
+    path = store_batches(_batched(spark, sf), [*RECORD, "dup_count"], scratch_path(spark, "batches"), piece_rows=PIECE_ROWS)
+    back = read_batches(spark, path, "id long, time string, text string, dup_count long")
+    return back.select("run", "batch_no", "file_name", "batch_idx", "rec.id", "rec.time", F.md5("rec.text").alias("text_md5"), "rec.dup_count")
+
+
+def q_foreign_arrays(spark, sf):
+    """Messages from JSON-array files, one a language (written here, one object a line)."""
+    path = scratch_path(spark, "arrays")
+    near = Window.partitionBy("run").orderBy("id")
+    value = F.concat(
+        F.when(F.lag("id").over(near).isNull(), "[").otherwise(","), F.to_json(F.struct(*RECORD)), F.when(F.lead("id").over(near).isNull(), "]").otherwise("")
+    )
+    _docs(spark, sf).repartition("run").sortWithinPartitions("run", "id").select("run", value.alias("value")).write.partitionBy("run").text(path)
+    back = read_message_files(spark, path, pattern="*.txt")
+    return back.select("id", "channel_id", "channel_handle", "time", F.md5("text").alias("text_md5"), "pos")
+
+
+def q_streaming_pull_restarted(spark, sf):
+    """Events landed as LANDED_FILES files, pulled by polls that stop and go on from their checkpoint."""
+    landing = scratch_path(spark, "landing")
+    raw = _raw(spark, sf)
+    raw.repartition(LANDED_FILES, "id").write.parquet(landing)
+    handles = requested_channels(_dialogs(spark, sf), _targets(spark, sf))
+    pulled = streaming_pull(spark, landing, raw.schema, handles, polls=(1, 2, None))
+    return pulled.select("id", "channel_id", "channel_handle", "time", "text")
+
+
 def q_streaming_curate(spark, sf):
     return streaming_curate(spark, sf, cap=CAP, fields=RECORD)
 
@@ -528,6 +576,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "curated_batches": q_curated_batches,
     "streaming_curate": q_streaming_curate,
     "streaming_pull": q_streaming_pull,
+    "streaming_pull_restarted": q_streaming_pull_restarted,
+    "target_messages_by_key": q_target_messages_by_key,
+    "run_positions": q_run_positions,
+    "stored_batches": q_stored_batches,
+    "foreign_arrays": q_foreign_arrays,
 }
 
 
@@ -821,6 +874,16 @@ docs AS (
 SELECT run, batch_no, batch_no || 'of' || total_batches || '.json' AS file_name,
        CAST(n_items AS BIGINT) AS n_items, md5(document) AS doc_md5
 FROM docs""",
+    "stored_batches": f"""{_BATCHED}
+SELECT l.run, l.batch_no, l.batch_no || 'of' || l.total_batches || '.json' AS file_name, l.batch_idx, p.id, p.time,
+       md5(p.text) AS text_md5, p.dup_count
+FROM labeled l JOIN pre p ON p.run = l.run AND p.pos = l.pos""",
+    "foreign_arrays": f"""WITH {_MSGS}
+SELECT id, channel_id, channel_handle, time, md5(text) AS text_md5,
+       CAST(row_number() OVER (PARTITION BY run ORDER BY id) - 1 AS BIGINT) AS pos
+FROM msgs""",
+    "run_positions": f"""WITH {_MSGS}
+SELECT id, run, CAST(row_number() OVER (PARTITION BY run ORDER BY time, channel_id, id DESC) - 1 AS BIGINT) AS pos FROM msgs""",
     "json_round_trip": "SELECT conv_id, turn, role, text FROM conversations",
     "run_listing": """
 SELECT idx, run, idx || ': ' || run AS line FROM (
@@ -866,6 +929,8 @@ FROM labeled GROUP BY run, batch_no""",
 
 for _name in ("late_rows", "late_rows_with_state"):
     _ORACLES[_name] = _ORACLES["fetch_run"]
+for _name in ("target_messages_by_key", "streaming_pull_restarted"):
+    _ORACLES[_name] = _ORACLES["target_messages"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.session import stage_table
@@ -113,10 +113,18 @@ def prebatch(
     back on ``(key, order)``, a unique key, so the join cannot skew.
     ``method="exact"`` aggregates on the text itself instead of its digest.
     ``method="window"`` is the textbook two-window form, kept for checking.
-    ``(key, order)`` must identify a row.
+    ``(key, order)`` must identify a row: a NULL ``order`` or a repeated pair
+    raises (inside a task, where Spark reports it as the job's failure), with
+    every method.  The rows are dealt by ``(key, order)`` for the join back anyway, and
+    the check counts them there, so it costs no shuffle of its own.
     """
     keys = _keys(partition)
     base = df.drop(count_col) if count_col in df.columns else df
+    # NULL keys are a group of their own; a struct holds NULL as a value, so
+    # the check and the join back have the same plain key
+    base = base.withColumn("__key", F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0))
+    names = ", ".join([*keys, order])
+    base = _checked(base, order, names)
     if method == "window":
         group = Window.partitionBy(*keys, text)
         first = Window.partitionBy(*keys, text).orderBy(order)
@@ -124,25 +132,34 @@ def prebatch(
             base.withColumn("__rn", F.row_number().over(first))
             .withColumn(count_col, F.count(F.lit(1)).over(group))
             .filter(F.col("__rn") == 1)
-            .drop("__rn")
+            .drop("__rn", "__key")
         )
     if method not in ("hash", "exact"):
         raise ValueError(f"unknown method {method!r}")
     # "exact" groups on the text itself (no digest assumption; the shuffle
     # then carries one copy of each distinct text per map task)
     digest = F.sha2(F.col(text).cast("binary"), 256) if method == "hash" else F.col(text)
-    firsts = (
-        base.select(*keys, order, digest.alias("__h"))
-        .groupBy(*keys, "__h")
-        .agg(F.count(F.lit(1)).alias(count_col), F.min(order).alias(order))
-        .drop("__h")
-    )
-    # NULL keys are a group of their own (like the window form), so the
-    # join back is null-safe on the keys; ``order`` identifies the row.
-    firsts = firsts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(order).alias("__o"), count_col)
-    cond = [base[k].eqNullSafe(firsts[f"__k{i}"]) for i, k in enumerate(keys)] + [base[order] == firsts["__o"]]
-    joined = base.join(firsts, cond, how="inner")
-    return joined.select(*[base[c] for c in base.columns], firsts[count_col])
+    narrow = df.select(F.struct(*[F.col(k) for k in keys]).alias("__key") if keys else F.lit(0).alias("__key"), _known(df, order, names).alias("__o"), digest.alias("__h"))
+    firsts = narrow.groupBy("__key", "__h").agg(F.count(F.lit(1)).alias("__copies"), F.min("__o").alias("__o")).drop("__h")
+    joined = base.join(firsts.withColumnRenamed("__o", order), on=["__key", order], how="inner")
+    return joined.select(*[F.col(c) for c in base.columns if c != "__key"], F.col("__copies").alias(count_col))
+
+
+def _fault(order: str, names: str) -> Column:
+    at = F.coalesce(F.col(order).cast("string"), F.lit("NULL"))
+    return F.raise_error(F.concat(F.lit(f"({names}) must identify a row, it is NULL or repeated at "), at))
+
+
+def _known(df: DataFrame, order: str, names: str) -> Column:
+    """``order``; evaluating a NULL fails (the join back would just drop its row)."""
+    return F.when(F.col(order).isNull(), _fault(order, names).cast(df.schema[order].dataType)).otherwise(F.col(order))
+
+
+def _checked(base: DataFrame, order: str, names: str) -> DataFrame:
+    """``base``; evaluating a row fails where ``(__key, order)`` doesn't name one row."""
+    alone = F.count(F.lit(1)).over(Window.partitionBy("__key", order)) == 1
+    checked = base.withColumn("__alone", alone & F.col(order).isNotNull())
+    return checked.filter(F.when(F.col("__alone"), F.lit(True)).otherwise(_fault(order, names).cast("boolean"))).drop("__alone")
 
 
 __all__ = ["text_counts", "add_dup_count", "prebatch", "HOT_SALTS"]

@@ -1,18 +1,18 @@
 """Total order of a run and a dense position column without a global window.
 
 ``row_number()`` over an unpartitioned window runs in one task.  Here the
-rows are range-sorted across all tasks, the sorted data is written once to
-the shared folder (so the partition contents are fixed), the per-partition
-row counts (one row per partition) give each partition's offset, and the
-offsets are broadcast back — their size is the partition count, not the
-data size.
+rows are range-sorted across all tasks and the sorted data is written once to
+the shared folder, so the partition contents are fixed.  One small table then holds,
+per sort partition (and run, if positions restart in every run), where its rows start in the
+partition and how many rows of the run stand in partitions before it.  A row's
+position is its place in the partition, shifted by its entry in that table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.session import stage_table
@@ -36,8 +36,7 @@ def dense_position(
     """Add ``pos`` = rank of each row in ``order`` (dense, from ``start``).
 
     With ``partition`` the position restarts in every partition value
-    (it is then the first sort key, and each value's first global position
-    is subtracted).  Ties in ``order`` get distinct, arbitrary positions.
+    (it is then the first sort key).  Ties in ``order`` get distinct, arbitrary positions.
     """
     spark = df.sparkSession
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -50,29 +49,26 @@ def dense_position(
     )
     # fix the partition contents once (columnar copy in the shared folder)
     sorted_df = stage_table(sorted_df, "ordered")
-    # row index inside its partition: the id minus the partition's first id
-    local = F.col("__mono") - F.shiftleft(F.col("__part").cast("long"), 33)
-    counts = sorted(
-        (r["__part"], r["__n"])
-        for r in sorted_df.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).collect()
-    )
-    offsets, total = [], 0
-    for part, n in counts:
-        offsets.append((part, total))
-        total += n
-    # one row per sort partition: bounded by the partition count, not the data
-    off_df = spark.createDataFrame(offsets, "__part int, __off long")
-    out = sorted_df.join(F.broadcast(off_df), on="__part", how="inner").withColumn(
-        pos, (F.col("__off") + local + F.lit(start)).cast("long")
-    )
+    keys = ["__part"] if partition is None else ["__part", "__run"]
     if partition is not None:
-        firsts = out.groupBy(F.col(partition).alias("__key")).agg(F.min(pos).alias("__first"))
-        out = (
-            out.join(firsts, out[partition].eqNullSafe(firsts["__key"]), how="inner")
-            .withColumn(pos, F.col(pos) - F.col("__first") + F.lit(start))
-            .drop("__first", "__key")
-        )
-    return out.drop("__part", "__mono", "__off")
+        # never NULL, so the join below is a plain one; a struct holds NULL as a value
+        sorted_df = sorted_df.withColumn("__run", F.struct(F.col(partition)))
+    places = sorted_df.groupBy(*keys).agg(F.min("__mono").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    if partition is None:
+        # one row per sort partition: bounded by the partition count, not the data
+        counts = sorted((r["__part"], r["__first"], r["__n"]) for r in places.collect())
+        offsets, total = [], 0
+        for part, first, n in counts:
+            offsets.append((part, total - first))
+            total += n
+        shifts = F.broadcast(spark.createDataFrame(offsets, "__part int, __shift long"))
+    else:
+        # a run's rows before a partition: its entries are as many as the partitions it spans
+        before = Window.partitionBy("__run").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+        shifts = places.select(*keys, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"))
+    # (partition, run) names rows of one sort partition, so no key is hot
+    out = sorted_df.join(shifts, on=keys, how="inner")
+    return out.withColumn(pos, (F.col("__mono") + F.col("__shift") + F.lit(start)).cast("long")).drop(*keys, "__mono", "__shift")
 
 
 def merge_sorted(

@@ -18,7 +18,7 @@ from tidewater.operators.batching import (
 )
 from tidewater.operators.dedup import prebatch
 from tidewater.session import stage_table
-from tidewater.sources.store import render_batches, write_batches, write_prebatch
+from tidewater.sources.store import render_batches, store_batches, write_prebatch
 
 
 def prebatch_runs(
@@ -77,12 +77,12 @@ def run_batch(
     tokenizer: Tokenizer | None = None,
     run: str = "run",
     pos: str = "pos",
+    per_batch_folders: bool = False,
 ) -> tuple[str, DataFrame]:
-    """Batch and store one document per batch; returns the path and the
-    oversized rows (reported, not stored)."""
+    """Batch and store the batches' documents as their rows pass (:func:`store_batches`);
+    returns the path and the oversized rows (reported, not stored)."""
     batched, oversized = batch_runs(prebatched, cap, fields, tokenizer, run, pos)
-    write_batches(render_batches(batched, fields, run), out_path, run)
-    return out_path, oversized
+    return store_batches(batched, fields, out_path, run, per_batch_folders), oversized
 
 
 def batch_documents(batched: DataFrame, fields: Sequence[str], run: str = "run") -> DataFrame:

@@ -12,11 +12,20 @@ from pyspark.sql import functions as F
 from tidewater.functions.scalars import iso_time, strip_text
 from tidewater.operators.channels import channel_directory
 from tidewater.operators.filters import _lit_ts, is_small, target_channels, unknown_targets
+from tidewater.operators.joins import join_by_key
 from tidewater.operators.ordering import merge_sorted
 from tidewater.operators.paging import channel_stops, paged_pull
 from tidewater.records import DEFAULT_LOOKBACK_DAYS, MAX_PAGES, PAGE_SIZE
-from tidewater.session import scratch_scope, stage_table
-from tidewater.sources.store import read_stops, read_watermark, write_messages, write_stops, write_watermark
+from tidewater.session import delete_path, scratch_scope, stage_table
+from tidewater.sources.store import (
+    read_stops,
+    read_watermark,
+    read_window,
+    write_messages,
+    write_stops,
+    write_watermark,
+    write_window,
+)
 
 
 # Unknown handles that an error message names.
@@ -78,8 +87,8 @@ def fetch(
     """Messages of the requested channels newer than ``start``, merged.
 
     ``end`` given: the source is read as of ``end`` (rows dated later are
-    left for the next run, so consecutive runs neither overlap nor miss
-    rows); ``end=None`` reads everything newer than ``start``.
+    left for the next run, so runs whose windows follow on one another neither
+    overlap nor miss rows); ``end=None`` reads everything newer than ``start``.
     Defaults are lossless (``max_pages=None``, ``early_stop=False``); pass
     ``max_pages=30, early_stop=True`` for the source's exact paging.
     Output: ``id, channel_id, channel_handle, time, text, pos[, run]``.
@@ -99,7 +108,7 @@ def fetch(
             src = src.filter(F.col("id") > F.lit(bound))
     if end is not None:
         src = src.filter(F.col("date").isNull() | (F.col("date") <= _lit_ts(end)))
-    src = src.join(side, on="channel_id", how="inner")
+    src = _of_channels(src, side, bounded, "inner")
     # src holds only the requested channels, whose number was checked above
     pulled = paged_pull(
         src, start, limit=limit, max_pages=max_pages, early_stop=early_stop, stops=stops, bounded_channels=bounded
@@ -110,6 +119,14 @@ def fetch(
     return msgs
 
 
+def _of_channels(rows: DataFrame, side: DataFrame, bounded: bool, how: str) -> DataFrame:
+    """Rows of the channels in ``side``: a broadcast join if their number is proven small,
+    else a shuffle join in which a hot channel's rows are spread."""
+    if bounded:
+        return rows.join(side, on="channel_id", how=how)
+    return join_by_key(rows, side, "channel_id", "id", how)
+
+
 def requested_channels(dialogs: DataFrame, targets, strict: bool = False) -> DataFrame:
     """Requested channels ``(channel_id, channel_handle, channel_ord)``,
     broadcast-ready: a driver-side list is small by construction, a frame
@@ -164,7 +181,7 @@ def fetch_state(
     plus the full history of any requested channel it does not cover."""
     wanted, bounded = _requested(dialogs, targets)
     wanted_ids = wanted.select("channel_id")
-    mine = raw.join(wanted_ids, on="channel_id", how="left_semi")
+    mine = _of_channels(raw, wanted_ids, bounded, "left_semi")
     if previous is None:
         stops = channel_stops(mine, mark)
     else:
@@ -190,11 +207,11 @@ def run_fetch(
 ) -> tuple[str, _dt.datetime]:
     """One polling step: read mark, pull, store the run, then advance the mark.
 
-    The data is written before the mark, so a failure in between repeats
-    the window on the next call instead of losing it: at least once.  A call
-    with the same ``now`` rewrites the same run; one with a later ``now``
-    stores a run with a longer window beside it.  A window without messages
-    is a run of zero rows.
+    Before any data the window is recorded beside the mark (``{mark_path}-window``),
+    then come the run, the mark, and the record goes.  A call that finds the
+    record of a poll that broke off before its mark takes that window again, whatever its own
+    ``now``: it rewrites the same run, so runs never overlap.  What is newer is
+    left for the next call.  A window without messages is a run of zero rows.
 
     With ``state_path`` the per-channel stop ids are kept next to the mark
     (as of the mark), so the next call reads only the rows above the smallest
@@ -205,7 +222,11 @@ def run_fetch(
     """
     spark = raw.sparkSession
     mark = read_watermark(spark, mark_path)
-    start, end = resolve_window(mark, now, lookback_days)
+    window_path = f"{mark_path.rstrip('/')}-window"
+    pending = read_window(spark, window_path, mark)
+    start, end = pending or resolve_window(mark, now, lookback_days)
+    if pending is None:
+        write_window(spark, window_path, mark, start, end)
     name = run_value(start, end)
     with scratch_scope(spark):
         stops = None
@@ -219,6 +240,7 @@ def run_fetch(
         if state_path is not None:
             write_stops(spark, state_path, fetch_state(raw, dialogs, targets, _naive_utc(end), stops), end)
         write_watermark(spark, mark_path, next_watermark(end))
+        delete_path(spark, window_path)
     return name, end
 
 

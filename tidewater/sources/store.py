@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from tidewater.functions.scalars import batch_file_name, listing_line, run_stem
 from tidewater.records import MESSAGE_SCHEMA, WATERMARK_FIELD
 from tidewater.session import delete_path, list_names, path_exists
+from tidewater.sources.json_arrays import parse_elements, read_array_elements
 
 RUN = "run"
 
@@ -86,8 +87,9 @@ def render_batches(
     """One row per batch: ``run, batch_no, total_batches, file_name, document``.
 
     ``document`` is the batch as a JSON object keyed ``"0"``, ``"1"``, … by
-    position in the batch.  A batch holds at most ``cap`` tokens, so the
-    per-batch collection is bounded by the budget, not by the data.
+    position in the batch.  A batch holds at most ``cap`` tokens, so what is
+    collected per batch is bounded by the budget as long as every row counts for
+    a token at least; :func:`store_batches` has no such limit.
     """
     rec = F.struct(*[F.col(f) for f in fields])
     entries = F.array_sort(F.collect_list(F.struct(F.col("batch_idx"), rec.alias("rec"))))
@@ -115,6 +117,65 @@ def write_batches(rendered: DataFrame, path: str, run: str = RUN, per_batch_fold
     return path
 
 
+#: Rows of a batch on one stored line; neighbouring batches that one task writes.
+PIECE_ROWS, BATCHES_PER_GROUP = 10_000, 64
+_NO_RUN = "__HIVE_DEFAULT_PARTITION__"  # the folder of a NULL partition value
+
+
+def batch_lines(
+    batched: DataFrame, fields: Sequence[str], run: str = RUN, piece_rows: int | None = PIECE_ROWS
+) -> DataFrame:
+    """Batched rows as the text that they add to their batch's document, in order: ``run, file_name, value``.
+
+    The first row of a piece opens it, the last one closes it; every other row
+    follows a comma.  A batch is spread over pieces of ``piece_rows`` rows, each a JSON line
+    ``{batch_no, total_batches, file_name, piece, document}`` with the part of the document
+    that it holds; ``piece_rows=None`` writes the bare document whole.  Rows only pass by:
+    they are sorted inside a task and each looks at the next one, so a batch may have any
+    number of rows.
+    """
+    record = F.to_json(F.struct(*[F.col(f) for f in fields]))
+    # names that hide no field: they are made after the record
+    rows = batched.select(
+        F.coalesce(F.col(run).cast("string"), F.lit(_NO_RUN)).alias("__run"),
+        F.coalesce(batch_file_name("batch_no", "total_batches"), F.lit("")).alias("__file"),
+        F.col("batch_no").alias("__no"), F.col("total_batches").alias("__of"), F.col("batch_idx").alias("__idx"), record.alias("__rec"),
+    )
+    if piece_rows is None:
+        rows = rows.withColumn("__piece", F.lit(0).cast("long"))
+        keys, group = ["__run", "__file"], ["__run", "__file"]
+    else:
+        rows = rows.withColumn("__piece", F.floor(F.col("__idx") / piece_rows)).withColumn("__group", F.floor(F.col("__no") / BATCHES_PER_GROUP))
+        keys, group = ["__run", "__group", "__no", "__piece"], ["__run", "__group"]
+    near = Window.partitionBy(*keys).orderBy("__idx")
+    ordered = rows.repartition(*group).sortWithinPartitions(*keys, "__idx")
+    opens, closes = F.lag("__idx").over(near).isNull(), F.lead("__idx").over(near).isNull()
+    entry = F.concat(F.lit('"'), F.col("__idx").cast("string"), F.lit('":'), F.col("__rec"))
+    if piece_rows is None:
+        head, tail = F.lit("{"), F.lit("}")
+    else:
+        line = F.to_json(F.struct(F.col("__no").alias("batch_no"), F.col("__of").alias("total_batches"), F.col("__file").alias("file_name"), F.col("__piece").alias("piece")))
+        head, tail = F.concat(F.rtrim(line, F.lit("}")), F.lit(',"document":{')), F.lit("}}\n")
+    value = F.concat(F.when(opens, head).otherwise(F.lit(",")), entry, F.when(closes, tail).otherwise(F.lit("")))
+    return ordered.select(F.col("__run").alias(run), F.col("__file").alias("file_name"), value.alias("value"))
+
+
+def store_batches(
+    batched: DataFrame, fields: Sequence[str], path: str, run: str = RUN, per_batch_folders: bool = False, piece_rows: int = PIECE_ROWS
+) -> str:
+    """Store the batches of labelled rows as their rows pass (no document is held in memory).
+
+    By default each run's folder holds JSON lines of at most ``piece_rows`` rows, which
+    :func:`read_batches` and :func:`list_batches` read.  ``per_batch_folders=True``
+    writes each document whole into a folder of its own, ``run=…/file_name=1of3.json/``."""
+    lines = batch_lines(batched, fields, run, None if per_batch_folders else piece_rows)
+    folders = [run, "file_name"] if per_batch_folders else [run]
+    # JSON takes a space between any two tokens, so it can end every row's text
+    writer = lines.select(*folders, "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("lineSep", " ")
+    writer.partitionBy(*folders).text(path)
+    return path
+
+
 def read_batches(spark: SparkSession, path: str, record: T.StructType | str, run: str = RUN) -> DataFrame:
     """Stored batch documents back to rows: ``run, file_name, batch_idx, rec``.
 
@@ -143,11 +204,12 @@ def read_batches(spark: SparkSession, path: str, record: T.StructType | str, run
 def list_batches(spark: SparkSession, path: str, run: str = RUN) -> DataFrame:
     """``(run, batch_no, file_name)`` of the stored batches in order; the documents are not read into it."""
     schema = T.StructType(
-        [T.StructField("batch_no", T.LongType()), T.StructField("file_name", T.StringType()), T.StructField(run, T.StringType())]
+        [T.StructField("batch_no", T.LongType()), T.StructField("file_name", T.StringType()), T.StructField("piece", T.LongType()), T.StructField(run, T.StringType())]
     )
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema).select(run, "batch_no", "file_name")
-    return spark.read.schema(schema).json(path).select(run, "batch_no", "file_name").orderBy(run, "batch_no")
+    lines = spark.read.schema(schema).json(path).where("coalesce(piece, 0) = 0")
+    return lines.select(run, "batch_no", "file_name").orderBy(run, "batch_no")
 
 
 # ------------------------------------------------------------------- reads
@@ -222,26 +284,19 @@ def read_message_files(
 ) -> DataFrame:
     """Foreign JSON-array files → message rows with ``run`` (file stem) and ``pos``.
 
-    Each file is one indented JSON array, so it is read whole and exploded
-    with its list position.  An unreadable file yields no rows; a missing
-    folder yields an empty frame.
+    Each file is one JSON array in any layout.  It is read by byte ranges that many
+    tasks share (:mod:`tidewater.sources.json_arrays`); ``pos`` is the place in the
+    whole array.  Elements that are no objects are passed over.  An
+    unreadable file yields no rows; a missing folder yields an empty frame.
     """
     out_schema = T.StructType(
         [*schema.fields, T.StructField(RUN, T.StringType()), T.StructField("pos", T.LongType())]
     )
     if not path_exists(spark, path):
         return spark.createDataFrame([], out_schema)
-    raw = (
-        spark.read.option("pathGlobFilter", pattern)
-        .text(path, wholetext=True)
-        .select(F.col("value"), _decoded("_metadata.file_name").alias("__file"))
-    )
-    parsed = raw.select(
-        run_stem("__file").alias(RUN),
-        F.from_json("value", T.ArrayType(schema)).alias("__arr"),
-    )
-    exploded = parsed.select(RUN, F.posexplode_outer("__arr").alias("pos", "__m")).filter(F.col("__m").isNotNull())
-    return exploded.select(*[F.col("__m")[f.name].alias(f.name) for f in schema.fields], RUN, F.col("pos").cast("long"))
+    rows = parse_elements(read_array_elements(spark, path, pattern), schema)
+    name = _decoded(F.element_at(F.split("file", "/"), -1))
+    return rows.select(*[f.name for f in schema.fields], run_stem(name).alias(RUN), "pos")
 
 
 def read_json_docs(spark: SparkSession, path: str, schema: T.DataType) -> DataFrame:
@@ -301,10 +356,28 @@ def write_watermark(spark: SparkSession, path: str, last_fetch: _dt.datetime) ->
 _VERSION = "mark-"
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the stored marks, newest first."""
-    tails = [n[len(_VERSION):] for n in list_names(spark, path) if n.startswith(_VERSION)]
-    return sorted((int(t) for t in tails if t.isdigit()), reverse=True)
+def _versions(spark: SparkSession, path: str, prefix: str = _VERSION, complete: bool = False) -> list[int]:
+    """Numbers of the stored versions, newest first; ``complete``: only those whose write has ended."""
+    tails = [n[len(prefix):] for n in list_names(spark, path) if n.startswith(prefix)]
+    found = sorted((int(t) for t in tails if t.isdigit()), reverse=True)
+    return [v for v in found if not complete or path_exists(spark, f"{path}/{prefix}{v:012d}/_SUCCESS")]
+
+
+def _write_version(df: DataFrame, path: str, prefix: str) -> str:
+    """Store a frame as the next version; older ones go once it is complete, so a
+    complete version can be read at every moment, whenever a write breaks off."""
+    spark = df.sparkSession
+    old = _versions(spark, path, prefix)
+    df.write.mode("overwrite").parquet(f"{path}/{prefix}{max([0, *old]) + 1:012d}")
+    for v in old:
+        delete_path(spark, f"{path}/{prefix}{v:012d}")
+    return path
+
+
+def _read_version(spark: SparkSession, path: str, prefix: str) -> DataFrame | None:
+    """The newest complete version, None if there is none."""
+    found = _versions(spark, path, prefix, complete=True)
+    return spark.read.parquet(f"{path}/{prefix}{found[0]:012d}") if found else None
 
 
 def read_watermark(spark: SparkSession, path: str) -> _dt.datetime | None:
@@ -328,31 +401,50 @@ def _read_mark(spark: SparkSession, path: str) -> _dt.datetime | None:
         return None
 
 
+_STOPS, _WINDOW = "stops-", "window-"
+
+
+def _utc_iso(value: _dt.datetime) -> str:
+    return (value if value.tzinfo is not None else value.replace(tzinfo=_dt.timezone.utc)).isoformat()
+
+
 def write_stops(spark: SparkSession, path: str, stops: DataFrame, as_of: _dt.datetime) -> str:
-    """Store per-channel stop ids with the mark they belong to."""
-    if as_of.tzinfo is None:
-        as_of = as_of.replace(tzinfo=_dt.timezone.utc)
-    stops.select("channel_id", "stop").withColumn("as_of", F.lit(as_of.isoformat())).write.mode(
-        "overwrite"
-    ).parquet(path)
-    return path
+    """Store per-channel stop ids with the mark they belong to, as a new complete version."""
+    return _write_version(stops.select("channel_id", "stop").withColumn("as_of", F.lit(_utc_iso(as_of))), path, _STOPS)
 
 
 def read_stops(spark: SparkSession, path: str) -> tuple[DataFrame, _dt.datetime] | None:
-    """``(stops, as_of)`` or None when no state is stored."""
-    if not path_exists(spark, path):
-        return None
-    df = spark.read.parquet(path)
-    row = df.select("as_of").take(1)
+    """``(stops, as_of)`` of the newest complete version, or None when no state is stored."""
+    df = _read_version(spark, path, _STOPS)
+    row = df.select("as_of").take(1) if df is not None else None
     if not row:
         return None
     return df.select("channel_id", "stop"), _dt.datetime.fromisoformat(row[0]["as_of"])
 
 
+def write_window(spark: SparkSession, path: str, mark: _dt.datetime | None, start: _dt.datetime, end: _dt.datetime) -> str:
+    """Record the window that a poll is about to store, with the mark that it starts from."""
+    row = (None if mark is None else _utc_iso(mark), _utc_iso(start), _utc_iso(end))
+    return _write_version(spark.createDataFrame([row], "mark string, start string, end string").coalesce(1), path, _WINDOW)
+
+
+def read_window(spark: SparkSession, path: str, mark: _dt.datetime | None) -> tuple[_dt.datetime, _dt.datetime] | None:
+    """The recorded window of a poll that did not end: one that starts from the mark as it still is."""
+    df = _read_version(spark, path, _WINDOW)
+    row = df.take(1) if df is not None else None
+    if not row or row[0]["mark"] != (None if mark is None else _utc_iso(mark)):
+        return None
+    return _dt.datetime.fromisoformat(row[0]["start"]), _dt.datetime.fromisoformat(row[0]["end"])
+
+
 __all__ = [
     "RUN",
     "write_stops",
     "read_stops",
+    "write_window",
+    "read_window",
+    "batch_lines",
+    "store_batches",
     "write_messages",
     "write_prebatch",
     "write_json",

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,8 +43,15 @@ def run_incremental(
     max_files_per_trigger: int | None = None,
     sink_format: str = "parquet",
     partition: str = "run",
-) -> str:
-    """Process every landed file not seen before, one run per micro-batch."""
+    max_batches: int | None = None,
+    restarts: int = 0,
+) -> int:
+    """Process every landed file not seen before, one run per micro-batch; returns the micro-batches stored.
+
+    ``max_batches`` stops the poll after so many of them; the next call goes on where it
+    stopped.  A poll that breaks off is started again from its checkpoint up to
+    ``restarts`` times: the micro-batch that was open runs again under its old
+    number and replaces what it had stored, so no row is lost or doubled."""
     reader = spark.readStream.format(source_format).schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -51,7 +59,11 @@ def run_incremental(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(source_path)
 
+    done = [0]
+
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if max_batches is not None and done[0] >= max_batches:
+            raise _Enough
         with scratch_scope(spark):  # what the micro-batch staged goes once it is stored
             out = process(batch, batch_id)
             (
@@ -61,15 +73,28 @@ def run_incremental(
                 .format(sink_format)
                 .save(sink_path)
             )
+        done[0] += 1
+
+    for attempt in range(restarts + 1):
+        query = (
+            stream.writeStream.foreachBatch(sink)
+            .option("checkpointLocation", checkpoint_path)
+            .trigger(availableNow=True)
+            .start()
+        )
+        try:
+            query.awaitTermination()
+            break
+        except StreamingQueryException:
+            if max_batches is not None and done[0] >= max_batches:
+                break  # the micro-batch that was turned away stays open in the checkpoint
+            if attempt == restarts:
+                raise
+    return done[0]
 
-    query = (
-        stream.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return sink_path
+
+class _Enough(Exception):
+    """Ends a poll that has stored its number of micro-batches."""
 
 
 def pull_batch(dialog_handles: DataFrame) -> BatchFn:
@@ -158,13 +183,18 @@ def streaming_pull(
     dialog_handles: DataFrame,
     glob: str | None = None,
     to_raw: Callable[[DataFrame], DataFrame] | None = None,
+    polls: Sequence[int | None] = (None,),
 ) -> DataFrame:
-    """Stream landed source files through the pull: one run per micro-batch."""
+    """Stream landed source files through the pull: one run per micro-batch, one file each.
+
+    ``polls``: micro-batches of each poll (None: all that is there); every poll
+    after the first starts from the checkpoint of the one before."""
     sink = scratch_path(spark, "pull-sink")
     ckpt = scratch_path(spark, "pull-ckpt")
     step = pull_batch(dialog_handles)
     process = step if to_raw is None else (lambda batch, batch_id: step(to_raw(batch), batch_id))
-    run_incremental(spark, source_dir, schema, process, sink, ckpt, glob=glob, max_files_per_trigger=1)
+    for most in polls:
+        run_incremental(spark, source_dir, schema, process, sink, ckpt, glob=glob, max_files_per_trigger=1, max_batches=most)
     return spark.read.schema(PULLED_SCHEMA).parquet(sink)
 
 
