@@ -124,26 +124,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in made}
 
 
-#: The windows of line dedup by their lines themselves, without fingerprints or hashes.
+#: Line dedup by its rule: every pair of equal lines, put together to maximal repeated runs; no windows, fingerprints or hashes.
 _LINE_DEDUP = f"""
 WITH split AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line
   FROM documents WHERE length(text) > 0),
 lines AS (
-  SELECT doc_id, line, s, w, sum(w) OVER (PARTITION BY doc_id ORDER BY line) - w AS ahead_of
+  SELECT doc_id, line, s, w, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS k,
+         lead(line) OVER (PARTITION BY doc_id ORDER BY line) AS next_line
   FROM (SELECT *, len(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+')) AS w FROM split) WHERE w > 0),
-windows AS (
-  SELECT doc_id, line AS first, max(line) OVER ahead AS last, max(ahead_of + w) OVER ahead - ahead_of AS words, list(s) OVER ahead AS in_all
-  FROM lines
-  WINDOW ahead AS (PARTITION BY doc_id ORDER BY ahead_of RANGE BETWEEN CURRENT ROW AND {MIN_WORDS - 1} FOLLOWING)),
-ranked AS (
-  SELECT doc_id, first, last, row_number() OVER (PARTITION BY in_all ORDER BY doc_id, first) AS nth
-  FROM windows WHERE words >= {MIN_WORDS}),
-gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS line FROM ranked WHERE nth > 1),
+met AS (
+  SELECT b.doc_id, b.k, b.w, a.doc_id AS other, a.k - b.k AS shift
+  FROM lines b JOIN lines a ON a.s = b.s AND (a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.k < b.k))),
+islands AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY k) AS island FROM met),
+runs AS (
+  SELECT doc_id, min(k) AS first, max(k) AS last FROM islands
+  GROUP BY doc_id, other, shift, island HAVING sum(w) >= {MIN_WORDS}),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS k FROM runs),
+gone_lines AS (
+  SELECT g.doc_id, unnest(range(l.line, CASE WHEN lead(g.k) OVER (PARTITION BY g.doc_id ORDER BY g.k) = g.k + 1 THEN l.next_line ELSE l.line + 1 END)) AS line
+  FROM gone g JOIN lines l USING (doc_id, k)),
 kept AS (
-  SELECT split.doc_id, count(*) AS n_lines, count(gone.line) AS n_removed,
-         coalesce(string_agg(s, chr(10) ORDER BY split.line) FILTER (gone.line IS NULL), '') AS text
-  FROM split LEFT JOIN gone ON gone.doc_id = split.doc_id AND gone.line = split.line GROUP BY split.doc_id)
+  SELECT split.doc_id, count(*) AS n_lines, count(g.line) AS n_removed,
+         coalesce(string_agg(s, chr(10) ORDER BY split.line) FILTER (g.line IS NULL), '') AS text
+  FROM split LEFT JOIN gone_lines g ON g.doc_id = split.doc_id AND g.line = split.line GROUP BY split.doc_id)
 SELECT d.doc_id, CAST(coalesce(k.n_lines, CASE WHEN d.text IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS n_lines,
        CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, d.text)) AS kept_sha256
 FROM documents d LEFT JOIN kept k USING (doc_id)"""
