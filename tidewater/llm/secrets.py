@@ -8,12 +8,17 @@ prose around them and with a dictionary of common identifiers.  Names, paths and
 words repeat what the primer holds and cost few bytes; random strings cost
 nearly all of their entropy.
 
-A compressor can't tell a long word that the primer lacks from random letters,
-so a second measure has to agree: bits a character under letter pairs of the
-dictionary, where digits cost what digits hold and a change between small
-letters, capitals and digits costs extra.  It is left out for a string right
-after a sensitive word that mixes letters and digits.  Numbers, which are mostly
-ids, times and cards, count from LEAST_DIGITS on.
+Every candidate is measured.  As a compressor can't tell a long word that the primer
+lacks from random letters, nor a number from a random one, what it finds novel has to be
+confirmed: by bits a character under letter pairs of the dictionary, where digits
+cost what digits hold and a change between small letters, capitals and digits costs
+extra (not for a string right after a sensitive word that mixes letters and digits);
+for a number by an assignment to a sensitive word right before it, or by LEAST_DIGITS digits.
+
+The work is linear in a text: base spans are looked up by bisection, a run is cut
+into pieces that are measured once.  Repeated rows and ids are kept, each row gives
+one row, an empty table an empty table.  Columns of the input named like a
+result are left out by default.
 
 Offsets are code points, end exclusive.  A null text counts as empty.
 """
@@ -22,7 +27,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -118,13 +123,14 @@ def _make(novelty: float, least: int, context: int):
         return any(any(c.isdigit() for c in p) and any(c.isalpha() for c in p) for p in re.split("[-_/+=.]", value))
 
     def novel(text: str, start: int, end: int, near: bool) -> bool:
+        if marginal(text, start, end) < novelty:
+            return False
         value = text[start:end]
         if not any(c.isalpha() for c in value):
-            if sum(c.isdigit() for c in value) < LEAST_DIGITS:
-                return False
-        elif not (near and mixed(value)) and letter_bits(value.rstrip("="), pairs) < LETTER_BITS:
-            return False
-        return marginal(text, start, end) >= novelty
+            # numbers are incompressible too: the second measure is an assignment right before, or their length
+            assigned = near and text[max(0, start - 8) : start].rstrip(" \"'").endswith((":", "="))
+            return assigned or sum(c.isdigit() for c in value) >= LEAST_DIGITS
+        return (near and mixed(value)) or letter_bits(value.rstrip("="), pairs) >= LETTER_BITS
 
     def spans(text: str) -> list[tuple[int, int, int]]:
         """(start, kind, end), sorted."""
@@ -139,19 +145,34 @@ def _make(novelty: float, least: int, context: int):
         near = {m.end() for m in right_before.finditer(text)}
         starts = [p[0] for p in places]
         after = sorted(near)
+        # the base spans as disjoint stretches, so each candidate looks at one of them
+        taken: list[list[int]] = []
+        for s, _, e in found:
+            if taken and s <= taken[-1][1]:
+                taken[-1][1] = max(taken[-1][1], e)
+            else:
+                taken.append([s, e])
+        ends = [e for _, e in taken]
+
+        def free(start: int, end: int) -> bool:
+            k = bisect_right(ends, start)
+            return k == len(taken) or taken[k][0] >= end
+
         for m in runs:
             end = m.end() - (len(m[0]) - len(m[0].rstrip(".-")))
             first = m.start() + (len(m[0]) - len(m[0].lstrip(".=-")))
-            # the run, and what follows a sensitive word or an equals sign inside it
+            # the run, then its pieces after a sensitive word or an equals sign inside it, each up to the next one
             inside = {*after[bisect_left(after, first + 1) : bisect_left(after, end)], *(first + e.end() for e in re.finditer("=+", text[first:end]))}
-            for start in sorted({first, *inside}):
-                if end - start < least or any(s < end and start < e for s, _, e in found):
+            cuts = [first, *sorted(i for i in inside if first < i < end), end]
+            for start, stop in [(first, end), *(list(zip(cuts, cuts[1:])) if len(cuts) > 2 else [])]:
+                stop = start + len(text[start:stop].rstrip("=")) if stop < end else stop
+                if stop - start < least or not free(start, stop):
                     continue
                 k = bisect_left(starts, start - context)
-                if start not in near and not (k < len(places) and places[k][1] <= end + context):
+                if start not in near and not (k < len(places) and places[k][1] <= stop + context):
                     continue
-                if novel(text, start, end, start in near):
-                    new.append((start, 3, end))
+                if novel(text, start, stop, start in near):
+                    new.append((start, 3, stop))
                     break
         return sorted(found + new)
 
