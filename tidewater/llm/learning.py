@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 #: Labelled documents per class that a classifier is fitted on, at most.
 SAMPLE_ROWS = 4_000
-#: Longest text (characters) in such a sample; longer ones are scored, but not learned from.
-SAMPLE_CHARS = 65_536
+#: Characters of a text in such a sample; of a longer one, as many from so many places spread over all of it.
+SAMPLE_CHARS, SAMPLE_PLACES = 65_536, 16
 
 
 def fold(id_col: str, parts: int) -> Column:
@@ -17,6 +17,14 @@ def fold(id_col: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
 
 
+def excerpt(text: Column, chars: int = SAMPLE_CHARS, places: int = SAMPLE_PLACES) -> Column:
+    """A text, or ``chars`` of its characters in ``places`` stretches from the first to the last, one a line."""
+    wide = chars // places
+    step = (F.length(text) - wide) / (places - 1)
+    cut = F.transform(F.sequence(F.lit(0), F.lit(places - 1)), lambda i: F.substring(text, F.floor(i * step).cast("int") + 1, F.lit(wide)))
+    return F.when(F.length(text) <= chars, text).otherwise(F.array_join(cut, "\n"))
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, id_col: str, text_col: str, rows: int = SAMPLE_ROWS
 ) -> tuple[DataFrame, dict[int, int]]:
@@ -34,8 +42,8 @@ def labelled_sample(
     picked = [known.where(F.col("label") == y).orderBy(F.xxhash64("_id"), "_id").limit(rows) for y in (0, 1)]
     ids = picked[0].unionByName(picked[1]).collect()  # 2 * rows at most
     few = docs.sparkSession.createDataFrame(ids, known.schema)
-    texts = docs.where(F.length(text_col) <= SAMPLE_CHARS).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(few), "_id").select("text", "label"), counts
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
+    return texts.join(F.broadcast(few), "_id").select(excerpt(F.col("text")).alias("text"), "label"), counts
 
 
 class Logistic:
@@ -84,4 +92,4 @@ def fit(x: np.ndarray, y: np.ndarray, counts: dict[int, int], l2: float = 1.0):
     return Logistic(x, y, counts, l2)
 
 
-__all__ = ["SAMPLE_ROWS", "SAMPLE_CHARS", "fold", "labelled_sample", "fit"]
+__all__ = ["SAMPLE_ROWS", "SAMPLE_CHARS", "excerpt", "fold", "labelled_sample", "fit"]

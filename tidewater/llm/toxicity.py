@@ -9,7 +9,10 @@ kept, so most words leave it after three or four letters.)
 
 Every hit is weighed by its context window: inside quotation marks, or near a
 word of reporting, it counts as quotation, else as abuse.  The sums of both,
-per document, go through a logistic curve.  A null text counts as empty.
+per document, go through a logistic curve.  A misspelt term is weighed the same way,
+for a share of its term's weight.  A null text counts as empty; every row gives one
+row, so repeated rows and ids are scored each; an empty table gives an empty table.
+Other columns of the input, whatever their names, are left as they are.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import map_texts
+from tidewater.llm.common import free_name, map_texts
 from tidewater.llm.learning import SAMPLE_ROWS, fit, fold, labelled_sample
 from tidewater.session import stage_table
 
@@ -36,7 +39,10 @@ OPENINGS, LEAST_FUZZY = (4, 5), 5
 WINDOW = 48
 #: Words that report what others said, in the languages at hand.
 REPORTING = ("said", "says", "quote", "quoted", "quoting", "wrote", "called", "term", "word", "dit", "écrit", "mot", "dijo", "escribió", "palabra", "sagte", "schrieb", "wort")
-QUOTES = "\"“”„«»‘’'`"
+#: An apostrophe is a quotation mark only where a word ends or starts.
+QUOTES = re.compile("[\"“”„«»‘`]|(?<!\\w)['’]|['’](?!\\w)")
+#: What a misspelt term counts of the term itself.
+FUZZY_SHARE = 0.5
 WORD = re.compile(r"[^\W_]+")
 N_FEATURES = 7
 #: Words that a worker remembers as no hit.
@@ -123,7 +129,7 @@ class Lexicon:
 
     def hits(self, text: str) -> tuple[list[tuple[int, int, str, int]], int]:
         """(start, end, term, edits) of every hit, and the number of words."""
-        low = text.lower()
+        low = lowered(text)
         words = WORD.findall(low)
         fresh = set(words) - self.none
         found = {}
@@ -143,12 +149,20 @@ class Lexicon:
 _REPORTS = re.compile(r"(?<!\w)(?:" + "|".join(REPORTING) + r")(?!\w)")
 
 
+def lowered(text: str) -> str:
+    """``text`` in small letters, each as long as it was ('İ' would grow to two), so that offsets hold."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
 def is_quoted(text: str, start: int, end: int, window: int = WINDOW) -> bool:
     """Whether a hit stands in quotation marks or next to a word of reporting."""
-    left, right = text[max(0, start - window) : start].lower(), text[end : end + window].lower()
-    opens = sum(c in QUOTES for c in left.rpartition("\n")[2])
-    closes = sum(c in QUOTES for c in right.partition("\n")[0])
-    return bool(opens % 2 and closes) or bool(_REPORTS.search(left[-window // 2 :]))
+    low = max(0, start - window, text.rfind("\n", max(0, start - window), start) + 1)
+    stop = text.find("\n", end, end + window)
+    high = stop if stop >= 0 else min(len(text), end + window)
+    opens = sum(low <= m.start() < start for m in QUOTES.finditer(text, low, min(len(text), start + 1)))
+    closes = any(m.start() < high for m in QUOTES.finditer(text, end, min(len(text), high + 1)))
+    return bool(opens % 2 and closes) or bool(_REPORTS.search(lowered(text[max(0, start - window // 2) : start])))
 
 
 def features(lexicon: Lexicon, texts: list[str | None]) -> np.ndarray:
@@ -159,10 +173,13 @@ def features(lexicon: Lexicon, texts: list[str | None]) -> np.ndarray:
         abuse = quote = fuzzy = weight = 0.0
         kinds = set()
         for start, end, term, edits in hits:
-            if edits:
+            # a misspelt term counts for a share of the term, in its window like any other
+            if is_quoted(text, start, end):
+                quote += FUZZY_SHARE if edits else 1
+            elif edits:
                 fuzzy += 1
-            elif is_quoted(text, start, end):
-                quote += 1
+                weight += FUZZY_SHARE * lexicon.terms[term]
+                kinds.add(term)
             else:
                 abuse += 1
                 weight += lexicon.terms[term]
@@ -229,7 +246,7 @@ def learn_lexicon(sample: DataFrame, terms: int = LEXICON_TERMS) -> dict[str, fl
 def _scored(
     docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, id_col: str, text_col: str, threshold: float, sample_rows: int, keep: list[str]
 ) -> DataFrame:
-    """``keep`` and, under names that no table has, ``_toxic_score`` and ``_toxic_predicted``."""
+    """``keep`` and, last, the score and the prediction under names that ``keep`` hasn't."""
     spark = docs.sparkSession
     sample, counts = labelled_sample(docs, labels, label, parts, held_out, id_col, text_col, sample_rows)
     sample = stage_table(sample, "toxicity-sample")  # 2 * sample_rows texts at most
@@ -252,7 +269,7 @@ def _scored(
 
         return f
 
-    return map_texts(docs, score, {"_toxic_score": "double", "_toxic_predicted": "int"}, keep, text_col)
+    return map_texts(docs, score, {free_name("_score", keep): "double", free_name("_predicted", keep): "int"}, keep, text_col)
 
 
 def toxicity_scores(
@@ -269,9 +286,8 @@ def toxicity_scores(
     """Per document: the id, ``held_out``, ``score`` and ``predicted`` (``score`` at ``threshold`` or more).
     Without labels of both classes every score is the same."""
     made = _scored(docs, labels, label, parts, held_out, id_col, text_col, threshold, sample_rows, [id_col])
-    return made.select(
-        id_col, (fold(id_col, parts) == held_out).alias("held_out"), F.col("_toxic_score").alias("score"), F.col("_toxic_predicted").alias("predicted")
-    )
+    score, predicted = made.columns[-2:]
+    return made.select(id_col, (fold(id_col, parts) == held_out).alias("held_out"), F.col(score).alias("score"), F.col(predicted).alias("predicted"))
 
 
 def drop_toxic(
@@ -287,7 +303,7 @@ def drop_toxic(
 ) -> DataFrame:
     """``docs`` without the documents whose score reaches ``threshold``."""
     made = _scored(docs, labels, label, parts, held_out, id_col, text_col, threshold, sample_rows, docs.columns)
-    return made.where("_toxic_predicted = 0").select(docs.columns)
+    return made.where(F.col(made.columns[-1]) == 0).select(docs.columns)
 
 
 __all__ = ["LEXICON_TERMS", "Lexicon", "is_quoted", "learn_lexicon", "toxicity_scores", "drop_toxic"]
