@@ -7,12 +7,15 @@ and the entropy of the tokens.  A document outside its band is rejected.
 Bands come from the corpus: quartiles of the three measures over all documents
 that pass the base rules (each set of results once, so that copies don't set a
 band), by script and by size, as entropy grows with the number of tokens; what
-lies FENCE interquartile ranges outside is rejected.  Fixed bands by script,
-with wide margins, hold as well, and alone where a script has too few documents:
-text that a vocabulary was made for gives 3 to 5 characters a token, invented or
+lies FENCE interquartile ranges outside is rejected, more where a band rests on
+few documents (FENCE_FEW over the root of their number).  Fixed bands by script,
+with wide margins, hold as well: text that a vocabulary was made for gives 3 to 5 characters a token, invented or
 rare-language text 1.5 to 3, noise and symbol soup less or far more.
 
-A null text has no words and fails the base rules (fewer than 50 words).
+A null text has no words and fails the base rules (fewer than 50 words).  Every row
+gives one row, so repeated rows and ids are judged each; an empty table gives an
+empty table.  Columns of the input named like a result are left out by default,
+all others stay as they are.
 """
 
 from __future__ import annotations
@@ -26,15 +29,15 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import map_texts, per_process
+from tidewater.llm.common import free_name, map_texts, per_process
 from tidewater.session import stage_table
 
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = re.compile(r"[#*$%&|<>]")
-#: Words whose tokens a worker remembers.
-CACHE_WORDS = 150_000
-#: Interquartile ranges from a quartile to the band's end; documents of a script and size that make a band.
-FENCE, LEAST_DOCS = 2.0, 100
+#: Words whose tokens a worker remembers, of so many characters at most.
+CACHE_WORDS, CACHE_CHARS = 150_000, 40
+#: Interquartile ranges from a quartile to the band's end, and what quartiles of n documents add to that, over the root of n.
+FENCE, FENCE_FEW = 2.0, 10.0
 #: What lies no further from a quartile than this is never outside (characters per token by share of the quartile, byte share, bits).
 LEAST_PER, LEAST_SHARE, LEAST_BITS = 0.1, 0.05, 0.25
 #: Per script: least and most characters per token, most share of byte-fallback tokens, least entropy (bits a token).
@@ -66,12 +69,14 @@ class Pieces:
     def tokens(self, words: list[str]) -> np.ndarray:
         known = self.known
         new = list({w for w in words if w not in known})
+        long: dict[str, bytes] = {}  # of this text only
         if new:
             if len(known) + len(new) > CACHE_WORDS:
                 known.clear()
                 new = list(set(words))
-            known.update(zip(new, (np.array(ids, "<i4").tobytes() for ids in self.model.encode(new, num_threads=1)), strict=True))
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), "<i4")
+            for w, ids in zip(new, self.model.encode(new, num_threads=1), strict=True):
+                (known if len(w) <= CACHE_CHARS else long)[w] = np.array(ids, "<i4").tobytes()
+        return np.frombuffer(b"".join(known[w] if w in known else long[w] for w in words) if long else b"".join(map(known.__getitem__, words)), "<i4")
 
 
 _LATIN = re.compile("[A-Za-zÀ-ɏ]")
@@ -147,23 +152,20 @@ def corpus_bands(measured: DataFrame) -> list[tuple[str, int, float, float, floa
         .collect()
     )
 
-    def fence(quartiles, least):
+    def fence(quartiles, least, n):
         low, high = quartiles
-        room = max(FENCE * (high - low), least)
+        room = max((FENCE + FENCE_FEW / math.sqrt(n)) * (high - low), least)
         return low - room, high + room
 
     made = []
     for r in found:
-        ready = sorted((x for x in found if x.script == r.script and x.n >= LEAST_DOCS), key=lambda x: x["_size"])
-        if not ready:
-            continue
+        ready = sorted((x for x in found if x.script == r.script), key=lambda x: x["_size"])
         # entropy grows with the size: a smaller size bounds it from below, a larger one from above
         below = [x for x in ready if x["_size"] <= r["_size"]]
         above = [x for x in ready if x["_size"] >= r["_size"]]
-        near = min(ready, key=lambda x: abs(x["_size"] - r["_size"]))
-        per = fence(near.per, LEAST_PER * near.per[0])
-        bits = fence(below[-1].bits, LEAST_BITS)[0] if below else 0.0, fence(above[0].bits, LEAST_BITS)[1] if above else math.inf
-        made.append((r.script, r["_size"], *per, fence(near.share, LEAST_SHARE)[1], *bits))
+        per = fence(r.per, LEAST_PER * r.per[0], r.n)
+        bits = min(fence(x.bits, LEAST_BITS, x.n)[0] for x in below[-1:]), max(fence(x.bits, LEAST_BITS, x.n)[1] for x in above[:1])
+        made.append((r.script, r["_size"], *per, fence(r.share, LEAST_SHARE, r.n)[1], *bits))
     return made
 
 
@@ -202,9 +204,13 @@ def quality_rules(
 
         return lambda texts: [list(c) for c in zip(*(rules(t or "") for t in texts))] if texts else [[]] * len(out)
 
-    measured = map_texts(docs, make, out, keep, text_col)
+    # the input's columns travel inside one, so no name of theirs meets one used here
+    lead = free_name("_", keep)
+    packed = docs.select(F.col(text_col).alias("t"), F.struct(F.lit(0).alias(lead), *[F.col(c) for c in keep]).alias("doc"))
+    unpacked = [F.col("doc").getField(c).alias(c) for c in keep]
+    measured = map_texts(packed, make, out, ["doc"], "t")
     if not from_corpus:
-        return measured.drop("_size")
+        return measured.select(*unpacked, *[c for c in out if c != "_size"])
     measured = stage_table(measured, "quality-measures")
     names = ("_low", "_high", "_most", "_least_bits", "_most_bits")
     table = spark.createDataFrame(corpus_bands(measured), "_script string, _of int, " + ", ".join(f"{n} double" for n in names))
@@ -212,7 +218,7 @@ def quality_rules(
     inside &= F.col("token_entropy").between(F.col("_least_bits"), F.col("_most_bits"))
     met = measured.join(F.broadcast(table), (F.col("script") == F.col("_script")) & (F.col("_size") == F.col("_of")), "left")
     made = met.withColumn("kept", F.col("kept") & F.coalesce(inside, F.lit(True)))
-    return made.select(*keep, *[c for c in out if c != "_size"])
+    return made.select(*unpacked, *[c for c in out if c != "_size"])
 
 
 __all__ = ["BANDS", "corpus_bands", "Pieces", "fertility", "quality_rules", "base_counts", "split_words", "script_of"]
