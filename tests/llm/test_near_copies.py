@@ -165,74 +165,63 @@ def test_ngram_join_takes_odd_tables(spark):
 
 
 def brute_lines(texts, least=50):
-    """Lines that go, per document: windows of enough words that stood before."""
+    """Lines that go, per document: every line with a word of a run of enough words, of any length, that stood
+    before, and lines without a word between two neighbours that go."""
     seen, gone = set(), []
     for t in texts:
         out = set()
         lines = [(i, s, len(s.encode().split())) for i, s in enumerate((t or "").split("\n"))]
         lines = [x for x in lines if x[2]]
         for a in range(len(lines)):
-            total, b = 0, a
-            while b < len(lines) and total < least:
-                total += lines[b][2]
-                b += 1
-            if total >= least:
-                key = tuple(x[1] for x in lines[a:b])
-                if key in seen:
-                    out |= set(range(lines[a][0], lines[b - 1][0] + 1))
-                seen.add(key)
+            for b in range(a + 1, len(lines) + 1):
+                if sum(x[2] for x in lines[a:b]) >= least:
+                    key = tuple(x[1] for x in lines[a:b])
+                    if key in seen:
+                        out |= {x[0] for x in lines[a:b]}
+                    seen.add(key)
+        out |= {i for x, y in zip(lines, lines[1:]) if x[0] in out and y[0] in out for i in range(x[0], y[0])}
         gone.append(out)
     return gone
 
 
-def test_line_dedup_matches_brute_force(spark):
-    a, b, c = (prose(i, 20) for i in (1, 2, 3))
-    long = prose(4, 70)
-    texts = [
-        "\n".join([a, b, c, "end"]), "\n".join(["start", a, b, "", c, "tail"]), "\n".join([a, c, b]), long, "\n".join(["x", long, "", "y"]), long,
-        "\n".join([long, long, a, a, b]), None, "", "\n\n", "\n".join([a, b, a, b, a, b, a, b]),
-    ]
+def same_lines(spark, texts):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r for r in line_report(docs).collect()}
     gone = brute_lines(texts)
     for i, (t, g) in enumerate(zip(texts, gone, strict=True)):
         left = None if t is None else "\n".join(s for k, s in enumerate(t.split("\n")) if k not in g)
         assert (got[i].kept, got[i].n_removed) == (left, len(g)), i
-    stay = {r.doc_id for r in drop_repeated_lines(docs).collect()}
-    assert stay == set(range(len(texts))) - {5}
+    return docs, gone
 
 
-def brute_runs(texts, least=50):
-    """Lines that go, per document: every line of a run of enough words, of any length, that stood before."""
-    seen, gone = set(), []
-    for t in texts:
-        out = set()
-        lines = [(i, s, len(s.encode().split())) for i, s in enumerate((t or "").split("\n"))]
-        lines = [x for x in lines if x[2]]
-        for a in range(len(lines)):
-            for b in range(a + 1, len(lines) + 1):
-                if sum(x[2] for x in lines[a:b]) >= least:
-                    key = tuple(x[1] for x in lines[a:b])
-                    if key in seen:
-                        out |= {x[0] for x in lines[a:b]}
-                    seen.add(key)
-        gone.append(out)
-    return gone
+def test_line_dedup_matches_brute_force(spark):
+    a, b, c = (prose(i, 20) for i in (1, 2, 3))
+    long = prose(4, 70)
+    texts = [
+        "\n".join([a, b, c, "end"]), "\n".join(["start", a, b, "", c, "tail"]), "\n".join([a, c, b]), long, "\n".join(["x", long, "", "y"]), long,
+        "\n".join([long, long, a, a, b]), None, "", "\n\n", "\n".join([a, b, a, b, a, b, a, b]), "\n".join(["", long, " ", long, "", "z", ""]),
+    ]
+    docs, _ = same_lines(spark, texts)
+    assert {r.doc_id for r in drop_repeated_lines(docs).collect()} == set(range(len(texts))) - {5}
 
 
 def test_line_dedup_takes_whole_runs(spark):
     rng = np.random.default_rng(7)
-    pool = [prose(20 + i, int(n)) for i, n in enumerate([60, 5, 1, 49, 30, 12, 50, 20, 3, 45])]
+    pool = [prose(20 + i, int(n)) for i, n in enumerate([60, 5, 1, 49, 30, 12, 50, 20, 3, 45])] + [""]
     texts = ["\n".join([pool[0], pool[1]]), "\n".join([pool[0], pool[1]]), "\n".join([pool[2], pool[0], "", pool[1], "tail"])]
-    texts += ["\n".join(pool[k] for k in rng.integers(0, len(pool), rng.integers(1, 9))) for _ in range(60)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    gone = brute_runs(texts)
-    assert gone[1] == {0, 1} and gone[2] == {1, 3}
-    got = {r.doc_id: r for r in line_report(docs, whole_runs=True).collect()}
-    for i, (t, g) in enumerate(zip(texts, gone, strict=True)):
-        assert [s for s in got[i].kept.split("\n") if s] == [s for k, s in enumerate(t.split("\n")) if s and k not in g], i
+    texts += ["\n".join(pool[k] for k in rng.integers(0, len(pool), rng.integers(1, 11))) for _ in range(120)]
+    docs, gone = same_lines(spark, texts)
+    assert gone[1] == {0, 1} and gone[2] == {1, 2, 3}
     stay = {r.doc_id: r.text for r in drop_repeated_lines(docs).collect()}
-    assert 1 not in stay and stay[2] == "\n".join([pool[2], "tail"])  # a line without a word goes with the window around it
+    assert 1 not in stay and stay[2] == "\n".join([pool[2], "tail"])
+
+
+def test_copies_leave_no_stub(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    twice = spark.createDataFrame([(k, t) for k, t in enumerate(texts + texts)], "doc_id long, text string")
+    left = {r.doc_id: r.kept for r in line_report(twice).collect()}
+    long = [k for k, t in enumerate(texts) if t and len(t.encode().split()) >= 50]
+    assert len(long) > 500 and not [k for k in long if left[len(texts) + k].strip()]
 
 
 def test_line_dedup_takes_odd_tables(spark):
@@ -240,7 +229,12 @@ def test_line_dedup_takes_odd_tables(spark):
     rows = line_report(docs).collect()
     assert len(rows) == docs.count()
     repeated = [r for r in rows if r.doc_id == 5]
-    assert [r.n_removed for r in repeated] == [1, 1]  # one document listed twice, after document 1
+    assert [r.n_removed for r in repeated] == [1, 1]  # both stand after document 1
+    copies = spark.createDataFrame([(i, t) for i in (3, 3, None, None) for t in ("\n" + prose(5, 60) + "\n", "short\n\ntext")], "doc_id long, text string")
+    left = sorted((r.doc_id is None, r.doc_id, r.n_removed, len(r.kept)) for r in line_report(copies).collect())
+    # of the rows that share an id and a text one stays; a text under the least number of words always does
+    assert [x[2] for x in left] == [0, 0, 0, 1, 0, 0, 1, 1] and [x[3] for x in left].count(1) == 3
+    assert drop_repeated_lines(copies).where("length(text) > 20").count() == 1
     assert [r.n_removed for r in rows if r.doc_id is None and r.n_lines] == [1]  # null ids come last
     assert drop_repeated_lines(docs).columns == docs.columns
     assert line_report(no_documents(spark)).count() == 0

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import ROWS_PER_STEP, map_texts
+from tidewater.llm.common import ROWS_PER_STEP, free_name, map_texts
 from tidewater.llm.vocab import Vocabulary
 from tidewater.session import stage_table
 
@@ -135,11 +135,12 @@ def bpe_encode(
     """The columns ``keep`` (default: all but the text and ``ids``) and ``ids``, the token ids of the whole text."""
     keep = [c for c in docs.columns if c not in (text_col, "ids")] if keep is None else keep
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(text.alias("_text"), *[F.col(c) for c in keep])
-    short = _direct(rows.where(F.length("_text") <= chunk), "_text", vocab, keep)
-    long = rows.where(F.length("_text") > chunk)
-    done = _chunked(long.select("_text"), "_text", vocab, chunk, overlap).withColumnRenamed("key", "_key").withColumnRenamed("ids", "_ids")
-    spread = long.select(F.sha2("_text", 256).alias("_key"), *keep).join(done, "_key").select(*keep, F.col("_ids").alias("ids"))
+    t, key, got = (free_name(c, keep) for c in ("_text", "_key", "_ids"))
+    rows = docs.select(text.alias(t), *[F.col(c) for c in keep])
+    short = _direct(rows.where(F.length(t) <= chunk), t, vocab, keep)
+    long = rows.where(F.length(t) > chunk)
+    done = _chunked(long.select(t), t, vocab, chunk, overlap).withColumnRenamed("key", key).withColumnRenamed("ids", got)
+    spread = long.select(F.sha2(t, 256).alias(key), *keep).join(done, key).select(*keep, F.col(got).alias("ids"))
     return short.unionByName(spread)
 
 

@@ -141,36 +141,36 @@ def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length") ->
     """``pieces`` with ``sequence_id`` and ``offset``: as best fit decreasing places them.
 
     Pieces of equal length are interchangeable; a piece without a length, or with
-    none from 1 to ``capacity``, gets nulls.
+    none from 1 to ``capacity``, gets nulls.  Columns of the input with the results'
+    names are replaced; all others stay as they are.
     """
     spark = pieces.sparkSession
-    rows = stage_table(pieces.withColumn("_rid", F.monotonically_increasing_id()), "pack-pieces")
-    fits = rows.where(F.col(length_col).between(1, capacity))
-    odd = rows.where(~F.coalesce(F.col(length_col).between(1, capacity), F.lit(False)))
-    counts = {int(r[0]): int(r[1]) for r in fits.groupBy(length_col).count().collect()}  # capacity rows at most
+    # the input's columns travel inside one, so no name of theirs meets one used here
+    rows = stage_table(
+        pieces.select(
+            F.col(length_col).cast("long").alias("length"), F.struct(*[F.col(c) for c in pieces.columns]).alias("piece"), F.monotonically_increasing_id().alias("rid")
+        ),
+        "pack-pieces",
+    )
+    fits = rows.where(F.col("length").between(1, capacity))
+    odd = rows.where(~F.coalesce(F.col("length").between(1, capacity), F.lit(False)))
+    counts = {int(r[0]): int(r[1]) for r in fits.groupBy("length").count().collect()}  # capacity rows at most
     total = sum(counts.values())
     full = counts.pop(capacity, 0)  # each fills a sequence; needs no place among others
     steps, opened = best_fit_plan(counts, capacity)
-    whole = fits.where(F.col(length_col) == capacity).select(
-        *pieces.columns, (F.lit(opened) + F.col("_rid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    )
+    whole = fits.where(F.col("length") == capacity).select("piece", (F.lit(opened) + F.col("rid")).alias("sequence"), F.lit(0).cast("long").alias("place"))
     # dense ranks within a length without one task a length: ranks in buckets, and the buckets' totals before them
     buckets = max(LEAST_BUCKETS, -(-(total - full) // BUCKET_ROWS))
-    part = fits.where(F.col(length_col) < capacity).withColumn("_bucket", F.pmod(F.xxhash64("_rid"), F.lit(buckets)))
-    sums = part.groupBy(length_col, "_bucket").agg(F.count("*").alias("_n"))
-    before = sums.select(
-        F.col(length_col).alias("_len"),
-        F.col("_bucket").alias("_b"),
-        (F.sum("_n").over(Window.partitionBy(length_col).orderBy("_bucket")) - F.col("_n")).alias("_base"),
-    )
-    ranked = part.withColumn("_rank", F.row_number().over(Window.partitionBy(length_col, "_bucket").orderBy("_rid")) - 1)
-    ranked = ranked.join(before, (F.col(length_col) == F.col("_len")) & (F.col("_bucket") == F.col("_b"))).select(
-        F.col(length_col).cast("long").alias("_length"), (F.col("_rank") + F.col("_base")).cast("long").alias("_rank"), *pieces.columns
-    )
+    part = fits.where(F.col("length") < capacity).withColumn("bucket", F.pmod(F.xxhash64("rid"), F.lit(buckets)))
+    sums = part.groupBy("length", "bucket").agg(F.count("*").alias("n"))
+    before = sums.select("length", "bucket", (F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("base"))
+    ranked = part.withColumn("rank", F.row_number().over(Window.partitionBy("length", "bucket").orderBy("rid")) - 1)
+    ranked = ranked.join(before, ["length", "bucket"]).select("length", (F.col("rank") + F.col("base")).cast("long").alias("rank"), "piece")
     order = sorted(steps)
     plan = spark.sparkContext.broadcast(np.array(order, dtype=np.int64).reshape(-1, 6))  # bounded by capacity
     wide = max([1, *counts.values()]) + 1
-    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    longs = [T.StructField(c, T.LongType()) for c in ("sequence", "place")]
+    schema = T.StructType([T.StructField("piece", rows.schema["piece"].dataType), *longs])
     names = schema.names
 
     def place(batches):
@@ -186,8 +186,10 @@ def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length") ->
             yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(sequence), pa.array(offset)], names=names)
 
     placed = ranked.mapInArrow(place, schema)
-    none = odd.select(*pieces.columns, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
-    return whole.unionByName(placed).unionByName(none)
+    none = odd.select("piece", *[F.lit(None).cast("long").alias(c) for c in ("sequence", "place")])
+    made = whole.unionByName(placed).unionByName(none)
+    kept = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    return made.select(*[F.col("piece").getField(c).alias(c) for c in kept], F.col("sequence").alias("sequence_id"), F.col("place").alias("offset"))
 
 
 __all__ = ["END_ID", "token_pieces", "best_fit_plan", "pack"]
