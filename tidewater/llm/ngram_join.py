@@ -126,12 +126,13 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
             some = is_marked(bits, grams & (COLUMN_MARKS - 1))
             # the part of a row's columns that other rows have: all of them for a text that its copies were made from
             share = 1000 * np.bincount(owner[some], minlength=len(wide)) // np.maximum(wide, 1)
+            place = np.arange(len(owner)) - (np.cumsum(wide) - wide)[owner]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[some]), batch.column(0).take(pa.array(owner[some])), pa.array(sizes[owner[some]]), pa.array(share[owner[some]])],
-                names=["gram", "row", "size", "share"],
+                [pa.array(grams[some]), batch.column(0).take(pa.array(owner[some])), pa.array(sizes[owner[some]]), pa.array(share[owner[some]]), pa.array(place[some])],
+                names=["gram", "row", "size", "share", "place"],
             )
 
-    cells = sets.select("row", "size", "prefix").mapInArrow(filter_cells, "gram long, row binary, size long, share long")
+    cells = sets.select("row", "size", "prefix").mapInArrow(filter_cells, "gram long, row binary, size long, share long, place long")
     cells = stage_table(cells, "jaccard-cells")
 
     # first pass: each row with hubs of its own and the next lower size class; classes are wider
@@ -159,20 +160,38 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
     cells = cells.join(label, "row", "left").withColumn("root", F.coalesce("root", "row"))
     mixed = cells.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
     cells = stage_table(cells.join(mixed, "gram"), "jaccard-mixed")
-    other = cells.select("gram", F.col("row").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
+    other = cells.select("gram", *[F.col(c).alias(f"other_{c}") for c in ("size", "root", "place")], F.col("row").alias("other"))
     larger = (F.col("size") > F.col("other_size")) | ((F.col("size") == F.col("other_size")) & (F.col("row") > F.col("other")))
-    cross = cells.join(other, "gram").where((F.col("root") != F.col("other_root")) & larger)
-    more = _verified(docs, _products(cross, percent).where("common >= least").select("row", "other"), n, percent)
+    # a pair that shares ``both`` columns shares one of the first size - both + 1 of either
+    # row; a row that starts with columns of its own meets no partner of its size
+    a, b = F.col("size"), F.col("other_size")
+    both = _both(a, b, percent)
+    early = (F.col("place") + both <= a) & (F.col("other_place") + both <= b)
+    cross = cells.join(other, "gram").where((F.col("root") != F.col("other_root")) & larger & (b * 100 >= a * percent) & early)
+    met = stage_table(cross.select("row", "other").distinct(), "jaccard-met")
+    # overlaps over all kept columns of the pairs that met
+    kept = sets.select("row", "size", "prefix")
+    sized = met.join(kept, "row").join(kept.select(F.col("row").alias("other"), F.col("size").alias("other_size"), F.col("prefix").alias("other_prefix")), "other")
+    near = sized.where(F.size(F.array_intersect("prefix", "other_prefix")) >= _least(a, b, percent))
+    more = _verified(docs, near.select("row", "other"), n, percent)
     return components(_edges(stars).unionByName(_edges(more)), "jaccard-all")
 
 
+def _both(a, b, percent: int):
+    """Columns that two rows of these sizes have in common at least if they link."""
+    return F.ceil((a + b) * percent / (100 + percent))
+
+
+def _least(a, b, percent: int):
+    """Those among the kept columns: beyond them both have fewer than t times the larger size in common."""
+    return _both(a, b, percent) - F.ceil(F.greatest(a, b) * percent / 100) + 1
+
+
 def _products(met: DataFrame, percent: int) -> DataFrame:
-    """Overlaps in the kept columns per pair, summed over the blocks, and the least that a link
-    needs: what both have in common beyond the kept columns is fewer than t times the larger size."""
+    """Overlaps in the kept columns per pair, summed over the blocks, and the least that a link needs."""
     a, b = F.col("size"), F.col("other_size")
-    least = F.ceil((a + b) * percent / (100 + percent)) - F.ceil(F.greatest(a, b) * percent / 100) + 1
     near = met.where(F.least(a, b) * 100 >= F.greatest(a, b) * percent)
-    return near.groupBy("row", "other", least.alias("least")).agg(F.count("*").alias("common"))
+    return near.groupBy("row", "other", _least(a, b, percent).alias("least")).agg(F.count("*").alias("common"))
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
@@ -241,14 +260,19 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
 def drop_near_copies(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component: the one with the smallest id (null ids last; of rows
     that share it, any one).  Documents without words stay."""
-    rows = docs.withColumn("_rid", F.monotonically_increasing_id())
-    members = stage_table(jaccard_rows(rows, n, percent, id_col, text_col, rows.columns), "jaccard-rows")
-    roots = jaccard_links(members, members, n, percent, text_col).select(F.col("node").alias("_row"), "root")
-    lead = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_rid").alias("rid"))
+    # the input's columns travel inside one, so no name of theirs meets one used here
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"), F.struct(*[F.col(c) for c in docs.columns]).alias("doc"),
+        F.monotonically_increasing_id().alias("rid"),
+    )
+    members = stage_table(jaccard_rows(rows, n, percent, "id", "t", ["id", "doc", "rid"]), "jaccard-rows")
+    texts = members.select(F.col("doc").getField(text_col).alias("t"))
+    roots = jaccard_links(texts, members, n, percent, "t").select(F.col("node").alias("_row"), "root")
+    lead = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("rid").alias("rid"))
     best = members.where("_row is not null").groupBy("_row").agg(F.min(lead).alias("lead")).join(roots, "_row", "left")
-    best = best.groupBy(F.coalesce("root", "_row")).agg(F.min("lead").alias("lead")).select(F.col("lead.rid").alias("_rid"))
-    stay = members.where("_row is not null").join(best, "_rid", "left_semi").unionByName(members.where("_row is null"))
-    return stay.select(docs.columns)
+    best = best.groupBy(F.coalesce("root", "_row")).agg(F.min("lead").alias("lead")).select(F.col("lead.rid").alias("rid"))
+    stay = members.where("_row is not null").join(best, "rid", "left_semi").select("doc").unionByName(members.where("_row is null").select("doc"))
+    return stay.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 __all__ = ["drop_near_copies", "gram_hashes", "jaccard_components", "jaccard_links", "jaccard_rows"]
