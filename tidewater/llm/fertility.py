@@ -185,7 +185,8 @@ def quality_rules(
         "base_failed": "boolean", "kept": "boolean", "script": "string", "chars_per_token": "double", "byte_share": "double", "token_entropy": "double",
         "_size": "int",
     }
-    keep = [c for c in docs.columns if c != text_col and c not in out] if keep is None else keep
+    results = [c for c in out if c != "_size"]
+    keep = [c for c in docs.columns if c != text_col and c not in results] if keep is None else keep
 
     def make():
         pieces = per_process(key, lambda: Pieces(proto.value))
@@ -210,7 +211,7 @@ def quality_rules(
     unpacked = [F.col("doc").getField(c).alias(c) for c in keep]
     measured = map_texts(packed, make, out, ["doc"], "t")
     if not from_corpus:
-        return measured.select(*unpacked, *[c for c in out if c != "_size"])
+        return measured.select(*unpacked, *results)
     measured = stage_table(measured, "quality-measures")
     names = ("_low", "_high", "_most", "_least_bits", "_most_bits")
     table = spark.createDataFrame(corpus_bands(measured), "_script string, _of int, " + ", ".join(f"{n} double" for n in names))
@@ -218,7 +219,7 @@ def quality_rules(
     inside &= F.col("token_entropy").between(F.col("_least_bits"), F.col("_most_bits"))
     met = measured.join(F.broadcast(table), (F.col("script") == F.col("_script")) & (F.col("_size") == F.col("_of")), "left")
     made = met.withColumn("kept", F.col("kept") & F.coalesce(inside, F.lit(True)))
-    return made.select(*unpacked, *[c for c in out if c != "_size"])
+    return made.select(*unpacked, *results)
 
 
 __all__ = ["BANDS", "corpus_bands", "Pieces", "fertility", "quality_rules", "base_counts", "split_words", "script_of"]
