@@ -29,8 +29,11 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import components
 from tidewater.session import stage_table
 
-#: Dimensions of a block; members of a tile, about; rows that are compared with a band at a time.
-BLOCK_DIMS, TILE_ROWS, STRIP = 16, 2_048, 256
+#: Dimensions of a block; rows that are compared with a band at a time.
+BLOCK_DIMS, STRIP = 16, 128
+#: Members of a tile: no fewer than the first while there are tasks for all cores, no more than the
+#: second, nor than take so many bytes.  A task holds two tiles and one byte per pair of their members.
+LEAST_ROWS, MOST_ROWS, TILE_BYTES = 2_048, 8_192, 1 << 25
 #: Tasks that pairs of tiles are dealt to, at most.
 MOST_TASKS = 20_000
 #: Slack of the filters, far above the errors of single precision; the verification has none.
@@ -49,34 +52,40 @@ def _blocks(dims: int, width: int = BLOCK_DIMS) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:], strict=False))
 
 
-def _shape(vector, budget: float):
-    """Blocks, their shares of the budget, and the rotation for vectors of this length."""
-    dims = len(vector)
-    blocks = _blocks(dims)
-    return blocks, np.array([budget * (e - s) / dims for s, e in blocks]), rotation(dims)
-
-
 def _candidates(a: np.ndarray, b: np.ndarray, blocks, share: np.ndarray) -> np.ndarray:
-    """Codes i * len(b) + j of the pairs that meet one block's share at least."""
-    found = []
+    """Which pairs of rows meet one block's share at least, as a table of len(a) x len(b)."""
+    met = np.zeros((len(a), len(b)), bool)
     for (lo, hi), most in zip(blocks, share, strict=True):
         oa, ob = np.argsort(a[:, lo]), np.argsort(b[:, lo])
         xa, xb = a[oa, lo:hi], b[ob, lo:hi]
-        limit = (most + SLACK - (xa**2).sum(1)).astype(np.float32)
-        # |y|^2 - 2xy in one product
-        xa1 = np.concatenate([-2 * xa, np.ones((len(xa), 1))], axis=1).astype(np.float32)
-        xb1 = np.concatenate([xb, (xb**2).sum(1, keepdims=True)], axis=1).astype(np.float32)
+        # |x|^2 - 2xy + |y|^2 - share in one product
+        left = np.concatenate([-2 * xa, np.ones((len(xa), 1)), (xa**2).sum(1, keepdims=True) - most - SLACK], axis=1).astype(np.float32)
+        right = np.concatenate([xb, (xb**2).sum(1, keepdims=True), np.ones((len(xb), 1))], axis=1).astype(np.float32).T.copy()
         radius = math.sqrt(most + SLACK)
         for at in range(0, len(xa), STRIP):
-            part = xa[at : at + STRIP]
-            s = np.searchsorted(xb[:, 0], part[0, 0] - radius)
-            e = np.searchsorted(xb[:, 0], part[-1, 0] + radius, side="right")
+            part = xa[at : at + STRIP, 0]
+            s, e = np.searchsorted(xb[:, 0], part[0] - radius), np.searchsorted(xb[:, 0], part[-1] + radius, side="right")
             if s == e:
                 continue
-            close = xa1[at : at + STRIP] @ xb1[s:e].T <= limit[at : at + STRIP, None]
-            i, j = np.divmod(np.flatnonzero(close), e - s)
-            found.append(oa[i + at] * len(b) + ob[j + s])
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            over = left[at : at + STRIP] @ right[:, s:e]
+            some = np.flatnonzero(over.min(1) <= 0)
+            i, j = np.nonzero(over[some] <= 0)
+            met[oa[at + some[i]], ob[s + j]] = True
+    return met
+
+
+def _linked(a: np.ndarray, b: np.ndarray, met: np.ndarray, cosine: float):
+    """The candidates whose cosine in double precision is enough, a strip of rows at a time."""
+    for at in range(0, len(a), STRIP):
+        i, j = np.nonzero(met[at : at + STRIP])
+        if not len(i):
+            continue
+        if 16 * len(i) > min(STRIP, len(a) - at) * len(b):
+            enough = (a[at : at + STRIP] @ b.T)[i, j] >= cosine
+        else:
+            enough = np.concatenate([np.einsum("ij,ij->i", a[at + i[k : k + 65_536]], b[j[k : k + 65_536]]) for k in range(0, len(i), 65_536)]) >= cosine
+        if enough.any():
+            yield at + i[enough], j[enough]
 
 
 def _group(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -93,51 +102,64 @@ def _group(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _unit(vectors: list) -> tuple[np.ndarray, np.ndarray]:
-    """Which of the vectors count, and those at length one in double precision."""
-    made = [None if v is None or not len(v) or any(c is None for c in v) else np.asarray(v, dtype=np.float64) for v in vectors]
-    ok = []
-    for i, v in enumerate(made):
-        if v is None or not np.isfinite(v).all():
-            ok.append(False)
-            continue
-        top = np.abs(v).max()
-        ok.append(bool(top > 0))
-        if top > 0:
-            v = v / top  # no overflow or underflow of squares
-            made[i] = v / math.sqrt(float(v @ v))
-    ok = np.array(ok, bool)
-    return ok, [made[i] for i in np.nonzero(ok)[0]]
+def _matrices(column: pa.ListArray):
+    """(rows, vectors) per length of the vectors that count: not null, empty or zero, all components finite."""
+    length = column.value_lengths().fill_null(0).to_numpy()
+    flat = column.flatten()
+    kind = np.float32 if pa.types.is_float32(flat.type) else np.float64
+    flat = flat.cast(pa.from_numpy_dtype(kind)).fill_null(math.nan).to_numpy()
+    begin = np.cumsum(length) - length
+    for dims in np.unique(length[length > 0]).tolist():
+        rows = np.flatnonzero(length == dims)
+        made = flat[begin[rows][:, None] + np.arange(dims)]
+        good = np.isfinite(made).all(1) & (made != 0).any(1)
+        yield rows[good], made[good]
+
+
+def _units(made: np.ndarray) -> np.ndarray:
+    """The rows at length one, in double precision."""
+    made = made.astype(np.float64)
+    made /= np.abs(made).max(1, keepdims=True)  # no overflow or underflow of squares
+    return made / np.sqrt((made * made).sum(1, keepdims=True))
 
 
 def embedding_links(
-    vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", tile_rows: int = TILE_ROWS
+    vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", tile_rows: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, counts, roots): each row's id and member ``key`` (null if it links with
     nothing), per key the number of links to other keys' rows, and components over keys.
-    Vectors of different lengths never link."""
+    Vectors of different lengths never link.  ``tile_rows`` sets the members of a tile;
+    without it tiles are as large as leaves two tasks for each core, within the fixed limits."""
     spark = vectors.sparkSession
-    shown, kind = (vectors.schema[c].dataType.simpleString() for c in (id_col, vector_col))
+    shown, number = vectors.schema[id_col].dataType.simpleString(), vectors.schema[vector_col].dataType.elementType.simpleString()
+    kind = np.float32 if number == "float" else np.float64
 
     def read(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                ok, units = _unit(part.column(1).to_pylist())
-                units = iter(units)
-                made = [next(units) if o else None for o in ok]
-                key = [None if u is None else hashlib.blake2b((u + 0.0).tobytes(), digest_size=16).hexdigest() for u in made]
+                key, dims, raw = [None] * part.num_rows, [0] * part.num_rows, [None] * part.num_rows
+                for rows, made in _matrices(part.column(1)):
+                    units = _units(made) + 0.0
+                    for k, row in enumerate(rows.tolist()):
+                        key[row], raw[row] = hashlib.blake2b(units[k].tobytes(), digest_size=16).hexdigest(), made[k].tobytes()
+                        dims[row] = made.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(key, pa.string()), pa.array([0 if u is None else len(u) for u in made], pa.int32()), part.column(1)],
-                    names=["id", "key", "dims", "vector"],
+                    [part.column(0), pa.array(key, pa.string()), pa.array(dims, pa.int32()), pa.array(raw, pa.binary())], names=["id", "key", "dims", "vector"]
                 )
 
-    table = vectors.select(F.col(id_col).alias("id"), F.col(vector_col)).mapInArrow(read, f"id {shown}, key string, dims int, vector {kind}")
+    table = vectors.select(F.col(id_col).alias("id"), F.col(vector_col)).mapInArrow(read, f"id {shown}, key string, dims int, vector binary")
     table = stage_table(table, "vector-rows")
     rows = table.select("id", "key")
     members = table.where("key is not null").groupBy("key").agg(F.first("dims").alias("dims"), F.first("vector").alias("vector"), F.count("*").alias("copies"))
     members = stage_table(members, "vector-members")
-    sizes = members.groupBy("dims").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("tiles"))
+    if tile_rows:
+        tiles = F.ceil(F.count("*") / tile_rows)
+    else:
+        most = F.least(F.lit(MOST_ROWS), F.greatest(F.lit(1), F.floor(F.lit(TILE_BYTES) / (8 * F.col("dims")))))
+        busy = math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism))
+        tiles = F.greatest(F.ceil(F.count("*") / most), F.least(F.ceil(F.count("*") / LEAST_ROWS), F.lit(busy)))
+    sizes = members.groupBy("dims").agg(tiles.cast("int").alias("tiles"))
     dealt = members.join(sizes, "dims").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("dims", F.least("tile", "other").alias("p"), F.greatest("tile", "other").alias("q"), "tile", "key", "vector", "copies")
@@ -148,21 +170,24 @@ def embedding_links(
         blocks = _blocks(dims)
         share = np.array([budget * (e - s) / dims for s, e in blocks])
         key, copies = group.column("key").to_pylist(), group.column("copies").to_numpy()
-        unit = np.array(_unit(group.column("vector").to_pylist())[1])
+        unit = _units(np.frombuffer(b"".join(group.column("vector").to_pylist()), kind).reshape(-1, dims))
         turned = unit @ rotation(dims)
         tile = group.column("tile").to_numpy()
-        left, right = np.nonzero(tile == p)[0], np.nonzero(tile == q)[0]
-        pairs = _candidates(turned[left], turned[right], blocks, share)
-        i, j = left[pairs // max(len(right), 1)], right[pairs % max(len(right), 1)]
+        left, right = np.flatnonzero(tile == p), np.flatnonzero(tile == q)
+        met = _candidates(turned[left], turned[right], blocks, share)
         if p == q:
-            i, j = i[i < j], j[i < j]
-        linked = [np.einsum("ij,ij->i", unit[i[at : at + 65_536]], unit[j[at : at + 65_536]]) >= cosine for at in range(0, len(i), 65_536)]
-        linked = np.concatenate(linked) if linked else np.zeros(0, bool)
-        i, j = i[linked], j[linked]
+            met = np.triu(met, 1)
         links = np.zeros(len(key), np.int64)
-        np.add.at(links, i, copies[j])
-        np.add.at(links, j, copies[i])
-        some = np.nonzero(links)[0]
+        ends = []
+        for i, j in _linked(unit[left], unit[right], met, cosine):
+            i, j = left[i], right[j]
+            links += np.bincount(i, copies[j], len(key)).astype(np.int64) + np.bincount(j, copies[i], len(key)).astype(np.int64)
+            # of a strip's links only what joins its members, so their number has no square in it
+            root = _group(len(key), i, j)
+            some = np.flatnonzero(root != np.arange(len(key)))
+            ends.append(np.stack([some, root[some]]))
+        i, j = np.concatenate(ends, axis=1) if ends else np.zeros((2, 0), np.int64)
+        some = np.flatnonzero(links)
         root = _group(len(key), i, j)[some]
         return pa.table(
             {"key": pa.array([key[x] for x in some], pa.string()), "links": pa.array(links[some]), "root": pa.array([key[x] for x in root], pa.string())}
