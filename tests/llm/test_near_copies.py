@@ -76,13 +76,15 @@ def brute_repeats(texts, length):
     return out
 
 
-@pytest.mark.parametrize("many", [400, 1])
-def test_suffix_dedup_matches_brute_force(spark, many, monkeypatch):
+@pytest.mark.parametrize("many, step", [(400, 18), (1, 18), (3, 40)])
+def test_suffix_dedup_matches_brute_force(spark, many, step, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "MANY", many)
+    monkeypatch.setattr(suffix_dedup, "STEP", step)
     shared, period = prose(5, 90), "abcde" * 120
     texts = [
         prose(1, 150) + shared + prose(2, 100), shared[7:], prose(3, 50) + shared[:260] + "é" * 10, period, "zz" + period[3:400], "q" * 500, "q" * 199,
         "q" * 200, None, "", shared, shared, prose(8, 300) + "x" + prose(8, 300), "日本" * 120, "日本" * 100 + "x",
+        *[prose(20 + i, 30)[: 140 - 9 * i] + shared[200:330] + prose(40 + i % 2, 60)[: 20 + 9 * i] + prose(60 + i, 20) for i in range(12)],
     ]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in cut_repeats(docs).collect()}

@@ -13,7 +13,10 @@ so the recursion ends there.
 
 Equal contexts are one row with a count, added up before the shuffle.  A
 fingerprint with very many different contexts is not sorted in one task: its
-strings are dealt anew, each by its own content.
+contexts are cut into pieces with a few starts each and dealt anew by the bytes
+that all strings of a piece have in common; a piece that nothing shares these
+with goes no further.  What is still too many then are strings that agree in
+nearly all bytes; each of these is dealt by its own content.
 
 A null text counts as empty.  Results are judged on the input.
 """
@@ -25,6 +28,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +44,10 @@ MARKS = 1 << 24
 MANY = 400
 #: Bits of the table that marks fingerprints with more (128 kB).
 LARGE_MARKS = 1 << 20
+#: Starts of strings in a piece of such a fingerprint's contexts.
+STEP = 18
+#: Bits of the table that marks texts with something to remove (2 MB); others that it marks do no harm.
+TEXT_MARKS = 1 << 24
 #: Bytes of contexts that are sorted at a time, about.
 BATCH_BYTES = 1_500_000
 #: Grams that are looked at in one go.
@@ -199,58 +207,11 @@ def _runs(starts: np.ndarray) -> list[int]:
     return np.stack([starts[np.concatenate([[0], cuts + 1])], starts[np.concatenate([cuts, [len(starts) - 1]])] + 1], axis=1).ravel().tolist()
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """(key, spans): for each different text that has any, the byte runs to remove, flat; the key
-    is the blake2b digest (16 bytes) of the text."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col(text_col).cast("string").alias("_t")).where(F.octet_length("_t") >= length)
-
-    def prints():
-        find = Fingerprints(length).find
-
-        def f(found):
-            rows, made = [], []
-            for i, t in enumerate(found):
-                h = find(t.encode())[1].astype(np.int64)
-                rows.append(np.full(len(h), i))
-                made.append(h)
-            return [np.concatenate(rows), pa.array(np.concatenate(made))]
-
-        return f
-
-    again = map_texts(texts, prints, {"h": "long"}, [], "_t", explode=True).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    bits_ = spark.sparkContext.broadcast(marks(again, MARKS, lambda batch: [batch.column(0).to_numpy() & (MARKS - 1)]))  # MARKS bits
-
-    def around(with_context: bool):
-        def make():
-            find, bits = Fingerprints(length).find, bits_.value
-
-            def f(found):
-                rows, key, at, hashes, name, shift, context = [], [], [], [], [], [], []
-                for i, t in enumerate(found):
-                    raw = t.encode()
-                    p, h = find(raw)
-                    h = h.astype(np.int64)
-                    some = is_marked(bits, h & (MARKS - 1))
-                    own = hashlib.blake2b(raw, digest_size=16).digest()
-                    for place, hashed in zip(p[some].tolist(), h[some].tolist(), strict=True):
-                        begin = max(0, place + GRAM - length)
-                        piece = raw[begin : place + length]
-                        rows.append(i)
-                        key.append(own)
-                        at.append(begin)
-                        hashes.append(hashed)
-                        shift.append(begin - place)
-                        name.append(hashlib.blake2b(piece, digest_size=12, salt=(place - begin).to_bytes(2, "little")).digest())
-                        if with_context:
-                            context.append(piece)
-                return [rows, hashes, name, shift, context] if with_context else [rows, key, at, hashes, name]
-
-            return f
-
-        return make
-
-    one = map_texts(texts, around(True), {"h": "long", "name": "binary", "shift": "int", "context": "binary"}, [], "_t", explode=True)
+def _covered(one: DataFrame, length: int, deal_anew) -> DataFrame:
+    """(h, name, runs): for contexts ``one`` (h, name, shift, context), which of their starts come
+    back among those of the same ``h``, as flat half-open runs.  ``deal_anew`` does that for the
+    contexts of an ``h`` with more than ``MANY`` different ones."""
+    spark = one.sparkSession
     contexts = one.groupBy("h", "name").agg(F.count("*").alias("copies"), F.first("shift").alias("shift"), F.first("context").alias("context"))
     # like contexts lie side by side here, so a stronger codec pays
     path = scratch_path(spark, "suffix-contexts")
@@ -299,8 +260,65 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 
     some = columns.mapInArrow(route(False), columns.schema)
     found = some.repartition("h").sortWithinPartitions("h").mapInArrow(order, "h long, name binary, runs array<int>")
-    # too many contexts for one task (and a few that are marked with these): each string by its own content
+    if not large_.value.any():
+        return whole.unionByName(found)
     many = columns.mapInArrow(route(True), columns.schema).where(F.octet_length("context") >= length)
+    return whole.unionByName(found).unionByName(deal_anew(many, length))
+
+
+def _pieces(h: int, shift: int, context: bytes, length: int):
+    """(key, begin, piece) of a context's pieces: its starts in steps of their distance from the
+    fingerprint; the key is of the bytes that lie in every string that starts within the step."""
+    last = shift + len(context) - length
+    for step in range((shift + length) // STEP, (last + length) // STEP + 1):
+        low = step * STEP - length
+        high = min(low + STEP - 1, 0)
+        begin, end = max(low, shift) - shift, min(high, last) - shift
+        same = context[high - shift : low + length - shift]
+        key = hashlib.blake2b(same, digest_size=8, key=h.to_bytes(8, "little", signed=True), salt=step.to_bytes(2, "little")).digest()
+        yield int.from_bytes(key, "little", signed=True), begin, context[begin : end + length]
+
+
+def _by_pieces(many: DataFrame, length: int) -> DataFrame:
+    """``_covered`` of contexts (h, name, shift, context, copies) by their pieces."""
+    spark = many.sparkSession
+    many = stage_table(many, "suffix-many")
+
+    def keys(batches):
+        for batch in batches:
+            made = [k for h, s, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True) for k, _, _ in _pieces(h, s, c, length)]
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.int64())], names=["h"])
+
+    again = many.select("h", "shift", "context").mapInArrow(keys, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    bits_ = spark.sparkContext.broadcast(marks(again, MARKS, lambda batch: [batch.column(0).to_numpy() & (MARKS - 1)]))  # MARKS bits
+
+    def cut(batches):
+        bits = bits_.value
+        for batch in batches:
+            made = []
+            for h, name, shift, context, copies in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for key, begin, piece in _pieces(h, shift, context, length):
+                    if is_marked(bits, np.array([key & (MARKS - 1)]))[0]:
+                        own = hashlib.blake2b(piece, digest_size=12, salt=(-shift - begin).to_bytes(2, "little")).digest()
+                        made.append((key, own, shift + begin, piece, h, name, begin, copies))
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row, strict=True)) for row in made], schema)
+
+    schema = pa.schema([
+        ("h", pa.int64()), ("name", pa.binary()), ("shift", pa.int32()), ("context", pa.binary()),
+        ("whole_h", pa.int64()), ("whole_name", pa.binary()), ("begin", pa.int32()), ("copies", pa.int64()),
+    ])
+    pieces = many.select("h", "name", "shift", "context", "copies").mapInArrow(
+        cut, "h long, name binary, shift int, context binary, whole_h long, whole_name binary, begin int, copies long"
+    )
+    pieces = stage_table(pieces, "suffix-pieces")
+    covered = _covered(pieces.select("h", "name", "shift", "context"), length, _by_strings)
+    # contexts with copies come back as a whole anyway
+    back = pieces.where("copies = 1").select("h", "name", "whole_h", "whole_name", "begin").join(covered, ["h", "name"])
+    return back.select(F.col("whole_h").alias("h"), F.col("whole_name").alias("name"), F.expr("transform(runs, x -> x + begin)").alias("runs"))
+
+
+def _by_strings(many: DataFrame, length: int) -> DataFrame:
+    """``_covered`` of contexts (h, name, shift, context, copies), each string by its own content."""
     strings = many.select("h", "name", "copies", "shift", "context", F.explode(F.sequence(F.lit(0), F.octet_length("context") - length)).alias("start"))
     strings = strings.select(
         "h", "name", "copies", "start", F.unhex(F.md5(F.substring("context", F.col("start") + 1, F.lit(length)))).alias("string"), (F.col("shift") + F.col("start")).alias("place")
@@ -308,8 +326,62 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     strings = stage_table(strings, "suffix-strings")
     twice = strings.groupBy("h", "place", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     spread = strings.join(twice, ["h", "place", "string"], "left_semi").where("copies = 1").groupBy("h", "name").agg(F.array_sort(F.collect_set("start")).alias("starts"))
-    spread = spread.select("h", "name", F.flatten(F.transform("starts", lambda s: F.array(s, s + 1))).alias("runs"))
-    covered = whole.unionByName(found).unionByName(spread)
+    return spread.select("h", "name", F.flatten(F.transform("starts", lambda s: F.array(s, s + 1))).alias("runs"))
+
+
+def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """(key, spans): for each different text that has any, the byte runs to remove, flat; the key
+    is the blake2b digest (16 bytes) of the text."""
+    spark = docs.sparkSession
+    texts = docs.select(F.col(text_col).cast("string").alias("_t")).where(F.octet_length("_t") >= length)
+
+    def prints():
+        find = Fingerprints(length).find
+
+        def f(found):
+            rows, made = [], []
+            for i, t in enumerate(found):
+                h = find(t.encode())[1].astype(np.int64)
+                rows.append(np.full(len(h), i))
+                made.append(h)
+            return [np.concatenate(rows), pa.array(np.concatenate(made))]
+
+        return f
+
+    again = map_texts(texts, prints, {"h": "long"}, [], "_t", explode=True).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    bits_ = spark.sparkContext.broadcast(marks(again, MARKS, lambda batch: [batch.column(0).to_numpy() & (MARKS - 1)]))  # MARKS bits
+
+    def around(with_context: bool):
+        def make():
+            find, bits = Fingerprints(length).find, bits_.value
+
+            def f(found):
+                rows, key, at, hashes, name, shift, context = [], [], [], [], [], [], []
+                for i, t in enumerate(found):
+                    raw = t.encode()
+                    p, h = find(raw)
+                    h = h.astype(np.int64)
+                    some = is_marked(bits, h & (MARKS - 1))
+                    own = hashlib.blake2b(raw, digest_size=16).digest()
+                    for place, hashed in zip(p[some].tolist(), h[some].tolist(), strict=True):
+                        begin = max(0, place + GRAM - length)
+                        piece = raw[begin : place + length]
+                        rows.append(i)
+                        key.append(own)
+                        at.append(begin)
+                        hashes.append(hashed)
+                        shift.append(begin - place)
+                        name.append(hashlib.blake2b(piece, digest_size=12, salt=(place - begin).to_bytes(2, "little")).digest())
+                        if with_context:
+                            context.append(piece)
+                return [rows, hashes, name, shift, context] if with_context else [rows, key, at, hashes, name]
+
+            return f
+
+        return make
+
+    one = map_texts(texts, around(True), {"h": "long", "name": "binary", "shift": "int", "context": "binary"}, [], "_t", explode=True)
+    covered = _covered(one, length, _by_pieces)
 
     place = map_texts(texts, around(False), {"key": "binary", "at": "long", "h": "long", "name": "binary"}, [], "_t", explode=True)
     place = place.dropDuplicates(["key", "at", "h", "name"])
@@ -322,23 +394,44 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """Per document: the id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the bytes that
     are left.  A byte goes if a string of ``length`` bytes over it also starts elsewhere."""
-    spans = repeated_spans(docs, text_col, length)
+    spans = stage_table(repeated_spans(docs, text_col, length), "suffix-spans")
+    mark = lambda keys: np.array([int.from_bytes(k[:8], "little") % TEXT_MARKS for k in keys], np.int64)
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(spans.select("key"), TEXT_MARKS, lambda batch: [mark(batch.column(0).to_pylist())]))  # TEXT_MARKS bits
+
+    # only texts with something to remove meet their spans, packed
+    def some():
+        def f(texts):
+            raw = [(t or "").encode() for t in texts]
+            keys = [hashlib.blake2b(r, digest_size=16).digest() for r in raw]
+            rows = np.flatnonzero(is_marked(bits_.value, mark(keys))).tolist()
+            pack = zstandard.ZstdCompressor().compress
+            return [rows, [keys[i] for i in rows], [pack(raw[i]) for i in rows]]
+
+        return f
 
-    def name():
-        return lambda texts: [[hashlib.blake2b((t or "").encode(), digest_size=16).digest() for t in texts]]
+    def others():
+        def f(texts):
+            raw = [(t or "").encode() for t in texts]
+            rows = np.flatnonzero(~is_marked(bits_.value, mark([hashlib.blake2b(r, digest_size=16).digest() for r in raw]))).tolist()
+            return [rows, [len(raw[i]) for i in rows], [0] * len(rows), [0] * len(rows), [raw[i] for i in rows]]
 
+        return f
+
+    out = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept": "binary"}
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_t"))
-    rows = map_texts(rows, name, {"_key": "binary"}, ["_id", "_t"], "_t").join(spans.withColumnRenamed("key", "_key"), "_key", "left")
+    clean = map_texts(rows, others, out, ["_id"], "_t", explode=True).withColumnRenamed("_id", id_col)
+    rows = map_texts(rows, some, {"_key": "binary", "_packed": "binary"}, ["_id"], "_t", explode=True).join(spans.withColumnRenamed("key", "_key"), "_key", "left")
     starts, ends = F.transform("spans", lambda x: x["s"]), F.transform("spans", lambda x: x["e"])
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 size, gone, runs, left = [], [], [], []
-                for t, s, e in zip(*(part.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
-                    raw = (t or "").encode()
+                for packed, s, e in zip(*(part.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
+                    raw = unpack(packed)
                     change = np.zeros(len(raw) + 1, np.int64)
                     if s:
                         np.add.at(change, np.array(s), 1)
@@ -350,12 +443,11 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     left.append(np.frombuffer(raw, np.uint8)[~off].tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(left, pa.binary())],
-                    names=[id_col, "n_bytes", "n_removed", "n_spans", "kept"],
+                    names=[id_col, *out],
                 )
 
-    return rows.select("_id", "_t", starts.alias("s"), ends.alias("e")).mapInArrow(
-        cut, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
-    )
+    met = rows.select("_id", "_packed", starts.alias("s"), ends.alias("e")).mapInArrow(cut, f"`{id_col}` {kind}, " + ", ".join(f"{n} {k}" for n, k in out.items()))
+    return met.unionByName(clean)
 
 
 __all__ = ["LENGTH", "Fingerprints", "suffix_ranks", "repeated_starts", "repeated_spans", "cut_repeats"]
