@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import components, map_texts
-from tidewater.llm.tables import fixed_table, is_marked, marks
+from tidewater.llm.tables import fixed_table, is_marked, low_bits, marks, name_place, name_places
 from tidewater.session import stage_table
 
 #: Counters of the table by which columns are ordered: rarer ones first (4 bytes each).
@@ -113,7 +113,7 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
     sets = stage_table(sets, "jaccard-rows-once")
     # a column with one row has no product; what the table marks besides does no harm
     shared = sets.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
-    bits_ = docs.sparkSession.sparkContext.broadcast(marks(shared, COLUMN_MARKS, lambda batch: [batch.column(0).to_numpy() & (COLUMN_MARKS - 1)]))
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(shared, COLUMN_MARKS, low_bits(F.col("gram"), COLUMN_MARKS)))
 
     def filter_cells(batches):
         bits = bits_.value
@@ -206,9 +206,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
     """
     pairs = stage_table(pairs, "jaccard-pairs")
     wanted = pairs.select("row").union(pairs.select(F.col("other").alias("row"))).distinct()
-
-    place = lambda names: np.array([int.from_bytes(x[:8], "little") % MARKS for x in names], np.int64)
-    bits_ = docs.sparkSession.sparkContext.broadcast(marks(wanted, MARKS, lambda batch: [place(batch.column(0).to_pylist())]))  # MARKS bits
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(wanted, MARKS, name_place(F.col("row"), MARKS)))  # MARKS bits
 
     def sets():
         bits = bits_.value
@@ -216,7 +214,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
         def f(texts):
             found = [gram_hashes(t, n) for t in texts]
             names = [_name(s) for s in found]
-            some = np.nonzero(is_marked(bits, place(names)))[0].tolist() if names else []
+            some = np.flatnonzero(is_marked(bits, name_places(names, MARKS))).tolist()
             return [some, [names[i] for i in some], [found[i].tobytes() for i in some]]
 
         return f

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import map_texts
-from tidewater.llm.tables import is_marked, marks
+from tidewater.llm.tables import is_marked, low_bits, marks, name_place, name_places
 from tidewater.session import scratch_path, stage_table
 
 #: Bytes of a repeated string, and of the strings that fingerprints are hashes of.
@@ -218,7 +218,7 @@ def _covered(one: DataFrame, length: int, deal_anew) -> DataFrame:
     contexts.write.option("compression", "zstd").parquet(path)
     contexts = spark.read.parquet(path)
     large = contexts.groupBy("h").agg(F.count("*").alias("kinds")).where(F.col("kinds") > MANY).select("h")
-    large_ = spark.sparkContext.broadcast(marks(large, LARGE_MARKS, lambda batch: [batch.column(0).to_numpy() & (LARGE_MARKS - 1)]))  # LARGE_MARKS bits
+    large_ = spark.sparkContext.broadcast(marks(large, LARGE_MARKS, low_bits(F.col("h"), LARGE_MARKS)))  # LARGE_MARKS bits
     whole = contexts.where("copies > 1").select("h", "name", F.array(F.lit(0), F.greatest(F.octet_length("context") - length + 1, F.lit(0))).alias("runs"))
 
     def route(to_large: bool):
@@ -290,7 +290,7 @@ def _by_pieces(many: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.int64())], names=["h"])
 
     again = many.select("h", "shift", "context").mapInArrow(keys, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    bits_ = spark.sparkContext.broadcast(marks(again, MARKS, lambda batch: [batch.column(0).to_numpy() & (MARKS - 1)]))  # MARKS bits
+    bits_ = spark.sparkContext.broadcast(marks(again, MARKS, low_bits(F.col("h"), MARKS)))  # MARKS bits
 
     def cut(batches):
         bits = bits_.value
@@ -349,7 +349,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         return f
 
     again = map_texts(texts, prints, {"h": "long"}, [], "_t", explode=True).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    bits_ = spark.sparkContext.broadcast(marks(again, MARKS, lambda batch: [batch.column(0).to_numpy() & (MARKS - 1)]))  # MARKS bits
+    bits_ = spark.sparkContext.broadcast(marks(again, MARKS, low_bits(F.col("h"), MARKS)))  # MARKS bits
 
     def around(with_context: bool):
         def make():
@@ -395,15 +395,14 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per document: the id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the bytes that
     are left.  A byte goes if a string of ``length`` bytes over it also starts elsewhere."""
     spans = stage_table(repeated_spans(docs, text_col, length), "suffix-spans")
-    mark = lambda keys: np.array([int.from_bytes(k[:8], "little") % TEXT_MARKS for k in keys], np.int64)
-    bits_ = docs.sparkSession.sparkContext.broadcast(marks(spans.select("key"), TEXT_MARKS, lambda batch: [mark(batch.column(0).to_pylist())]))  # TEXT_MARKS bits
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(spans, TEXT_MARKS, name_place(F.col("key"), TEXT_MARKS)))  # TEXT_MARKS bits
 
     # only texts with something to remove meet their spans, packed
     def some():
         def f(texts):
             raw = [(t or "").encode() for t in texts]
             keys = [hashlib.blake2b(r, digest_size=16).digest() for r in raw]
-            rows = np.flatnonzero(is_marked(bits_.value, mark(keys))).tolist()
+            rows = np.flatnonzero(is_marked(bits_.value, name_places(keys, TEXT_MARKS))).tolist()
             pack = zstandard.ZstdCompressor().compress
             return [rows, [keys[i] for i in rows], [pack(raw[i]) for i in rows]]
 
@@ -412,7 +411,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def others():
         def f(texts):
             raw = [(t or "").encode() for t in texts]
-            rows = np.flatnonzero(~is_marked(bits_.value, mark([hashlib.blake2b(r, digest_size=16).digest() for r in raw]))).tolist()
+            rows = np.flatnonzero(~is_marked(bits_.value, name_places([hashlib.blake2b(r, digest_size=16).digest() for r in raw], TEXT_MARKS))).tolist()
             return [rows, [len(raw[i]) for i in rows], [0] * len(rows), [0] * len(rows), [raw[i] for i in rows]]
 
         return f

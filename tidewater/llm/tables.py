@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: A table travels in so many rows a task.
 BLOCKS = 64
+#: Bits of one bitmap that Spark's ``bitmap_construct_agg`` makes.
+BITMAP = 32768
 
 
 def fixed_table(df: DataFrame, size: int, places, kind: str = "<u4") -> np.ndarray:
@@ -41,18 +44,41 @@ def fixed_table(df: DataFrame, size: int, places, kind: str = "<u4") -> np.ndarr
     row = "block int, counts binary"
     made = df.mapInArrow(count, row).repartition(BLOCKS, "block").mapInArrow(add, row)
     out = np.zeros(size, kind)
-    for r in made.toLocalIterator():  # BLOCKS rows
+    for r in made.collect():  # BLOCKS rows, size numbers in all
         out[r.block * width : (r.block + 1) * width] = np.frombuffer(r.counts, kind)
     return out
 
 
-def marks(df: DataFrame, size: int, places) -> np.ndarray:
-    """Bits of a fixed size: set where ``places(batch)`` points."""
-    return np.packbits(fixed_table(df, size, places, "u1") > 0)
+def marks(df: DataFrame, size: int, place: Column) -> np.ndarray:
+    """Bits of a fixed size (a multiple of ``BITMAP``): set where ``place``, a number below it, points.
+
+    Every task makes the bitmaps of its own rows and these are put together by bucket:
+    a task sends ``size`` bits at most, and so many reach the driver.
+    """
+    at = df.select(place.alias("at"))
+    made = at.groupBy(F.expr(f"at div {BITMAP}").alias("bucket")).agg(F.bitmap_construct_agg(F.col("at") % BITMAP).alias("bits"))
+    out = np.zeros(size // BITMAP, f"V{BITMAP // 8}")
+    for r in made.collect():  # size bits
+        out[r.bucket] = bytes(r.bits)
+    return out.view(np.uint8)
 
 
 def is_marked(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def low_bits(number: Column, size: int) -> Column:
+    """The place of a 64-bit number in a table of ``size``, a power of two."""
+    return number.bitwiseAND(F.lit(size - 1))
+
+
+def name_place(name: Column, size: int) -> Column:
+    """The place of a digest in a table of ``size``, a power of two up to 2^24; ``name_places`` is the same in a task."""
+    return low_bits(F.conv(F.hex(F.substring(name, 1, 3)), 16, 10).cast("long"), size)
+
+
+def name_places(names: list[bytes], size: int) -> np.ndarray:
+    return np.array([int.from_bytes(x[:3], "big") & (size - 1) for x in names], np.int64)
 
 
-__all__ = ["BLOCKS", "fixed_table", "marks", "is_marked"]
+__all__ = ["BITMAP", "BLOCKS", "fixed_table", "marks", "is_marked", "low_bits", "name_place", "name_places"]
