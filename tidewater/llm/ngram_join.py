@@ -7,7 +7,8 @@ can reach the threshold are computed:
 * equal sets are one row (its documents are its members);
 * a row keeps as many columns as a partner within the threshold cannot miss
   altogether (prefix bound), rarest first by a fixed-size table of column
-  counts; a column is a block, and sizes too far apart never meet;
+  counts; a column and two neighbouring size classes are a block, so sizes too
+  far apart never meet, and a block with one row is left out before any shuffle of cells;
 * the product is taken blockwise over those columns: partial overlaps are
   summed per pair, and pairs below the size-derived bound go;
 * what is left is verified over all columns.
@@ -36,8 +37,10 @@ from tidewater.session import stage_table
 
 #: Counters of the table by which columns are ordered: rarer ones first (4 bytes each).
 COUNTERS = 1 << 20
-#: Bits of the table that marks columns with two rows or more; fixed size (2 MB).
-COLUMN_MARKS = 1 << 24
+#: Bits of the table that marks blocks with two rows or more; fixed size (8 MB).
+BLOCK_MARKS = 1 << 26
+#: Tells a column's blocks apart.
+_CLASS = 0x9E3779B1
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Hubs of a block and size class in the first pass, by how much of them others share, in steps of
 #: so many thousandths (the last: by a hash alone); a row is compared with two of them.
@@ -111,9 +114,14 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
     docs = docs.select(F.col(text_col).cast("string").alias("_t"))
     sets = rows.where("_row is not null").groupBy(F.col("_row").alias("row")).agg(F.first("_n_shingles").alias("size"), F.first("_prefix").alias("prefix"))
     sets = stage_table(sets, "jaccard-rows-once")
-    # a column with one row has no product; what the table marks besides does no harm
-    shared = sets.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
-    bits_ = docs.sparkSession.sparkContext.broadcast(marks(shared, COLUMN_MARKS, low_bits(F.col("gram"), COLUMN_MARKS)))
+    # size classes are wider than what may lie between the sizes of partners, so these are
+    # of one class or of neighbouring ones: a row is in the blocks of its own and the next lower one
+    sets = sets.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / math.log(1.01 * 100 / percent)))
+    own = F.transform("prefix", lambda g: g.bitwiseXOR(F.col("class") * _CLASS))
+    lower = F.transform("prefix", lambda g: g.bitwiseXOR((F.col("class") - 1) * _CLASS))
+    # a block with one row has no product; what the table marks besides does no harm
+    shared = sets.select(F.explode(F.concat(own, lower)).alias("block")).groupBy("block").agg(F.count("*").alias("rows")).where("rows > 1")
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(shared, BLOCK_MARKS, low_bits(F.col("block"), BLOCK_MARKS)))
 
     def filter_cells(batches):
         bits = bits_.value
@@ -123,29 +131,29 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
             grams = lists.flatten().to_numpy()
             wide = lists.value_lengths().to_numpy()
             owner = np.repeat(np.arange(len(wide)), wide)
-            some = is_marked(bits, grams & (COLUMN_MARKS - 1))
+            classes = batch.column(3).to_numpy()[owner]
+            some = is_marked(bits, (grams ^ (classes * _CLASS)) & (BLOCK_MARKS - 1))
+            some |= is_marked(bits, (grams ^ ((classes - 1) * _CLASS)) & (BLOCK_MARKS - 1))
             # the part of a row's columns that other rows have: all of them for a text that its copies were made from
             share = 1000 * np.bincount(owner[some], minlength=len(wide)) // np.maximum(wide, 1)
             place = np.arange(len(owner)) - (np.cumsum(wide) - wide)[owner]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[some]), batch.column(0).take(pa.array(owner[some])), pa.array(sizes[owner[some]]), pa.array(share[owner[some]]), pa.array(place[some])],
-                names=["gram", "row", "size", "share", "place"],
+                [pa.array(grams[some]), batch.column(0).take(pa.array(owner[some])), pa.array(sizes[owner[some]]), pa.array(classes[some]), pa.array(share[owner[some]]), pa.array(place[some])],
+                names=["gram", "row", "size", "class", "share", "place"],
             )
 
-    cells = sets.select("row", "size", "prefix").mapInArrow(filter_cells, "gram long, row binary, size long, share long, place long")
+    cells = sets.select("row", "size", "prefix", "class").mapInArrow(filter_cells, "gram long, row binary, size long, class long, share long, place long")
     cells = stage_table(cells, "jaccard-cells")
 
-    # first pass: each row with hubs of its own and the next lower size class; classes are wider
-    # than what may lie between the sizes of partners
-    sized = cells.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / math.log(1.01 * 100 / percent)))
+    # first pass: each row with hubs of its own and the next lower size class
     seeds = [
         F.max(F.struct(F.floor(F.col("share") / coarse).alias("s"), F.xxhash64("row", F.lit(k)).alias("h"), "row", "size")).alias(f"hub{k}")
         for k, coarse in enumerate(HUB_SHARES)
     ]
-    hubs = sized.groupBy("gram", "class").agg(*seeds)
+    hubs = cells.groupBy("gram", "class").agg(*seeds)
     hubs = hubs.select("gram", "class", F.explode(F.array_distinct(F.array(
         *[F.struct(F.col(f"hub{k}.row").alias("other"), F.col(f"hub{k}.size").alias("other_size")) for k in range(len(HUB_SHARES))]))).alias("hub"))
-    reach = sized.select("gram", "row", "size", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"))
+    reach = cells.select("gram", "row", "size", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"))
     near = reach.join(hubs.select("gram", "class", "hub.*"), ["gram", "class"]).where("row <> other")
     near = _products(near, percent)
     # a hub is one in most of the blocks that it shares with a row, not in all
