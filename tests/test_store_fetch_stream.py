@@ -23,7 +23,7 @@ from tidewater.sources.store import (
     write_messages,
     write_watermark,
 )
-from tidewater.streaming.incremental import pull_batch, run_incremental
+from tidewater.streaming.incremental import pull_batch, run_incremental, streaming_curate, streaming_pull
 from tidewater.records import RAW_MESSAGE_SCHEMA
 
 NOW = dt.datetime(2024, 3, 8, 12, 0, tzinfo=dt.timezone.utc)
@@ -177,6 +177,33 @@ def test_streaming_runs(spark, tmp_dir):
     assert spark.read.parquet(sink).count() == 3
 
 
+@pytest.mark.parametrize("files", [None, 1, 3])
+def test_streaming_curate_over_a_file_or_a_folder(spark, tmp_dir, files):
+    rows = [(i, f"text {i % 7}", "en" if i % 3 else None, f"src{i % 2}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    if files:
+        docs.repartition(files).write.parquet(f"{tmp_dir}/documents.parquet")
+    else:  # the table is one file
+        docs.coalesce(1).write.parquet(f"{tmp_dir}/made")
+        (made,) = [n for n in os.listdir(f"{tmp_dir}/made") if n.endswith(".parquet")]
+        os.rename(f"{tmp_dir}/made/{made}", f"{tmp_dir}/documents.parquet")
+    got = streaming_curate(spark, tmp_dir, 8000, ["id", "text"]).groupBy("run").agg(F.sum("n_rows"), F.sum("n_copies"), F.max("epoch")).collect()
+    # a text is kept once a run, in whichever files its copies are
+    assert sorted(tuple(r) for r in got if r.run) == [("0/en", 7, 20, 0)]
+    assert [tuple(r)[1:] for r in got if not r.run] == [(7, 10, 0)]
+
+
+def test_streaming_curate_of_nothing(spark, tmp_dir):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_dir}/documents.parquet")
+    assert streaming_curate(spark, tmp_dir, 8000, ["id", "text"]).count() == 0
+
+
+def test_streaming_pull_of_a_folder_without_files(spark, tmp_dir):
+    handles = spark.createDataFrame([(1, "@one", 0)], "channel_id long, channel_handle string, channel_ord long")
+    os.mkdir(f"{tmp_dir}/landing")
+    assert streaming_pull(spark, f"{tmp_dir}/landing", RAW_MESSAGE_SCHEMA, handles).count() == 0
+
+
 def test_fetch_strict_unknown(spark):
     dialogs, raw = _landed(spark)
     with pytest.raises(ValueError):

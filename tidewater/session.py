@@ -168,6 +168,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is one file (any Hadoop scheme); False for a folder."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(jpath).isFile())
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder or file through Hadoop's file system; False if there was none."""
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -196,6 +202,7 @@ __all__ = [
     "stage_table",
     "local_path",
     "path_exists",
+    "is_file",
     "delete_path",
     "list_names",
 ]

@@ -25,7 +25,7 @@ from tidewater.operators.filters import _bounded, only_dated_messages
 from tidewater.operators.ordering import merge_sorted
 from tidewater.plans.curate import curate
 from tidewater.plans.fetch import to_messages
-from tidewater.session import scratch_path, scratch_scope
+from tidewater.session import is_file, path_exists, scratch_path, scratch_scope
 from tidewater.sources.adapters import messages_from_documents
 
 BatchFn = Callable[[DataFrame, int], DataFrame]
@@ -136,21 +136,23 @@ def curate_batch(
 
 
 def streaming_curate(spark: SparkSession, sf_dir: str, cap: int, fields: Sequence[str]) -> DataFrame:
-    """Stream the landed ``documents`` files through dedup + batching."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
+    """Stream the landed ``documents`` table, a file or a folder of files, through dedup + batching.
+
+    What has landed is one micro-batch however many files hold it: copies of a text
+    are told, and batches filled, over the whole run."""
+    source = f"{sf_dir.rstrip('/')}/documents.parquet"
+    schema = spark.read.parquet(source).schema
     sink = scratch_path(spark, "stream-sink")
     ckpt = scratch_path(spark, "stream-ckpt")
-    run_incremental(
-        spark,
-        sf_dir,
-        schema,
-        curate_batch(cap, fields, to_messages=messages_from_documents),
-        sink,
-        ckpt,
-        glob="documents.parquet",
-        max_files_per_trigger=1,
-    )
-    return spark.read.schema(CURATED_SCHEMA).parquet(sink)
+    # a stream starts at a folder: a table that is one file is picked out of the folder that it lies in
+    folder, glob = (sf_dir, "documents.parquet") if is_file(spark, source) else (source, None)
+    run_incremental(spark, folder, schema, curate_batch(cap, fields, to_messages=messages_from_documents), sink, ckpt, glob=glob)
+    return _read_sink(spark, sink, CURATED_SCHEMA)
+
+
+def _read_sink(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
+    """The stored micro-batches; no rows if there has been none."""
+    return spark.read.schema(schema).parquet(sink) if path_exists(spark, sink) else spark.createDataFrame([], schema)
 
 
 _LONGS = ("n_rows", "batch_tokens", "n_copies", "epoch")
@@ -195,7 +197,7 @@ def streaming_pull(
     process = step if to_raw is None else (lambda batch, batch_id: step(to_raw(batch), batch_id))
     for most in polls:
         run_incremental(spark, source_dir, schema, process, sink, ckpt, glob=glob, max_files_per_trigger=1, max_batches=most)
-    return spark.read.schema(PULLED_SCHEMA).parquet(sink)
+    return _read_sink(spark, sink, PULLED_SCHEMA)
 
 
 __all__ = ["run_incremental", "pull_batch", "curate_batch", "streaming_curate", "streaming_pull", "PULLED_SCHEMA"]
