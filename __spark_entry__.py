@@ -11,7 +11,7 @@ import datetime as _dt
 import importlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +59,7 @@ from tidewater.sources.adapters import (
     table,
 )
 from tidewater.session import scratch_path
+from tidewater.sources.json_arrays import write_arrays
 from tidewater.sources.store import (
     list_store_runs,
     read_batches,
@@ -497,14 +498,9 @@ def q_stored_batches(spark, sf):
 
 
 def q_foreign_arrays(spark, sf):
-    """Messages from JSON-array files, one a language (written here, one object a line)."""
-    path = scratch_path(spark, "arrays")
-    near = Window.partitionBy("run").orderBy("id")
-    value = F.concat(
-        F.when(F.lag("id").over(near).isNull(), "[").otherwise(","), F.to_json(F.struct(*RECORD)), F.when(F.lead("id").over(near).isNull(), "]").otherwise("")
-    )
-    _docs(spark, sf).repartition("run").sortWithinPartitions("run", "id").select("run", value.alias("value")).write.partitionBy("run").text(path)
-    back = read_message_files(spark, path, pattern="*.txt")
+    """Messages from JSON arrays, one a language in as many files as its size takes (written here, one object a line)."""
+    path = write_arrays(_docs(spark, sf), scratch_path(spark, "arrays"), F.to_json(F.struct(*RECORD)))
+    back = read_message_files(spark, path, pattern="*.txt", folders=True)
     return back.select("id", "channel_id", "channel_handle", "time", F.md5("text").alias("text_md5"), "pos")
 
 

@@ -18,6 +18,7 @@ from tidewater.plans.curate import run_batch
 from tidewater.plans.fetch import run_fetch
 from tidewater.records import RAW_MESSAGE_SCHEMA
 from tidewater.sources import store
+from tidewater.sources.json_arrays import write_arrays
 from tidewater.sources.store import batch_lines, list_batches, list_store_runs, read_batches, read_message_files, read_messages, read_stops, read_watermark, store_batches, write_stops
 from tidewater.streaming.incremental import pull_batch, run_incremental
 
@@ -266,3 +267,31 @@ def test_arrays_are_read_by_ranges(spark, tmp_dir, range_bytes):
     assert not [r for r in got if r.startswith("broken")]
     for run, made in arrays.items():
         assert sorted(got.get(run, [])) == [(p, m["id"], m["channel_handle"], m["text"]) for p, m in enumerate(made) if isinstance(m, dict)]
+
+
+def test_arrays_are_written_as_files_that_stay_small(spark, tmp_dir):
+    rows = [(i, r, f'say "{i}" ]}}{{[,') for i, r in enumerate([None, "", "a/b", "en"] * 5 + ["en"] * 80)]
+    df = spark.createDataFrame(rows, "id long, run string, text string").repartition(5)
+    path = write_arrays(df, f"{tmp_dir}/arrays", F.to_json(F.struct("id", "text")), rows_per_file=10)
+    files = [(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".txt")]
+    assert len(files) >= 10  # the large run's too: no task writes a whole array
+    for d, f in files:
+        with open(os.path.join(d, f)) as opened:
+            assert 1 <= len(json.load(opened)) <= 40
+    got = {r.id: r.pos for r in read_message_files(spark, path, pattern="*.txt", folders=True).collect()}
+    want = {}
+    for i, r, _ in rows:
+        want.setdefault(r, []).append(i)
+    assert got == {i: k for ids in want.values() for k, i in enumerate(ids)}
+
+
+def test_an_array_in_files_goes_with_each_of_them(spark, tmp_dir):
+    made = {"a": ['[{"id":1},null]', "[]", ' [ {"id":2} ]\n'], "b": ['[{"id":3}]', '[{"id":4}'], "c": ["[7]", '[{"id":5}]']}
+    for run, texts in made.items():
+        os.mkdir(f"{tmp_dir}/run={run}")
+        for k, text in enumerate(texts):
+            with open(f"{tmp_dir}/run={run}/{k}.json", "w") as f:
+                f.write(text)
+    got = sorted((r.run, r.pos, r.id) for r in read_message_files(spark, tmp_dir, folders=True).collect())
+    # null and 7 have places; the second file of "b" is not closed
+    assert got == [("run=a", 0, 1), ("run=a", 2, 2), ("run=c", 1, 5)]

@@ -15,6 +15,9 @@ and which element it belongs to depends on all that stands before it:
 
 So an element's position is its place in the whole array, and no task holds more
 than a range and one element.  A file that is not one closed array of parsable elements yields no rows.
+
+A large array is written as several files of one folder, each a closed array of the
+elements between two places (:func:`write_arrays`); read by folders, these are one array again.
 """
 
 from __future__ import annotations
@@ -24,17 +27,19 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.operators.filters import is_small
+from tidewater.operators.filters import _bounded, is_small
 from tidewater.session import stage_table
 
 #: What can change the state outside of a string, and what can end a string.
 _OUTSIDE, _INSIDE = re.compile(r'["\[\]{},]'), re.compile(r'\\.|"', re.S)
 #: Space between tokens.
 BLANK = " \t\r\n"
+#: Elements of a file of an array that is written, about.
+ROWS_PER_FILE = 10_000
 
 
 class Scan:
@@ -189,11 +194,53 @@ def _elements(batches):
         yield pa.RecordBatch.from_pylist([*made, piece(-1, str(scan.index))], schema=_PIECES)
 
 
-def read_array_elements(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+def _bracketed(batches):
+    """Rows (run, value) in the order of an array's elements, numbered, with commas and brackets put to them."""
+    run, n = None, -1
+    for batch in batches:
+        out = []
+        for r, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if n >= 0 and r != run:
+                out.append((run, n, "]"))
+                n += 1
+            new = n < 0 or r != run
+            n += 1
+            out.append((r, n, ("[" if new else ",") + value))
+            run = r
+        yield _numbered(out)
+    if n >= 0:
+        yield _numbered([(run, n + 1, "]")])
+
+
+def _numbered(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["run", "n", "value"])
+
+
+def write_arrays(rows: DataFrame, path: str, value: Column, run: str = "run", order: str = "id", rows_per_file: int = ROWS_PER_FILE) -> str:
+    """Write ``value`` (JSON texts), in the order ``order`` of each ``run``, as arrays with one element a line:
+    a folder ``run=-NAME`` for each, in it files of about ``rows_per_file`` elements at most whose
+    names sort in the order of their elements."""
+    files = min(max(1, -(-rows.count() // rows_per_file)), 99_999)  # names have five digits
+    # a null run is in a folder of its own, apart from an empty one
+    named = F.coalesce(F.concat(F.lit("-"), F.col(run).cast("string")), F.lit(""))
+    # parts are ranges of (run, order): a part's files are named by its number
+    parts = rows.select(named.alias("run"), F.col(order).alias("order"), value.alias("value")).repartitionByRange(files, "run", "order")
+    lines = parts.sortWithinPartitions("run", "order").select("run", "value").mapInArrow(_bracketed, "run string, n long, value string")
+    # known as not null, the folder's name is what the rows are sorted by, and the writer sorts them no more
+    lines = lines.withColumn("run", F.coalesce("run", F.lit(""))).sortWithinPartitions("run", "n")
+    lines.select("run", "value").write.partitionBy("run").text(path)
+    return path
+
+
+def read_array_elements(spark: SparkSession, path: str, pattern: str = "*.json", folders: bool = False) -> DataFrame:
     """Elements of the JSON-array files below ``path``: ``file`` (full path), ``pos`` and ``value`` (JSON text).
 
     An empty array has no elements; neither has a file that is no closed JSON array,
-    or one with an element that Spark can't parse (among them any of 128 MiB or more)."""
+    or one with an element that Spark can't parse (among them any of 128 MiB or more).
+
+    ``folders``: the files of a folder are one array in the order of their names;
+    ``pos`` goes on from file to file, and a file that has no elements by a fault leaves the array with none."""
     raw = spark.read.option("pathGlobFilter", pattern).option("lineSep", "}").text(path)
     raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
     effects = stage_table(raw.mapInArrow(_effects, _EFFECT), "array-effects")
@@ -221,8 +268,17 @@ def read_array_elements(spark: SparkSession, path: str, pattern: str = "*.json")
     joined = crossing.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "value"))), lambda p: p["value"]), "").alias("value"))
     blank = F.translate("value", BLANK, "") == ""
     elements = whole.unionByName(joined).where(~(blank & (F.col("total") == 1)))  # [] closes one blank element
-    bad = placed.where("fault").select("file").union(elements.where(F.try_parse_json("value").isNull()).select("file")).distinct()
-    return elements.join(bad, on="file", how="left_anti").select("file", "pos", "value")
+    bad = placed.where("fault").select("file").union(elements.where(F.try_parse_json("value").isNull()).select("file"))
+    array = F.regexp_extract("file", "^(.*)/[^/]*$", 1) if folders else F.col("file")
+    # a row per faulty array; the elements stay where they are: one task an array would not do for a large one
+    bad = stage_table(bad.select(array.alias("array")).distinct(), "array-faults")
+    elements = elements.withColumn("array", array).join(_bounded(bad), on="array", how="left_anti")
+    if folders:
+        sizes = stage_table(elements.groupBy("array", "file").agg(F.count(F.lit(1)).alias("size")), "array-sizes")  # one row per file
+        earlier = Window.partitionBy("array").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+        first = sizes.select("file", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("first"))
+        elements = elements.join(_bounded(first), on="file").withColumn("pos", F.col("first") + F.col("pos"))
+    return elements.select("file", "pos", "value")
 
 
 def parse_elements(elements: DataFrame, schema: T.StructType) -> DataFrame:
@@ -232,4 +288,4 @@ def parse_elements(elements: DataFrame, schema: T.StructType) -> DataFrame:
     return parsed.select("file", "pos", *[F.col("m")[f.name].alias(f.name) for f in schema.fields])
 
 
-__all__ = ["read_array_elements", "parse_elements"]
+__all__ = ["ROWS_PER_FILE", "write_arrays", "read_array_elements", "parse_elements"]

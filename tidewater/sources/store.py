@@ -281,6 +281,7 @@ def read_message_files(
     path: str,
     schema: T.StructType = MESSAGE_SCHEMA,
     pattern: str = "*.json",
+    folders: bool = False,
 ) -> DataFrame:
     """Foreign JSON-array files → message rows with ``run`` (file stem) and ``pos``.
 
@@ -288,15 +289,18 @@ def read_message_files(
     tasks share (:mod:`tidewater.sources.json_arrays`); ``pos`` is the place in the
     whole array.  Elements that are no objects are passed over.  An
     unreadable file yields no rows; a missing folder yields an empty frame.
+
+    ``folders``: an array is a folder of files, each with the elements between two places
+    of it, in the order of their names; ``run`` is the folder's name.
     """
     out_schema = T.StructType(
         [*schema.fields, T.StructField(RUN, T.StringType()), T.StructField("pos", T.LongType())]
     )
     if not path_exists(spark, path):
         return spark.createDataFrame([], out_schema)
-    rows = parse_elements(read_array_elements(spark, path, pattern), schema)
-    name = _decoded(F.element_at(F.split("file", "/"), -1))
-    return rows.select(*[f.name for f in schema.fields], run_stem(name).alias(RUN), "pos")
+    rows = parse_elements(read_array_elements(spark, path, pattern, folders), schema)
+    name = _decoded(F.element_at(F.split("file", "/"), -2 if folders else -1))
+    return rows.select(*[f.name for f in schema.fields], (name if folders else run_stem(name)).alias(RUN), "pos")
 
 
 def read_json_docs(spark: SparkSession, path: str, schema: T.DataType) -> DataFrame:
