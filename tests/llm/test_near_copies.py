@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from frames import no_documents, odd_documents, prose
 
-from tidewater.llm import suffix_dedup
+from tidewater import session
+from tidewater.llm import ngram_join, suffix_dedup
 from tidewater.llm.line_dedup import drop_repeated_lines, line_report
 from tidewater.llm.ngram_join import drop_near_copies, gram_hashes, jaccard_components
 from tidewater.llm.suffix_dedup import Fingerprints, cut_repeats, suffix_ranks
@@ -154,6 +155,52 @@ def test_ngram_join_matches_all_pairs(spark, n, percent):
         assert kept == sorted(set(want.values()))
 
 
+def test_ngram_join_fetches_only_sets_that_may_link(spark, monkeypatch):
+    """Texts that share half of their grams are told apart by their bitmaps, not by whole sets."""
+    staged = Counter()
+    stage = ngram_join.stage_table
+
+    def counted(df, name):
+        table = stage(df, name)
+        staged[name] += table.count()
+        return table
+
+    monkeypatch.setattr(ngram_join, "stage_table", counted)
+    base = prose(3, 120).split()
+    texts = []
+    for i in range(20):
+        copy = list(base)
+        copy[6 * i : 6 * i + 1] = [f"one{i}"]
+        for at in range(i % 7, 120, 12):
+            copy[at] = f"new{i}of{at}"
+        texts.append(" ".join(copy))
+    texts.append(" ".join([*base[:-1], "last"]))
+    texts.append(" ".join(base))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert got == closure(range(len(texts)), brute_links(brute_sets(texts, 3), 90)) == {**{i: i for i in range(21)}, 21: 20}
+    assert staged["jaccard-pairs"] <= 2 and staged["jaccard-sets"] <= 4
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_grams():
+    rng = np.random.default_rng(1)
+    for size in (1, 40, 3_000):
+        a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[size // 10 :], rng.integers(0, 1 << 63, size // 5).astype(np.uint64)]))
+        x, y = (int.from_bytes(ngram_join._parities(s), "big") for s in (a, b))
+        assert (x ^ y).bit_count() <= len(np.setxor1d(a, b)) and ngram_join._parities(a[::-1]) == ngram_join._parities(a)
+
+
+def test_ngram_join_leaves_only_its_links(spark):
+    """The tables that the links are made from are deleted once these are written."""
+    docs = spark.createDataFrame([(i, prose(i // 2, 40)) for i in range(6)], "doc_id long, text string")
+    rows = ngram_join.jaccard_rows(docs)
+    with session.scratch_scope(spark):
+        links = ngram_join.jaccard_links(docs, rows)
+        left = [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in session._SCOPES.open[-1]]
+        assert left == ["jaccard-links"] and links.columns == ["node", "root"]
+
+
 def test_ngram_join_takes_odd_tables(spark):
     docs = odd_documents(spark)
     assert jaccard_components(docs).count() == docs.count()

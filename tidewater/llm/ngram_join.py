@@ -11,8 +11,13 @@ can reach the threshold are computed:
   far apart never meet, and a block with one row is left out before any shuffle of cells;
 * the product is taken blockwise over those columns: partial overlaps are
   summed per pair, and pairs below the size-derived bound go;
+* each row also has a bitmap of the parities of its columns by place; two rows differ in as
+  many columns at least as their bitmaps in bits, so pairs whose bitmaps differ too much go;
 * what is left is verified over all columns.
 
+A column is a gram's hash cut to 32 bits: grams that share one give a candidate
+more, never one less.
+
 A block with very many rows (a large group of near copies) would give all its
 pairs.  So the first pass takes only the pairs of each row with the blocks'
 hubs (a few rows per size class), and of these the ones with most columns in
@@ -28,12 +33,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import components, map_texts
 from tidewater.llm.tables import fixed_table, is_marked, low_bits, marks, name_place, name_places
-from tidewater.session import stage_table
+from tidewater.session import scratch_path, scratch_scope, stage_table
 
 #: Counters of the table by which columns are ordered: rarer ones first (4 bytes each).
 COUNTERS = 1 << 20
@@ -47,6 +52,8 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 HUB_SHARES = (1, 50, 2_000)
 #: Bits of the table that marks the sets to fetch; fixed size (512 kB).
 MARKS = 1 << 22
+#: Bits of a row's bitmap of parities (64 bytes).
+PARITIES = 512
 
 
 def gram_hashes(text: str | None, n: int) -> np.ndarray:
@@ -80,11 +87,16 @@ def _name(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+def _parities(grams: np.ndarray) -> bytes:
+    """Bit i: whether an odd number of the grams has place i."""
+    return np.packbits(np.bincount((grams >> np.uint64(33)).astype(np.int64) & (PARITIES - 1), minlength=PARITIES) & 1).tobytes()
+
+
 def jaccard_rows(
     docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
-    """(keep..., _n_shingles, _row, _prefix): each document's set size, the name of its set
-    (null without words) and the columns that a partner can't miss altogether."""
+    """(keep..., _n_shingles, _row, _bits, _prefix): each document's set size, the name of its set
+    (null without words), its bitmap and the columns that a partner can't miss altogether."""
     grams = docs.select(F.col(text_col).cast("string"))
     rare_ = docs.sparkSession.sparkContext.broadcast(  # COUNTERS numbers
         fixed_table(grams, COUNTERS, lambda batch: (_counter(gram_hashes(t, n)) for t in batch.column(0).to_pylist()))
@@ -94,34 +106,47 @@ def jaccard_rows(
         rare = rare_.value
 
         def f(texts):
-            sizes, names, prefixes = [], [], []
+            sizes, names, bits, prefixes = [], [], [], []
             for t in texts:
                 s = gram_hashes(t, n)
                 sizes.append(len(s))
                 names.append(_name(s) if len(s) else None)
+                bits.append(_parities(s))
                 wide = len(s) - int(least_overlap(np.int64(len(s)), percent)) + 1 if len(s) else 0
-                prefixes.append(s[np.lexsort((s, rare[_counter(s)]))[:wide]].astype(np.int64))
-            return [sizes, names, pa.array(prefixes, pa.list_(pa.int64()))]
+                prefixes.append(s[np.lexsort((s, rare[_counter(s)]))[:wide]].astype(np.uint32).view(np.int32))
+            return [sizes, names, bits, pa.array(prefixes, pa.list_(pa.int32()))]
 
         return f
 
-    return map_texts(docs, make, {"_n_shingles": "long", "_row": "binary", "_prefix": "array<long>"}, [id_col] if keep is None else keep, text_col)
+    return map_texts(docs, make, {"_n_shingles": "long", "_row": "binary", "_bits": "binary", "_prefix": "array<int>"}, [id_col] if keep is None else keep, text_col)
 
 
 def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 90, text_col: str = "text") -> DataFrame:
     """Components ``(node, root)`` over the names of sets: those with a link to another set.
     ``rows`` is what ``jaccard_rows`` gave for ``docs``, kept in a table."""
-    docs = docs.select(F.col(text_col).cast("string").alias("_t"))
-    sets = rows.where("_row is not null").groupBy(F.col("_row").alias("row")).agg(F.first("_n_shingles").alias("size"), F.first("_prefix").alias("prefix"))
-    sets = stage_table(sets, "jaccard-rows-once")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "jaccard-links")
+    with scratch_scope(spark):  # what the links are made from goes with them written
+        _links(docs.select(F.col(text_col).cast("string").alias("_t")), rows, n, percent).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
+    firsts = [F.first(f"_{c}").alias(c) for c in ("bits", "prefix")]
+    sets = rows.where("_row is not null").groupBy(F.col("_row").alias("name")).agg(F.first("_n_shingles").alias("size"), *firsts)
+    # a number is shorter than a name, and like numbers lie side by side; the table keeps them
+    sets = stage_table(sets.withColumn("row", F.monotonically_increasing_id()), "jaccard-rows-once")
     # size classes are wider than what may lie between the sizes of partners, so these are
     # of one class or of neighbouring ones: a row is in the blocks of its own and the next lower one
     sets = sets.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / math.log(1.01 * 100 / percent)))
-    own = F.transform("prefix", lambda g: g.bitwiseXOR(F.col("class") * _CLASS))
-    lower = F.transform("prefix", lambda g: g.bitwiseXOR((F.col("class") - 1) * _CLASS))
     # a block with one row has no product; what the table marks besides does no harm
-    shared = sets.select(F.explode(F.concat(own, lower)).alias("block")).groupBy("block").agg(F.count("*").alias("rows")).where("rows > 1")
-    bits_ = docs.sparkSession.sparkContext.broadcast(marks(shared, BLOCK_MARKS, low_bits(F.col("block"), BLOCK_MARKS)))
+    counted = sets.select(F.explode("prefix").alias("gram"), "class").repartition("gram").groupBy("gram", "class").agg(F.count("*").alias("rows"))
+    follows = F.lead("class").over(Window.partitionBy("gram").orderBy("class")) == F.col("class") + 1
+    shared = counted.withColumn("follows", F.coalesce(follows, F.lit(False))).where("rows > 1 or follows")
+    both = F.array(F.col("class"), F.col("class") - 1)
+    shared = shared.select("gram", F.explode(F.when(F.col("rows") > 1, both).otherwise(F.slice(both, 1, 1))).alias("class"))
+    block = F.col("gram").cast("long").bitwiseXOR(F.col("class") * _CLASS)
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(shared, BLOCK_MARKS, low_bits(block, BLOCK_MARKS)))
 
     def filter_cells(batches):
         bits = bits_.value
@@ -142,12 +167,12 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
                 names=["gram", "row", "size", "class", "share", "place"],
             )
 
-    cells = sets.select("row", "size", "prefix", "class").mapInArrow(filter_cells, "gram long, row binary, size long, class long, share long, place long")
+    cells = sets.select("row", "size", "prefix", "class").mapInArrow(filter_cells, "gram int, row long, size long, class long, share long, place long")
     cells = stage_table(cells, "jaccard-cells")
 
     # first pass: each row with hubs of its own and the next lower size class
     seeds = [
-        F.max(F.struct(F.floor(F.col("share") / coarse).alias("s"), F.xxhash64("row", F.lit(k)).alias("h"), "row", "size")).alias(f"hub{k}")
+        F.max(F.struct(F.floor(F.col("share") / coarse).alias("s"), F.hash("row", F.lit(k)).alias("h"), "row", "size")).alias(f"hub{k}")
         for k, coarse in enumerate(HUB_SHARES)
     ]
     hubs = cells.groupBy("gram", "class").agg(*seeds)
@@ -160,7 +185,7 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
     near = near.where(2 * F.col("common") >= F.col("least"))
     best = near.groupBy("row").agg(F.max(F.struct("common", "other")).alias("a"), F.min(F.struct((-F.col("common")).alias("common"), F.col("other"))).alias("b"))
     best = best.select("row", F.explode(F.array_distinct(F.array("a.other", "b.other"))).alias("other"))
-    stars = _verified(docs, best, n, percent)
+    stars = _verified(docs, _close(best, sets, percent), n, percent)
     first = stage_table(components(_edges(stars), "jaccard-first"), "jaccard-roots")
 
     # second pass: all pairs of rows in different components
@@ -177,12 +202,19 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
     early = (F.col("place") + both <= a) & (F.col("other_place") + both <= b)
     cross = cells.join(other, "gram").where((F.col("root") != F.col("other_root")) & larger & (b * 100 >= a * percent) & early)
     met = stage_table(cross.select("row", "other").distinct(), "jaccard-met")
-    # overlaps over all kept columns of the pairs that met
-    kept = sets.select("row", "size", "prefix")
-    sized = met.join(kept, "row").join(kept.select(F.col("row").alias("other"), F.col("size").alias("other_size"), F.col("prefix").alias("other_prefix")), "other")
-    near = sized.where(F.size(F.array_intersect("prefix", "other_prefix")) >= _least(a, b, percent))
-    more = _verified(docs, near.select("row", "other"), n, percent)
-    return components(_edges(stars).unionByName(_edges(more)), "jaccard-all")
+    # overlaps over all kept columns of those pairs that met and are close
+    close = _close(met, sets, percent)
+    own = sets.select("row", "size", "prefix")
+    own = own.join(close.select("row").union(close.select(F.col("other").alias("row"))).distinct(), "row", "left_semi")
+    sized = close.join(own, "row").join(own.select(F.col("row").alias("other"), F.col("size").alias("other_size"), F.col("prefix").alias("other_prefix")), "other")
+    # columns that became one by their cut count once here
+    common = F.size(F.array_intersect("prefix", "other_prefix")) + F.size("prefix") - F.size(F.array_distinct("prefix"))
+    near = sized.where(common >= _least(a, b, percent))
+    more = _verified(docs, near.select("row", "other", "name", "other_name"), n, percent)
+    roots = components(_edges(stars).unionByName(_edges(more)), "jaccard-all")
+    named = sets.select(F.col("row").alias("node"), "name")
+    roots = roots.join(named, "node").select("root", F.col("name").alias("node"))
+    return roots.join(named.withColumnRenamed("node", "root"), "root").select("node", F.col("name").alias("root"))
 
 
 def _both(a, b, percent: int):
@@ -202,19 +234,38 @@ def _products(met: DataFrame, percent: int) -> DataFrame:
     return near.groupBy("row", "other", _least(a, b, percent).alias("least")).agg(F.count("*").alias("common"))
 
 
+def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those ``pairs`` of rows that may link by their sizes and bitmaps, with the names of both."""
+    one = sets.select("row", "size", "bits", "name")
+    other = one.select(*[F.col(c).alias(f"other_{c}" if c != "row" else "other") for c in one.columns])
+    met = pairs.join(one, "row").join(other, "other").select("row", "other", "name", "other_name", "size", "other_size", "bits", "other_bits")
+
+    def few(batches):
+        for batch in batches:
+            size = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, PARITIES // 64) for i in (6, 7))
+            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            # sets that differ in so many have half of the rest in common at most
+            close = (size - differ) // 2 >= -(-size * percent // (100 + percent))
+            yield batch.select(["row", "other", "name", "other_name"]).filter(pa.array(close))
+
+    return stage_table(met.mapInArrow(few, "row long, other long, name binary, other_name binary"), "jaccard-close")
+
+
 def _edges(pairs: DataFrame) -> DataFrame:
     return pairs.where("linked").select(F.col("row").alias("a"), F.col("other").alias("b"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """``pairs`` with ``linked``: whether the overlap over all columns reaches the bound.
+    """``pairs`` (row, other, name, other_name) with ``linked``: whether the overlap over all grams
+    reaches the bound.
 
     The sets of the rows that are in a pair are computed from the texts anew and met with
     the pairs by name, first the one side and then the other.
     """
     pairs = stage_table(pairs, "jaccard-pairs")
-    wanted = pairs.select("row").union(pairs.select(F.col("other").alias("row"))).distinct()
-    bits_ = docs.sparkSession.sparkContext.broadcast(marks(wanted, MARKS, name_place(F.col("row"), MARKS)))  # MARKS bits
+    wanted = pairs.select("name").union(pairs.select("other_name")).distinct()
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(wanted, MARKS, name_place(F.col("name"), MARKS)))  # MARKS bits
 
     def sets():
         bits = bits_.value
@@ -227,9 +278,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
 
         return f
 
-    full = map_texts(docs, sets, {"row": "binary", "grams": "binary"}, [], "_t", explode=True)
-    full = stage_table(full.dropDuplicates(["row"]), "jaccard-sets")  # the few that are marked by chance find no pair
-    met = pairs.join(full, "row").join(full.select(F.col("row").alias("other"), F.col("grams").alias("other_grams")), "other")
+    full = map_texts(docs, sets, {"name": "binary", "grams": "binary"}, [], "_t", explode=True)
+    full = stage_table(full.dropDuplicates(["name"]), "jaccard-sets")  # the few that are marked by chance find no pair
+    met = pairs.join(full, "name").join(full.select(F.col("name").alias("other_name"), F.col("grams").alias("other_grams")), "other_name")
 
     def overlap(batches):
         for batch in batches:
@@ -241,7 +292,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["row", "other", "linked"])
 
     return stage_table(
-        met.select("row", "other", "grams", "other_grams").mapInArrow(overlap, "row binary, other binary, linked boolean"), "jaccard-tried"
+        met.select("row", "other", "grams", "other_grams").mapInArrow(overlap, "row long, other long, linked boolean"), "jaccard-tried"
     )
 
 
