@@ -265,6 +265,40 @@ def test_ngram_join_fetches_only_sets_that_may_link(spark, monkeypatch):
     assert staged["jaccard-pairs"] <= 2 and staged["jaccard-sets"] <= 4
 
 
+def test_ngram_join_moves_little(spark, monkeypatch):
+    """Cells that share no column with a row stay behind though the table of marks fills up; sets travel as packed texts."""
+    stage, cells, moved = ngram_join.stage_table, [], []
+
+    def counted(df, name):
+        table = stage(df, name)
+        if name == "jaccard-cells":
+            cells.append(table.count())
+        if name == "jaccard-sets":
+            moved.extend(len(r[c]) for r in table.collect() for c in table.columns if c != "name")
+        return table
+
+    monkeypatch.setattr(ngram_join, "stage_table", counted)
+    texts = [prose(i, 300) for i in range(140)]
+    texts += [t + f" more{i}" for i, t in enumerate(texts[:40])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: i - 140 if i >= 140 else i for i in range(180)}
+    for size in (ngram_join.BLOCK_MARKS, 1 << 16):
+        monkeypatch.setattr(ngram_join, "BLOCK_MARKS", size)
+        assert {r.doc_id: r.component_id for r in jaccard_components(docs).collect()} == want
+    alone = 100 * 31  # columns of texts without a copy
+    assert cells[0] >= 80 * 20 and cells[1] - cells[0] <= alone * 0.03
+    assert moved and sum(moved) < 4 * 300 * len(moved)
+
+
+def test_texts_with_one_hash_are_told_apart(spark, monkeypatch):
+    """All texts share the hash by which they are found again: the names of their sets tell them apart."""
+    monkeypatch.setattr(ngram_join, "_keys", lambda texts: np.zeros(len(texts), np.int64))
+    texts = [prose(i // 2, 60) + " end" * (i % 2) for i in range(8)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert got == closure(range(10), brute_links(brute_sets(texts, 3), 90)) and got[1] == 0
+
+
 def test_parities_differ_in_no_more_bits_than_sets_in_grams():
     rng = np.random.default_rng(1)
     for size in (1, 40, 3_000):

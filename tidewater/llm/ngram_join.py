@@ -13,7 +13,8 @@ can reach the threshold are computed:
   summed per pair, and pairs below the size-derived bound go;
 * each row also has a bitmap of the parities of its columns by place; two rows differ in as
   many columns at least as their bitmaps in bits, so pairs whose bitmaps differ too much go;
-* what is left is verified over all columns.
+* what is left is verified over all columns, from the texts: these are found again by their
+  hash and travel packed, which is a fraction of their columns.
 
 A column is a gram's hash cut to 32 bits: grams that share one give a candidate
 more, never one less.
@@ -30,28 +31,32 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import components, map_texts
-from tidewater.llm.tables import fixed_table, is_marked, low_bits, marks, name_place, name_places
+from tidewater.llm.tables import fixed_table, is_marked, low_bits, marks
 from tidewater.session import scratch_path, scratch_scope, stage_table
 
 #: Counters of the table by which columns are ordered: rarer ones first (4 bytes each).
 COUNTERS = 1 << 20
 #: Bits of the table that marks blocks with two rows or more; fixed size (8 MB).
 BLOCK_MARKS = 1 << 26
-#: Tells a column's blocks apart.
-_CLASS = 0x9E3779B1
+#: Tell a column's blocks apart: each has two places in the table, by other bits of the column.
+_CLASS, _CLASS_2, _SHIFT_2 = 0x9E3779B1, 0x85EBCA6B, 6
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Hubs of a block and size class in the first pass, by how much of them others share, in steps of
 #: so many thousandths (the last: by a hash alone); a row is compared with two of them.
 HUB_SHARES = (1, 50, 2_000)
-#: Bits of the table that marks the sets to fetch; fixed size (512 kB).
-MARKS = 1 << 22
+#: Bits of the table that marks the texts to fetch; fixed size (8 MB).
+MARKS = 1 << 26
+#: Sets that a task keeps while it verifies pairs; those of a hub follow each other.
+RECENT = 16
 #: Bits of a row's bitmap of parities (64 bytes).
 PARITIES = 512
 
@@ -87,6 +92,17 @@ def _name(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+def _key(text: str | None) -> int:
+    """By which a text is found again; texts that share one are told apart by the names of their sets."""
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest((text or "").encode())
+
+
+def _keys(texts: list) -> np.ndarray:
+    return np.array([_key(t) for t in texts], np.uint64).view(np.int64)
+
+
 def _parities(grams: np.ndarray) -> bytes:
     """Bit i: whether an odd number of the grams has place i."""
     return np.packbits(np.bincount((grams >> np.uint64(33)).astype(np.int64) & (PARITIES - 1), minlength=PARITIES) & 1).tobytes()
@@ -95,8 +111,8 @@ def _parities(grams: np.ndarray) -> bytes:
 def jaccard_rows(
     docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
-    """(keep..., _n_shingles, _row, _bits, _prefix): each document's set size, the name of its set
-    (null without words), its bitmap and the columns that a partner can't miss altogether."""
+    """(keep..., _n_shingles, _row, _key, _bits, _prefix): each document's set size, the name of its set
+    (null without words), its text's hash, its bitmap and the columns that a partner can't miss altogether."""
     grams = docs.select(F.col(text_col).cast("string"))
     rare_ = docs.sparkSession.sparkContext.broadcast(  # COUNTERS numbers
         fixed_table(grams, COUNTERS, lambda batch: (_counter(gram_hashes(t, n)) for t in batch.column(0).to_pylist()))
@@ -114,11 +130,11 @@ def jaccard_rows(
                 bits.append(_parities(s))
                 wide = len(s) - int(least_overlap(np.int64(len(s)), percent)) + 1 if len(s) else 0
                 prefixes.append(s[np.lexsort((s, rare[_counter(s)]))[:wide]].astype(np.uint32).view(np.int32))
-            return [sizes, names, bits, pa.array(prefixes, pa.list_(pa.int32()))]
+            return [sizes, names, _keys(texts), bits, pa.array(prefixes, pa.list_(pa.int32()))]
 
         return f
 
-    return map_texts(docs, make, {"_n_shingles": "long", "_row": "binary", "_bits": "binary", "_prefix": "array<int>"}, [id_col] if keep is None else keep, text_col)
+    return map_texts(docs, make, {"_n_shingles": "long", "_row": "binary", "_key": "long", "_bits": "binary", "_prefix": "array<int>"}, [id_col] if keep is None else keep, text_col)
 
 
 def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 90, text_col: str = "text") -> DataFrame:
@@ -132,7 +148,7 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int = 3, percent: int = 9
 
 
 def _links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
-    firsts = [F.first(f"_{c}").alias(c) for c in ("bits", "prefix")]
+    firsts = [F.first(f"_{c}").alias(c) for c in ("key", "bits", "prefix")]
     sets = rows.where("_row is not null").groupBy(F.col("_row").alias("name")).agg(F.first("_n_shingles").alias("size"), *firsts)
     # a number is shorter than a name, and like numbers lie side by side; the table keeps them
     sets = stage_table(sets.withColumn("row", F.monotonically_increasing_id()), "jaccard-rows-once")
@@ -145,8 +161,14 @@ def _links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     shared = counted.withColumn("follows", F.coalesce(follows, F.lit(False))).where("rows > 1 or follows")
     both = F.array(F.col("class"), F.col("class") - 1)
     shared = shared.select("gram", F.explode(F.when(F.col("rows") > 1, both).otherwise(F.slice(both, 1, 1))).alias("class"))
-    block = F.col("gram").cast("long").bitwiseXOR(F.col("class") * _CLASS)
-    bits_ = docs.sparkSession.sparkContext.broadcast(marks(shared, BLOCK_MARKS, low_bits(block, BLOCK_MARKS)))
+    gram = F.col("gram").cast("long")
+    places = F.array(gram.bitwiseXOR(F.col("class") * _CLASS), F.shiftright(gram, _SHIFT_2).bitwiseXOR(F.col("class") * _CLASS_2))
+    shared = shared.select(F.explode(places).alias("block"))
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(shared, BLOCK_MARKS, low_bits(F.col("block"), BLOCK_MARKS)))
+
+    def in_block(bits, grams, classes):
+        one = is_marked(bits, (grams ^ (classes * _CLASS)) & (BLOCK_MARKS - 1))
+        return one & is_marked(bits, ((grams >> _SHIFT_2) ^ (classes * _CLASS_2)) & (BLOCK_MARKS - 1))
 
     def filter_cells(batches):
         bits = bits_.value
@@ -157,8 +179,7 @@ def _links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
             wide = lists.value_lengths().to_numpy()
             owner = np.repeat(np.arange(len(wide)), wide)
             classes = batch.column(3).to_numpy()[owner]
-            some = is_marked(bits, (grams ^ (classes * _CLASS)) & (BLOCK_MARKS - 1))
-            some |= is_marked(bits, (grams ^ ((classes - 1) * _CLASS)) & (BLOCK_MARKS - 1))
+            some = in_block(bits, grams, classes) | in_block(bits, grams, classes - 1)
             # the part of a row's columns that other rows have: all of them for a text that its copies were made from
             share = 1000 * np.bincount(owner[some], minlength=len(wide)) // np.maximum(wide, 1)
             place = np.arange(len(owner)) - (np.cumsum(wide) - wide)[owner]
@@ -184,7 +205,7 @@ def _links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     # a hub is one in most of the blocks that it shares with a row, not in all
     near = near.where(2 * F.col("common") >= F.col("least"))
     best = near.groupBy("row").agg(F.max(F.struct("common", "other")).alias("a"), F.min(F.struct((-F.col("common")).alias("common"), F.col("other"))).alias("b"))
-    best = best.select("row", F.explode(F.array_distinct(F.array("a.other", "b.other"))).alias("other"))
+    best = stage_table(best.select("row", F.explode(F.array_distinct(F.array("a.other", "b.other"))).alias("other")), "jaccard-best")
     stars = _verified(docs, _close(best, sets, percent), n, percent)
     first = stage_table(components(_edges(stars), "jaccard-first"), "jaccard-roots")
 
@@ -210,7 +231,7 @@ def _links(docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     # columns that became one by their cut count once here
     common = F.size(F.array_intersect("prefix", "other_prefix")) + F.size("prefix") - F.size(F.array_distinct("prefix"))
     near = sized.where(common >= _least(a, b, percent))
-    more = _verified(docs, near.select("row", "other", "name", "other_name"), n, percent)
+    more = _verified(docs, near.select("row", "other", "name", "other_name", "key", "other_key"), n, percent)
     roots = components(_edges(stars).unionByName(_edges(more)), "jaccard-all")
     named = sets.select(F.col("row").alias("node"), "name")
     roots = roots.join(named, "node").select("root", F.col("name").alias("node"))
@@ -235,10 +256,12 @@ def _products(met: DataFrame, percent: int) -> DataFrame:
 
 
 def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those ``pairs`` of rows that may link by their sizes and bitmaps, with the names of both."""
-    one = sets.select("row", "size", "bits", "name")
+    """Those ``pairs`` of rows that may link by their sizes and bitmaps, with the names and hashes of both."""
+    wanted = pairs.select("row").union(pairs.select(F.col("other").alias("row"))).distinct()
+    one = stage_table(sets.select("row", "size", "bits", "name", "key").join(wanted, "row", "left_semi"), "jaccard-paired")
     other = one.select(*[F.col(c).alias(f"other_{c}" if c != "row" else "other") for c in one.columns])
-    met = pairs.join(one, "row").join(other, "other").select("row", "other", "name", "other_name", "size", "other_size", "bits", "other_bits")
+    met = pairs.join(one, "row").join(other, "other")
+    met = met.select("row", "other", "name", "other_name", "size", "other_size", "bits", "other_bits", "key", "other_key")
 
     def few(batches):
         for batch in batches:
@@ -247,9 +270,9 @@ def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
             # sets that differ in so many have half of the rest in common at most
             close = (size - differ) // 2 >= -(-size * percent // (100 + percent))
-            yield batch.select(["row", "other", "name", "other_name"]).filter(pa.array(close))
+            yield batch.select(["row", "other", "name", "other_name", "key", "other_key"]).filter(pa.array(close))
 
-    return stage_table(met.mapInArrow(few, "row long, other long, name binary, other_name binary"), "jaccard-close")
+    return stage_table(met.mapInArrow(few, "row long, other long, name binary, other_name binary, key long, other_key long"), "jaccard-close")
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
@@ -257,42 +280,43 @@ def _edges(pairs: DataFrame) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """``pairs`` (row, other, name, other_name) with ``linked``: whether the overlap over all grams
-    reaches the bound.
+    """``pairs`` (row, other, name, other_name, key, other_key) with ``linked``: whether the overlap over
+    all grams reaches the bound.
 
-    The sets of the rows that are in a pair are computed from the texts anew and met with
-    the pairs by name, first the one side and then the other.
+    A text of each row that is in a pair is found again by its hash and met with the pairs by the
+    name of its set, first the one side and then the other; the sets are made where both meet.
     """
     pairs = stage_table(pairs, "jaccard-pairs")
-    wanted = pairs.select("name").union(pairs.select("other_name")).distinct()
-    bits_ = docs.sparkSession.sparkContext.broadcast(marks(wanted, MARKS, name_place(F.col("name"), MARKS)))  # MARKS bits
+    wanted = pairs.select("key").union(pairs.select("other_key")).distinct()
+    bits_ = docs.sparkSession.sparkContext.broadcast(marks(wanted, MARKS, low_bits(F.col("key"), MARKS)))  # MARKS bits
 
-    def sets():
-        bits = bits_.value
+    def found():
+        bits, packer = bits_.value, zstandard.ZstdCompressor()
 
         def f(texts):
-            found = [gram_hashes(t, n) for t in texts]
-            names = [_name(s) for s in found]
-            some = np.flatnonzero(is_marked(bits, name_places(names, MARKS))).tolist()
-            return [some, [names[i] for i in some], [found[i].tobytes() for i in some]]
+            some = np.flatnonzero(is_marked(bits, _keys(texts) & (MARKS - 1))).tolist()
+            return [some, [_name(gram_hashes(texts[i], n)) for i in some], [packer.compress((texts[i] or "").encode()) for i in some]]
 
         return f
 
-    full = map_texts(docs, sets, {"name": "binary", "grams": "binary"}, [], "_t", explode=True)
+    full = map_texts(docs, found, {"name": "binary", "packed": "binary"}, [], "_t", explode=True)
     full = stage_table(full.dropDuplicates(["name"]), "jaccard-sets")  # the few that are marked by chance find no pair
-    met = pairs.join(full, "name").join(full.select(F.col("name").alias("other_name"), F.col("grams").alias("other_grams")), "other_name")
+    met = pairs.select("row", "other", "name", "other_name").join(full, "name")
+    met = met.join(full.select(F.col("name").alias("other_name"), F.col("packed").alias("other_packed")), "other_name")
 
     def overlap(batches):
+        unpacker = zstandard.ZstdDecompressor()
+        grams = lru_cache(RECENT)(lambda packed: gram_hashes(unpacker.decompress(packed).decode(), n))
         for batch in batches:
             linked = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                x, y = grams(a), grams(b)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["row", "other", "linked"])
 
     return stage_table(
-        met.select("row", "other", "grams", "other_grams").mapInArrow(overlap, "row long, other long, linked boolean"), "jaccard-tried"
+        met.select("row", "other", "packed", "other_packed").mapInArrow(overlap, "row long, other long, linked boolean"), "jaccard-tried"
     )
 
 
